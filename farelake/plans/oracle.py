@@ -140,3 +140,181 @@ SELECT origin_airport AS airport_code, origin AS city_code FROM fact
 UNION
 SELECT destination_airport AS airport_code, destination AS city_code FROM fact
 """
+
+LEAD_CTE = FACT_CTE + """,
+lead AS (
+  SELECT search_date, departure_date,
+         CAST(departure_date - search_date AS INTEGER) AS days_before_departure,
+         price_rub, origin, destination
+  FROM fact
+  WHERE departure_date IS NOT NULL AND search_date IS NOT NULL
+    AND (departure_date - search_date) BETWEEN 0 AND 365)
+"""
+
+MONTHLY_CTE = FACT_CTE + """,
+monthly AS (
+  SELECT departure_month,
+         CAST(extract(month FROM departure_month) AS INTEGER) AS month_num,
+         CAST(extract(year FROM departure_month) AS INTEGER) AS year,
+         count(*) AS ticket_count, avg(price_rub) AS avg_price,
+         quantile_cont(price_rub, 0.5) AS median_price,
+         min(price_rub) AS min_price, max(price_rub) AS max_price,
+         stddev_samp(price_rub) AS price_stddev
+  FROM fact WHERE departure_month IS NOT NULL
+  GROUP BY departure_month),
+rollup_m AS (
+  SELECT month_num, avg(avg_price) AS avg_price, CAST(sum(ticket_count) AS BIGINT) AS ticket_count,
+         avg(price_stddev) AS price_stddev
+  FROM monthly GROUP BY month_num)
+"""
+
+WEEKLY_SELECT = """
+  SELECT departure_weekday_short, departure_weekday_full, count(*) AS ticket_count,
+         avg(price_rub) AS avg_price, quantile_cont(price_rub, 0.5) AS median_price,
+         min(price_rub) AS min_price, quantile_cont(price_rub, 0.25) AS q1_price,
+         CASE departure_weekday_short WHEN 'Mon' THEN 1 WHEN 'Tue' THEN 2 WHEN 'Wed' THEN 3
+              WHEN 'Thu' THEN 4 WHEN 'Fri' THEN 5 WHEN 'Sat' THEN 6 WHEN 'Sun' THEN 7 END AS weekday_order
+  FROM fact WHERE departure_weekday_short IS NOT NULL
+  GROUP BY departure_weekday_short, departure_weekday_full
+"""
+
+BUCKETS_SELECT = """
+  SELECT l.days_range, l.bucket_order, avg(b.price_rub) AS mean_price,
+         count(b.price_rub) AS n_offers, stddev_samp(b.price_rub) AS std_price
+  FROM (VALUES ('0-7', 1), ('8-14', 2), ('15-30', 3), ('31-60', 4), ('61-90', 5),
+               ('91-180', 6), ('181-365', 7)) AS l(days_range, bucket_order)
+  LEFT JOIN (
+    SELECT CASE WHEN d > 0 AND d <= 7 THEN '0-7' WHEN d > 7 AND d <= 14 THEN '8-14'
+                WHEN d > 14 AND d <= 30 THEN '15-30' WHEN d > 30 AND d <= 60 THEN '31-60'
+                WHEN d > 60 AND d <= 90 THEN '61-90' WHEN d > 90 AND d <= 180 THEN '91-180'
+                WHEN d > 180 AND d <= 365 THEN '181-365' END AS days_range, price_rub
+    FROM (SELECT days_before_departure AS d, price_rub FROM lead)) b
+  ON l.days_range = b.days_range
+  GROUP BY l.days_range, l.bucket_order
+"""
+
+ORACLE["stats_month"] = MONTHLY_CTE + """
+SELECT departure_month, month_num, year, ticket_count, round(avg_price, 6) AS avg_price,
+       round(median_price, 6) AS median_price, min_price, max_price,
+       round(price_stddev, 6) AS price_stddev
+FROM monthly
+"""
+
+ORACLE["stats_weekday"] = FACT_CTE + f"""
+SELECT departure_weekday_short, departure_weekday_full, ticket_count, round(avg_price, 6) AS avg_price,
+       round(median_price, 6) AS median_price, min_price, round(q1_price, 6) AS q1_price,
+       CAST(weekday_order AS INTEGER) AS weekday_order
+FROM ({WEEKLY_SELECT})
+"""
+
+ORACLE["lead_time_offers"] = LEAD_CTE + "SELECT * FROM lead"
+
+ORACLE["stats_lead_bucket"] = LEAD_CTE + f"""
+SELECT days_range, CAST(bucket_order AS INTEGER) AS bucket_order, round(mean_price, 6) AS mean_price,
+       n_offers, round(std_price, 6) AS std_price
+FROM ({BUCKETS_SELECT})
+"""
+
+ORACLE["stats_lead_day"] = LEAD_CTE + """
+SELECT days_before_departure, round(avg(price_rub), 6) AS avg_price
+FROM lead GROUP BY days_before_departure
+"""
+
+ORACLE["smooth_lead_curve"] = LEAD_CTE + """,
+s AS (SELECT days_before_departure, avg(price_rub) AS avg_price FROM lead GROUP BY 1),
+p AS (SELECT *, row_number() OVER (ORDER BY days_before_departure) - 1 AS i,
+             count(*) OVER () AS n FROM s),
+kern AS (SELECT range AS k, exp(-0.5 * (range / 2.0) * (range / 2.0)) AS w FROM range(-8, 9)),
+kn AS (SELECT k, w / sum(w) OVER () AS w FROM kern),
+taps AS (
+  SELECT p.i, kn.w, ((p.i + kn.k) % (2 * p.n) + 2 * p.n) % (2 * p.n) AS m, p.n
+  FROM p CROSS JOIN kn),
+sm AS (
+  SELECT t.i, sum(t.w * q.avg_price) AS smoothed_price
+  FROM taps t JOIN p q ON q.i = CASE WHEN t.m < t.n THEN t.m ELSE 2 * t.n - 1 - t.m END
+  GROUP BY t.i)
+SELECT p.days_before_departure, round(p.avg_price, 6) AS avg_price,
+       round(sm.smoothed_price, 6) AS smoothed_price
+FROM p JOIN sm ON p.i = sm.i
+"""
+
+ORACLE["month_rollup"] = MONTHLY_CTE + """
+SELECT month_num, round(avg_price, 6) AS avg_price, ticket_count, round(price_stddev, 6) AS price_stddev
+FROM rollup_m
+"""
+
+ORACLE["pivot_month_year"] = MONTHLY_CTE + """
+SELECT month_num,
+""" + ",\n".join(
+    f"       round(avg(avg_price) FILTER (WHERE year = {y}), 6) AS \"{y}\"" for y in range(1995, 2002)
+) + """
+FROM monthly GROUP BY month_num
+"""
+
+ORACLE["cheapest_months"] = MONTHLY_CTE + """
+SELECT month_num, round(avg_price, 6) AS avg_price
+FROM rollup_m WHERE avg_price IS NOT NULL
+ORDER BY avg_price, month_num LIMIT 3
+"""
+
+ORACLE["cheapest_weekdays"] = FACT_CTE + f"""
+SELECT departure_weekday_short, departure_weekday_full, round(avg_price, 6) AS avg_price
+FROM ({WEEKLY_SELECT}) w WHERE avg_price IS NOT NULL
+ORDER BY avg_price, weekday_order LIMIT 2
+"""
+
+ORACLE["price_extremes"] = MONTHLY_CTE.replace("WITH ", "WITH ", 1) + """,
+lead AS (
+  SELECT CAST(departure_date - search_date AS INTEGER) AS days_before_departure, price_rub
+  FROM fact
+  WHERE departure_date IS NOT NULL AND search_date IS NOT NULL
+    AND (departure_date - search_date) BETWEEN 0 AND 365),
+wk AS (""" + WEEKLY_SELECT + """),
+bk AS (""" + BUCKETS_SELECT + """),
+dd AS (SELECT days_before_departure AS d, avg(price_rub) AS v FROM lead GROUP BY 1),
+rm AS (SELECT * FROM rollup_m WHERE avg_price IS NOT NULL),
+w2 AS (SELECT * FROM wk WHERE avg_price IS NOT NULL),
+b2 AS (SELECT * FROM bk WHERE mean_price IS NOT NULL),
+f AS (
+  SELECT 'most_expensive_month' AS finding, CAST((SELECT month_num FROM rm ORDER BY avg_price DESC, month_num LIMIT 1) AS VARCHAR) AS label,
+         (SELECT max(avg_price) FROM rm) AS value
+  UNION ALL SELECT 'month_spread', NULL, (SELECT max(avg_price) - min(avg_price) FROM rm)
+  UNION ALL SELECT 'best_weekday', (SELECT departure_weekday_full FROM w2 ORDER BY avg_price, weekday_order LIMIT 1),
+         (SELECT min(avg_price) FROM w2)
+  UNION ALL SELECT 'worst_weekday', (SELECT departure_weekday_full FROM w2 ORDER BY avg_price DESC, weekday_order LIMIT 1),
+         (SELECT max(avg_price) FROM w2)
+  UNION ALL SELECT 'weekday_saving', NULL, (SELECT max(avg_price) - min(avg_price) FROM w2)
+  UNION ALL SELECT 'weekday_saving_pct', NULL, (SELECT (max(avg_price) - min(avg_price)) / max(avg_price) * 100 FROM w2)
+  UNION ALL SELECT 'cheapest_lead_bucket', (SELECT days_range FROM b2 ORDER BY mean_price, bucket_order LIMIT 1),
+         (SELECT min(mean_price) FROM b2)
+  UNION ALL SELECT 'dearest_lead_bucket', (SELECT days_range FROM b2 ORDER BY mean_price DESC, bucket_order LIMIT 1),
+         (SELECT max(mean_price) FROM b2)
+  UNION ALL SELECT 'optimal_lead_day', CAST((SELECT d FROM dd WHERE d BETWEEN 30 AND 60 ORDER BY v, d LIMIT 1) AS VARCHAR),
+         (SELECT min(v) FROM dd WHERE d BETWEEN 30 AND 60))
+SELECT finding, label, round(CAST(value AS DOUBLE), 6) AS value FROM f
+WHERE value IS NOT NULL OR label IS NOT NULL
+"""
+
+ORACLE["box_stats"] = FACT_CTE + """,
+base AS (SELECT departure_weekday_short, price_rub FROM fact WHERE departure_weekday_short IS NOT NULL),
+qs AS (
+  SELECT departure_weekday_short, count(price_rub) AS n, min(price_rub) AS min_value,
+         max(price_rub) AS max_value, quantile_cont(price_rub, 0.25) AS q1,
+         quantile_cont(price_rub, 0.5) AS median, quantile_cont(price_rub, 0.75) AS q3
+  FROM base GROUP BY 1),
+tails AS (
+  SELECT b.departure_weekday_short,
+         min(CASE WHEN price_rub >= q1 - 1.5 * (q3 - q1) THEN price_rub END) AS whisker_low,
+         max(CASE WHEN price_rub <= q3 + 1.5 * (q3 - q1) THEN price_rub END) AS whisker_high,
+         count(CASE WHEN price_rub < q1 - 1.5 * (q3 - q1) OR price_rub > q3 + 1.5 * (q3 - q1) THEN 1 END) AS outliers
+  FROM base b JOIN qs USING (departure_weekday_short) GROUP BY 1)
+SELECT departure_weekday_short, n, min_value, round(q1, 6) AS q1, round(median, 6) AS median,
+       round(q3, 6) AS q3, max_value, round(q3 - q1, 6) AS iqr, whisker_low, whisker_high, outliers
+FROM qs JOIN tails USING (departure_weekday_short)
+"""
+
+ORACLE["offers_sample"] = FACT_CTE + """
+SELECT doc_id, link, departure_weekday_short, price_rub FROM fact
+WHERE departure_weekday_short IS NOT NULL
+ORDER BY doc_id, link LIMIT 10000
+"""

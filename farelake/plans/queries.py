@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.operators import marts
+from farelake.operators import marts, stats
 from farelake.plans.pipeline import offer_fact, offer_ods, offer_stage, to_output
 from farelake.session import prepare
 
@@ -89,3 +89,91 @@ def q_latest_cheapest(spark, sf_dir):
 @query("airports")
 def q_airports(spark, sf_dir):
     return marts.airports(offer_fact(spark, sf_dir))
+
+
+# --- statistics ------------------------------------------------------------
+
+def _monthly(spark, sf_dir):
+    return stats.stats_month(offer_fact(spark, sf_dir))
+
+
+def _weekly(spark, sf_dir):
+    return stats.stats_weekday(offer_fact(spark, sf_dir))
+
+
+def _lead(spark, sf_dir):
+    return stats.lead_time_offers(offer_fact(spark, sf_dir))
+
+
+def _round_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(f.name).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@query("stats_month")
+def q_stats_month(spark, sf_dir):
+    return _round_doubles(_monthly(spark, sf_dir))
+
+
+@query("stats_weekday")
+def q_stats_weekday(spark, sf_dir):
+    return _round_doubles(_weekly(spark, sf_dir))
+
+
+@query("lead_time_offers")
+def q_lead_time_offers(spark, sf_dir):
+    return _lead(spark, sf_dir)
+
+
+@query("stats_lead_bucket")
+def q_stats_lead_bucket(spark, sf_dir):
+    return _round_doubles(stats.stats_lead_bucket(_lead(spark, sf_dir)))
+
+
+@query("stats_lead_day")
+def q_stats_lead_day(spark, sf_dir):
+    return _round_doubles(stats.stats_lead_day(_lead(spark, sf_dir)))
+
+
+@query("smooth_lead_curve")
+def q_smooth_lead_curve(spark, sf_dir):
+    return _round_doubles(stats.smooth_lead_curve(_lead(spark, sf_dir), sigma=2.0))
+
+
+@query("month_rollup")
+def q_month_rollup(spark, sf_dir):
+    return _round_doubles(stats.month_rollup(_monthly(spark, sf_dir)))
+
+
+@query("pivot_month_year")
+def q_pivot_month_year(spark, sf_dir):
+    return _round_doubles(stats.pivot_month_year(_monthly(spark, sf_dir)))
+
+
+@query("cheapest_months")
+def q_cheapest_months(spark, sf_dir):
+    return _round_doubles(stats.cheapest_months(_monthly(spark, sf_dir), 3))
+
+
+@query("cheapest_weekdays")
+def q_cheapest_weekdays(spark, sf_dir):
+    return _round_doubles(stats.cheapest_weekdays(_weekly(spark, sf_dir), 2))
+
+
+@query("price_extremes")
+def q_price_extremes(spark, sf_dir):
+    fact = offer_fact(spark, sf_dir)
+    lead = stats.lead_time_offers(fact)
+    return _round_doubles(stats.price_extremes(
+        stats.stats_month(fact), stats.stats_weekday(fact),
+        stats.stats_lead_bucket(lead), stats.stats_lead_day(lead)))
+
+
+@query("box_stats")
+def q_box_stats(spark, sf_dir):
+    return _round_doubles(stats.box_stats(offer_fact(spark, sf_dir)))
+
+
+@query("offers_sample")
+def q_offers_sample(spark, sf_dir):
+    return stats.offers_sample(offer_fact(spark, sf_dir), n=10000)
