@@ -318,3 +318,260 @@ SELECT doc_id, link, departure_weekday_short, price_rub FROM fact
 WHERE departure_weekday_short IS NOT NULL
 ORDER BY doc_id, link LIMIT 10000
 """
+
+# --- requests, code lists, collection log ------------------------------------
+
+CODES_SELECT = """
+  SELECT DISTINCT upper(trim(r_name)) AS code
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE upper(trim(r_name)) <> '' AND NOT starts_with(upper(trim(r_name)), '#')
+"""
+
+ORACLE["code_list"] = CODES_SELECT
+
+PAIRS_CTE = f"""
+WITH codes AS ({CODES_SELECT}),
+pairs AS (SELECT o.code AS origin, d.code AS destination FROM codes o JOIN codes d ON o.code <> d.code)
+"""
+
+ORACLE["ordered_pairs"] = PAIRS_CTE + "SELECT origin, destination FROM pairs"
+
+ORACLE["request_grid"] = PAIRS_CTE + """,
+start AS (SELECT date_trunc('month', CAST(max(o_orderdate) AS DATE)) AS m FROM orders)
+SELECT origin, destination, strftime(start.m + to_months(i), '%Y-%m') AS departure_at,
+       f.one_way, 100 AS "limit", 'price' AS sorting
+FROM pairs, start, range(0, 13) t(i), (VALUES ('true'), ('false')) f(one_way)
+"""
+
+REQ_CTE = """
+WITH req AS (
+  SELECT c_custkey AS request_id,
+         CASE WHEN c_custkey % 7 = 0 THEN '1X' ELSE lower(substr(c_mktsegment, 1, 3)) END AS origin,
+         CASE WHEN c_nationkey = 3 THEN 'LONDON' ELSE 'PAR' END AS destination,
+         ['RUB', 'USD', 'EUR', 'GBP'][c_nationkey % 4 + 1] AS currency,
+         CASE WHEN c_custkey % 11 = 0 THEN '2025/1' ELSE '2025-12-01' END AS departure_at,
+         CASE WHEN c_custkey % 3 = 0 THEN '2026-01-15' END AS return_at,
+         CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'false' END AS one_way,
+         'false' AS direct, CAST(NULL AS VARCHAR) AS market,
+         CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS "limit", '1' AS page,
+         'price' AS sorting, 'false' AS "unique"
+  FROM customer),
+checked AS (
+  SELECT *, list_filter([
+    CASE WHEN origin IS NULL OR NOT regexp_matches(upper(origin), '^[A-Z]{2,3}$') THEN 'origin' END,
+    CASE WHEN destination IS NULL OR NOT regexp_matches(upper(destination), '^[A-Z]{2,3}$') THEN 'destination' END,
+    CASE WHEN currency IS NOT NULL AND currency NOT IN ('RUB', 'USD', 'EUR') THEN 'currency' END,
+    CASE WHEN departure_at IS NOT NULL AND length(trim(departure_at)) NOT IN (7, 10) THEN 'departure_at' END,
+    CASE WHEN return_at IS NOT NULL AND length(trim(return_at)) NOT IN (7, 10) THEN 'return_at' END,
+    CASE WHEN coalesce(lower(one_way), 'true') = 'true' AND return_at IS NOT NULL THEN 'return_with_one_way' END,
+    CASE WHEN market IS NOT NULL AND NOT regexp_matches(market, '^[a-z]{2}$') THEN 'market' END,
+    CASE WHEN "limit" IS NOT NULL AND (TRY_CAST("limit" AS INTEGER) IS NULL
+              OR TRY_CAST("limit" AS INTEGER) NOT BETWEEN 1 AND 1000) THEN 'limit' END,
+    CASE WHEN page IS NOT NULL AND (TRY_CAST(page AS INTEGER) IS NULL OR TRY_CAST(page AS INTEGER) < 1) THEN 'page' END,
+    CASE WHEN sorting IS NOT NULL AND sorting NOT IN ('price', 'route') THEN 'sorting' END,
+    CASE WHEN NOT (one_way IS NULL OR lower(one_way) IN ('true', 'false')) THEN 'one_way' END,
+    CASE WHEN NOT (direct IS NULL OR lower(direct) IN ('true', 'false')) THEN 'direct' END,
+    CASE WHEN NOT ("unique" IS NULL OR lower("unique") IN ('true', 'false')) THEN 'unique' END
+  ], lambda x: x IS NOT NULL) AS reasons
+  FROM req)
+"""
+
+ORACLE["validate_requests"] = REQ_CTE + """
+SELECT request_id, origin, destination, currency, departure_at, return_at, one_way, direct, market,
+       "limit", page, sorting, "unique", array_to_string(reasons, ',') AS reject_reasons,
+       len(reasons) = 0 AS is_valid
+FROM checked
+"""
+
+ORACLE["normalize_requests"] = REQ_CTE + """
+SELECT request_id, '{' || concat_ws(',',
+    '"origin":"' || upper(origin) || '"',
+    '"destination":"' || upper(destination) || '"',
+    '"currency":"' || coalesce(currency, 'RUB') || '"',
+    CASE WHEN departure_at IS NOT NULL THEN '"departure_at":"' || trim(departure_at) || '"' END,
+    CASE WHEN return_at IS NOT NULL THEN '"return_at":"' || trim(return_at) || '"' END,
+    '"one_way":"' || lower(coalesce(one_way, 'true')) || '"',
+    '"direct":"' || lower(coalesce(direct, 'false')) || '"',
+    CASE WHEN market IS NOT NULL THEN '"market":"' || market || '"' END,
+    '"limit":' || coalesce(TRY_CAST("limit" AS INTEGER), 30),
+    '"page":' || coalesce(TRY_CAST(page AS INTEGER), 1),
+    '"sorting":"' || coalesce(sorting, 'price') || '"',
+    '"unique":"' || lower(coalesce("unique", 'false')) || '"') || '}' AS query_json
+FROM checked WHERE len(reasons) = 0
+"""
+
+EVENT_DOCS = f"""
+ev AS (
+  SELECT event_id, ts, user_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events),
+docs AS (
+  SELECT 'u' || user_id || '-' || event_type AS doc_id, event_id, {ENDPOINT} AS endpoint,
+         CASE WHEN event_type = 'error' THEN NULL ELSE 200 END AS status_code,
+         event_type = 'error' AS error, ts AS created_at, ts + to_minutes(k) AS updated_at,
+         date_trunc('day', ts) AS batch_started_at,
+         upper(substr(event_type, 1, 3)) AS req_origin, 'D' || (user_id % 10) AS req_destination,
+         strftime(ts, '%Y-%m') AS req_departure_at,
+         event_type NOT IN ('error', 'signup') AS is_success,
+         CAST(CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE k % 5 END AS INTEGER) AS n_offers,
+         event_type, k, value
+  FROM ev)
+"""
+
+ORACLE["classify_responses"] = f"""
+WITH {EVENT_DOCS}
+SELECT doc_id, event_id, is_success,
+       CASE WHEN event_type = 'error' THEN 'boom' WHEN event_type = 'signup' THEN 'quota' END AS error_message
+FROM docs
+"""
+
+ORACLE["log_documents"] = f"""
+WITH {EVENT_DOCS}
+SELECT doc_id, event_id, endpoint, status_code, error, created_at, updated_at, batch_started_at,
+       CASE WHEN event_type = 'error' THEN 'text' ELSE 'object' END AS response_kind, n_offers
+FROM docs
+"""
+
+ORACLE["batch_summary"] = f"""
+WITH {EVENT_DOCS}
+SELECT batch_started_at,
+       CAST(sum(CASE WHEN is_success THEN n_offers ELSE 0 END) AS BIGINT) AS number_tickets,
+       count(*) FILTER (WHERE NOT is_success) AS number_missed,
+       count(DISTINCT req_origin || '|' || req_destination) AS routes,
+       count(DISTINCT req_departure_at) AS periods
+FROM docs GROUP BY batch_started_at
+"""
+
+ORACLE["month_spine"] = f"""
+WITH {EVENT_DOCS},
+days AS (SELECT DISTINCT CAST(batch_started_at AS DATE) AS batch_date FROM docs)
+SELECT batch_date, strftime(date_trunc('month', batch_date) + to_months(i), '%Y-%m') AS period
+FROM days, range(0, 13) t(i)
+"""
+
+ORACLE["day_spine"] = f"""
+WITH {EVENT_DOCS},
+days AS (SELECT DISTINCT CAST(batch_started_at AS DATE) AS batch_date FROM docs)
+SELECT batch_date, CAST(unnest(generate_series(CAST(batch_date AS TIMESTAMP),
+       CAST(last_day(batch_date + INTERVAL 12 MONTH) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+FROM days
+"""
+
+HISTORY_CTE = f"""
+WITH {EVENT_DOCS},
+hist AS (
+  SELECT doc_id, event_id, created_at AS valid_from_dttm,
+         lead(created_at) OVER (PARTITION BY doc_id ORDER BY created_at, event_id) AS valid_to_dttm
+  FROM docs)
+"""
+
+ORACLE["scd2_history"] = HISTORY_CTE + """
+SELECT doc_id, event_id, valid_from_dttm, valid_to_dttm, valid_to_dttm IS NULL AS is_current FROM hist
+"""
+
+ORACLE["scan_log_since"] = f"""
+WITH {EVENT_DOCS},
+cut AS (SELECT min(batch_started_at) + INTERVAL 15 DAY AS t FROM docs),
+loaded AS (SELECT * FROM docs WHERE created_at < (SELECT t FROM cut)),
+wm AS (SELECT coalesce(max(updated_at), TIMESTAMP '1970-01-01') - INTERVAL 1 DAY AS w FROM loaded)
+SELECT doc_id, event_id, updated_at FROM docs WHERE updated_at > (SELECT w FROM wm)
+"""
+
+# --- incremental runs --------------------------------------------------------
+
+EVENT_OFFERS = f"""
+WITH {EVENT_DOCS},
+cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
+                min(batch_started_at) + INTERVAL 20 DAY AS c2 FROM docs),
+offers AS (
+  SELECT doc_id, event_id, endpoint, batch_started_at, 200 AS status_code, false AS error,
+         created_at, updated_at, created_at AS processed_src_dttm,
+         req_origin, req_destination, CAST(date_trunc('month', created_at) AS DATE) AS req_departure_month,
+         'RUB' AS req_currency, 'true' AS req_one_way, 'rub' AS resp_currency,
+         '/e?id=' || event_id || '&search_date=' || strftime(created_at, '%d%m%Y') AS link,
+         CAST(round(value * 100) AS INTEGER) AS price_rub, req_origin AS origin,
+         req_origin || '1' AS origin_airport, req_destination AS destination,
+         req_destination || 'A' AS destination_airport, 'A' || (event_id % 7) AS airline,
+         CAST(event_id AS VARCHAR) AS flight_number, k * 10 AS duration_min,
+         k % 3 AS transfers_cnt, k AS duration_to_min, CAST(NULL AS INTEGER) AS duration_back_min,
+         CAST(NULL AS INTEGER) AS return_transfers_cnt,
+         date_trunc('second', created_at + to_days(k)) AS departure_at_utc,
+         CAST(created_at AS DATE) AS search_date,
+         unnest(range(n_offers)) AS copy_no
+  FROM docs WHERE is_success),
+v1 AS (SELECT doc_id, event_id FROM docs WHERE created_at < (SELECT c1 FROM cuts)
+       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY created_at DESC, event_id DESC) = 1),
+v2 AS (SELECT doc_id, event_id FROM docs WHERE created_at < (SELECT c2 FROM cuts)
+       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY created_at DESC, event_id DESC) = 1),
+v3 AS (SELECT doc_id, event_id FROM docs
+       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY created_at DESC, event_id DESC) = 1),
+o1 AS (SELECT o.*, 1 AS run FROM offers o JOIN v1 USING (doc_id, event_id)),
+o2 AS (SELECT o.*, 2 AS run FROM offers o JOIN v2 USING (doc_id, event_id)
+       WHERE o.created_at >= (SELECT max(created_at) - INTERVAL 1 HOUR FROM o1)),
+o3 AS (SELECT o.*, 3 AS run FROM offers o JOIN v3 USING (doc_id, event_id)
+       WHERE o.created_at >= (SELECT max(created_at) - INTERVAL 1 HOUR
+                              FROM (SELECT created_at FROM o1 UNION ALL SELECT created_at FROM o2))),
+allo AS (SELECT * FROM o1 UNION ALL SELECT * FROM o2 UNION ALL SELECT * FROM o3),
+ods AS (SELECT *, TIMESTAMP '2026-01-01 00:00:00' + to_hours(run) AS processed_at FROM allo
+        QUALIFY run = max(run) OVER (PARTITION BY doc_id, link)),
+f1 AS (SELECT * FROM o1),
+f2 AS (SELECT * FROM o2 WHERE created_at > (SELECT max(created_at) FROM f1)),
+f3 AS (SELECT * FROM o3 WHERE created_at > (SELECT max(created_at)
+                                            FROM (SELECT created_at FROM f1 UNION ALL SELECT created_at FROM f2))),
+fact_raw AS (SELECT * FROM f1 UNION ALL SELECT * FROM f2 UNION ALL SELECT * FROM f3),
+fact AS (
+  SELECT doc_id, link, batch_started_at, endpoint, status_code, error, created_at, updated_at,
+         processed_src_dttm, TIMESTAMP '2026-01-01 00:00:00' + to_hours(run) AS processed_at,
+         req_departure_month, resp_currency AS currency, price_rub, origin, origin_airport,
+         destination, destination_airport, airline, flight_number, duration_min, transfers_cnt,
+         duration_to_min, duration_back_min, return_transfers_cnt, departure_at_utc, search_date,
+         CASE WHEN transfers_cnt = 0 THEN true ELSE false END AS is_direct,
+         CASE WHEN price_rub < 5000 THEN 'cheap' WHEN price_rub BETWEEN 5000 AND 15000 THEN 'medium'
+              ELSE 'expensive' END AS price_bucket,
+         CAST(departure_at_utc AS DATE) AS departure_date,
+         CAST(date_trunc('month', departure_at_utc) AS DATE) AS departure_month,
+         strftime(departure_at_utc, '%a') AS departure_weekday_short,
+         strftime(departure_at_utc, '%A') AS departure_weekday_full,
+         strftime(search_date, '%a') AS search_weekday_short,
+         strftime(search_date, '%A') AS search_weekday_full,
+         CAST(run AS INTEGER) AS run_id
+  FROM fact_raw)
+"""
+
+ODS_OUT = """doc_id, endpoint, batch_started_at, status_code, error, created_at, updated_at,
+  processed_src_dttm, processed_at, req_origin, req_destination, req_departure_month, req_currency,
+  req_one_way, resp_currency, link, price_rub, origin, origin_airport, destination,
+  destination_airport, airline, flight_number, duration_min, transfers_cnt, duration_to_min,
+  duration_back_min, return_transfers_cnt, departure_at_utc, search_date"""
+
+FACT_OUT = """doc_id, link, batch_started_at, endpoint, status_code, error, created_at, updated_at,
+  processed_src_dttm, processed_at, req_departure_month, currency, price_rub, origin, origin_airport,
+  destination, destination_airport, airline, flight_number, duration_min, transfers_cnt,
+  duration_to_min, duration_back_min, return_transfers_cnt, departure_at_utc, search_date, is_direct,
+  price_bucket, departure_date, departure_month, departure_weekday_short, departure_weekday_full,
+  search_weekday_short, search_weekday_full"""
+
+RANK = """CAST(row_number() OVER (PARTITION BY departure_date, destination, origin
+      ORDER BY created_at ASC NULLS LAST, processed_src_dttm ASC NULLS LAST,
+               doc_id ASC NULLS LAST, link ASC NULLS LAST) AS INTEGER)"""
+
+ORACLE["scd2_apply"] = ORACLE["scd2_history"]
+
+ORACLE["delete_insert"] = EVENT_OFFERS + f"SELECT {ODS_OUT} FROM ods"
+
+ORACLE["incremental_append"] = EVENT_OFFERS + f"SELECT {FACT_OUT}, run_id FROM fact"
+
+ORACLE["latest_upsert"] = EVENT_OFFERS + f"""
+SELECT {FACT_OUT}, rn FROM (SELECT *, {RANK} AS rn FROM fact) WHERE rn = 1
+"""
+
+ORACLE["latest_append"] = EVENT_OFFERS + f""",
+l1 AS (SELECT * FROM (SELECT *, {RANK} AS rn FROM fact WHERE run_id <= 1) WHERE rn = 1),
+l2 AS (SELECT * REPLACE (CAST(2 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS rn FROM fact
+       WHERE run_id <= 2 AND processed_src_dttm > (SELECT max(processed_src_dttm) FROM l1)) WHERE rn = 1),
+l3 AS (SELECT * REPLACE (CAST(3 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS rn FROM fact
+       WHERE run_id <= 3 AND processed_src_dttm > (SELECT max(processed_src_dttm)
+             FROM (SELECT processed_src_dttm FROM l1 UNION ALL SELECT processed_src_dttm FROM l2))) WHERE rn = 1)
+SELECT {FACT_OUT}, rn, run_id FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)
+"""

@@ -12,9 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.functions.json import json_len
 from farelake.operators import marts, stats
+from farelake.operators import requests as rq
+from farelake.plans import incremental as inc
+from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
+from farelake.sources.fixtures import event_documents, event_log, request_rows
+from farelake.sources.log import code_list_from, read_since_table
+from farelake.sources.tables import read_table
 from farelake.plans.pipeline import offer_fact, offer_ods, offer_stage, to_output
-from farelake.session import prepare
+from farelake.session import prepare, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -177,3 +184,182 @@ def q_box_stats(spark, sf_dir):
 @query("offers_sample")
 def q_offers_sample(spark, sf_dir):
     return stats.offers_sample(offer_fact(spark, sf_dir), n=10000)
+
+
+# --- requests, code lists, collection log ------------------------------------
+
+def _codes(spark, sf_dir):
+    """Cities reached by the orders' customers, through the A3 text rules."""
+    o = read_table(spark, sf_dir, "orders").select("o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    lines = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+              .join(r, F.col("n_regionkey") == r.r_regionkey).select("r_name"))
+    return code_list_from(lines, "r_name").distinct()
+
+
+@query("code_list")
+def q_code_list(spark, sf_dir):
+    return _codes(spark, sf_dir)
+
+
+@query("ordered_pairs")
+def q_ordered_pairs(spark, sf_dir):
+    return rq.ordered_pairs(_codes(spark, sf_dir))
+
+
+@query("request_grid")
+def q_request_grid(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    start = rq.latest_date(orders.select(F.col("o_orderdate").cast("date").alias("d")), "d")
+    return rq.request_grid(rq.ordered_pairs(_codes(spark, sf_dir)), start)
+
+
+def _validated(spark, sf_dir):
+    return rq.validate_requests(request_rows(spark, sf_dir))
+
+
+@query("validate_requests")
+def q_validate_requests(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return v.withColumn("reject_reasons", F.array_join("reject_reasons", ","))
+
+
+@query("normalize_requests")
+def q_normalize_requests(spark, sf_dir):
+    v = _validated(spark, sf_dir).filter("is_valid")
+    return rq.normalize_requests(v).select("request_id", "query_json")
+
+
+@query("classify_responses")
+def q_classify_responses(spark, sf_dir):
+    return rq.classify_responses(event_documents(spark, sf_dir)) \
+        .select("doc_id", "event_id", "is_success", "error_message")
+
+
+@query("log_documents")
+def q_log_documents(spark, sf_dir):
+    d = event_documents(spark, sf_dir)
+    kind = (F.when(F.trim("response").startswith("{"), "object")
+            .when(F.trim("response").startswith('"'), "text").otherwise("other"))
+    return d.select("doc_id", "event_id", "endpoint", "status_code", "error", "created_at",
+                    "updated_at", "batch_started_at", kind.alias("response_kind"),
+                    json_len("response").alias("n_offers"))
+
+
+@query("batch_summary")
+def q_batch_summary(spark, sf_dir):
+    return rq.batch_summary(event_documents(spark, sf_dir))
+
+
+def _batch_days(spark, sf_dir):
+    return event_documents(spark, sf_dir).select(
+        F.to_date("batch_started_at").alias("batch_date")).distinct()
+
+
+@query("month_spine")
+def q_month_spine(spark, sf_dir):
+    return rq.month_spine(_batch_days(spark, sf_dir), "batch_date")
+
+
+@query("day_spine")
+def q_day_spine(spark, sf_dir):
+    return rq.day_spine(_batch_days(spark, sf_dir), "batch_date")
+
+
+# --- SCD2 / watermarks -------------------------------------------------------
+
+def _history_out(log: DataFrame) -> DataFrame:
+    open_ = F.col("valid_to_dttm") == F.lit(SENTINEL).cast("timestamp")
+    return log.select("doc_id", "event_id", "valid_from_dttm",
+                      F.when(~open_, F.col("valid_to_dttm")).alias("valid_to_dttm"),
+                      open_.alias("is_current"))
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf_dir):
+    return _history_out(event_log(spark, sf_dir))
+
+
+def _first_half(docs: DataFrame) -> F.Column:
+    """Cut time: the first batch day plus 15 days (scalar subquery)."""
+    return docs.agg(F.min("batch_started_at") + F.expr("interval 15 days")).scalar()
+
+
+@query("scan_log_since")
+def q_scan_log_since(spark, sf_dir):
+    docs = event_documents(spark, sf_dir)
+    loaded = docs.filter(F.col("created_at") < _first_half(docs))
+    return read_since_table(docs, loaded, "updated_at", "1 day") \
+        .select("doc_id", "event_id", "updated_at")
+
+
+# --- incremental runs (three slices of the event documents) ------------------
+
+N_RUNS = 3
+SLICE_DAYS = 10
+
+
+def run_ts(run_id: int) -> str:
+    """Deterministic processing time of run ``run_id``."""
+    return f"2026-01-01 {run_id:02d}:00:00"
+
+
+def event_slices(docs: DataFrame) -> list[DataFrame]:
+    """Run r takes documents created before first batch + r*10 days (last run: all)."""
+    b0 = docs.agg(F.min("batch_started_at")).scalar()
+    out, lo = [], None
+    for r in range(1, N_RUNS + 1):
+        hi = None if r == N_RUNS else b0 + F.expr(f"interval {SLICE_DAYS * r} days")
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("created_at") >= lo)
+        if hi is not None:
+            cond = cond & (F.col("created_at") < hi)
+        out.append(docs.filter(cond))
+        lo = hi
+    return out
+
+
+def run_event_increments(spark, sf_dir, latest_mode: str = "append",
+                         with_marts: bool = False) -> str:
+    root = scratch_path(spark, "runs")
+    docs = event_documents(spark, sf_dir)
+    for r, batch in enumerate(event_slices(docs), start=1):
+        inc.run_increment(spark, root, batch, r, run_ts(r), latest_mode=latest_mode,
+                          with_marts=with_marts)
+    return root
+
+
+@query("scd2_apply")
+def q_scd2_apply(spark, sf_dir):
+    root = scratch_path(spark, "scd2")
+    docs = event_documents(spark, sf_dir)
+    for r, batch in enumerate(event_slices(docs), start=1):
+        inc.apply_log_batch(spark, root, batch, r)
+    return _history_out(inc.read_raw_log(spark, root, extra=["event_id"]))
+
+
+@query("delete_insert")
+def q_delete_insert(spark, sf_dir):
+    root = run_event_increments(spark, sf_dir)
+    return spark.read.parquet(f"{root}/ods").select(*ODS_COLUMNS)
+
+
+@query("incremental_append")
+def q_incremental_append(spark, sf_dir):
+    root = run_event_increments(spark, sf_dir)
+    return spark.read.parquet(f"{root}/fact").select(*FACT_COLUMNS, "run_id")
+
+
+@query("latest_append")
+def q_latest_append(spark, sf_dir):
+    root = run_event_increments(spark, sf_dir, latest_mode="append")
+    return spark.read.parquet(f"{root}/latest").select(*FACT_COLUMNS, "rn", "run_id")
+
+
+@query("latest_upsert")
+def q_latest_upsert(spark, sf_dir):
+    root = run_event_increments(spark, sf_dir, latest_mode="upsert")
+    return spark.read.parquet(f"{root}/latest").select(*FACT_COLUMNS, "rn")

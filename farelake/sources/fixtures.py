@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.functions.json import quoted_json_text
 from farelake.schemas import DEFAULT_ENDPOINT, OFFERS_PER_CALL, SENTINEL
+from farelake.sources.log import build_documents
 from farelake.sources.tables import read_table
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss"
@@ -129,27 +129,30 @@ def offer_log(spark: SparkSession, sf_dir: str, limit: int = OFFERS_PER_CALL,
     )
 
 
-def event_documents(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_ENDPOINT) -> DataFrame:
-    """Landing documents from ``events``: one document version per event.
+def event_calls(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_ENDPOINT) -> DataFrame:
+    """Collector call results from ``events``: one call per event.
 
-    ``doc_id = 'u<user>-<type>'``; created at ``ts``; answered ``k`` minutes later
-    (``k`` from ``props``). ``error`` events store the bare error text, ``signup``
-    events a failed response object, other events ``k % 5`` copies of one offer.
-    Extra columns ``event_id`` (tie-break) and ``k`` are kept for the jobs' keys.
+    ``doc_id = 'u<user>-<type>'``; the call starts at ``ts`` and is answered
+    ``k`` minutes later (``k`` from ``props``). ``error`` events fail with the
+    text 'boom'; ``signup`` events return a failed response object; other
+    events return ``k % 5`` copies of one offer. ``event_id`` and ``k`` ride
+    along as the version tie-break and offer multiplicity.
     """
     ev = read_table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     ts = F.col("ts").cast("timestamp")
     search = F.date_format(ts, "ddMMyyyy")
+    origin = F.upper(F.substring("event_type", 1, 3))
+    dest = F.concat(F.lit("D"), (F.col("user_id") % 10).cast("string"))
     offer = F.struct(
         F.concat(F.lit("/e?id="), F.col("event_id").cast("string"), F.lit("&search_date="), search)
         .alias("link"),
         F.round(F.col("value") * 100).cast("int").alias("price"),
-        F.upper(F.substring("event_type", 1, 3)).alias("origin"),
-        F.concat(F.upper(F.substring("event_type", 1, 3)), F.lit("1")).alias("origin_airport"),
-        F.concat(F.lit("D"), (F.col("user_id") % 10).cast("string")).alias("destination"),
-        F.concat(F.lit("D"), (F.col("user_id") % 10).cast("string"), F.lit("A")).alias("destination_airport"),
+        origin.alias("origin"),
+        F.concat(origin, F.lit("1")).alias("origin_airport"),
+        dest.alias("destination"),
+        F.concat(dest, F.lit("A")).alias("destination_airport"),
         F.concat(F.lit("A"), (F.col("event_id") % 7).cast("string")).alias("airline"),
         F.col("event_id").cast("string").alias("flight_number"),
         (F.col("k") * 10).alias("duration"),
@@ -160,13 +163,8 @@ def event_documents(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_EN
     success = F.to_json(F.struct(F.lit(True).alias("success"), F.lit("rub").alias("currency"),
                                  F.array_repeat(offer, F.col("k") % 5).alias("data")))
     failed = F.to_json(F.struct(F.lit(False).alias("success"), F.lit("quota").alias("error")))
-    response = (F.when(F.col("event_type") == "error", quoted_json_text(F.lit("boom")))
-                .when(F.col("event_type") == "signup", failed)
-                .otherwise(success))
     request = F.to_json(F.struct(
-        F.upper(F.substring("event_type", 1, 3)).alias("origin"),
-        F.concat(F.lit("D"), (F.col("user_id") % 10).cast("string")).alias("destination"),
-        F.lit("RUB").alias("currency"),
+        origin.alias("origin"), dest.alias("destination"), F.lit("RUB").alias("currency"),
         F.date_format(ts, "yyyy-MM").alias("departure_at"),
         F.lit("true").alias("one_way"), F.lit("false").alias("direct"),
         F.lit(OFFERS_PER_CALL).alias("limit"), F.lit(1).alias("page"),
@@ -177,17 +175,31 @@ def event_documents(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_EN
         .alias("doc_id"),
         F.lit(endpoint).alias("endpoint"),
         request.alias("request"),
-        response.alias("response"),
-        F.when(is_err, F.lit(None).cast("int")).otherwise(F.lit(200)).alias("status_code"),
-        is_err.alias("error"),
+        F.when(~is_err, F.when(F.col("event_type") == "signup", failed).otherwise(success))
+        .alias("response_json"),
+        F.when(is_err, F.lit("boom")).alias("error_text"),
+        F.lit(None).cast("int").alias("http_status"),
         ts.alias("created_at"),
         (ts + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.col("k")))
         .alias("updated_at"),
         F.date_trunc("day", ts).alias("batch_started_at"),
-        F.col("event_id"), F.col("k"), F.col("event_type"), F.col("value"),
+        "event_id", "k",
     )
 
 
+def event_documents(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_ENDPOINT) -> DataFrame:
+    """Landing documents (A5) of the event calls, with ``event_id`` kept."""
+    return build_documents(event_calls(spark, sf_dir, endpoint), extra=["event_id"])
+
+
+def event_log(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_ENDPOINT) -> DataFrame:
+    """Full SCD2 history of the event documents: each version is loaded at its
+    call time and closed by the next version of the same document."""
+    from farelake.operators.scd2 import scd2_history
+    docs = event_documents(spark, sf_dir, endpoint)
+    return scd2_history(docs.withColumn("valid_from_dttm", F.col("created_at")))
+
+
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request parameters from ``customer`` with planted faults (all text fields)."""
     c = read_table(spark, sf_dir, "customer")

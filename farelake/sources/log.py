@@ -39,20 +39,19 @@ def read_log_since(df: DataFrame, watermark, column: str = "updated_at",
 
 
 def log_watermark(target: DataFrame, column: str = "updated_at", lookback: str | None = "1 day",
-                  default: str = "1970-01-01 00:00:00") -> DataFrame:
-    """One-row frame ``watermark`` = ``coalesce(max(column), default) - lookback``."""
+                  default: str = "1970-01-01 00:00:00") -> F.Column:
+    """Scalar subquery ``coalesce(max(column), default) - lookback`` over the target."""
     wm = F.coalesce(F.max(column), F.lit(default).cast("timestamp"))
     if lookback:
         wm = wm - F.expr(f"interval {lookback}")
-    return target.agg(wm.alias("watermark"))
+    return target.agg(wm.alias("watermark")).scalar()
 
 
 def read_since_table(source: DataFrame, target: DataFrame, column: str = "updated_at",
-                     lookback: str | None = "1 day") -> DataFrame:
-    """Source rows past the target's watermark; the one-row watermark is joined
-    as a broadcast scalar (no driver round trip)."""
-    wm = log_watermark(target, column, lookback)
-    return source.join(F.broadcast(wm), F.col(column) > F.col("watermark")).drop("watermark")
+                     lookback: str | None = "1 day", target_column: str | None = None) -> DataFrame:
+    """Source rows strictly past the target's watermark (I1). The watermark is an
+    uncorrelated scalar subquery, evaluated once before the scan runs."""
+    return source.filter(F.col(column) > log_watermark(target, target_column or column, lookback))
 
 
 def read_code_list(spark: SparkSession, path: str) -> DataFrame:
@@ -77,24 +76,26 @@ def create_raw_table(spark: SparkSession, database: str = "raw",
     return f"{database}.{table}"
 
 
-def build_documents(calls: DataFrame) -> DataFrame:
+def build_documents(calls: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Landing documents from call results (A5).
 
     ``calls`` has ``doc_id, endpoint, request, response_json, error_text,
     http_status, created_at, updated_at, batch_started_at``. A call with
     ``error_text`` becomes an error document (response = quoted text,
     status from the failure or NULL, ``error = true``); otherwise a normal
-    document (status 200, ``error = false``). Both sets are unioned.
+    document (status 200, ``error = false``). Both sets are unioned; ``extra``
+    columns are carried through.
     """
+    extra = list(extra or [])
     failed = F.col("error_text").isNotNull()
     ok = calls.filter(~failed).select(
         "doc_id", "endpoint", "request", F.col("response_json").alias("response"),
         F.lit(200).alias("status_code"), F.lit(False).alias("error"),
-        "created_at", "updated_at", "batch_started_at")
+        "created_at", "updated_at", "batch_started_at", *extra)
     bad = calls.filter(failed).select(
         "doc_id", "endpoint", "request", quoted_json_text(F.col("error_text")).alias("response"),
         F.col("http_status").cast("int").alias("status_code"), F.lit(True).alias("error"),
-        "created_at", "updated_at", "batch_started_at")
+        "created_at", "updated_at", "batch_started_at", *extra)
     return ok.unionByName(bad)
 
 
