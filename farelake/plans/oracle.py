@@ -575,3 +575,188 @@ l3 AS (SELECT * REPLACE (CAST(3 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS
              FROM (SELECT processed_src_dttm FROM l1 UNION ALL SELECT processed_src_dttm FROM l2))) WHERE rn = 1)
 SELECT {FACT_OUT}, rn, run_id FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)
 """
+
+# --- data quality ---------------------------------------------------------------
+
+CHECK_OUT = "test, model, \"column\", severity, tags, failures, status, detail"
+
+
+def _check(test, model, column, severity, failures_sql, detail="CAST(NULL AS VARCHAR)"):
+    status = (f"CASE WHEN ({failures_sql}) = 0 THEN 'pass' "
+              f"WHEN '{severity}' = 'warn' THEN 'warn' ELSE 'fail' END")
+    return (f"SELECT '{test}' AS test, '{model}' AS model, '{column}' AS \"column\", "
+            f"'{severity}' AS severity, 'dqc' AS tags, CAST(({failures_sql}) AS BIGINT) AS failures, "
+            f"{status} AS status, {detail} AS detail")
+
+
+DQ_CTE = FACT_CTE + f""",
+stg AS (SELECT DISTINCT doc_id, last_search AS updated_at FROM docs),
+latest AS (SELECT * FROM (SELECT *, {RANK} AS rn FROM fact) WHERE rn = 1)
+"""
+
+NOT_NULL_ROWS = [
+    _check("not_null", "stg_ticket_offers", "response", "error", "SELECT 0"),
+    _check("not_null", "stg_ticket_offers", "request", "error", "SELECT 0"),
+    _check("not_null", "ods_ticket_offers", "search_date", "error",
+           "SELECT count(*) FILTER (WHERE search_date IS NULL) FROM fact"),
+    _check("not_null", "ods_ticket_offers", "origin", "error",
+           "SELECT count(*) FILTER (WHERE origin IS NULL) FROM fact"),
+    _check("not_null", "ods_ticket_offers", "destination", "error",
+           "SELECT count(*) FILTER (WHERE destination IS NULL) FROM fact"),
+    _check("not_null", "dm_fact_ticket_offers", "price_rub", "error",
+           "SELECT count(*) FILTER (WHERE price_rub IS NULL) FROM fact"),
+    _check("not_null", "dm_prices_latest", "price_rub", "error",
+           "SELECT count(*) FILTER (WHERE price_rub IS NULL) FROM latest"),
+    _check("not_null", "dm_prices_agg_route", "avg_price_rub", "warn",
+           "SELECT count(*) FILTER (WHERE a IS NULL) FROM (SELECT avg(price_rub) AS a FROM fact "
+           "GROUP BY origin, destination)"),
+    _check("not_null", "dm_airports", "airport_code", "error",
+           "SELECT count(*) FILTER (WHERE airport_code IS NULL) FROM (SELECT origin_airport AS airport_code "
+           "FROM fact UNION SELECT destination_airport FROM fact)"),
+]
+UNIQUE_ROW = _check("unique", "stg_ticket_offers", "doc_id", "error",
+                    "SELECT count(*) FROM (SELECT doc_id FROM stg WHERE doc_id IS NOT NULL "
+                    "GROUP BY doc_id HAVING count(*) > 1)")
+REL_ROW = _check("relationships", "dm_prices_latest", "doc_id", "error",
+                 "SELECT count(*) FROM latest WHERE doc_id IS NOT NULL AND doc_id NOT IN "
+                 "(SELECT doc_id FROM fact WHERE doc_id IS NOT NULL)")
+RANGE_ROW = _check("accepted_range", "dm_fact_ticket_offers", "price_rub", "error",
+                   "SELECT count(*) FILTER (WHERE NOT (price_rub >= 0)) FROM fact")
+FRESH_ROW = f"""
+SELECT 'freshness' AS test, 'raw_api_log' AS model, 'updated_at' AS "column",
+       CASE WHEN m IS NULL OR {RUN_TS} - INTERVAL 2 DAY > m THEN 'error'
+            WHEN {RUN_TS} - INTERVAL 1 DAY > m THEN 'warn' ELSE 'none' END AS severity,
+       'dqc' AS tags,
+       CAST(CASE WHEN m IS NULL OR {RUN_TS} - INTERVAL 1 DAY > m THEN 1 ELSE 0 END AS BIGINT) AS failures,
+       CASE WHEN m IS NULL OR {RUN_TS} - INTERVAL 2 DAY > m THEN 'fail'
+            WHEN {RUN_TS} - INTERVAL 1 DAY > m THEN 'warn' ELSE 'pass' END AS status,
+       CAST(CAST(epoch({RUN_TS}) - epoch(m) AS BIGINT) AS VARCHAR) AS detail
+FROM (SELECT max(updated_at) AS m FROM stg)
+"""
+
+ORACLE["dq_not_null"] = DQ_CTE + "\nUNION ALL\n".join(NOT_NULL_ROWS)
+ORACLE["dq_unique"] = DQ_CTE + UNIQUE_ROW
+ORACLE["dq_relationships"] = DQ_CTE + REL_ROW
+ORACLE["dq_accepted_range"] = DQ_CTE + RANGE_ROW
+ORACLE["dq_freshness"] = DQ_CTE + FRESH_ROW
+
+METRIC_SRC = """
+src AS (
+  SELECT ts, event_type, value, user_id,
+         ts + to_minutes(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS updated_ts
+  FROM events)
+"""
+
+
+def _secs(period: str) -> int:
+    n, unit = period.split()
+    return int(n) * {"hour": 3600, "day": 86400, "minute": 60}[unit.rstrip("s")]
+
+
+def anomaly_sql(name, test, metrics_cte, series_expr, ts_col, period, delay, detection,
+                training=14, sensitivity=3.0):
+    """Scored anomaly rows: ``metrics_cte`` defines ``m(series, bucket_start, value)``
+    over the complete buckets ``bc``; spine per series from its first bucket."""
+    p = _secs(period)
+    cut = f"max({ts_col})" + (f" - INTERVAL {_secs(delay)} SECOND" if delay else "")
+    det = (f"WHERE bucket_start >= (SELECT c FROM cut) - INTERVAL {_secs(detection)} SECOND"
+           if detection else "")
+    return f"""
+{name}_cut AS (SELECT {cut} AS c FROM src),
+{name}_bc AS (
+  SELECT *, to_timestamp(floor(epoch({ts_col}) / {p}) * {p})::TIMESTAMP AS bucket_start FROM src
+  WHERE {ts_col} IS NOT NULL),
+{name}_m AS ({metrics_cte.format(bc=f"(SELECT * FROM {name}_bc WHERE bucket_start + INTERVAL {p} SECOND <= (SELECT c FROM {name}_cut))")}),
+{name}_first AS (SELECT series, min(bucket_start) AS f FROM {name}_m GROUP BY series),
+{name}_last AS (SELECT to_timestamp(floor(epoch(c - INTERVAL {p} SECOND) / {p}) * {p})::TIMESTAMP AS l FROM {name}_cut),
+{name}_sp AS (SELECT series, unnest(generate_series(f, (SELECT l FROM {name}_last), INTERVAL {p} SECOND)) AS bucket_start
+              FROM {name}_first),
+{name}_full AS (SELECT sp.series, sp.bucket_start, {series_expr} AS value
+                FROM {name}_sp sp LEFT JOIN {name}_m m USING (series, bucket_start)),
+{name}_sc AS (
+  SELECT *, avg(value) OVER w AS training_mean, stddev_samp(value) OVER w AS training_stddev,
+         count(value) OVER w AS training_n
+  FROM {name}_full
+  WINDOW w AS (PARTITION BY series ORDER BY bucket_start ROWS BETWEEN {training} PRECEDING AND 1 PRECEDING)),
+{name} AS (
+  SELECT '{test}' AS test, series, bucket_start, round(value, 6) AS value,
+         round(training_mean, 6) AS training_mean, round(training_stddev, 6) AS training_stddev,
+         training_n,
+         round(CASE WHEN training_n >= 3 AND value IS NOT NULL AND training_stddev > 0
+                    THEN (value - training_mean) / training_stddev END, 6) AS z_score,
+         CASE WHEN training_n < 3 OR value IS NULL THEN false
+              WHEN coalesce(training_stddev, 0) > 0 THEN abs(value - training_mean) > {sensitivity} * training_stddev
+              ELSE abs(value - training_mean) > 0 END AS is_anomalous
+  FROM {name}_sc {det.replace('(SELECT c FROM cut)', f'(SELECT c FROM {name}_cut)')})
+"""
+
+
+def _num_metrics(c):
+    return [(f"{c}::min", f"CAST(min({c}) AS DOUBLE)"), (f"{c}::max", f"CAST(max({c}) AS DOUBLE)"),
+            (f"{c}::average", f"avg({c})"), (f"{c}::standard_deviation", f"stddev_samp({c})"),
+            (f"{c}::null_count", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE)"),
+            (f"{c}::null_percent", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) * 100"),
+            (f"{c}::zero_count", f"CAST(count(*) FILTER (WHERE {c} = 0) AS DOUBLE)")]
+
+
+def _text_metrics(c):
+    return [(f"{c}::null_count", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE)"),
+            (f"{c}::null_percent", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) * 100"),
+            (f"{c}::min_length", f"CAST(min(length({c})) AS DOUBLE)"),
+            (f"{c}::max_length", f"CAST(max(length({c})) AS DOUBLE)"),
+            (f"{c}::average_length", f"avg(length({c}))"),
+            (f"{c}::missing_count", f"CAST(count(*) FILTER (WHERE {c} IS NULL OR trim({c}) = '') AS DOUBLE)")]
+
+
+def _long_metrics(metrics):
+    return "\n  UNION ALL ".join(
+        f"SELECT '{n}' AS series, bucket_start, {e} AS value FROM {{bc}} GROUP BY bucket_start"
+        for n, e in metrics)
+
+
+ANOMALY_PARTS = {
+    "dq_volume": anomaly_sql(
+        "vol", "volume_anomalies",
+        "SELECT '' AS series, bucket_start, CAST(count(*) AS DOUBLE) AS value FROM {bc} GROUP BY bucket_start",
+        "coalesce(m.value, 0)", "ts", "12 hours", "12 hours", "14 days"),
+    "dq_freshness_anomaly": anomaly_sql(
+        "frs", "freshness_anomalies",
+        "SELECT '' AS series, bucket_start, max(coalesce(gap, 0)) AS value FROM ("
+        "SELECT bucket_start, epoch_us(updated_ts) / 1e6 - lag(epoch_us(updated_ts) / 1e6) OVER (ORDER BY updated_ts) AS gap "
+        "FROM (SELECT DISTINCT updated_ts, bucket_start FROM {bc})) GROUP BY bucket_start",
+        "m.value", "updated_ts", "12 hours", "12 hours", "7 days"),
+    "dq_event_freshness": anomaly_sql(
+        "evf", "event_freshness_anomalies",
+        "SELECT '' AS series, bucket_start, max((epoch_us(updated_ts) - epoch_us(ts)) / 1e6) AS value "
+        "FROM {bc} GROUP BY bucket_start",
+        "m.value", "ts", "12 hours", "12 hours", None),
+    "dq_dimension": anomaly_sql(
+        "dim", "dimension_anomalies",
+        "SELECT coalesce(CAST(event_type AS VARCHAR), '<null>') AS series, bucket_start, "
+        "CAST(count(*) AS DOUBLE) AS value FROM {bc} GROUP BY 1, 2",
+        "coalesce(m.value, 0)", "ts", "12 hours", "12 hours", "14 days"),
+    "dq_column": anomaly_sql(
+        "col", "column_anomalies", _long_metrics(_num_metrics("value")),
+        "m.value", "ts", "12 hours", "12 hours", "14 days"),
+    "dq_all_columns": anomaly_sql(
+        "alc", "all_columns_anomalies",
+        _long_metrics(_text_metrics("event_type") + _num_metrics("value") + _num_metrics("user_id")),
+        "m.value", "ts", "1 day", None, "14 days"),
+}
+ANOMALY_NAMES = {"dq_volume": "vol", "dq_freshness_anomaly": "frs", "dq_event_freshness": "evf",
+                 "dq_dimension": "dim", "dq_column": "col", "dq_all_columns": "alc"}
+
+for _k, _cte in ANOMALY_PARTS.items():
+    ORACLE[_k] = f"WITH {METRIC_SRC}, {_cte} SELECT * FROM {ANOMALY_NAMES[_k]}"
+
+_summaries = "\nUNION ALL\n".join(
+    f"SELECT test, 'events' AS model, CAST(NULL AS VARCHAR) AS \"column\", 'warn' AS severity, "
+    f"'dqc' AS tags, count(*) FILTER (WHERE is_anomalous) AS failures, "
+    f"CASE WHEN count(*) FILTER (WHERE is_anomalous) = 0 THEN 'pass' ELSE 'warn' END AS status, "
+    f"count(*) || ' buckets' AS detail FROM {n} GROUP BY test"
+    for n in ANOMALY_NAMES.values())
+
+ORACLE["dq_report"] = (DQ_CTE + ", " + METRIC_SRC + ", " + ", ".join(ANOMALY_PARTS.values())
+                       + "\n" + "\nUNION ALL\n".join(
+                           NOT_NULL_ROWS + [UNIQUE_ROW, REL_ROW, RANGE_ROW, f"SELECT * FROM ({FRESH_ROW})"])
+                       + "\nUNION ALL\n" + _summaries)

@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.functions.json import json_len
+from farelake.operators import anomaly as an
 from farelake.operators import marts, stats
+from farelake.operators import quality as dq
 from farelake.operators import requests as rq
 from farelake.plans import incremental as inc
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
 from farelake.sources.log import code_list_from, read_since_table
 from farelake.sources.tables import read_table
-from farelake.plans.pipeline import offer_fact, offer_ods, offer_stage, to_output
+from farelake.plans.pipeline import RUN_TS, offer_fact, offer_ods, offer_stage, to_output
 from farelake.session import prepare, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -363,3 +365,115 @@ def q_latest_append(spark, sf_dir):
 def q_latest_upsert(spark, sf_dir):
     root = run_event_increments(spark, sf_dir, latest_mode="upsert")
     return spark.read.parquet(f"{root}/latest").select(*FACT_COLUMNS, "rn")
+
+
+# --- data quality ---------------------------------------------------------------
+
+def _offer_models(spark, sf_dir):
+    stg = offer_stage(spark, sf_dir)
+    ods = offer_ods(spark, sf_dir)
+    fact = offer_fact(spark, sf_dir)
+    return stg, ods, fact
+
+
+def _dq_basic(spark, sf_dir) -> list[DataFrame]:
+    stg, ods, fact = _offer_models(spark, sf_dir)
+    latest = marts.first_offer(fact)
+    return [
+        dq.not_null(stg, "stg_ticket_offers", ["response", "request"]),
+        dq.not_null(ods, "ods_ticket_offers", ["search_date", "origin", "destination"]),
+        dq.not_null(fact, "dm_fact_ticket_offers", ["price_rub"]),
+        dq.not_null(latest, "dm_prices_latest", ["price_rub"]),
+        dq.not_null(marts.agg_route(fact), "dm_prices_agg_route", ["avg_price_rub"], "warn"),
+        dq.not_null(marts.airports(fact), "dm_airports", ["airport_code"]),
+        dq.unique(stg, "stg_ticket_offers", "doc_id"),
+        dq.relationships(latest, fact, "dm_prices_latest", "doc_id"),
+        dq.accepted_range(fact, "dm_fact_ticket_offers", "price_rub", min_value=0),
+        dq.freshness(offer_stage(spark, sf_dir), "raw_api_log", "updated_at", RUN_TS),
+    ]
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    return dq.dq_report(*_dq_basic(spark, sf_dir)[:6])
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    return dq.unique(offer_stage(spark, sf_dir), "stg_ticket_offers", "doc_id")
+
+
+@query("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    fact = offer_fact(spark, sf_dir)
+    return dq.relationships(marts.first_offer(fact), fact, "dm_prices_latest", "doc_id")
+
+
+@query("dq_accepted_range")
+def q_dq_accepted_range(spark, sf_dir):
+    return dq.accepted_range(offer_fact(spark, sf_dir), "dm_fact_ticket_offers", "price_rub",
+                             min_value=0)
+
+
+@query("dq_freshness")
+def q_dq_freshness(spark, sf_dir):
+    return dq.freshness(offer_stage(spark, sf_dir), "raw_api_log", "updated_at", RUN_TS)
+
+
+def metric_source(spark, sf_dir) -> DataFrame:
+    """Time-bucket metric table from events: event time, update time
+    (``k`` minutes later), one dimension and one numeric column."""
+    ev = read_table(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return ev.select(ts.alias("ts"), "event_type", "value", "user_id",
+                     (ts + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), k))
+                     .alias("updated_ts"))
+
+
+def _anomaly_out(df: DataFrame) -> DataFrame:
+    return df.select("test", "series", "bucket_start", r6("value").alias("value"),
+                     r6("training_mean").alias("training_mean"),
+                     r6("training_stddev").alias("training_stddev"), "training_n",
+                     r6("z_score").alias("z_score"), "is_anomalous")
+
+
+def _anomaly_checks(spark, sf_dir) -> dict[str, DataFrame]:
+    src = metric_source(spark, sf_dir)
+    return {
+        "dq_volume": an.volume_anomalies(src, "ts", period="12 hours", detection_period="14 days",
+                                         detection_delay="12 hours"),
+        "dq_freshness_anomaly": an.freshness_anomalies(src, "updated_ts", period="12 hours",
+                                                       detection_period="7 days",
+                                                       detection_delay="12 hours"),
+        "dq_event_freshness": an.event_freshness_anomalies(src, "ts", "updated_ts",
+                                                           period="12 hours",
+                                                           detection_delay="12 hours"),
+        "dq_dimension": an.dimension_anomalies(src, "ts", ["event_type"], period="12 hours",
+                                               detection_period="14 days",
+                                               detection_delay="12 hours"),
+        "dq_column": an.column_anomalies(src, "ts", ["value"], period="12 hours",
+                                         detection_period="14 days", detection_delay="12 hours"),
+        "dq_all_columns": an.all_columns_anomalies(
+            src.select("ts", "event_type", "value", "user_id"), "ts", period="1 day",
+            detection_period="14 days", detection_delay=None),
+    }
+
+
+def _register_anomaly(name: str):
+    @query(name)
+    def q(spark, sf_dir):
+        return _anomaly_out(_anomaly_checks(spark, sf_dir)[name])
+    q.__name__ = f"q_{name}"
+    return q
+
+
+for _name in ["dq_volume", "dq_freshness_anomaly", "dq_event_freshness", "dq_dimension",
+              "dq_column", "dq_all_columns"]:
+    _register_anomaly(_name)
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    summaries = [an.anomaly_summary(df, "events") for df in _anomaly_checks(spark, sf_dir).values()]
+    return dq.dq_report(*_dq_basic(spark, sf_dir), *summaries)
