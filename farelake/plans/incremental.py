@@ -17,6 +17,7 @@ without recomputation, so re-running any run after a failure is idempotent.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,16 @@ def staged(spark: SparkSession, *paths: str) -> bool:
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    """The table at ``path``; None when it does not exist or holds no data file yet
+    (a partitioned table whose runs so far wrote no rows)."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 # --- raw SCD2 log --------------------------------------------------------------

@@ -760,3 +760,5 @@ ORACLE["dq_report"] = (DQ_CTE + ", " + METRIC_SRC + ", " + ", ".join(ANOMALY_PAR
                        + "\n" + "\nUNION ALL\n".join(
                            NOT_NULL_ROWS + [UNIQUE_ROW, REL_ROW, RANGE_ROW, f"SELECT * FROM ({FRESH_ROW})"])
                        + "\nUNION ALL\n" + _summaries)
+
+ORACLE["stream_ingest"] = ORACLE["scd2_history"]

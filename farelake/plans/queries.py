@@ -24,6 +24,7 @@ from farelake.sources.log import code_list_from, read_since_table
 from farelake.sources.tables import read_table
 from farelake.plans.pipeline import RUN_TS, offer_fact, offer_ods, offer_stage, to_output
 from farelake.session import prepare, scratch_path
+from farelake.streaming.ingest import land_documents, stream_ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -477,3 +478,20 @@ for _name in ["dq_volume", "dq_freshness_anomaly", "dq_event_freshness", "dq_dim
 def q_dq_report(spark, sf_dir):
     summaries = [an.anomaly_summary(df, "events") for df in _anomaly_checks(spark, sf_dir).values()]
     return dq.dq_report(*_dq_basic(spark, sf_dir), *summaries)
+
+
+# --- streaming -------------------------------------------------------------------
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Landing files of three collector runs streamed as micro-batches; the
+    resulting SCD2 history is independent of how files fall into batches."""
+    root = scratch_path(spark, "stream")
+    landing = f"{root}/landing"
+    docs = event_documents(spark, sf_dir)
+    for batch in event_slices(docs):
+        land_documents(batch, landing, files=2)
+    q = stream_ingest(spark, landing, root, docs.schema, max_files_per_trigger=2,
+                      processed_at=run_ts, with_marts=False)
+    q.awaitTermination()
+    return _history_out(inc.read_raw_log(spark, root, extra=["event_id"]))

@@ -12,3 +12,4 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; projections and filters push into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
