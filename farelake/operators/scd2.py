@@ -46,14 +46,28 @@ def content_hash(cols: list[str] = CONTENT_COLUMNS) -> F.Column:
 
 
 def drop_unchanged(chain: DataFrame, key: str = "doc_id", valid_from: str = "valid_from_dttm",
-                   tie: str | None = "event_id", cols: list[str] = CONTENT_COLUMNS) -> DataFrame:
-    """Drop versions whose content equals the previous version of the same key."""
+                   tie: str | None = "event_id", cols: list[str] = CONTENT_COLUMNS,
+                   split: str = "day") -> DataFrame:
+    """Drop versions whose content equals the previous version of the same key.
+
+    The previous version is found inside each (key, time split) with ``lag``;
+    the first version of a split compares with the last version of the key's
+    previous non-empty split (a small per-split table), so a hot key is never
+    sorted in one task. Consecutive equal versions collapse to the first.
+    """
     order = [F.col(valid_from).asc()] + ([F.col(tie).asc()] if tie else [])
-    h = content_hash(cols)
-    prev = F.lag("_h").over(Window.partitionBy(key).orderBy(*order))
-    return (chain.withColumn("_h", h).withColumn("_prev", prev)
-                 .filter(F.col("_prev").isNull() | (F.col("_h") != F.col("_prev")))
-                 .drop("_h", "_prev"))
+    c = (chain.withColumn("_h", content_hash(cols))
+              .withColumn("_split", F.date_trunc(split, F.col(valid_from))))
+    c = c.withColumn("_prev", F.lag("_h").over(Window.partitionBy(key, "_split").orderBy(*order)))
+    last_key = F.struct(*[F.col(valid_from)] + ([F.col(tie)] if tie else []))
+    tails = (c.groupBy(key, "_split").agg(F.max_by("_h", last_key).alias("_last"))
+              .withColumn("_prev_split",
+                          F.lag("_last").over(Window.partitionBy(key).orderBy("_split")))
+              .drop("_last"))
+    prev = F.coalesce(F.col("_prev"), F.col("_prev_split"))
+    return (c.join(tails, [key, "_split"])
+             .filter(prev.isNull() | (F.col("_h") != prev))
+             .drop("_h", "_prev", "_prev_split", "_split"))
 
 
 def scd2_apply(log: DataFrame, batch: DataFrame, key: str = "doc_id",

@@ -14,6 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farelake.operators.common import small_side
 from farelake.functions.buckets import lead_bucket, lead_bucket_order
 from farelake.functions.dates import days_between, weekday_order
 from farelake.schemas import LEAD_BIN_LABELS
@@ -250,8 +251,9 @@ def box_stats(fact: DataFrame, group: str = "departure_weekday_short",
               value: str = "price_rub", whisker: float = 1.5) -> DataFrame:
     """Five-number summary with 1.5*IQR whiskers and outlier count per group.
 
-    Quartiles come from one aggregate; whiskers and outliers from a second
-    pass joined to the (small, per-group) quartile table.
+    Quartiles come from one aggregate, checkpointed once; whiskers and
+    outliers from a second pass joined to that per-group table (broadcast
+    after a size check).
     """
     base = fact.filter(F.col(group).isNotNull()).select(group, value)
     qs = (base.groupBy(group)
@@ -264,6 +266,7 @@ def box_stats(fact: DataFrame, group: str = "departure_weekday_short",
     lo = F.col("q1") - whisker * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
     v = F.col(value)
+    qs = small_side(qs)
     tails = (base.join(qs.select(group, "q1", "q3"), group)
                  .groupBy(group)
                  .agg(F.min(F.when(v >= lo, v)).alias("whisker_low"),

@@ -9,7 +9,8 @@ Layout under a state root (a folder in the shared checkpoint dir):
 * ``latest``, marts         rewritten
 
 Key-wise replace without a table format: only touched hash buckets are read
-(dynamic partition pruning through a semi join on the bucket column), the new
+(the batch's bucket ids -- at most ``buckets`` small ints -- prune the scan
+to those partition folders), the new
 bucket contents are staged under ``_staging/run=N``, and then published with a
 dynamic partition overwrite. A run whose staging is complete is republished
 without recomputation, so re-running any run after a failure is idempotent.
@@ -46,6 +47,12 @@ def publish(df: DataFrame, path: str, partition_cols: list[str]) -> None:
        .partitionBy(*partition_cols).parquet(path))
 
 
+def touched_buckets(batch: DataFrame) -> list[int]:
+    """Bucket ids present in a batch (at most ``buckets`` small ints) so the
+    table scan is pruned to those partition folders statically."""
+    return sorted(r[0] for r in batch.select("bucket").distinct().collect())
+
+
 def staged(spark: SparkSession, *paths: str) -> bool:
     return all(path_exists(spark, f"{p}/_SUCCESS") for p in paths)
 
@@ -102,7 +109,7 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
             chain_in = batch
             untouched = None
         else:
-            cur_t = cur.join(batch.select("bucket").distinct(), "bucket", "left_semi")
+            cur_t = cur.filter(F.col("bucket").isin(touched_buckets(batch)))
             keys = batch.select(key).distinct()
             chain_in = cur_t.join(keys, key, "left_semi").select(*batch.columns).unionByName(batch)
             untouched = cur_t.join(keys, key, "left_anti").select(*batch.columns)
@@ -136,7 +143,7 @@ def delete_insert(spark: SparkSession, target: str, batch: DataFrame, keys: list
         if tgt is None:
             merged = b
         else:
-            touched = tgt.join(b.select("bucket").distinct(), "bucket", "left_semi")
+            touched = tgt.filter(F.col("bucket").isin(touched_buckets(b)))
             kept = touched.join(b.select(*keys).distinct(), keys, "left_anti")
             merged = kept.select(*b.columns).unionByName(b)
         merged.write.mode("overwrite").partitionBy("bucket").parquet(stage)
