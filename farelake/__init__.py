@@ -5,7 +5,7 @@ Layers (all DataFrame in, DataFrame out):
 * ``sources``    document log, code lists, driver tables, fixture mappings
 * ``functions``  column expressions (JSON fields, dates, buckets)
 * ``operators``  staging, flattening, fact, marts, statistics, SCD2, checks
-* ``plans``      materialisation, pipeline composition, query registry
+* ``plans``      materialisation, full-refresh composition, query registry
 * ``streaming``  micro-batch ingest with Structured Streaming
 """
 

@@ -22,7 +22,7 @@ from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
 from farelake.sources.log import code_list_from, read_since_table
 from farelake.sources.tables import read_table
-from farelake.plans.pipeline import RUN_TS, offer_fact, offer_ods, offer_stage, to_output
+from farelake.plans.refresh import RUN_TS, offer_fact, offer_ods, offer_stage, to_output
 from farelake.session import prepare, scratch_path
 from farelake.streaming.ingest import land_documents, stream_ingest
 

@@ -1,4 +1,4 @@
-"""Pipeline composition: log -> stg -> ods -> fact -> marts (K1)."""
+"""Full refresh composition: log -> stg -> ods -> fact -> marts (K1)."""
 
 from __future__ import annotations
 
@@ -39,7 +39,7 @@ def to_output(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def run_pipeline(spark: SparkSession, log: DataFrame, out_dir: str, processed_at=None,
+def run_full_refresh(spark: SparkSession, log: DataFrame, out_dir: str, processed_at=None,
                  endpoint: str | None = DEFAULT_ENDPOINT) -> dict[str, str]:
     """Full refresh of every model from a document log (K1).
 
