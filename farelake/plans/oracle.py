@@ -95,6 +95,8 @@ SELECT DISTINCT doc_id, {ENDPOINT} AS endpoint, 200 AS status_code, false AS err
 FROM docs
 """
 
+ORACLE["scan_log"] = ORACLE["stage_current"]
+
 ORACLE["ods_flatten"] = f"WITH {OFFER_DOCS} {ODS_SELECT}"
 
 ORACLE["fact_offers"] = FACT_CTE + "SELECT * FROM fact"

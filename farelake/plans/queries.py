@@ -20,7 +20,9 @@ from farelake.operators import requests as rq
 from farelake.plans import incremental as inc
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
-from farelake.sources.log import code_list_from, read_since_table
+from farelake.sources.fixtures import offer_log
+from farelake.sources.log import (code_list_from, land_documents_json, read_code_list,
+                                 read_landing, read_since_table)
 from farelake.sources.tables import read_table
 from farelake.plans.refresh import RUN_TS, offer_fact, offer_ods, offer_stage, to_output
 from farelake.session import prepare, scratch_path
@@ -58,6 +60,20 @@ def q_stage_current(spark, sf_dir):
                       F.json_array_length(F.get_json_object("response", "$.data")).alias("n_offers"))
 
 
+@query("scan_log")
+def q_scan_log(spark, sf_dir):
+    """Offer documents landed as JSON lines (ISO-8601 text times), read back
+    with the declared schema and versioned (A1, A5, H18)."""
+    path = scratch_path(spark, "landing")
+    land_documents_json(offer_log(spark, sf_dir), path)
+    docs = read_landing(spark, path)
+    return docs.select("doc_id", "endpoint", "status_code", "error", "created_at", "updated_at",
+                       "batch_started_at",
+                       F.get_json_object("request", "$.departure_at").alias("req_departure_at"),
+                       F.get_json_object("request", "$.page").cast("int").alias("req_page"),
+                       F.json_array_length(F.get_json_object("response", "$.data")).alias("n_offers"))
+
+
 @query("ods_flatten")
 def q_ods_flatten(spark, sf_dir):
     return offer_ods(spark, sf_dir)
@@ -191,20 +207,28 @@ def q_offers_sample(spark, sf_dir):
 
 # --- requests, code lists, collection log ------------------------------------
 
-def _codes(spark, sf_dir):
-    """Cities reached by the orders' customers, through the A3 text rules."""
+def _codes_lines(spark, sf_dir):
+    """One text line per order: the city (region) of its customer."""
     o = read_table(spark, sf_dir, "orders").select("o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    lines = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
-              .join(r, F.col("n_regionkey") == r.r_regionkey).select("r_name"))
-    return code_list_from(lines, "r_name").distinct()
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+             .join(r, F.col("n_regionkey") == r.r_regionkey).select(F.col("r_name").alias("value")))
+
+
+def _codes(spark, sf_dir):
+    """Cities reached by the orders' customers, through the A3 text rules."""
+    return code_list_from(_codes_lines(spark, sf_dir), "value").distinct()
 
 
 @query("code_list")
 def q_code_list(spark, sf_dir):
-    return _codes(spark, sf_dir)
+    """The city lines written as a text file and read back with the A3 rules."""
+    path = scratch_path(spark, "codes")
+    lines = _codes_lines(spark, sf_dir)
+    lines.write.text(path)
+    return read_code_list(spark, path).distinct()
 
 
 @query("ordered_pairs")

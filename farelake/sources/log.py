@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
+from farelake.functions.dates import parse_iso_ts
 from farelake.functions.json import quoted_json_text
 from farelake.schemas import DOC_COLUMNS, LOG_SCHEMA, SENTINEL
 
+TIME_COLUMNS = ["created_at", "updated_at", "batch_started_at"]
+
+# Landing document as the collector writes it: timestamps are ISO-8601 text.
+LANDING_SCHEMA = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name in TIME_COLUMNS else f.dataType, True)
+    for f in LOG_SCHEMA.fields if f.name in DOC_COLUMNS
+])
+
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet", schema=LOG_SCHEMA,
              options: dict | None = None) -> DataFrame:
@@ -23,6 +34,21 @@ def read_log(spark: SparkSession, path: str, fmt: str = "parquet", schema=LOG_SC
     return r.load(path)
 
 
+def land_documents_json(docs: DataFrame, path: str) -> None:
+    """Write landing documents as JSON lines with ISO-8601 text timestamps (A5 sink)."""
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    cols = [F.date_format(c, iso).alias(c) if c in TIME_COLUMNS else F.col(c) for c in DOC_COLUMNS]
+    docs.select(*cols).write.mode("append").json(path)
+
+
+def read_landing(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Landing documents with the declared schema; ISO-8601 texts are parsed to
+    timestamps, and text that does not parse becomes NULL (H18)."""
+    raw = spark.read.schema(LANDING_SCHEMA).format(fmt).load(path)
+    return raw.select(*[parse_iso_ts(c).alias(c) if c in TIME_COLUMNS else F.col(c)
+                        for c in DOC_COLUMNS])
+
+
 def read_log_since(df: DataFrame, watermark, column: str = "updated_at",
                    lookback=None) -> DataFrame:
     """Documents updated strictly after a watermark.
