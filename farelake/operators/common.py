@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelake.session import checkpoint_root
+from farelake.session import scratch_path
 
 # Largest side (rows) shipped to every executor as a broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -14,11 +14,14 @@ MAX_BROADCAST_ROWS = 1_000_000
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Materialise a derived table once and broadcast it only if it is small.
 
-    The table is written with a reliable ``checkpoint()`` into the shared
-    checkpoint folder (lineage cut, computed once, survives executor loss),
-    its row count is checked, and it is marked for broadcast only when within
-    ``max_rows``; otherwise the join stays a shuffle join (AQE skew handling).
+    The table is written once as parquet into the shared checkpoint folder
+    (lineage cut, computed a single time, survives executor loss); its row
+    count then comes from the file footers. It is marked for broadcast only
+    within ``max_rows``; otherwise the join stays a shuffle join (AQE skew
+    handling).
     """
-    checkpoint_root(df.sparkSession)
-    done = df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "side")
+    df.write.parquet(path)
+    done = spark.read.parquet(path)
     return F.broadcast(done) if done.count() <= max_rows else done

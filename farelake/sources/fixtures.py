@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from farelake.operators.common import small_side
 from farelake.schemas import DEFAULT_ENDPOINT, OFFERS_PER_CALL, SENTINEL
 from farelake.sources.log import build_documents
-from farelake.sources.tables import read_table
+from farelake.sources.tables import read_table, spread
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -30,9 +30,9 @@ def _iso(ts) -> F.Column:
 
 def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One priced offer per line item (city = region, airport = nation)."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -102,7 +102,9 @@ def offer_log(spark: SparkSession, sf_dir: str, limit: int = OFFERS_PER_CALL,
         F.when(~F.col("one_way"), F.col("transfers")).alias("return_transfers"),
         _iso(F.col("departure_at")).alias("departure_at"),
     )
-    docs = paged.groupBy(*call, "page").agg(
+    # Shuffle by document first: collect_list gains nothing from a map-side
+    # partial aggregate, and the grouping then reuses this partitioning.
+    docs = paged.repartition(*call, "page").groupBy(*call, "page").agg(
         F.collect_list(elem).alias("data"),
         F.min("search_date").alias("first_search"),
         F.max("search_date").alias("last_search"))
@@ -142,7 +144,7 @@ def event_calls(spark: SparkSession, sf_dir: str, endpoint: str = DEFAULT_ENDPOI
     events return ``k % 5`` copies of one offer. ``event_id`` and ``k`` ride
     along as the version tie-break and offer multiplicity.
     """
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").cast("int")
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     ts = F.col("ts").cast("timestamp")

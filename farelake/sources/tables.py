@@ -26,3 +26,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return df
     return spark.read.schema(schema).parquet(path)
 
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows when a scan yields far fewer partitions than the
+    session has cores (a large file written as one row group cannot be split),
+    so the per-row work after the scan runs in parallel. A no-op for inputs
+    that already split into many partitions, as any large table does on a
+    cluster.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df
