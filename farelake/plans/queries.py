@@ -16,6 +16,8 @@ from farelake.functions.json import json_len
 from farelake.operators import anomaly as an
 from farelake.operators import marts, stats
 from farelake.operators import quality as dq
+from farelake.operators.fact import fact_offers
+from farelake.operators.flatten import ods_flatten
 from farelake.operators import requests as rq
 from farelake.plans import incremental as inc
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
@@ -395,10 +397,11 @@ def q_latest_upsert(spark, sf_dir):
 # --- data quality ---------------------------------------------------------------
 
 def _offer_models(spark, sf_dir):
+    """stg, ods and fact built on one staging plan, so checks over several
+    models share the document build instead of repeating it."""
     stg = offer_stage(spark, sf_dir)
-    ods = offer_ods(spark, sf_dir)
-    fact = offer_fact(spark, sf_dir)
-    return stg, ods, fact
+    ods = ods_flatten(stg, processed_at=RUN_TS)
+    return stg, ods, fact_offers(ods)
 
 
 def _dq_basic(spark, sf_dir) -> list[DataFrame]:
@@ -414,7 +417,7 @@ def _dq_basic(spark, sf_dir) -> list[DataFrame]:
         dq.unique(stg, "stg_ticket_offers", "doc_id"),
         dq.relationships(latest, fact, "dm_prices_latest", "doc_id"),
         dq.accepted_range(fact, "dm_fact_ticket_offers", "price_rub", min_value=0),
-        dq.freshness(offer_stage(spark, sf_dir), "raw_api_log", "updated_at", RUN_TS),
+        dq.freshness(stg, "raw_api_log", "updated_at", RUN_TS),
     ]
 
 
