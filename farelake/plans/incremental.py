@@ -4,7 +4,8 @@ Layout under a state root (a folder in the shared checkpoint dir):
 
 * ``raw/history/run_id=N``  closed SCD2 versions, append-only per run
 * ``raw/current/bucket=B``  open versions, hash-bucketed by document key
-* ``ods/bucket=B``          offers, hash-bucketed by (doc_id, link)
+* ``ods/bucket=B``          offers, hash-bucketed by doc_id (all offers of a document together)
+* ``ods_changes/run_id=N``  the rows each run inserted into the ODS (change log)
 * ``fact/run_id=N``         appended fact rows of each run
 * ``latest``, marts         rewritten
 
@@ -94,22 +95,28 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
 
     Versions load at ``loaded_at``; open versions of touched keys are closed by
     the first new version; several versions of one key in a batch chain in
-    order. Only touched buckets of the open set are rewritten.
+    order. Only touched buckets of the open set are rewritten. The batch and
+    the version chain are each computed once and staged.
     """
     hist_p, cur_p = f"{root}/raw/history", f"{root}/raw/current"
     stage = f"{root}/_staging/run={run_id}/raw"
     extra = [tie] if tie else []
     if not staged(spark, f"{stage}/history", f"{stage}/current"):
-        batch = (docs.withColumn("valid_from_dttm", F.col(loaded_at))
-                     .withColumn("valid_to_dttm", _sentinel())
-                     .select(*LOG_COLUMNS, *extra)
-                     .withColumn("bucket", bucket_of([key], buckets)))
+        if not staged(spark, f"{stage}/batch"):
+            (docs.withColumn("valid_from_dttm", F.col(loaded_at))
+                 .withColumn("valid_to_dttm", _sentinel())
+                 .select(*LOG_COLUMNS, *extra)
+                 .withColumn("bucket", bucket_of([key], buckets))
+                 .write.mode("overwrite").parquet(f"{stage}/batch"))
+        batch = read_if_exists(spark, f"{stage}/batch")
+        touched = [] if batch is None else touched_buckets(batch)
+        if not touched:
+            return
         cur = read_if_exists(spark, cur_p)
         if cur is None:
-            chain_in = batch
-            untouched = None
+            chain_in, untouched = batch, None
         else:
-            cur_t = cur.filter(F.col("bucket").isin(touched_buckets(batch)))
+            cur_t = cur.filter(F.col("bucket").isin(touched))
             keys = batch.select(key).distinct()
             chain_in = cur_t.join(keys, key, "left_semi").select(*batch.columns).unionByName(batch)
             untouched = cur_t.join(keys, key, "left_anti").select(*batch.columns)
@@ -117,9 +124,12 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
         if detect_changes:
             chain_in = drop_unchanged(chain_in, key, "valid_from_dttm", tie)
         chain = scd2_history(chain_in, key, "valid_from_dttm", tie)
-        is_open = F.col("valid_to_dttm") == _sentinel()
-        chain.filter(~is_open).drop("bucket").write.mode("overwrite").parquet(f"{stage}/history")
-        new_cur = chain.filter(is_open)
+        (chain.withColumn("is_open", (F.col("valid_to_dttm") == _sentinel()).cast("int"))
+              .write.mode("overwrite").partitionBy("is_open").parquet(f"{stage}/chain"))
+        ch = spark.read.parquet(f"{stage}/chain")
+        ch.filter(F.col("is_open") == 0).drop("bucket", "is_open") \
+            .write.mode("overwrite").parquet(f"{stage}/history")
+        new_cur = ch.filter(F.col("is_open") == 1).drop("is_open").select(*batch.columns)
         if untouched is not None:
             new_cur = untouched.unionByName(new_cur)
         new_cur.write.mode("overwrite").partitionBy("bucket").parquet(f"{stage}/current")
@@ -131,14 +141,17 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
 # --- ODS: delete+insert on (doc_id, link) --------------------------------------
 
 def delete_insert(spark: SparkSession, target: str, batch: DataFrame, keys: list[str],
-                  stage: str, buckets: int = 16) -> None:
+                  stage: str, buckets: int = 16, bucket_keys: list[str] | None = None) -> None:
     """Delete target rows whose key occurs in the batch, insert all batch rows.
 
     No de-duplication inside the batch; NULL keys never match (equality anti
-    join keeps them). Only touched buckets are read and rewritten.
+    join keeps them). Rows are bucketed by ``bucket_keys`` (a prefix of the
+    key, e.g. the document id, so all offers of a document share a bucket);
+    only the buckets the batch touches are read and rewritten.
     """
+    bucket_keys = bucket_keys or keys
     if not staged(spark, stage):
-        b = batch.withColumn("bucket", bucket_of(keys, buckets))
+        b = batch.withColumn("bucket", bucket_of(bucket_keys, buckets))
         tgt = read_if_exists(spark, target)
         if tgt is None:
             merged = b
@@ -150,36 +163,58 @@ def delete_insert(spark: SparkSession, target: str, batch: DataFrame, keys: list
     publish(spark.read.parquet(stage), target, ["bucket"])
 
 
+def scalar_max(df: DataFrame | None, column: str, default: str = EPOCH):
+    """``coalesce(max(column), default)`` as a Python value (one aggregate row),
+    so the watermark reaches the scan as a literal and prunes files/row groups."""
+    if df is None:
+        return F.lit(default).cast("timestamp")
+    v = df.agg(F.max(column)).first()[0]
+    return F.lit(v if v is not None else default).cast("timestamp")
+
+
 def ods_increment(spark: SparkSession, root: str, stg: DataFrame, run_id: int, processed_at,
                   overlap: str = "1 hour", buckets: int = 16) -> None:
     """ODS model: re-read staging rows from ``max(processed_src_dttm) - overlap``
-    (inclusive), flatten, then delete+insert on (doc_id, link) (I2, A9)."""
+    (inclusive), flatten, then delete+insert on (doc_id, link) (I2, A9).
+
+    The flattened batch is also published as partition ``run_id`` of an
+    append-only change log (``ods_changes``) that the fact model consumes.
+    """
     ods_p = f"{root}/ods"
-    ods = read_if_exists(spark, ods_p)
-    if ods is None:
-        src = stg
-    else:
-        wm = ods.agg(F.coalesce(F.max("processed_src_dttm"), F.lit(EPOCH).cast("timestamp"))
-                     - F.expr(f"interval {overlap}")).scalar()
-        src = stg.filter(F.col("valid_from_dttm") >= wm)
-    delete_insert(spark, ods_p, ods_flatten(src, processed_at=processed_at), ["doc_id", "link"],
-                  f"{root}/_staging/run={run_id}/ods", buckets)
+    stage = f"{root}/_staging/run={run_id}"
+    if not staged(spark, f"{stage}/ods_batch"):
+        ods = read_if_exists(spark, ods_p)
+        src = stg if ods is None else stg.filter(
+            F.col("valid_from_dttm") >= scalar_max(ods, "processed_src_dttm")
+            - F.expr(f"interval {overlap}"))
+        ods_flatten(src, processed_at=processed_at).write.mode("overwrite") \
+            .parquet(f"{stage}/ods_batch")
+    batch = spark.read.parquet(f"{stage}/ods_batch")
+    delete_insert(spark, ods_p, batch, ["doc_id", "link"], f"{stage}/ods", buckets, ["doc_id"])
+    publish(batch.withColumn("run_id", F.lit(run_id)), f"{root}/ods_changes", ["run_id"])
 
 
 def fact_increment(spark: SparkSession, root: str, run_id: int) -> None:
     """Fact model: append ODS rows strictly newer than the fact watermark.
 
-    The run's rows land in partition ``run_id`` by dynamic overwrite, and the
-    watermark ignores that partition, so a re-run replaces rather than doubles.
+    Reads the ODS change log (rows inserted by each run), not the whole ODS:
+    any ODS row newer than the watermark was inserted by a run the fact has
+    not consumed yet. The run's rows land in partition ``run_id`` by dynamic
+    overwrite, and the watermark ignores that partition, so a re-run replaces
+    rather than doubles.
     """
     fact_p = f"{root}/fact"
-    ods = spark.read.parquet(f"{root}/ods").drop("bucket")
+    changes = spark.read.parquet(f"{root}/ods_changes").filter(F.col("run_id") <= run_id)
     fact = read_if_exists(spark, fact_p)
-    if fact is not None:
-        prev = fact.filter(F.col("run_id") != run_id)
-        wm = prev.agg(F.coalesce(F.max("processed_src_dttm"), F.lit(EPOCH).cast("timestamp"))).scalar()
-        ods = ods.filter(F.col("processed_src_dttm") > wm)
-    publish(fact_offers(ods).withColumn("run_id", F.lit(run_id)), fact_p, ["run_id"])
+    prev = None if fact is None else fact.filter(F.col("run_id") != run_id)
+    wm = scalar_max(prev, "processed_src_dttm")
+    new = changes.filter(F.col("processed_src_dttm") > wm)
+    # A key re-inserted by several unconsumed runs (catch-up after a failed
+    # fact run) is in the ODS only as its newest insert: keep that run's copies.
+    newest = new.groupBy("doc_id", "link").agg(F.max("run_id").alias("_r"))
+    new = (new.join(newest, ["doc_id", "link"]).filter(F.col("run_id") == F.col("_r"))
+              .drop("_r", "run_id"))
+    publish(fact_offers(new).withColumn("run_id", F.lit(run_id)), fact_p, ["run_id"])
 
 
 def latest_increment(spark: SparkSession, root: str, run_id: int, mode: str = "append") -> None:
@@ -196,9 +231,7 @@ def latest_increment(spark: SparkSession, root: str, run_id: int, mode: str = "a
     if mode == "append":
         if old is not None:
             prev = old.filter(F.col("run_id") != run_id)
-            wm = prev.agg(F.coalesce(F.max("processed_src_dttm"),
-                                     F.lit(EPOCH).cast("timestamp"))).scalar()
-            fact = fact.filter(F.col("processed_src_dttm") > wm)
+            fact = fact.filter(F.col("processed_src_dttm") > scalar_max(prev, "processed_src_dttm"))
         publish(marts.first_offer(fact).withColumn("run_id", F.lit(run_id)), latest_p, ["run_id"])
         return
     if mode != "upsert":
@@ -206,8 +239,7 @@ def latest_increment(spark: SparkSession, root: str, run_id: int, mode: str = "a
     stage = f"{root}/_staging/run={run_id}/latest"
     if not staged(spark, stage):
         new = marts.first_offer(fact.filter(F.col("processed_src_dttm") >
-                                            (old.agg(F.max("processed_src_dttm")).scalar()
-                                             if old is not None else F.lit(EPOCH).cast("timestamp"))))
+                                            scalar_max(old, "processed_src_dttm")))
         if old is None:
             merged = new
         else:
