@@ -39,30 +39,70 @@ def to_output(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+# Schema of each model layer; a layer without one uses the default.
+LAYER_SCHEMAS = {"stg": "stg", "ods": "ods", "dm": "dm"}
+MODEL_LAYERS = {
+    "stg_ticket_offers": "stg", "ods_ticket_offers": "ods", "dm_fact_ticket_offers": "dm",
+    "dm_prices_latest": "dm", "dm_prices_agg_route": "dm", "dm_prices_agg_dep_route": "dm",
+    "dm_prices_agg_search_dep_route": "dm", "dm_airports": "dm", "dq_results": None,
+}
+
+
+def table_name(model: str, default_schema: str = "raw") -> str:
+    """``schema.model``: the layer's custom schema used verbatim, else the default."""
+    custom = LAYER_SCHEMAS.get(MODEL_LAYERS.get(model) or "")
+    return f"{(custom or default_schema).strip()}.{model}"
+
+
+def register_table(spark: SparkSession, name: str, path: str, db_root: str) -> None:
+    """Expose a written table in the session catalog so ``spark.sql`` reads it."""
+    db, table = name.split(".")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{db_root}/{db}.db'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+
+
 def run_full_refresh(spark: SparkSession, log: DataFrame, out_dir: str, processed_at=None,
-                 endpoint: str | None = DEFAULT_ENDPOINT) -> dict[str, str]:
-    """Full refresh of every model from a document log (K1).
+                     endpoint: str | None = DEFAULT_ENDPOINT, as_of=None,
+                     register: bool = True) -> dict[str, str]:
+    """Full refresh of every model from a document log, then the checks (K1).
 
-    The fact is written once and every mart reads the written table, so the
-    JSON parse and unnest run a single time. Returns table name -> path.
+    stg -> ods -> fact are written once; the five marts read the written fact,
+    so the JSON parse and unnest run a single time. The declared checks run on
+    the written models and land in ``dq_results`` (J12). Each table is
+    registered as ``schema.model`` in the session catalog. Returns name -> path.
     """
-    paths = {}
-    stg = stage_current(log, endpoint)
-    paths["stg"] = f"{out_dir}/stg"
-    stg.write.mode("overwrite").parquet(paths["stg"])
-    stg = spark.read.parquet(paths["stg"])
-    ods = ods_flatten(stg, processed_at=processed_at)
-    paths["ods"] = f"{out_dir}/ods"
-    ods.write.mode("overwrite").parquet(paths["ods"])
-    fact = fact_offers(spark.read.parquet(paths["ods"]))
-    paths["fact"] = f"{out_dir}/fact"
-    fact.write.mode("overwrite").parquet(paths["fact"])
-    fact = spark.read.parquet(paths["fact"])
-    for name, df in [("latest", marts.first_offer(fact)),
-                     ("agg_route", marts.agg_route(fact)),
-                     ("agg_dep_route", marts.agg_dep_route(fact)),
-                     ("agg_search_dep_route", marts.agg_search_dep_route(fact)),
-                     ("airports", marts.airports(fact))]:
-        paths[name] = f"{out_dir}/{name}"
-        df.write.mode("overwrite").parquet(paths[name])
+    from farelake.operators import quality as dq
+
+    paths: dict[str, str] = {}
+
+    def write(model: str, df: DataFrame) -> DataFrame:
+        path = f"{out_dir}/{model}"
+        df.write.mode("overwrite").parquet(path)
+        paths[model] = path
+        return spark.read.parquet(path)
+
+    stg = write("stg_ticket_offers", stage_current(log, endpoint))
+    ods = write("ods_ticket_offers", ods_flatten(stg, processed_at=processed_at))
+    fact = write("dm_fact_ticket_offers", fact_offers(ods))
+    latest = write("dm_prices_latest", marts.first_offer(fact))
+    route = write("dm_prices_agg_route", marts.agg_route(fact))
+    write("dm_prices_agg_dep_route", marts.agg_dep_route(fact))
+    write("dm_prices_agg_search_dep_route", marts.agg_search_dep_route(fact))
+    airports = write("dm_airports", marts.airports(fact))
+    as_of = as_of if as_of is not None else F.current_timestamp()
+    write("dq_results", dq.dq_report(
+        dq.not_null(stg, "stg_ticket_offers", ["response", "request"]),
+        dq.unique(stg, "stg_ticket_offers", "doc_id"),
+        dq.not_null(ods, "ods_ticket_offers", ["search_date", "origin", "destination"]),
+        dq.not_null(fact, "dm_fact_ticket_offers", ["price_rub"]),
+        dq.accepted_range(fact, "dm_fact_ticket_offers", "price_rub", min_value=0),
+        dq.not_null(latest, "dm_prices_latest", ["price_rub"]),
+        dq.relationships(latest, fact, "dm_prices_latest", "doc_id"),
+        dq.not_null(route, "dm_prices_agg_route", ["avg_price_rub"], "warn"),
+        dq.not_null(airports, "dm_airports", ["airport_code"]),
+        dq.freshness(log, "raw_api_log", "updated_at", as_of)))
+    if register:
+        for model, path in paths.items():
+            register_table(spark, table_name(model), path, out_dir)
     return paths

@@ -114,3 +114,16 @@ def test_pivot_columns(spark):
     assert p.columns == ["month_num", "2024", "2025", "2026"]
     r = p.first()
     assert (r["2024"], r["2025"], r["2026"]) == (1.0, None, 3.0)
+
+
+def test_full_refresh_registers_models(spark, tmp_dir):
+    from farelake.plans.refresh import RUN_TS, run_full_refresh, table_name
+    from farelake.sources.fixtures import offer_log
+    paths = run_full_refresh(spark, offer_log(spark, "/root/testdata/sf0.001"), tmp_dir,
+                             processed_at=RUN_TS, as_of=RUN_TS)
+    assert table_name("dm_prices_agg_route") == "dm.dm_prices_agg_route"
+    assert table_name("dq_results") == "raw.dq_results"
+    n = spark.sql("SELECT count(*) AS n FROM dm.dm_prices_agg_route").first().n
+    assert n == spark.read.parquet(paths["dm_prices_agg_route"]).count() > 0
+    statuses = {r.test: r.status for r in spark.sql("SELECT * FROM raw.dq_results").collect()}
+    assert statuses["not_null"] == "pass" and statuses["freshness"] == "fail"
