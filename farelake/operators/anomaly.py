@@ -44,8 +44,9 @@ def bucket_start(ts, period: str) -> F.Column:
 
 
 def _cut(df: DataFrame, ts: str, as_of, delay: str | None) -> F.Column:
-    as_of_c = (df.agg(F.max(ts)).scalar() if as_of is None else
-               (as_of if isinstance(as_of, F.Column) else F.lit(as_of).cast("timestamp")))
+    if as_of is None:  # newest timestamp: one aggregate row, used as a literal
+        as_of = df.agg(F.max(ts)).first()[0]
+    as_of_c = as_of if isinstance(as_of, F.Column) else F.lit(as_of).cast("timestamp")
     return as_of_c - F.expr(f"interval {delay}") if delay else as_of_c
 
 

@@ -312,8 +312,9 @@ def q_scd2_history(spark, sf_dir):
 
 
 def _first_half(docs: DataFrame) -> F.Column:
-    """Cut time: the first batch day plus 15 days (scalar subquery)."""
-    return docs.agg(F.min("batch_started_at") + F.expr("interval 15 days")).scalar()
+    """Cut time: the first batch day plus 15 days (one scalar, used as a literal)."""
+    b0 = docs.agg(F.min("batch_started_at")).first()[0]
+    return F.lit(b0).cast("timestamp") + F.expr("interval 15 days")
 
 
 @query("scan_log_since")
@@ -337,7 +338,7 @@ def run_ts(run_id: int) -> str:
 
 def event_slices(docs: DataFrame) -> list[DataFrame]:
     """Run r takes documents created before first batch + r*10 days (last run: all)."""
-    b0 = docs.agg(F.min("batch_started_at")).scalar()
+    b0 = F.lit(docs.agg(F.min("batch_started_at")).first()[0]).cast("timestamp")
     out, lo = [], None
     for r in range(1, N_RUNS + 1):
         hi = None if r == N_RUNS else b0 + F.expr(f"interval {SLICE_DAYS * r} days")

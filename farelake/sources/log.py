@@ -66,17 +66,21 @@ def read_log_since(df: DataFrame, watermark, column: str = "updated_at",
 
 def log_watermark(target: DataFrame, column: str = "updated_at", lookback: str | None = "1 day",
                   default: str = "1970-01-01 00:00:00") -> F.Column:
-    """Scalar subquery ``coalesce(max(column), default) - lookback`` over the target."""
-    wm = F.coalesce(F.max(column), F.lit(default).cast("timestamp"))
+    """``coalesce(max(column), default) - lookback`` over the target as a literal.
+
+    The maximum is one aggregate row read once (a bounded scalar), so the
+    comparison that uses it pushes into the source scan like any literal.
+    """
+    m = target.agg(F.max(column)).first()[0]
+    wm = F.lit(m if m is not None else default).cast("timestamp")
     if lookback:
         wm = wm - F.expr(f"interval {lookback}")
-    return target.agg(wm.alias("watermark")).scalar()
+    return wm
 
 
 def read_since_table(source: DataFrame, target: DataFrame, column: str = "updated_at",
                      lookback: str | None = "1 day", target_column: str | None = None) -> DataFrame:
-    """Source rows strictly past the target's watermark (I1). The watermark is an
-    uncorrelated scalar subquery, evaluated once before the scan runs."""
+    """Source rows strictly past the target's watermark."""
     return source.filter(F.col(column) > log_watermark(target, target_column or column, lookback))
 
 
