@@ -82,6 +82,10 @@ def scd2_apply(log: DataFrame, batch: DataFrame, key: str = "doc_id",
     * ``detect_changes`` drops a batch version equal in content to the version
       before it (a re-read unchanged document then makes no new version);
     * closed history is passed through untouched (set-based, no per-row upsert).
+
+    The log is referenced three times (closed, touched, untouched), so write
+    the result before folding the next batch; ``plans.incremental`` does this
+    with staged tables.
     """
     if now is not None:
         batch = batch.withColumn(valid_from, F.lit(now).cast("timestamp"))

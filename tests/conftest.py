@@ -16,7 +16,7 @@ def spark():
     from farelake.session import build_session
     ckpt = tempfile.mkdtemp(prefix="farelake-test-ckpt-")
     s = build_session("local[4]", 4, app_name="farelake-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
     yield s
     s.stop()
 

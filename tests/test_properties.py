@@ -45,6 +45,9 @@ def test_scd2_fold_equals_history(spark, vs, cuts):
             cond = cond & (F.col("created_at") < BASE + dt.timedelta(hours=hi * 7))
         part = docs.filter(cond)
         log = scd2_history(part) if log is None else scd2_apply(log, part)
+        path = scratch_path(spark, "prop-scd2")  # cut lineage between folds, as the jobs do
+        log.write.parquet(path)
+        log = spark.read.parquet(path)
         lo = hi
     got = sorted((r.doc_id, r.event_id, r.valid_to_dttm) for r in log.collect())
     assert got == expect
