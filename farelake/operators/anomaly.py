@@ -130,10 +130,12 @@ def freshness_anomalies(df: DataFrame, ts: str, period: str = "12 hours", split:
     """Longest gap (seconds) between consecutive update times, per bucket of the
     later update (J7).
 
-    Gaps inside a ``split`` (e.g. one minute) come from ``lag`` partitioned by
-    split; gaps across splits from the per-split first/last table (one row per
-    non-empty split, a global window over that aggregated series). Buckets
-    without updates have no value and are not scored.
+    Three levels, so no window sorts more than one bucket's splits: gaps inside
+    a ``split`` (e.g. one minute) from ``lag`` partitioned by split; gaps
+    between splits of one bucket from the per-split first/last table
+    partitioned by bucket; gaps between buckets from the per-bucket first/last
+    table (one row per non-empty bucket). Buckets without updates have no
+    value and are not scored.
     """
     cut = _cut(df, ts, as_of, detection_delay)
     rows = _bucketed(df.select(ts).distinct(), ts, period, cut)
@@ -141,12 +143,17 @@ def freshness_anomalies(df: DataFrame, ts: str, period: str = "12 hours", split:
     rows = rows.withColumn("_s", sec).withColumn("_split", F.date_trunc(split, F.col(ts)))
     inner = (rows.withColumn("_gap", F.col("_s") - F.lag("_s").over(
                  Window.partitionBy("_split").orderBy("_s")))
-                 .groupBy("_split", "bucket_start")
+                 .groupBy("bucket_start", "_split")
                  .agg(F.max("_gap").alias("_gin"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi")))
-    across = inner.withColumn("_gx", F.col("_lo") - F.lag("_hi").over(Window.orderBy("_split")))
-    per_bucket = across.groupBy("bucket_start").agg(
-        F.max(F.greatest(F.coalesce("_gin", F.lit(0.0)), F.coalesce("_gx", F.lit(0.0))))
-        .alias("value"))
+    splits = inner.withColumn("_gx", F.col("_lo") - F.lag("_hi").over(
+        Window.partitionBy("bucket_start").orderBy("_split")))
+    per_bucket = splits.groupBy("bucket_start").agg(
+        F.max(F.greatest(F.coalesce("_gin", F.lit(0.0)), F.coalesce("_gx", F.lit(0.0)))).alias("_gi"),
+        F.min("_lo").alias("_blo"), F.max("_hi").alias("_bhi"))
+    per_bucket = (per_bucket
+                  .withColumn("_gb", F.col("_blo") - F.lag("_bhi").over(Window.orderBy("bucket_start")))
+                  .select("bucket_start",
+                          F.greatest(F.col("_gi"), F.coalesce("_gb", F.lit(0.0))).alias("value")))
     first = per_bucket.agg(F.min("bucket_start").alias("_first"))
     full = (spine(first, [], _last_bucket(cut, period), period)
             .join(per_bucket, "bucket_start", "left"))
