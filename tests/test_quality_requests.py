@@ -76,3 +76,43 @@ def test_batch_summary_counts(spark):
         "request string, response string, error boolean, batch_started_at timestamp")
     r = rq.batch_summary(log).first()
     assert (r.number_tickets, r.number_missed, r.routes, r.periods) == (3, 1, 2, 2)
+
+
+def _brute_score(values, training=14, sens=3.0):
+    import statistics
+    out = []
+    for i, x in enumerate(values):
+        hist = [v for v in values[max(0, i - training):i] if v is not None]
+        if len(hist) < 3 or x is None:
+            out.append(False)
+            continue
+        m, s = statistics.mean(hist), statistics.stdev(hist)
+        out.append(abs(x - m) > sens * s if s > 0 else abs(x - m) > 0)
+    return out
+
+
+def test_freshness_anomalies_match_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    base = dt.datetime(2025, 3, 1)
+    times = sorted({base + dt.timedelta(seconds=rnd.randint(0, 20 * 86400)) for _ in range(400)})
+    times += [base + dt.timedelta(days=21, hours=h) for h in (0, 30)]  # a long gap late on
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp")
+    out = sorted(an.freshness_anomalies(df, "ts", period="12 hours", detection_period=None,
+                                        detection_delay=None).collect(), key=lambda r: r.bucket_start)
+    # brute force: global consecutive gaps, max per 12-hour bucket of the later time
+    cut = max(times)
+    p = 12 * 3600
+    start = lambda t: dt.datetime.fromtimestamp((int(t.replace(tzinfo=dt.timezone.utc).timestamp()) // p) * p,
+                                                dt.timezone.utc).replace(tzinfo=None)
+    kept = [t for t in times if start(t) + dt.timedelta(seconds=p) <= cut]
+    gaps = {}
+    for prev, cur in zip([None] + kept[:-1], kept):
+        g = 0.0 if prev is None else (cur - prev).total_seconds()
+        b = start(cur)
+        gaps[b] = max(gaps.get(b, 0.0), g)
+    buckets = [r.bucket_start for r in out]
+    assert buckets[0] == min(gaps)
+    vals = [gaps.get(b) for b in buckets]
+    assert [r.value for r in out] == vals
+    assert [r.is_anomalous for r in out] == _brute_score(vals)
