@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A long-lived driver (stream, many increments) keeps only recent job history.
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "20000",
 }
 
 
