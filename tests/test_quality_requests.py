@@ -116,3 +116,15 @@ def test_freshness_anomalies_match_brute_force(spark):
     vals = [gaps.get(b) for b in buckets]
     assert [r.value for r in out] == vals
     assert [r.is_anomalous for r in out] == _brute_score(vals)
+
+
+def test_validation_counts_match_fixture_notes(spark):
+    """FIXTURES B4: planted faults in the customer-derived requests at sf0.01."""
+    from pyspark.sql import functions as F
+
+    from farelake.sources.fixtures import request_rows
+    v = rq.validate_requests(request_rows(spark, "/root/testdata/sf0.01"))
+    counts = {r.reason: r.n for r in v.select(F.explode("reject_reasons").alias("reason"))
+              .groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"origin": 215, "destination": 67, "currency": 411, "limit": 1351,
+                      "return_with_one_way": 250, "departure_at": 137}
