@@ -128,3 +128,14 @@ def test_validation_counts_match_fixture_notes(spark):
               .groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {"origin": 215, "destination": 67, "currency": 411, "limit": 1351,
                       "return_with_one_way": 250, "departure_at": 137}
+
+
+def test_batch_summary_matches_fixture_notes(spark):
+    """FIXTURES B2: 30 batches, 11,990 offers, 4,031 missed calls at sf0.01."""
+    from pyspark.sql import functions as F
+
+    from farelake.sources.fixtures import event_documents
+    s = rq.batch_summary(event_documents(spark, "/root/testdata/sf0.01"))
+    r = s.agg(F.count(F.lit(1)).alias("b"), F.sum("number_tickets").alias("t"),
+              F.sum("number_missed").alias("m")).first()
+    assert (r.b, r.t, r.m) == (30, 11990, 4031)
