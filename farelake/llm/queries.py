@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, chat, html, packing, quality, secrets, wordpiece
+from farelake.llm import bpe, chat, html, jaccard, langmodel, packing, quality, secrets, topk, wordpiece
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_jaccard_join": jaccard.op3_jaccard_join,
+    "op4_exact_top_k": topk.op4_exact_top_k,
+    "op5_cross_entropy_difference": langmodel.op5_cross_entropy_difference,
     "op6_secret_scans": secrets.op6_secret_scans,
     "op7_token_counts": wordpiece.op7_token_counts,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
@@ -15,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_exact_top_k": topk.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
 }
