@@ -5,8 +5,9 @@ Encoding, three steps:
 1. Blocks of texts (about ``BLOCK_BYTES``) are cut into pre-tokens in vectorised
    passes over their code points. A block keeps each distinct pre-token once and
    the positions as numbers of them, so frequent words cost a number, not a row.
-2. The distinct pre-tokens of all blocks are shuffled by their bytes; the task that
-   owns a word encodes it once by the merge ranks.
+2. The distinct pre-tokens of all blocks are shuffled by their hash, packed by
+   block and bucket; the task that owns a word's bucket encodes it once by the
+   merge ranks.
 3. The ids go back to the blocks (a cogroup by block), where the positions put them
    together in order.
 
@@ -17,7 +18,7 @@ Pre-tokens follow the public pattern of the rank file (``public_tokenizers.PATTE
 contractions, runs of letters, numbers or other signs with one space before them,
 and white space. No special tokens are recognised.
 
-No group is larger than a block: a word has one row for each block that holds it,
+No group is larger than a block: a word is sent once for each block that holds it,
 whatever the number of its occurrences. A text longer than a block is a block.
 
 Defined cases: null and empty texts have no ids and decode to an empty string;
@@ -40,8 +41,9 @@ from pyspark.sql import functions as F
 from farelake.llm.tables import table
 from farelake.llm.textscan import cuts, span_hashes, text_buffers
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 KEPT_WORDS = 400_000  # encoded words kept per task; beyond that the store starts anew
+ESCAPE = 255  # numbers with a byte of their own
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
 
@@ -153,21 +155,53 @@ def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
 
 
-def _numbers_out(numbers: np.ndarray, top: int) -> bytes:
-    """Numbers below top, byte plane by byte plane, compressed."""
-    wide = numbers.astype("<u4" if top > 1 << 16 else "<u2")
-    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), -1).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+def _planes(numbers: np.ndarray, kind: str) -> bytes:
+    """Numbers byte plane by byte plane, compressed."""
+    wide = np.dtype(kind)
+    rows = np.ascontiguousarray(numbers.astype(wide).view(np.uint8).reshape(len(numbers), wide.itemsize).T)
+    return zstandard.ZstdCompressor(level=3).compress(rows.tobytes())
 
 
-def _numbers_in(blob: bytes, n: int, top: int) -> np.ndarray:
-    kind = np.dtype("<u4" if top > 1 << 16 else "<u2")
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, n * kind.itemsize), np.uint8)
-    return np.ascontiguousarray(planes.reshape(kind.itemsize, n).T).view(kind).ravel().astype(np.int64)
+def _from_planes(blob: bytes, kind: str) -> np.ndarray:
+    wide = np.dtype(kind)
+    rows = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(wide.itemsize, -1)
+    return np.ascontiguousarray(rows.T).view(wide).ravel().astype(np.int64)
 
 
-def _block(data: np.ndarray, offsets: np.ndarray, table_of: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct pre-tokens, most frequent first; their numbers in order; pre-tokens of each text)."""
+def _numbers_out(numbers: np.ndarray, n: int) -> list[bytes]:
+    """Numbers below n, compressed: one byte for the most frequent, an escape for the others."""
+    frequent = np.argsort(-np.bincount(numbers, minlength=n), kind="stable")[:ESCAPE]
+    short = np.full(n, ESCAPE, np.int64)
+    short[frequent] = np.arange(len(frequent))
+    codes = short[numbers]
+    return [_planes(frequent, "<u4"), _planes(codes, "u1"), _planes(numbers[codes == ESCAPE], "<u4")]
+
+
+def _numbers_in(blobs: list[bytes]) -> np.ndarray:
+    frequent, codes, others = (_from_planes(x, kind) for x, kind in zip(blobs, ("<u4", "u1", "<u4"), strict=True))
+    out = np.empty(len(codes), np.int64)
+    out[codes == ESCAPE] = others
+    out[codes != ESCAPE] = frequent[codes[codes != ESCAPE]]
+    return out
+
+
+def _words_out(words: list[bytes]) -> bytes:
+    """Sorted words, compressed together."""
+    sizes = np.array([len(w) for w in words], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(len(words).to_bytes(4, "little") + sizes + b"".join(words))
+
+
+def _words_in(blob: bytes) -> list[bytes]:
+    raw = zstandard.decompress(blob)
+    n = int.from_bytes(raw[:4], "little")
+    ends = (np.cumsum(np.frombuffer(raw, "<u4", n, 4)) + 4 + 4 * n).tolist()
+    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends, strict=False)]
+
+
+def _block(data: np.ndarray, offsets: np.ndarray, table_of: np.ndarray,
+           buckets: int = 1) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
+    """(distinct pre-tokens by bucket of their hash, sorted; their numbers, counted
+    through the buckets, in text order; pre-tokens of each text)."""
     found, sizes = [], []
     for a, b in cuts(offsets, 1 << 20):
         raw = data[offsets[a]:offsets[b]].tobytes()
@@ -177,24 +211,27 @@ def _block(data: np.ndarray, offsets: np.ndarray, table_of: np.ndarray) -> tuple
         first = np.unique(off[:-1])
         start = np.flatnonzero(pretoken_starts(codes, table_of[codes], first[first < len(codes)]))
         end = np.append(start[1:], len(codes))[:len(start)]
-        keys, at, of, count = np.unique(
-            span_hashes(codes, start, end), return_index=True, return_inverse=True, return_counts=True)
-        words = [raw[byte_at[start[i]]:byte_at[end[i]]] for i in at]
-        found.append((keys, words, of, count))
+        keys, at, of = np.unique(span_hashes(codes, start, end), return_index=True, return_inverse=True)
+        found.append((keys, [raw[byte_at[start[i]]:byte_at[end[i]]] for i in at], of))
         sizes.append(np.diff(np.searchsorted(start, off)))
     if not found:
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return [[] for _ in range(buckets)], np.zeros(0, np.int64), np.zeros(0, np.int64)
     keys, at, of = np.unique(np.concatenate([f[0] for f in found]), return_index=True, return_inverse=True)
-    count = np.bincount(of, np.concatenate([f[3] for f in found]), len(keys))
-    order = np.argsort(-count, kind="stable")
+    words = [w for f in found for w in f[1]]
+    words = [words[i] for i in at]
+    by_bucket: list[list[int]] = [[] for _ in range(buckets)]
+    for i, bucket in enumerate((keys % np.uint64(buckets)).tolist()):
+        by_bucket[bucket].append(i)
+    order = [i for some in by_bucket for i in sorted(some, key=words.__getitem__)]
     number = np.empty(len(keys), np.int64)
     number[order] = np.arange(len(keys))
-    words = [w for f in found for w in f[1]]
     parts, done = [], 0
     for f in found:
         parts.append(number[of[done:done + len(f[0])]][f[2]])
         done += len(f[0])
-    return [words[at[i]] for i in order], np.concatenate(parts), np.concatenate(sizes)
+    ends = np.cumsum([len(some) for some in by_bucket]).tolist()
+    return ([[words[i] for i in order[a:b]] for a, b in zip([0, *ends], ends, strict=False)],
+            np.concatenate(parts), np.concatenate(sizes))
 
 
 def encode(docs: DataFrame, tokens: list[bytes], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -205,72 +242,72 @@ def encode(docs: DataFrame, tokens: list[bytes], key: str = "doc_id", text: str
     # Fixed tables, bounded by the vocabulary and the code space.
     shipped = context.broadcast((tokens, zstandard.compress(classes().tobytes())))
 
+    # Some buckets for each task of the shuffle, so that tasks get equal shares.
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def blocks(batches):
         table_of, number = None, 0
         part = TaskContext.get().partitionId()
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         for batch in batches:
             if table_of is None:
                 table_of = np.frombuffer(zstandard.decompress(shipped.value[1]), np.int8)
             data, offsets = text_buffers(batch.column(1))
             for a, b in cuts(offsets, BLOCK_BYTES):
-                words, numbers, sizes = _block(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], table_of)
-                keys = batch.column(0).slice(a, b - a)
-                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                words, numbers, sizes = _block(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], table_of, buckets)
+                used = [i for i, some in enumerate(words) if some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part << 32 | number]), one(pa.array(words, pa.binary())), one(keys),
-                     one(pa.array(sizes, pa.int32())), pa.array([_numbers_out(numbers, len(words))], pa.binary())],
-                    ["block", "words", "keys", "sizes", "numbers"])
+                    [pa.array([part << 32 | number]), one(pa.array(used, pa.int32())),
+                     one(pa.array([_words_out(words[i]) for i in used], pa.binary())), one(batch.column(0).slice(a, b - a)),
+                     one(pa.array(sizes, pa.int32())), one(pa.array(_numbers_out(numbers, sum(map(len, words))), pa.binary()))],
+                    ["block", "buckets", "words", "keys", "sizes", "numbers"])
                 number += 1
 
     def words_of(batches):
         for batch in batches:
             for i in range(len(batch)):
-                words = batch.column(1).slice(i, 1).flatten()
-                for a in range(0, len(words), 20_000):
-                    part = words.slice(a, 20_000)
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [part, pa.array(np.full(n, batch.column(0)[i].as_py())), pa.array(np.arange(a, a + n, dtype=np.int32))],
-                        ["word", "block", "number"])
+                used, words = (batch.column(c).slice(i, 1).flatten() for c in (1, 2))
+                yield pa.RecordBatch.from_arrays(
+                    [used, pa.array(np.full(len(used), batch.column(0)[i].as_py())), words], ["bucket", "block", "words"])
 
     def encoded(batches):
         ranks, known = None, {}
         for batch in batches:
             ranks = ranks or {t: i for i, t in enumerate(shipped.value[0])}
-            if len(known) > KEPT_WORDS:
-                known = {}
             out = []
-            for word in batch.column(0).to_pylist():
-                ids = known.get(word)
-                if ids is None:
-                    ids = known[word] = np.array(_ids(word, ranks), "<u4").tobytes()
-                out.append(ids)
+            for blob in batch.column(2).to_pylist():
+                if len(known) > KEPT_WORDS:
+                    known = {}
+                got = []
+                for word in _words_in(blob):
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = _ids(word, ranks)
+                    got.append(ids)
+                out.append([_planes(np.array([len(x) for x in got]), "<u4"),
+                            _planes(np.array([i for x in got for i in x]), "<u4")])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(out, pa.binary())], ["block", "number", "ids"])
+                [batch.column(1), batch.column(0), pa.array(out, pa.list_(pa.binary()))], ["block", "bucket", "ids"])
 
     def joined(block: pa.Table, coded: pa.Table) -> pa.Table:
-        out = []
-        coded = coded.take(pa.array(np.argsort(coded["number"].to_numpy(), kind="stable")))
-        for row in range(len(block)):
-            keys = block["keys"].combine_chunks().slice(row, 1).flatten()
-            sizes = np.array(block["sizes"][row].as_py(), np.int64)
-            raw, off = text_buffers(coded["ids"])
-            ids, off = np.frombuffer(raw.tobytes(), "<u4"), off // 4
-            numbers = _numbers_in(block["numbers"][row].as_py(), int(sizes.sum()), len(off) - 1)
-            each = np.diff(off)[numbers]
-            flat = _gather(ids, off[:-1][numbers], each)
-            ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(sizes)])]
-            buffers = [None, pa.py_buffer((ends * 4).astype(np.int32).tobytes()), pa.py_buffer(flat.astype("<u4").tobytes())]
-            out.append(pa.table({key: keys, "n_tokens": pa.array(np.diff(ends)),
-                                 "ids": pa.Array.from_buffers(pa.binary(), len(keys), buffers)}))
-        return pa.concat_tables(out) if out else pa.table(
-            {key: pa.array([], block.schema.field("keys").type.value_type), "n_tokens": pa.array([], pa.int64()), "ids": pa.array([], pa.binary())})
+        coded = coded.take(pa.array(np.argsort(coded["bucket"].to_numpy(), kind="stable")))
+        pairs = [[_from_planes(x, "<u4") for x in pair] for pair in coded["ids"].to_pylist()]
+        each, ids = (np.concatenate([np.zeros(0, np.int64), *[p[k] for p in pairs]]) for k in (0, 1))
+        keys = block["keys"].combine_chunks().slice(0, 1).flatten()
+        numbers = _numbers_in(block["numbers"][0].as_py())
+        flat = _gather(ids.astype("<u4"), (np.cumsum(each) - each)[numbers], each[numbers])
+        ends = np.concatenate([[0], np.cumsum(each[numbers])])[
+            np.concatenate([[0], np.cumsum(np.array(block["sizes"][0].as_py(), np.int64))])]
+        buffers = [None, pa.py_buffer((ends * 4).astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())]
+        return pa.table({key: keys, "n_tokens": pa.array(np.diff(ends)),
+                         "ids": pa.Array.from_buffers(pa.binary(), len(keys), buffers)})
 
     # One exchange: both uses take whole rows, so Spark reuses its output.
     cut = rows.mapInArrow(
-        blocks, f"block long, words array<binary>, keys array<{kind}>, sizes array<int>, numbers binary").repartition("block")
-    coded = cut.mapInArrow(words_of, "word binary, block long, number int").repartition("word").mapInArrow(
-        encoded, "block long, number int, ids binary")
+        blocks, f"block long, buckets array<int>, words array<binary>, keys array<{kind}>, sizes array<int>, "
+        "numbers array<binary>").repartition("block")
+    coded = cut.mapInArrow(words_of, "bucket int, block long, words binary").repartition("bucket").mapInArrow(
+        encoded, "block long, bucket int, ids array<binary>")
     return cut.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
         joined, f"`{key}` {kind}, n_tokens long, ids binary")
 
