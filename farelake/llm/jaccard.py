@@ -229,16 +229,18 @@ def _set_of(packed: bytes, n: int) -> np.ndarray:
 
 
 def _packed_texts(docs: DataFrame, n: int) -> DataFrame:
-    """(node, packed): the compressed text of every row with shingles."""
+    """(node, packed): the compressed text of every shingle set, once for each task."""
     def pack(batches):
-        tool = zstandard.ZstdCompressor(level=3)
+        tool, seen = zstandard.ZstdCompressor(level=3), set()
         for batch in batches:
             for _, _, scan in scans(batch.column(0)):
-                raw, off, sets = scan.data.tobytes(), scan.offsets, shingle_sets(scan, n)
-                some = [i for i, s in enumerate(sets) if len(s)]
+                raw, off = scan.data.tobytes(), scan.offsets
+                found = {set_hash(s): i for i, s in enumerate(shingle_sets(scan, n)) if len(s)}
+                found = {node: i for node, i in found.items() if node not in seen}
+                seen.update(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_hash(sets[i]) for i in some], pa.int64()),
-                     pa.array([tool.compress(raw[off[i]:off[i + 1]]) for i in some], pa.binary())], ["node", "packed"])
+                    [pa.array(list(found), pa.int64()),
+                     pa.array([tool.compress(raw[off[i]:off[i + 1]]) for i in found.values()], pa.binary())], ["node", "packed"])
 
     return docs.select(F.col("text").alias("__text")).mapInArrow(pack, "node long, packed binary")
 
@@ -311,7 +313,8 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     blocks = components(ties).withColumnRenamed("component", "block").join(nodes.select("node", "size"), "node")
     tokens = blocks.groupBy("block").agg(F.sum("size").alias("tokens"))
     wanted = written(blocks.join(tokens, "block").select("node", "block", "size", "tokens"), "jaccard-blocks")
-    members = written(_packed_texts(docs, n).join(wanted, "node").groupBy("node", "block", "size", "tokens").agg(
+    # Texts are dealt by node at every size of the input: the plan does not turn on how many are wanted.
+    members = written(_packed_texts(docs, n).join(wanted.hint("merge"), "node").groupBy("node", "block", "size", "tokens").agg(
         F.first("packed").alias("packed")), "jaccard-members")
     linked = written(components(_links(members, n, percent)), "jaccard-components")
     of_node = nodes.select("node", "least_id").join(linked, "node", "left").withColumn(
