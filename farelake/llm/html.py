@@ -196,7 +196,8 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     for x in got:
         inside = x.main == main
         if not x.name:
-            scores.append(x.words * weight["word"] * (1 if inside and not x.out else -1))
+            # Boilerplate inside the main element is left out, but does not cut it in two.
+            scores.append(x.words * weight["word"] * (-1 if not inside else 1 if not x.out else -1 if not main else 0))
         else:
             key = x.name + "+" if main and inside else x.name
             scores.append(weight.get(key, weight["+"] if main and inside else weight[""]))
