@@ -89,7 +89,8 @@ def _finish(scored: DataFrame, test: str, series: list[str], cut: F.Column,
 def _bucketed(df: DataFrame, ts: str, period: str, cut: F.Column) -> DataFrame:
     """Rows with their bucket; only complete buckets (end <= cut)."""
     b = bucket_start(F.col(ts), period)
-    return (df.filter(F.col(ts).isNotNull()).withColumn("bucket_start", b)
+    # The plain bound reaches the scan; the bucket's end is what counts.
+    return (df.filter(F.col(ts) < cut).withColumn("bucket_start", b)
               .filter(F.col("bucket_start") + F.expr(f"interval {period}") <= cut))
 
 
@@ -138,7 +139,7 @@ def freshness_anomalies(df: DataFrame, ts: str, period: str = "12 hours", split:
     value and are not scored.
     """
     cut = _cut(df, ts, as_of, detection_delay)
-    rows = _bucketed(df.select(ts).distinct(), ts, period, cut)
+    rows = _bucketed(df.select(ts), ts, period, cut)
     sec = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
     rows = rows.withColumn("_s", sec).withColumn("_split", F.date_trunc(split, F.col(ts)))
     inner = (rows.withColumn("_gap", F.col("_s") - F.lag("_s").over(

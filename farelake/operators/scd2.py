@@ -42,7 +42,25 @@ def scd2_history(versions: DataFrame, key: str = "doc_id", valid_from: str = "va
 
 
 def content_hash(cols: list[str] = CONTENT_COLUMNS) -> F.Column:
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """Hash of the content; a null is not the same as an absent neighbour."""
+    return F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+
+
+def newest_versions(df: DataFrame, keys: list[str], tie: str | None = "event_id") -> DataFrame:
+    """One row per ``keys``: the one updated last, in a total order."""
+    order = [F.desc_nulls_last("updated_at"), F.desc_nulls_last("created_at")]
+    if tie:
+        order.append(F.desc_nulls_last(tie))
+    w = Window.partitionBy(*keys).orderBy(*order, content_hash().desc())
+    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+
+
+def overlapping_versions(log: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Pairs of versions of one key whose validity overlaps (a sound log has none)."""
+    w = Window.partitionBy(key).orderBy("valid_from_dttm", "valid_to_dttm")
+    return (log.select(key, "valid_from_dttm", "valid_to_dttm")
+               .withColumn("_before", F.lag("valid_to_dttm").over(w))
+               .filter(F.col("_before") > F.col("valid_from_dttm")))
 
 
 def drop_unchanged(chain: DataFrame, key: str = "doc_id", valid_from: str = "valid_from_dttm",
@@ -97,13 +115,10 @@ def scd2_apply(log: DataFrame, batch: DataFrame, key: str = "doc_id",
     keys = batch.select(key).distinct()
     touched = open_.join(keys, key, "left_semi")
     untouched = open_.join(keys, key, "left_anti")
-    chain = touched.unionByName(batch).dropDuplicates([key, valid_from] + ([tie] if tie else []))
+    # Rows loaded at one instant are one version of their key.
+    same = [key, valid_from] + ([tie] if tie and now is None else [])
+    chain = newest_versions(touched.unionByName(batch), same, tie)
     if detect_changes:
         chain = drop_unchanged(chain, key, valid_from, tie)
     chain = scd2_history(chain, key, valid_from, tie)
     return closed.unionByName(untouched).unionByName(chain)
-
-
-def current_versions(log: DataFrame) -> DataFrame:
-    """Open versions only."""
-    return log.filter(F.col("valid_to_dttm") == F.lit(SENTINEL).cast("timestamp"))

@@ -8,13 +8,15 @@ Layout under a state root (a folder in the shared checkpoint dir):
 * ``ods_changes/run_id=N``  the rows each run inserted into the ODS (change log)
 * ``fact/run_id=N``         appended fact rows of each run
 * ``latest``, marts         rewritten
+* ``_runs/run_id=N``        run table: source, load time, mark of the documents, status
 
 Key-wise replace without a table format: only touched hash buckets are read
 (the batch's bucket ids -- at most ``buckets`` small ints -- prune the scan
 to those partition folders), the new
 bucket contents are staged under ``_staging/run=N``, and then published with a
 dynamic partition overwrite. A run whose staging is complete is republished
-without recomputation, so re-running any run after a failure is idempotent.
+without recomputation, so re-running any run after a failure is idempotent; the
+staging of a finished run is removed.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ from pyspark.sql import functions as F
 from farelake.operators import marts
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import ods_flatten, stage_current
-from farelake.operators.scd2 import drop_unchanged, scd2_history
+from farelake.operators.scd2 import drop_unchanged, newest_versions, scd2_history
 from farelake.schemas import DEFAULT_ENDPOINT, LOG_SCHEMA, SENTINEL
-from farelake.session import path_exists
+from farelake.session import path_exists, remove_path
 
 EPOCH = "1970-01-01 00:00:00"
 LOG_COLUMNS = [f.name for f in LOG_SCHEMA.fields]
@@ -90,10 +92,15 @@ def read_raw_log(spark: SparkSession, root: str, extra: list[str] | None = None)
 
 def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
                     key: str = "doc_id", tie: str | None = "event_id", buckets: int = 16,
-                    detect_changes: bool = True, loaded_at: str = "created_at") -> None:
+                    detect_changes: bool = True, loaded_at: str = "created_at",
+                    load_time=None) -> None:
     """SCD2-fold one batch of landing documents into the raw log.
 
-    Versions load at ``loaded_at``; open versions of touched keys are closed by
+    With ``load_time`` every row of the batch is loaded at that instant: rows of
+    one key are one version, the one updated last, and a document that comes late
+    or is read again still makes a newer version. Without it the column
+    ``loaded_at`` tells each row's load time (replays of a known history, whose
+    batches must come in that order). Open versions of touched keys are closed by
     the first new version; several versions of one key in a batch chain in
     order. Only touched buckets of the open set are rewritten. The batch and
     the version chain are each computed once and staged.
@@ -103,7 +110,8 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
     extra = [tie] if tie else []
     if not staged(spark, f"{stage}/history", f"{stage}/current"):
         if not staged(spark, f"{stage}/batch"):
-            (docs.withColumn("valid_from_dttm", F.col(loaded_at))
+            start = F.col(loaded_at) if load_time is None else F.lit(load_time).cast("timestamp")
+            (docs.withColumn("valid_from_dttm", start)
                  .withColumn("valid_to_dttm", _sentinel())
                  .select(*LOG_COLUMNS, *extra)
                  .withColumn("bucket", bucket_of([key], buckets))
@@ -120,7 +128,8 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
             keys = batch.select(key).distinct()
             chain_in = cur_t.join(keys, key, "left_semi").select(*batch.columns).unionByName(batch)
             untouched = cur_t.join(keys, key, "left_anti").select(*batch.columns)
-        chain_in = chain_in.dropDuplicates([key, "valid_from_dttm"] + extra)
+        chain_in = newest_versions(
+            chain_in, [key, "valid_from_dttm"] + (extra if load_time is None else []), tie)
         if detect_changes:
             chain_in = drop_unchanged(chain_in, key, "valid_from_dttm", tie)
         chain = scd2_history(chain_in, key, "valid_from_dttm", tie)
@@ -211,9 +220,12 @@ def fact_increment(spark: SparkSession, root: str, run_id: int) -> None:
     new = changes.filter(F.col("processed_src_dttm") > wm)
     # A key re-inserted by several unconsumed runs (catch-up after a failed
     # fact run) is in the ODS only as its newest insert: keep that run's copies.
-    newest = new.groupBy("doc_id", "link").agg(F.max("run_id").alias("_r"))
-    new = (new.join(newest, ["doc_id", "link"]).filter(F.col("run_id") == F.col("_r"))
-              .drop("_r", "run_id"))
+    # Offers without a link are offers too: the match is null-safe.
+    newest = (new.groupBy("doc_id", "link").agg(F.max("run_id").alias("_r"))
+                 .withColumnsRenamed({"doc_id": "_d", "link": "_l"}))
+    new = (new.join(newest, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("link").eqNullSafe(F.col("_l"))
+                    & (F.col("run_id") == F.col("_r")))
+              .drop("_d", "_l", "_r", "run_id"))
     publish(fact_offers(new).withColumn("run_id", F.lit(run_id)), fact_p, ["run_id"])
 
 
@@ -263,18 +275,91 @@ def refresh_marts(spark: SparkSession, root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+# --- run table -------------------------------------------------------------------
+
+RUN_SCHEMA = ("source string, load_time timestamp, n_docs long, mark long, status string")
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per run: run_id, source, load_time, n_docs, mark, status."""
+    return read_if_exists(spark, f"{root}/_runs")
+
+
+def batch_mark(docs: DataFrame) -> tuple[int, int]:
+    """(rows, order-free hash) of a batch: tells whether a run id is used for other data."""
+    cols = [F.col(c) for c in docs.columns]
+    row = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.pmod(F.xxhash64(*cols), F.lit(1 << 40))), F.lit(0))).first()
+    return int(row[0]), int(row[1])
+
+
+def next_run_id(spark: SparkSession, root: str, source: str) -> int:
+    """The run of this source if it has begun before, else a new one."""
+    runs = read_runs(spark, root)
+    if runs is None:
+        return 1
+    row = runs.agg(F.max(F.when(F.col("source") == source, F.col("run_id"))), F.max("run_id")).first()
+    return int(row[0] if row[0] is not None else row[1] + 1)
+
+
+def _write_run(spark: SparkSession, root: str, run_id: int, values: tuple) -> None:
+    spark.createDataFrame([values], RUN_SCHEMA).coalesce(1).write.mode("overwrite") \
+        .parquet(f"{root}/_runs/run_id={run_id}")
+
+
+def begin_run(spark: SparkSession, root: str, run_id: int, mark: tuple[int, int], load_time,
+              source: str | None) -> bool:
+    """Record a run before it changes anything; True if it was done already.
+
+    A run id that was used for other documents, or a load time before that of an
+    earlier run, is an error: both would lose rows without a sign.
+    """
+    runs = read_runs(spark, root)
+    if runs is not None:
+        row = runs.filter(F.col("run_id") == run_id).first()
+        if row is not None:
+            if (row["n_docs"], row["mark"]) != mark:
+                raise ValueError(f"run {run_id} was used for other documents")
+            return row["status"] == "done"
+        last = runs.agg(F.max("load_time")).first()[0]
+        if load_time is not None and last is not None and load_time < last:
+            raise ValueError(f"run {run_id} loads at {load_time}, before {last}")
+    _write_run(spark, root, run_id, (source, load_time, *mark, "started"))
+    return False
+
+
+def _instant(spark: SparkSession, value):
+    """A load time as a Python value (one literal row)."""
+    return spark.range(1).select((F.current_timestamp() if value is None else F.lit(value)).cast("timestamp")).first()[0]
+
+
 def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int, processed_at,
                   endpoint: str | None = DEFAULT_ENDPOINT, latest_mode: str = "append",
                   detect_changes: bool = True, with_marts: bool = True, buckets: int = 16,
-                  tie: str | None = "event_id") -> None:
+                  tie: str | None = "event_id", load_time=None, loaded_at: str | None = None,
+                  source: str | None = None) -> None:
     """One hourly slice end to end: log (I1-I3) -> stg (B1) -> ods (C1, A9) ->
-    fact (A8) -> latest (A10) -> marts (A6) (I5)."""
-    apply_log_batch(spark, root, docs, run_id, tie=tie, buckets=buckets,
-                    detect_changes=detect_changes)
-    cur = spark.read.parquet(f"{root}/raw/current").drop("bucket")
-    stg = stage_current(cur, endpoint)
-    ods_increment(spark, root, stg, run_id, processed_at, buckets=buckets)
-    fact_increment(spark, root, run_id)
-    latest_increment(spark, root, run_id, latest_mode)
-    if with_marts:
-        refresh_marts(spark, root)
+    fact (A8) -> latest (A10) -> marts (A6) (I5).
+
+    The batch is loaded at ``load_time`` (default: ``processed_at``, else now), so
+    late and re-read documents are newer versions and reach every model. With
+    ``loaded_at`` the documents carry their load time in that column instead. A run
+    is recorded in the run table with a mark of its documents; running it again is
+    a no-op, running other documents under its id is an error.
+    """
+    if loaded_at is None:
+        load_time = _instant(spark, load_time if load_time is not None else processed_at)
+    mark = batch_mark(docs)
+    if begin_run(spark, root, run_id, mark, load_time, source):
+        return
+    if mark[0]:
+        apply_log_batch(spark, root, docs, run_id, tie=tie, buckets=buckets, detect_changes=detect_changes,
+                        load_time=load_time, **({"loaded_at": loaded_at} if loaded_at else {}))
+        cur = spark.read.parquet(f"{root}/raw/current").drop("bucket")
+        stg = stage_current(cur, endpoint)
+        ods_increment(spark, root, stg, run_id, processed_at, buckets=buckets)
+        fact_increment(spark, root, run_id)
+        latest_increment(spark, root, run_id, latest_mode)
+        if with_marts:
+            refresh_marts(spark, root)
+    _write_run(spark, root, run_id, (source, load_time, *mark, "done"))
+    remove_path(spark, f"{root}/_staging/run={run_id}")

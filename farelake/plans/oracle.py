@@ -246,11 +246,7 @@ FROM rollup_m
 """
 
 ORACLE["pivot_month_year"] = MONTHLY_CTE + """
-SELECT month_num,
-""" + ",\n".join(
-    f"       round(avg(avg_price) FILTER (WHERE year = {y}), 6) AS \"{y}\"" for y in range(1995, 2002)
-) + """
-FROM monthly GROUP BY month_num
+SELECT month_num, year, round(avg(avg_price), 6) AS avg_price FROM monthly GROUP BY month_num, year
 """
 
 ORACLE["cheapest_months"] = MONTHLY_CTE + """
@@ -318,7 +314,6 @@ FROM qs JOIN tails USING (departure_weekday_short)
 ORACLE["offers_sample"] = FACT_CTE + """
 SELECT doc_id, link, departure_weekday_short, price_rub FROM fact
 WHERE departure_weekday_short IS NOT NULL
-ORDER BY doc_id, link LIMIT 10000
 """
 
 # --- requests, code lists, collection log ------------------------------------
@@ -333,8 +328,8 @@ CODES_SELECT = """
 ORACLE["code_list"] = CODES_SELECT
 
 PAIRS_CTE = f"""
-WITH codes AS ({CODES_SELECT}),
-pairs AS (SELECT o.code AS origin, d.code AS destination FROM codes o JOIN codes d ON o.code <> d.code)
+WITH {OFFER_DOCS},
+pairs AS (SELECT DISTINCT origin, destination FROM offers WHERE origin <> destination)
 """
 
 ORACLE["ordered_pairs"] = PAIRS_CTE + "SELECT origin, destination FROM pairs"
@@ -578,6 +573,37 @@ l3 AS (SELECT * REPLACE (CAST(3 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS
 SELECT {FACT_OUT}, rn, run_id FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)
 """
 
+ORACLE["late_updates"] = f"""
+WITH {EVENT_DOCS},
+cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
+                min(batch_started_at) + INTERVAL 20 DAY AS c2 FROM docs),
+due AS (SELECT docs.*, CASE WHEN created_at < c1 THEN 1 WHEN created_at < c2 THEN 2 ELSE 3 END AS slice
+        FROM docs, cuts),
+landed AS (
+  SELECT doc_id, event_id, created_at, updated_at, status_code, n_offers, value,
+         least(3, slice + CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END) AS run FROM due
+  UNION ALL
+  SELECT doc_id, event_id, created_at, updated_at + INTERVAL 1 HOUR, 203, n_offers, value,
+         least(3, slice + 1) FROM due WHERE event_id % 7 = 0),
+versions AS (
+  SELECT *, TIMESTAMP '2026-01-01 00:00:00' + to_hours(CAST(run AS INTEGER)) AS loaded_at FROM landed
+  QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
+offers AS (
+  SELECT doc_id, event_id, run, status_code, loaded_at,
+         '/e?id=' || event_id || '&search_date=' || strftime(created_at, '%d%m%Y') AS link,
+         CAST(round(value * 100) AS INTEGER) AS price_rub, unnest(range(n_offers)) AS copy_no
+  FROM versions)
+SELECT 'raw' AS model, doc_id, CAST(NULL AS VARCHAR) AS link, CAST(NULL AS INTEGER) AS price_rub,
+       CAST(status_code AS INTEGER) AS status_code, loaded_at,
+       lead(loaded_at) OVER (PARTITION BY doc_id ORDER BY run) AS closed_at
+FROM versions
+UNION ALL
+SELECT 'ods', doc_id, link, price_rub, CAST(status_code AS INTEGER), loaded_at, NULL
+FROM (SELECT * FROM offers QUALIFY run = max(run) OVER (PARTITION BY doc_id, event_id))
+UNION ALL
+SELECT 'fact', doc_id, link, price_rub, CAST(status_code AS INTEGER), loaded_at, NULL FROM offers
+"""
+
 # --- data quality ---------------------------------------------------------------
 
 CHECK_OUT = "test, model, \"column\", severity, tags, failures, status, detail"

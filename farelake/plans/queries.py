@@ -22,9 +22,8 @@ from farelake.operators import requests as rq
 from farelake.plans import incremental as inc
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
-from farelake.sources.fixtures import offer_log
-from farelake.sources.log import (code_list_from, land_documents_json, read_code_list,
-                                 read_landing, read_since_table)
+from farelake.sources.fixtures import offer_log, offer_rows
+from farelake.sources.log import land_documents_json, read_code_list, read_landing, read_since_table
 from farelake.sources.tables import read_table
 from farelake.plans.refresh import RUN_TS, offer_fact, offer_ods, offer_stage, to_output
 from farelake.session import prepare, scratch_path
@@ -204,7 +203,7 @@ def q_box_stats(spark, sf_dir):
 
 @query("offers_sample")
 def q_offers_sample(spark, sf_dir):
-    return stats.offers_sample(offer_fact(spark, sf_dir), n=10000)
+    return stats.offers_sample(offer_fact(spark, sf_dir))
 
 
 # --- requests, code lists, collection log ------------------------------------
@@ -219,11 +218,6 @@ def _codes_lines(spark, sf_dir):
              .join(r, F.col("n_regionkey") == r.r_regionkey).select(F.col("r_name").alias("value")))
 
 
-def _codes(spark, sf_dir):
-    """Cities reached by the orders' customers, through the A3 text rules."""
-    return code_list_from(_codes_lines(spark, sf_dir), "value").distinct()
-
-
 @query("code_list")
 def q_code_list(spark, sf_dir):
     """The city lines written as a text file and read back with the A3 rules."""
@@ -233,16 +227,20 @@ def q_code_list(spark, sf_dir):
     return read_code_list(spark, path).distinct()
 
 
+def _routes(spark, sf_dir):
+    return rq.ordered_pairs(offer_rows(spark, sf_dir))
+
+
 @query("ordered_pairs")
 def q_ordered_pairs(spark, sf_dir):
-    return rq.ordered_pairs(_codes(spark, sf_dir))
+    return _routes(spark, sf_dir)
 
 
 @query("request_grid")
 def q_request_grid(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders")
     start = rq.latest_date(orders.select(F.col("o_orderdate").cast("date").alias("d")), "d")
-    return rq.request_grid(rq.ordered_pairs(_codes(spark, sf_dir)), start)
+    return rq.request_grid(_routes(spark, sf_dir), start)
 
 
 def _validated(spark, sf_dir):
@@ -358,7 +356,7 @@ def run_event_increments(spark, sf_dir, latest_mode: str = "append",
     docs = event_documents(spark, sf_dir)
     for r, batch in enumerate(event_slices(docs), start=1):
         inc.run_increment(spark, root, batch, r, run_ts(r), latest_mode=latest_mode,
-                          with_marts=with_marts)
+                          with_marts=with_marts, loaded_at="created_at")
     return root
 
 
@@ -395,6 +393,37 @@ def q_latest_upsert(spark, sf_dir):
     return spark.read.parquet(f"{root}/latest").select(*FACT_COLUMNS, "rn")
 
 
+@query("late_updates")
+def q_late_updates(spark, sf_dir):
+    """Raw log, ODS and fact after three runs loaded by run time, where some documents
+    land a run late and some are read again with a newer update time."""
+    root = scratch_path(spark, "late")
+    docs = event_documents(spark, sf_dir)
+    b0 = F.lit(docs.agg(F.min("batch_started_at")).first()[0]).cast("timestamp")
+    cut = lambda n: b0 + F.expr(f"interval {SLICE_DAYS * n} days")
+    due = F.when(F.col("created_at") < cut(1), 1).when(F.col("created_at") < cut(2), 2).otherwise(3)
+    late = F.when(F.col("event_id") % 11 == 0, 1).otherwise(0)
+    landed = docs.withColumn("run", F.least(F.lit(N_RUNS), due + late)).unionByName(
+        docs.filter(F.col("event_id") % 7 == 0)
+            .withColumn("run", F.least(F.lit(N_RUNS), due + 1))
+            .withColumn("updated_at", F.col("updated_at") + F.expr("interval 1 hour"))
+            .withColumn("status_code", F.lit(203)))
+    for r in range(1, N_RUNS + 1):
+        inc.run_increment(spark, root, landed.filter(F.col("run") == r).drop("run"), r, run_ts(r),
+                          with_marts=False)
+    none = F.lit(None)
+    open_ = F.col("valid_to_dttm") == F.lit(SENTINEL).cast("timestamp")
+    raw = inc.read_raw_log(spark, root, extra=["event_id"]).select(
+        F.lit("raw").alias("model"), "doc_id", none.cast("string").alias("link"),
+        none.cast("int").alias("price_rub"), "status_code", F.col("valid_from_dttm").alias("loaded_at"),
+        F.when(~open_, F.col("valid_to_dttm")).alias("closed_at"))
+    for model in ("ods", "fact"):
+        raw = raw.unionByName(spark.read.parquet(f"{root}/{model}").select(
+            F.lit(model).alias("model"), "doc_id", "link", "price_rub", "status_code",
+            F.col("processed_src_dttm").alias("loaded_at"), none.cast("timestamp").alias("closed_at")))
+    return raw
+
+
 # --- data quality ---------------------------------------------------------------
 
 def _offer_models(spark, sf_dir):
@@ -467,32 +496,34 @@ def _anomaly_out(df: DataFrame) -> DataFrame:
                      r6("z_score").alias("z_score"), "is_anomalous")
 
 
-def _anomaly_checks(spark, sf_dir) -> dict[str, DataFrame]:
-    src = metric_source(spark, sf_dir)
+def _anomaly_checks(src: DataFrame, as_of: dict | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the six checks; ``as_of``: newest time by column, if known."""
+    newest = as_of or {}
+    at = lambda column: {"as_of": newest.get(column)}
     return {
-        "dq_volume": an.volume_anomalies(src, "ts", period="12 hours", detection_period="14 days",
-                                         detection_delay="12 hours"),
-        "dq_freshness_anomaly": an.freshness_anomalies(src, "updated_ts", period="12 hours",
-                                                       detection_period="7 days",
-                                                       detection_delay="12 hours"),
-        "dq_event_freshness": an.event_freshness_anomalies(src, "ts", "updated_ts",
-                                                           period="12 hours",
-                                                           detection_delay="12 hours"),
-        "dq_dimension": an.dimension_anomalies(src, "ts", ["event_type"], period="12 hours",
-                                               detection_period="14 days",
-                                               detection_delay="12 hours"),
-        "dq_column": an.column_anomalies(src, "ts", ["value"], period="12 hours",
-                                         detection_period="14 days", detection_delay="12 hours"),
-        "dq_all_columns": an.all_columns_anomalies(
+        "dq_volume": lambda: an.volume_anomalies(
+            src, "ts", period="12 hours", detection_period="14 days", detection_delay="12 hours", **at("ts")),
+        "dq_freshness_anomaly": lambda: an.freshness_anomalies(
+            src, "updated_ts", period="12 hours", detection_period="7 days", detection_delay="12 hours",
+            **at("updated_ts")),
+        "dq_event_freshness": lambda: an.event_freshness_anomalies(
+            src, "ts", "updated_ts", period="12 hours", detection_delay="12 hours", **at("ts")),
+        "dq_dimension": lambda: an.dimension_anomalies(
+            src, "ts", ["event_type"], period="12 hours", detection_period="14 days",
+            detection_delay="12 hours", **at("ts")),
+        "dq_column": lambda: an.column_anomalies(
+            src, "ts", ["value"], period="12 hours", detection_period="14 days",
+            detection_delay="12 hours", **at("ts")),
+        "dq_all_columns": lambda: an.all_columns_anomalies(
             src.select("ts", "event_type", "value", "user_id"), "ts", period="1 day",
-            detection_period="14 days", detection_delay=None),
+            detection_period="14 days", detection_delay=None, **at("ts")),
     }
 
 
 def _register_anomaly(name: str):
     @query(name)
     def q(spark, sf_dir):
-        return _anomaly_out(_anomaly_checks(spark, sf_dir)[name])
+        return _anomaly_out(_anomaly_checks(metric_source(spark, sf_dir))[name]())
     q.__name__ = f"q_{name}"
     return q
 
@@ -504,7 +535,9 @@ for _name in ["dq_volume", "dq_freshness_anomaly", "dq_event_freshness", "dq_dim
 
 @query("dq_report")
 def q_dq_report(spark, sf_dir):
-    summaries = [an.anomaly_summary(df, "events") for df in _anomaly_checks(spark, sf_dir).values()]
+    src = metric_source(spark, sf_dir)
+    newest = src.agg(F.max("ts").alias("ts"), F.max("updated_ts").alias("updated_ts")).first().asDict()
+    summaries = [an.anomaly_summary(check(), "events") for check in _anomaly_checks(src, newest).values()]
     return dq.dq_report(*_dq_basic(spark, sf_dir), *summaries)
 
 
@@ -520,6 +553,6 @@ def q_stream_ingest(spark, sf_dir):
     for batch in event_slices(docs):
         land_documents(batch, landing, files=2)
     q = stream_ingest(spark, landing, root, docs.schema, max_files_per_trigger=2,
-                      processed_at=run_ts, with_marts=False)
+                      processed_at=run_ts, with_marts=False, loaded_at="created_at")
     q.awaitTermination()
     return _history_out(inc.read_raw_log(spark, root, extra=["event_id"]))

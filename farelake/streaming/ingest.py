@@ -3,9 +3,10 @@
 The file source picks up new landing files; each micro-batch runs the same
 increment as the batch jobs (SCD2 log -> staging -> ODS -> fact -> latest ->
 marts) inside ``foreachBatch``. The streaming checkpoint records which files
-are done; the increment itself is idempotent per batch id (staged, then
-published by partition overwrite), so a replayed micro-batch after a failure
-gives the same tables.
+are done; a micro-batch is a run of the state root, known by its checkpoint and
+epoch, and idempotent (staged, then published by partition overwrite), so a
+replayed micro-batch after a failure gives the same tables, and a new checkpoint on
+an old root starts new runs.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from farelake.plans.incremental import run_increment
+from farelake.plans.incremental import next_run_id, run_increment
 
 
 def stream_ingest(spark: SparkSession, source_dir: str, root: str, schema: T.StructType,
@@ -33,14 +34,15 @@ def stream_ingest(spark: SparkSession, source_dir: str, root: str, schema: T.Str
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     docs = reader.load(source_dir)
+    folder = checkpoint or f"{root}/_stream_checkpoint"
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        run_id = int(epoch_id) + 1
+        source = f"{folder}#{epoch_id}"
+        run_id = next_run_id(batch.sparkSession, root, source)
         ts = processed_at(run_id) if processed_at else None
-        run_increment(batch.sparkSession, root, batch, run_id, ts, **run_kw)
+        run_increment(batch.sparkSession, root, batch, run_id, ts, source=source, **run_kw)
 
-    w = (docs.writeStream.foreachBatch(each_batch)
-             .option("checkpointLocation", checkpoint or f"{root}/_stream_checkpoint"))
+    w = docs.writeStream.foreachBatch(each_batch).option("checkpointLocation", folder)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 

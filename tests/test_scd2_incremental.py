@@ -102,7 +102,7 @@ def test_fact_catches_up_after_a_skipped_run(spark):
     for r in (1, 2, 3):
         b = d.filter(f"event_id = {r}")
         if r == 2:  # fact and latest do not run for run 2
-            inc.apply_log_batch(spark, skipped, b, r)
+            inc.apply_log_batch(spark, skipped, b, r, load_time=f"2026-01-01 0{r}:00:00")
             stg = stage_current(spark.read.parquet(f"{skipped}/raw/current").drop("bucket"))
             inc.ods_increment(spark, skipped, stg, r, f"2026-01-01 0{r}:00:00")
         else:
@@ -116,3 +116,68 @@ def test_fact_catches_up_after_a_skipped_run(spark):
     ods_b = spark.read.parquet(f"{skipped}/ods").filter("doc_id = 'b'").first().processed_at
     fact_b = spark.read.parquet(f"{skipped}/fact").filter("doc_id = 'b'").first().processed_at
     assert ods_b == fact_b
+
+
+OFFER = ('{"success":true,"data":[{"link":%s,"price":%d,"departure_at":"2025-01-02T00:00:00+00:00",'
+         '"origin":"O","destination":"D"}]}')
+
+
+def raw_docs(spark, rows):
+    """rows: (doc_id, created, updated, event_id, response)."""
+    return spark.createDataFrame([(k, DEFAULT_ENDPOINT, '{"one_way":"true"}', body, 200, False, c, u, c, e)
+                                  for k, c, u, e, body in rows], DOC)
+
+
+def prices(spark, root, model):
+    return sorted((r.doc_id, r.link, r.price_rub) for r in
+                  spark.read.parquet(f"{root}/{model}").select("doc_id", "link", "price_rub").collect())
+
+
+def test_late_updated_and_linkless_documents_reach_every_model(spark):
+    from farelake.operators.scd2 import overlapping_versions
+    root = scratch_path(spark, "t-late")
+    run = lambda r, rows: inc.run_increment(spark, root, raw_docs(spark, rows), r, f"2026-01-01 0{r}:00:00",
+                                            with_marts=False)
+    run(1, [("a", ts(1, 10), ts(1, 10), 1, OFFER % ('"/x"', 5)), ("n", ts(1, 10), ts(1, 10), 2, OFFER % ("null", 8))])
+    run(2, [("b", ts(1, 8), ts(1, 12), 3, OFFER % ('"/y"', 6)),            # called before, answered after run 1
+            ("a", ts(1, 10), ts(1, 11), 1, OFFER % ('"/x"', 9)),           # read again, same call, newer answer
+            ("a", ts(1, 10), ts(1, 10), 1, OFFER % ('"/x"', 7))])          # an older answer of the same batch
+    assert prices(spark, root, "fact") == [("a", "/x", 5), ("a", "/x", 9), ("b", "/y", 6), ("n", None, 8)]
+    assert [p for p in prices(spark, root, "ods") if p[1]] == [("a", "/x", 9), ("b", "/y", 6)]
+    log = inc.read_raw_log(spark, root, extra=["event_id"])
+    assert sorted((r.doc_id, r.valid_from_dttm.hour) for r in log.collect()) == [("a", 1), ("a", 2), ("b", 2), ("n", 1)]
+    run(3, [("a", ts(1, 4), ts(1, 4), 9, OFFER % ('"/z"', 1))])            # an older call, loaded last
+    assert overlapping_versions(inc.read_raw_log(spark, root)).count() == 0
+
+
+def test_run_table_refuses_other_documents_and_takes_empty_batches(spark):
+    import pytest
+    root = scratch_path(spark, "t-runs")
+    one = raw_docs(spark, [("a", ts(1), ts(1), 1, OFFER % ('"/x"', 5))])
+    inc.run_increment(spark, root, one.limit(0), 1, "2026-01-01 01:00:00", with_marts=False)  # empty first batch
+    inc.run_increment(spark, root, one, 2, "2026-01-01 02:00:00", with_marts=False)
+    with pytest.raises(ValueError, match="other documents"):
+        inc.run_increment(spark, root, raw_docs(spark, [("b", ts(1), ts(1), 2, "{}")]), 2, "2026-01-01 02:00:00")
+    with pytest.raises(ValueError, match="before"):
+        inc.run_increment(spark, root, one, 3, "2026-01-01 01:30:00")
+    assert inc.next_run_id(spark, root, "other#0") == 3
+    assert {r.run_id: r.status for r in inc.read_runs(spark, root).collect()} == {1: "done", 2: "done"}
+
+
+def test_new_stream_checkpoint_on_an_old_root_loses_nothing(spark, tmp_dir):
+    from farelake.streaming.ingest import stream_ingest
+    root = scratch_path(spark, "t-stream")
+    for n, key in enumerate("ab", 1):
+        rows = raw_docs(spark, [(key, ts(n), ts(n), n, OFFER % (f'"/{key}"', n))])
+        rows.write.parquet(f"{tmp_dir}/land{n}")
+        stream_ingest(spark, f"{tmp_dir}/land{n}", root, rows.schema, checkpoint=f"{tmp_dir}/ckpt{n}",
+                      processed_at=lambda r: f"2026-01-01 0{r}:00:00", with_marts=False).awaitTermination()
+    assert prices(spark, root, "fact") == [("a", "/a", 1), ("b", "/b", 2)]
+
+
+def test_unchanged_means_nulls_in_the_same_columns(spark):
+    from farelake.operators.scd2 import drop_unchanged
+    rows = raw_docs(spark, [("a", ts(1), ts(1), 1, "x"), ("a", ts(1), ts(1), 2, "x")]).withColumn("valid_from_dttm", F.col("created_at"))
+    moved = rows.withColumn("updated_at", F.when(F.col("event_id") == 1, F.col("updated_at"))) \
+        .withColumn("batch_started_at", F.when(F.col("event_id") == 2, F.col("batch_started_at")))
+    assert drop_unchanged(moved).count() == 2 and drop_unchanged(rows).count() == 1
