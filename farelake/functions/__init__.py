@@ -1,7 +1,7 @@
 """Column expressions shared by the operators (all JVM built-ins, no UDF)."""
 
 from farelake.functions.json import (  # noqa: F401
-    json_field, json_len, quoted_json_text, parse_request, parse_response,
+    json_len, quoted_json_text, parse_request, parse_response,
 )
 from farelake.functions.dates import (  # noqa: F401
     month_from_text, search_date_from_link, weekday_short, weekday_full,

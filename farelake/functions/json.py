@@ -17,11 +17,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def json_field(doc, path: str) -> Column:
-    """Text of a JSON path (``j ->> 'k'`` / ``j -> 'k'``); NULL when absent."""
-    return F.get_json_object(_c(doc), path)
-
-
 def json_len(doc, path: str = "$.data") -> Column:
     """Number of elements of a JSON array at ``path``; 0 when missing or not an array."""
     return F.coalesce(F.json_array_length(F.get_json_object(_c(doc), path)), F.lit(0))
@@ -29,8 +24,8 @@ def json_len(doc, path: str = "$.data") -> Column:
 
 def quoted_json_text(text) -> Column:
     """A JSON string literal of a text column (``to_json`` rejects bare strings)."""
-    esc = F.regexp_replace(F.regexp_replace(_c(text), r"\\", r"\\\\"), '"', r'\\"')
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    array = F.to_json(F.array(_c(text)))
+    return F.when(_c(text).isNotNull(), F.substring(array, F.lit(2), F.length(array) - 2))
 
 
 def parse_request(doc) -> Column:

@@ -15,6 +15,7 @@ from farelake.schemas import (CURRENCIES, DATE_TEXT_LENGTHS, IATA_PATTERN, LIMIT
                               UNKNOWN_API_ERROR)
 
 BOOL_TEXT = ["true", "false"]
+FALSY = ["false", "null", "", "[]", "{}"]
 
 
 def _text_bool_ok(c) -> F.Column:
@@ -84,16 +85,17 @@ def normalize_requests(df: DataFrame) -> DataFrame:
 def classify_responses(log: DataFrame) -> DataFrame:
     """Success flag and error message of each stored response.
 
-    An object response with a falsy ``success`` is an error whose message is
-    its ``error`` text or 'Unknown API error'; a bare JSON string response is
+    An object response whose ``success`` is missing or falsy (false, null, 0,
+    an empty text, list or object) is an error whose message is its ``error`` text or 'Unknown API error'; a bare JSON string response is
     an error whose message is that text.
     """
     resp = F.trim(F.col("response"))
     is_obj = resp.startswith("{")
     is_text = resp.startswith('"')
-    success = F.lower(F.get_json_object("response", "$.success"))
-    ok = is_obj & success.isin("true") & F.coalesce(F.col("error"), F.lit(False)).eqNullSafe(False)
-    text = F.regexp_replace(F.regexp_extract(resp, r'^"(.*)"$', 1), r'\\(.)', "$1")
+    success = F.coalesce(F.get_json_object("response", "$.success"), F.lit(""))
+    falsy = success.isin(*FALSY) | F.coalesce(success.try_cast("double") == 0, F.lit(False))
+    ok = is_obj & ~falsy & F.coalesce(F.col("error"), F.lit(False)).eqNullSafe(False)
+    text = F.from_json(F.concat(F.lit("["), resp, F.lit("]")), "array<string>")[0]
     message = (F.when(ok, F.lit(None))
                .when(is_text, text)
                .otherwise(F.coalesce(F.nullif(F.get_json_object("response", "$.error"), F.lit("")),
@@ -101,21 +103,14 @@ def classify_responses(log: DataFrame) -> DataFrame:
     return log.withColumn("is_success", ok).withColumn("error_message", message)
 
 
-def ordered_pairs(codes: DataFrame, column: str = "code", max_codes: int = 1000) -> DataFrame:
-    """All ordered (origin, destination) pairs of distinct codes, origin != destination.
+def ordered_pairs(routes: DataFrame) -> DataFrame:
+    """The distinct (origin, destination) routes of a log, origin != destination.
 
-    The code list is a small dimension; its size is checked first (one scalar
-    aggregate) and it is then folded into one array and expanded with
-    generators -- no join. Output is ``n*(n-1)`` rows by definition.
+    The pairs come from the routes the data hold, by one partial aggregate: the
+    result grows with the routes in use, not with the square of the codes.
     """
-    distinct = codes.select(F.col(column).alias("code")).filter(F.col("code").isNotNull()).distinct()
-    n = distinct.count()
-    if n > max_codes:
-        raise ValueError(f"code list has {n} codes, more than max_codes={max_codes}")
-    arr = distinct.agg(F.array_sort(F.collect_list("code")).alias("codes"))
-    return (arr.select(F.explode("codes").alias("origin"), "codes")
-               .select("origin", F.explode(F.filter("codes", lambda d: d != F.col("origin")))
-                       .alias("destination")))
+    return (routes.select("origin", "destination")
+                  .filter((F.col("origin") != F.col("destination"))).distinct())
 
 
 def request_grid(pairs: DataFrame, start, one_way_flags=(True, False),

@@ -14,10 +14,10 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelake.operators.common import small_side
 from farelake.functions.buckets import lead_bucket, lead_bucket_order
 from farelake.functions.dates import days_between, weekday_order
 from farelake.schemas import LEAD_BIN_LABELS
+from farelake.session import scratch_path
 
 
 # --- D4 / D5 ---------------------------------------------------------------
@@ -153,23 +153,15 @@ def month_rollup(monthly: DataFrame) -> DataFrame:
                    .orderBy("month_num"))
 
 
-def year_values(monthly: DataFrame) -> list[int]:
-    """Years of the pivot columns: the range between the first and last year.
+def pivot_month_year(monthly: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """Mean monthly price by month_num and year.
 
-    A one-row aggregate (two scalars) is read on the driver; the range size is
-    bounded by the calendar, not by the data volume.
+    Long form (month_num, year, avg_price), one row per cell that has data; with
+    ``years`` the matrix of those years, one column each.
     """
-    row = monthly.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return []
-    return list(range(int(row["lo"]), int(row["hi"]) + 1))
-
-
-def pivot_month_year(monthly: DataFrame, years: list[int] | None = None) -> DataFrame:
-    """Matrix month_num x year of mean monthly price (D9); one column per year."""
-    years = year_values(monthly) if years is None else list(years)
-    return (monthly.groupBy("month_num").pivot("year", years).agg(F.avg("avg_price"))
-                   .orderBy("month_num"))
+    if years is None:
+        return monthly.groupBy("month_num", "year").agg(F.avg("avg_price").alias("avg_price"))
+    return monthly.groupBy("month_num").pivot("year", list(years)).agg(F.avg("avg_price"))
 
 
 # --- D10 / D11 / F3 ----------------------------------------------------------
@@ -189,9 +181,11 @@ def cheapest_weekdays(weekly: DataFrame, k: int = 2) -> DataFrame:
                   .select("departure_weekday_short", "departure_weekday_full", "avg_price"))
 
 
-def _finding(df: DataFrame, name: str, label, value) -> DataFrame:
-    return df.select(F.lit(name).alias("finding"), label.cast("string").alias("label"),
-                     value.cast("double").alias("value"))
+def _findings(df: DataFrame, *findings) -> DataFrame:
+    """Rows (finding, label, value) from one aggregate row."""
+    cells = [F.struct(F.lit(name).alias("finding"), label.cast("string").alias("label"),
+                      value.cast("double").alias("value")) for name, label, value in findings]
+    return df.select(F.inline(F.array(*cells)))
 
 
 def price_extremes(monthly: DataFrame, weekly: DataFrame, buckets: DataFrame,
@@ -199,8 +193,8 @@ def price_extremes(monthly: DataFrame, weekly: DataFrame, buckets: DataFrame,
     """Arg-min / arg-max findings and spreads as rows ``(finding, label, value)``.
 
     Ties go to the first in natural order (month number, week order, bin
-    order, lead day), as ``idxmin``/``idxmax`` do. Inputs are aggregated
-    series; each finding is one aggregate row, and the rows are unioned.
+    order, lead day), as ``idxmin``/``idxmax`` do. Each aggregated series gives
+    one row, whose findings are laid out as rows.
     """
     roll = month_rollup(monthly).filter(F.col("avg_price").isNotNull())
     wk = weekly.filter(F.col("avg_price").isNotNull())
@@ -227,21 +221,18 @@ def price_extremes(monthly: DataFrame, weekly: DataFrame, buckets: DataFrame,
     d = dd.agg(F.min_by("days_before_departure",
                         argmin("avg_price", "days_before_departure")).alias("day"),
                F.min("avg_price").alias("v"))
-    parts = [
-        _finding(m, "most_expensive_month", F.col("hi_m"), F.col("hi_v")),
-        _finding(m, "month_spread", F.lit(None), F.col("hi_v") - F.col("lo_v")),
-        _finding(w, "best_weekday", F.col("best"), F.col("best_v")),
-        _finding(w, "worst_weekday", F.col("worst"), F.col("worst_v")),
-        _finding(w, "weekday_saving", F.lit(None), F.col("worst_v") - F.col("best_v")),
-        _finding(w, "weekday_saving_pct", F.lit(None),
-                 (F.col("worst_v") - F.col("best_v")) / F.col("worst_v") * 100),
-        _finding(b, "cheapest_lead_bucket", F.col("best"), F.col("best_v")),
-        _finding(b, "dearest_lead_bucket", F.col("worst"), F.col("worst_v")),
-        _finding(d, "optimal_lead_day", F.col("day"), F.col("v")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    c = F.col
+    out = _findings(
+        m, ("most_expensive_month", c("hi_m"), c("hi_v")),
+        ("month_spread", F.lit(None), c("hi_v") - c("lo_v")))
+    out = out.unionByName(_findings(
+        w, ("best_weekday", c("best"), c("best_v")), ("worst_weekday", c("worst"), c("worst_v")),
+        ("weekday_saving", F.lit(None), c("worst_v") - c("best_v")),
+        ("weekday_saving_pct", F.lit(None), (c("worst_v") - c("best_v")) / c("worst_v") * 100)))
+    out = out.unionByName(_findings(
+        b, ("cheapest_lead_bucket", c("best"), c("best_v")),
+        ("dearest_lead_bucket", c("worst"), c("worst_v"))))
+    out = out.unionByName(_findings(d, ("optimal_lead_day", c("day"), c("v"))))
     return out.filter(F.col("value").isNotNull() | F.col("label").isNotNull())
 
 
@@ -251,14 +242,18 @@ def box_stats(fact: DataFrame, group: str = "departure_weekday_short",
               value: str = "price_rub", whisker: float = 1.5) -> DataFrame:
     """Five-number summary with 1.5*IQR whiskers and outlier count per group.
 
-    Quartiles come from one aggregate, checkpointed once; whiskers and
-    outliers from a second pass joined to that per-group table (broadcast
-    after a size check).
+    The rows are first counted by (group, value) and that table is written once;
+    quartiles, whiskers and outliers all come from it, so the source is read a
+    single time and no state grows with the rows.
     """
-    base = fact.filter(F.col(group).isNotNull()).select(group, value)
+    base = fact.filter(F.col(group).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
+    path = scratch_path(fact.sparkSession, "box")
+    base.write.parquet(path)
+    base = fact.sparkSession.read.schema(base.schema).parquet(path)
     qs = (base.groupBy(group)
-              .agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-                   F.count(value).alias("n"), F.min(value).alias("min_value"),
+              .agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("c")).alias("q"),
+                   F.sum(F.when(F.col(value).isNotNull(), F.col("c")).otherwise(0)).alias("n"),
+                   F.min(value).alias("min_value"),
                    F.max(value).alias("max_value"))
               .select(group, "n", "min_value", "max_value",
                       F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
@@ -266,12 +261,11 @@ def box_stats(fact: DataFrame, group: str = "departure_weekday_short",
     lo = F.col("q1") - whisker * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
     v = F.col(value)
-    qs = small_side(qs)
     tails = (base.join(qs.select(group, "q1", "q3"), group)
                  .groupBy(group)
                  .agg(F.min(F.when(v >= lo, v)).alias("whisker_low"),
                       F.max(F.when(v <= hi, v)).alias("whisker_high"),
-                      F.count(F.when((v < lo) | (v > hi), True)).alias("outliers")))
+                      F.sum(F.when((v < lo) | (v > hi), F.col("c")).otherwise(0)).alias("outliers")))
     return (qs.join(tails, group)
               .select(group, "n", "min_value", "q1", "median", "q3", "max_value",
                       (F.col("q3") - F.col("q1")).alias("iqr"), "whisker_low", "whisker_high",
@@ -280,8 +274,7 @@ def box_stats(fact: DataFrame, group: str = "departure_weekday_short",
 
 def offers_sample(fact: DataFrame, n: int | None = None,
                   order: tuple[str, ...] = ("doc_id", "link")) -> DataFrame:
-    """Weekday and price of offers; ``n`` keeps the first ``n`` in a total order
-    (deterministic, planned as a distributed top-k) (F4). Default: all rows."""
+    """Weekday and price of all offers (F4); ``n`` keeps the first ``n`` in a total order."""
     df = fact.filter(F.col("departure_weekday_short").isNotNull()) \
         .select(*order, "departure_weekday_short", "price_rub")
     if n is None:

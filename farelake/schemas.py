@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Open-version marker of the SCD2 log: 5999-12-31 00:00:00 UTC.
 SENTINEL = _dt.datetime(5999, 12, 31, 0, 0, 0)
-SENTINEL_SQL = "TIMESTAMP'5999-12-31 00:00:00'"
 # Price bucket edges: < 5000 cheap; 5000..15000 (inclusive) medium; else expensive.
 CHEAP_BELOW = 5000
 MEDIUM_UP_TO = 15000
@@ -78,10 +77,6 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("data", T.ArrayType(OFFER_SCHEMA)),
 ])
 
-# Full-request schema used by validation / normalisation (all text).
-FULL_REQUEST_FIELDS = ["origin", "destination", "currency", "departure_at", "return_at",
-                       "one_way", "direct", "market", "limit", "page", "sorting", "unique"]
-
 ODS_COLUMNS = [
     "doc_id", "endpoint", "batch_started_at", "status_code", "error", "created_at",
     "updated_at", "processed_src_dttm", "processed_at", "req_origin", "req_destination",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,7 +34,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """Session for tests and local runs; on a cluster use the provided session."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = {**DEFAULT_CONF, **REQUIRED_CONF,
-            "spark.sql.shuffle.partitions": str(shuffle_partitions)}
+            "spark.sql.shuffle.partitions": str(shuffle_partitions),
+            # Local test files are one row group each; see sources.tables.spread.
+            "spark.farelake.scan.partitions": str(shuffle_partitions)}
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -55,13 +58,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised state.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the directory set on the
-    SparkContext). Only when neither is set -- local runs and tests -- a fresh
-    temporary folder is created and registered as the checkpoint dir.
+    SparkContext). Only in local runs and tests, where neither is set, a fresh
+    temporary folder is created and registered as the checkpoint dir; on a
+    cluster a folder of one machine would lose rows, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="farelake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -74,11 +80,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/farelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for os.path checks in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path."""
     jvm = spark.sparkContext._jvm
@@ -87,5 +88,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of finished job state through its Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 __all__ = ["build_session", "prepare", "checkpoint_root", "scratch_path",
-           "local_path", "path_exists"]
+           "path_exists", "remove_path"]

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.operators.common import small_side
 from farelake.schemas import DEFAULT_ENDPOINT, OFFERS_PER_CALL, SENTINEL
 from farelake.sources.log import build_documents
 from farelake.sources.tables import read_table, spread
@@ -78,15 +77,15 @@ def offer_log(spark: SparkSession, sf_dir: str, limit: int = OFFERS_PER_CALL,
     A call returns one route and departure month; calls with more offers than
     ``limit`` are split into pages, so every document holds about ``limit``
     offers no matter how hot the route is. Page count comes from a partial
-    aggregate (one row per call: routes x months x trip type), checkpointed
-    and broadcast after a size check. The offers are therefore not shuffled by
-    call; the document grouping shuffles by (call, page), which splits a hot
-    route over its pages.
+    aggregate (one row per call: routes x months x trip type); Spark decides by
+    its measured size how to join it, and splits a hot route in a shuffle join.
+    The document grouping shuffles by (call, page), which splits a hot route
+    over its pages.
     """
     offers = offer_rows(spark, sf_dir).withColumn(
         "dep_month", F.date_format("departure_at", "yyyy-MM"))
     call = ["origin", "destination", "dep_month", "one_way"]
-    sizes = small_side(offers.groupBy(*call).agg(F.count(F.lit(1)).alias("call_n")))
+    sizes = offers.groupBy(*call).agg(F.count(F.lit(1)).alias("call_n"))
     n_pages = F.ceil(F.col("call_n") / F.lit(limit))
     paged = (offers.join(sizes, call)
              .withColumn("page", (F.pmod(F.col("l_orderkey") * 8 + F.col("l_linenumber"), n_pages) + 1)

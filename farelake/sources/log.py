@@ -100,7 +100,9 @@ def create_raw_table(spark: SparkSession, database: str = "raw",
                      table: str = "api_log", location: str | None = None) -> str:
     """Create-if-missing namespace and raw log table with the fixed schema (A4)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
+    default = {"valid_from_dttm": " DEFAULT current_timestamp()",
+               "valid_to_dttm": f" DEFAULT TIMESTAMP '{SENTINEL}'"}
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}{default.get(f.name, '')}" for f in LOG_SCHEMA.fields)
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({cols}) USING parquet{loc}")
     return f"{database}.{table}"
@@ -127,15 +129,3 @@ def build_documents(calls: DataFrame, extra: list[str] | None = None) -> DataFra
         F.col("http_status").cast("int").alias("status_code"), F.lit(True).alias("error"),
         "created_at", "updated_at", "batch_started_at", *extra)
     return ok.unionByName(bad)
-
-
-def as_versions(docs: DataFrame, loaded_at="updated_at") -> DataFrame:
-    """Documents as open SCD2 versions (valid_from = load time, valid_to = sentinel)."""
-    lf = F.col(loaded_at) if isinstance(loaded_at, str) else loaded_at
-    return docs.select(*DOC_COLUMNS, lf.alias("valid_from_dttm"),
-                       F.lit(SENTINEL).alias("valid_to_dttm"))
-
-
-def append_log(df: DataFrame, path: str) -> None:
-    """Append documents to the raw log (A5 sink)."""
-    df.select(*[f.name for f in LOG_SCHEMA.fields]).write.mode("append").parquet(path)

@@ -9,33 +9,15 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table; projections and filters push into the scan.
-
-    The schema read from the footers on first use is reused for later scans of
-    the same path, which skips a schema-inference job per read.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
+    """Parquet scan of one table; projections and filters push into the scan."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows when a scan yields far fewer partitions than the
-    session has cores (a large file written as one row group cannot be split),
-    so the per-row work after the scan runs in parallel. A no-op for inputs
-    that already split into many partitions, as any large table does on a
-    cluster.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``partitions`` where that is asked for: by the
+    parameter, or by ``spark.farelake.scan.partitions`` for inputs that do not
+    split (a file of one row group). Without either the scan stays as it is.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= target:
-        return df.repartition(target)
-    return df
+    n = partitions or int(df.sparkSession.conf.get("spark.farelake.scan.partitions", "0"))
+    return df.repartition(n) if n > 0 else df

@@ -110,10 +110,11 @@ def test_extremes_tie_break(spark):
 
 def test_pivot_columns(spark):
     monthly = spark.createDataFrame([(1, 2024, 1.0), (1, 2026, 3.0)], "month_num int, year int, avg_price double")
-    p = stats.pivot_month_year(monthly)
+    p = stats.pivot_month_year(monthly, [2024, 2025, 2026])
     assert p.columns == ["month_num", "2024", "2025", "2026"]
     r = p.first()
     assert (r["2024"], r["2025"], r["2026"]) == (1.0, None, 3.0)
+    assert sorted(tuple(r) for r in stats.pivot_month_year(monthly).collect()) == [(1, 2024, 1.0), (1, 2026, 3.0)]
 
 
 def test_full_refresh_registers_models(spark, tmp_dir):

@@ -60,13 +60,28 @@ def test_classify_and_pairs_and_grid(spark):
                                 "response string, error boolean")
     got = [(r.is_success, r.error_message) for r in rq.classify_responses(log).collect()]
     assert got == [(True, None), (False, "Unknown API error"), (False, "quota"), (False, "boom")]
-    codes = spark.createDataFrame([(c,) for c in "LON PAR BER ROM MAD LIS AMS BRU VIE PRG".split()], "code string")
-    pairs = rq.ordered_pairs(codes)
+    codes = "LON PAR BER ROM MAD LIS AMS BRU VIE PRG".split()
+    routes = [(a, b) for a in codes for b in codes] + [("LON", "PAR"), (None, "PAR"), ("LON", None)]
+    pairs = rq.ordered_pairs(spark.createDataFrame(routes, "origin string, destination string"))
     assert pairs.count() == 90 and pairs.filter("origin = destination").count() == 0
     grid = rq.request_grid(pairs, dt.date(2025, 12, 12))
     assert grid.count() == 2340
 
 
+def test_error_text_and_truth_of_success(spark):
+    from farelake.functions.json import quoted_json_text
+    texts = ['line\nfeed', 'a "quote"', 'back\\slash', 'tab\t é', '', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", quoted_json_text("t").alias("response"))
+    for r in df.collect():
+        assert (r.response is None) if r.t is None else json.loads(r.response) == r.t
+    back = rq.classify_responses(df.where("t is not null").selectExpr("t", "response", "true as error")).collect()
+    assert all(r.error_message == r.t and not r.is_success for r in back)
+    for value, ok in [("1", True), ("true", True), ('"yes"', True), ("[0]", True), ("0", False), ("0.0", False),
+                      ('""', False), ("null", False), ("[]", False), ("{}", False), ("false", False)]:
+        log = spark.createDataFrame([('{"success":%s,"data":[]}' % value, False)], "response string, error boolean")
+        assert rq.classify_responses(log).first().is_success == ok, value
+
+
 def test_batch_summary_counts(spark):
     t = dt.datetime(2025, 1, 1)
     log = spark.createDataFrame([
