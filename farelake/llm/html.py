@@ -217,9 +217,10 @@ def main_text(page: str, weight: dict[str, float]) -> str:
 
 def train(pages: DataFrame) -> dict[str, float]:
     """Weights from a bounded sample of labelled pages."""
-    sample = pages.where("page_id is not null and html ilike '%<article%'").select(
-        "page_id", F.col("html").alias("__html"), F.xxhash64("page_id").alias("__h")).orderBy(
-        "__h", "page_id", F.xxhash64("__html")).limit(TRAIN_PAGES)
+    labelled = pages.where("page_id is not null and html ilike '%<article%'")
+    ids = labelled.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(TRAIN_PAGES)
+    # At most TRAIN_PAGES ids: a proven bound for the broadcast. The pages stay where they are read.
+    sample = labelled.select("page_id", F.col("html").alias("__html")).join(F.broadcast(ids), "page_id")
 
     def count(batches):
         for batch in batches:
