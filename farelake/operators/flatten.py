@@ -90,3 +90,18 @@ def unnest_misses(stg: DataFrame) -> DataFrame:
               .when(~F.trim(data_txt).startswith("["), "not_array")
               .when(F.json_array_length(data_txt) == 0, "empty"))
     return stg.select("doc_id", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+MISS_REASONS = ["text", "no_data", "not_array", "empty"]
+CAST_FIELDS = {"price": "int", "duration": "int", "transfers": "int", "duration_to": "int", "duration_back": "int",
+               "return_transfers": "int", "departure_at": "timestamp"}
+
+
+def bad_casts(stg: DataFrame) -> DataFrame:
+    """Offer fields whose text does not cast (lenient mode makes them NULL): one row
+    (doc_id, reason = field) each. One-way requests only, as in ``ods_flatten``."""
+    src = stg.select("doc_id", parse_request("request").alias("req"), parse_response("response").alias("resp"))
+    offers = src.filter(F.col("req.one_way") == "true").select("doc_id", F.explode("resp.data").alias("e"))
+    bad = [F.when(F.col(f"e.{f}").isNotNull() & F.col(f"e.{f}").try_cast(t).isNull(), F.lit(f))
+           for f, t in CAST_FIELDS.items()]
+    return offers.select("doc_id", F.explode(F.array(*bad)).alias("reason")).filter(F.col("reason").isNotNull())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from farelake.functions.dates import weekday_short
+
 ROUTE = ["origin", "destination"]
 
 
@@ -35,6 +37,29 @@ def agg_search_dep_route(fact: DataFrame) -> DataFrame:
                         *ROUTE, "avg_price_rub"))
 
 
+def route_sums(fact: DataFrame) -> DataFrame:
+    """Sum and count of prices per search day, departure day and route: partial
+    aggregates of D1-D3, which add up over any split of the fact."""
+    return fact.groupBy("search_date", "departure_date", *ROUTE).agg(
+        F.sum("price_rub").alias("price_sum"), F.count("price_rub").alias("price_n"))
+
+
+def from_sums(sums: DataFrame) -> dict[str, DataFrame]:
+    """The three mean-price marts (D1-D3) from ``route_sums`` rows."""
+    def mean(*keys: str) -> DataFrame:
+        return sums.groupBy(*keys).agg(
+            F.try_divide(F.sum("price_sum"), F.sum("price_n")).alias("avg_price_rub"))
+
+    return {
+        "agg_route": mean(*ROUTE),
+        "agg_dep_route": mean("departure_date", *ROUTE).select(
+            "departure_date", weekday_short("departure_date").alias("departure_weekday"), *ROUTE, "avg_price_rub"),
+        "agg_search_dep_route": mean("search_date", "departure_date", *ROUTE).select(
+            "search_date", weekday_short("search_date").alias("search_weekday"),
+            "departure_date", weekday_short("departure_date").alias("departure_weekday"), *ROUTE, "avg_price_rub"),
+    }
+
+
 FIRST_OFFER_KEYS = ["departure_date", "destination", "origin"]
 
 

@@ -34,6 +34,34 @@ def not_null(df: DataFrame, model: str, columns: list[str], severity: str = "err
     return _row(long, "not_null", model, F.col("column"), severity, F.col("failures"))
 
 
+def column_checks(df: DataFrame, model: str, not_null: dict[str, str] | None = None,
+                  at_least: dict[str, float] | None = None) -> DataFrame:
+    """All declared column checks of a model from one aggregate.
+
+    not_null: column -> severity; at_least: column -> smallest accepted value.
+    """
+    counts = [("not_null", c, sev, F.count_if(F.col(c).isNull())) for c, sev in (not_null or {}).items()]
+    counts += [("accepted_range", c, "error", F.count_if(F.col(c) < low)) for c, low in (at_least or {}).items()]
+    one = df.agg(*[n.alias(f"_{i}") for i, (*_, n) in enumerate(counts)])
+    rows = one.select(F.explode(F.array(*[
+        F.struct(F.lit(test).alias("test"), F.lit(c).alias("column"), F.lit(sev).alias("severity"),
+                 F.col(f"_{i}").alias("failures")) for i, (test, c, sev, _) in enumerate(counts)])).alias("r")).select("r.*")
+    status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return rows.select("test", F.lit(model).alias("model"), "column", "severity", F.lit("dqc").alias("tags"),
+                       F.col("failures").cast("long").alias("failures"), status.alias("status"),
+                       F.lit(None).cast("string").alias("detail"))
+
+
+def reason_counts(misses: DataFrame, model: str, column: str, reasons: list[str], severity: str = "warn") -> DataFrame:
+    """One row per known reason: rows of ``misses`` (with a ``reason``) that have it."""
+    one = misses.agg(*[F.count_if(F.col("reason") == r).alias(r) for r in reasons])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(r).alias("n")) for r in reasons])).alias("r")) \
+        .select(F.concat(F.lit(column + "_"), "r.reason").alias("test"), F.lit(model).alias("model"),
+                F.lit(column).alias("column"), F.lit(severity).alias("severity"), F.lit("dqc").alias("tags"),
+                F.col("r.n").cast("long").alias("failures"),
+                _status(F.col("r.n"), severity).alias("status"), F.lit(None).cast("string").alias("detail"))
+
+
 def unique(df: DataFrame, model: str, column: str, severity: str = "error") -> DataFrame:
     """Non-null values occurring more than once (J2); counts the duplicated values."""
     dup = (df.filter(F.col(column).isNotNull()).groupBy(column).count()

@@ -573,6 +573,23 @@ l3 AS (SELECT * REPLACE (CAST(3 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS
 SELECT {FACT_OUT}, rn, run_id FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)
 """
 
+# The models after three runs loaded at 01:00, 02:00 and 03:00, from the versions of each run.
+LOADED_MODELS = """offers AS (
+  SELECT doc_id, event_id, run, status_code, loaded_at,
+         '/e?id=' || event_id || '&search_date=' || strftime(created_at, '%d%m%Y') AS link,
+         CAST(round(value * 100) AS INTEGER) AS price_rub, unnest(range(n_offers)) AS copy_no
+  FROM versions)
+SELECT 'raw' AS model, doc_id, CAST(NULL AS VARCHAR) AS link, CAST(NULL AS INTEGER) AS price_rub,
+       CAST(status_code AS INTEGER) AS status_code, loaded_at,
+       lead(loaded_at) OVER (PARTITION BY doc_id ORDER BY run) AS closed_at
+FROM versions
+UNION ALL
+SELECT 'ods', doc_id, link, price_rub, CAST(status_code AS INTEGER), loaded_at, NULL
+FROM (SELECT * FROM offers QUALIFY run = max(run) OVER (PARTITION BY doc_id, event_id))
+UNION ALL
+SELECT 'fact', doc_id, link, price_rub, CAST(status_code AS INTEGER), loaded_at, NULL FROM offers
+"""
+
 ORACLE["late_updates"] = f"""
 WITH {EVENT_DOCS},
 cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
@@ -588,20 +605,47 @@ landed AS (
 versions AS (
   SELECT *, TIMESTAMP '2026-01-01 00:00:00' + to_hours(CAST(run AS INTEGER)) AS loaded_at FROM landed
   QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
-offers AS (
-  SELECT doc_id, event_id, run, status_code, loaded_at,
-         '/e?id=' || event_id || '&search_date=' || strftime(created_at, '%d%m%Y') AS link,
-         CAST(round(value * 100) AS INTEGER) AS price_rub, unnest(range(n_offers)) AS copy_no
-  FROM versions)
-SELECT 'raw' AS model, doc_id, CAST(NULL AS VARCHAR) AS link, CAST(NULL AS INTEGER) AS price_rub,
-       CAST(status_code AS INTEGER) AS status_code, loaded_at,
-       lead(loaded_at) OVER (PARTITION BY doc_id ORDER BY run) AS closed_at
-FROM versions
-UNION ALL
-SELECT 'ods', doc_id, link, price_rub, CAST(status_code AS INTEGER), loaded_at, NULL
-FROM (SELECT * FROM offers QUALIFY run = max(run) OVER (PARTITION BY doc_id, event_id))
-UNION ALL
-SELECT 'fact', doc_id, link, price_rub, CAST(status_code AS INTEGER), loaded_at, NULL FROM offers
+{LOADED_MODELS}"""
+
+EL_CTE = f"""
+WITH {EVENT_DOCS},
+cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
+                min(batch_started_at) + INTERVAL 20 DAY AS c2 FROM docs),
+marks AS (SELECT max(updated_at) FILTER (WHERE updated_at < c1) - INTERVAL 1 DAY AS w1,
+                 max(updated_at) FILTER (WHERE updated_at < c2) - INTERVAL 1 DAY AS w2 FROM docs, cuts),
+landed AS (
+  SELECT docs.*, 1 AS run FROM docs, cuts WHERE updated_at < c1
+  UNION ALL SELECT docs.*, 2 FROM docs, cuts, marks WHERE updated_at < c2 AND updated_at > w1
+  UNION ALL SELECT docs.*, 3 FROM docs, marks WHERE updated_at > w2),
+loaded AS (
+  SELECT *, TIMESTAMP '2026-01-01 00:00:00' + to_hours(CAST(run AS INTEGER)) AS loaded_at FROM landed
+  QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1)
+"""
+
+ORACLE["faithful_cascade"] = EL_CTE + f""",
+versions AS (SELECT * FROM loaded),
+{LOADED_MODELS}"""
+
+ORACLE["el_lookback"] = EL_CTE + f""",
+versions AS (SELECT * FROM loaded
+             QUALIFY lag(event_id) OVER (PARTITION BY doc_id ORDER BY run) IS DISTINCT FROM event_id),
+{LOADED_MODELS}"""
+
+ORACLE["el_matched"] = EL_CTE + """
+SELECT run AS run_id, TIMESTAMP '2026-01-01 00:00:00' + to_hours(CAST(run AS INTEGER)) AS loaded_at,
+       count(*) AS n_docs FROM landed GROUP BY run
+"""
+
+ORACLE["marts_increment"] = EVENT_OFFERS + """
+SELECT search_date, strftime(search_date, '%a') AS search_weekday, departure_date,
+       strftime(departure_date, '%a') AS departure_weekday, origin, destination,
+       round(avg(price_rub), 6) AS avg_price_rub
+FROM fact GROUP BY search_date, departure_date, origin, destination
+"""
+
+ORACLE["stream_models"] = EVENT_OFFERS + """
+SELECT 'ods' AS model, doc_id, link, price_rub, processed_src_dttm, processed_at FROM ods
+UNION ALL SELECT 'fact', doc_id, link, price_rub, processed_src_dttm, processed_at FROM fact
 """
 
 # --- data quality ---------------------------------------------------------------
@@ -682,7 +726,7 @@ def _secs(period: str) -> int:
 
 
 def anomaly_sql(name, test, metrics_cte, series_expr, ts_col, period, delay, detection,
-                training=14, sensitivity=3.0):
+                training=14, sensitivity=3.0, src="src"):
     """Scored anomaly rows: ``metrics_cte`` defines ``m(series, bucket_start, value)``
     over the complete buckets ``bc``; spine per series from its first bucket."""
     p = _secs(period)
@@ -690,9 +734,9 @@ def anomaly_sql(name, test, metrics_cte, series_expr, ts_col, period, delay, det
     det = (f"WHERE bucket_start >= (SELECT c FROM cut) - INTERVAL {_secs(detection)} SECOND"
            if detection else "")
     return f"""
-{name}_cut AS (SELECT {cut} AS c FROM src),
+{name}_cut AS (SELECT {cut} AS c FROM {src}),
 {name}_bc AS (
-  SELECT *, to_timestamp(floor(epoch({ts_col}) / {p}) * {p})::TIMESTAMP AS bucket_start FROM src
+  SELECT *, to_timestamp(floor(epoch({ts_col}) / {p}) * {p})::TIMESTAMP AS bucket_start FROM {src}
   WHERE {ts_col} IS NOT NULL),
 {name}_m AS ({metrics_cte.format(bc=f"(SELECT * FROM {name}_bc WHERE bucket_start + INTERVAL {p} SECOND <= (SELECT c FROM {name}_cut))")}),
 {name}_first AS (SELECT series, min(bucket_start) AS f FROM {name}_m GROUP BY series),
@@ -789,4 +833,76 @@ ORACLE["dq_report"] = (DQ_CTE + ", " + METRIC_SRC + ", " + ", ".join(ANOMALY_PAR
                            NOT_NULL_ROWS + [UNIQUE_ROW, REL_ROW, RANGE_ROW, f"SELECT * FROM ({FRESH_ROW})"])
                        + "\nUNION ALL\n" + _summaries)
 
+# The checks declared on the models.
+def _other_metrics(c):
+    return [(f"{c}::null_count", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE)"),
+            (f"{c}::null_percent", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) * 100")]
+
+
+LATEST_METRICS = {
+    _num_metrics: "status_code price_rub duration_min transfers_cnt duration_to_min duration_back_min "
+                  "return_transfers_cnt rn",
+    _text_metrics: "doc_id link endpoint currency origin origin_airport destination destination_airport airline "
+                   "flight_number price_bucket departure_weekday_short departure_weekday_full "
+                   "search_weekday_short search_weekday_full",
+    _other_metrics: "batch_started_at error updated_at processed_src_dttm processed_at req_departure_month "
+                    "departure_at_utc search_date is_direct departure_date departure_month",
+}
+COUNT_M = "SELECT '' AS series, bucket_start, CAST(count(*) AS DOUBLE) AS value FROM {bc} GROUP BY bucket_start"
+MODEL_ANOMALIES = [
+    ("mvol", "dm_fact_ticket_offers", None, anomaly_sql(
+        "mvol", "volume_anomalies", COUNT_M, "coalesce(m.value, 0)", "created_at", "12 hours", "12 hours", "14 days",
+        src="fact")),
+    ("mfrs", "dm_fact_ticket_offers", None, anomaly_sql(
+        "mfrs", "freshness_anomalies",
+        "SELECT '' AS series, bucket_start, max(coalesce(gap, 0)) AS value FROM ("
+        "SELECT bucket_start, epoch_us(created_at) / 1e6 - lag(epoch_us(created_at) / 1e6) OVER (ORDER BY created_at) AS gap "
+        "FROM (SELECT DISTINCT created_at, bucket_start FROM {bc})) GROUP BY bucket_start",
+        "m.value", "created_at", "12 hours", "12 hours", "7 days", src="fact")),
+    ("mevf", "dm_fact_ticket_offers", None, anomaly_sql(
+        "mevf", "event_freshness_anomalies",
+        "SELECT '' AS series, bucket_start, max((epoch_us(processed_src_dttm) - epoch_us(created_at)) / 1e6) AS value "
+        "FROM {bc} GROUP BY bucket_start", "m.value", "created_at", "12 hours", "12 hours", None, src="fact")),
+    ("mdim", "dm_fact_ticket_offers", None, anomaly_sql(
+        "mdim", "dimension_anomalies",
+        "SELECT concat_ws('|', " + ", ".join(
+            f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in
+            ("status_code", "endpoint", "currency", "price_bucket", "transfers_cnt", "is_direct"))
+        + ") AS series, bucket_start, CAST(count(*) AS DOUBLE) AS value FROM {bc} GROUP BY 1, 2",
+        "coalesce(m.value, 0)", "created_at", "12 hours", "12 hours", "14 days", src="fact")),
+    ("mcol", "dm_fact_ticket_offers", "price_rub", anomaly_sql(
+        "mcol", "column_anomalies", _long_metrics(_num_metrics("price_rub")), "m.value", "created_at",
+        "12 hours", "12 hours", "14 days", src="fact")),
+    ("malc", "dm_prices_latest", None, anomaly_sql(
+        "malc", "all_columns_anomalies",
+        _long_metrics([m for kind, names in LATEST_METRICS.items() for c in names.split() for m in kind(c)]),
+        "m.value", "created_at", "1 day", None, "14 days", src="latest")),
+    ("msea", "dm_prices_agg_search_dep_route", None, anomaly_sql(
+        "msea", "volume_anomalies", COUNT_M, "coalesce(m.value, 0)", "search_date", "1 day", None, "7 days",
+        src="search_mart")),
+    ("mdep", "dm_prices_agg_dep_route", "avg_price_rub", anomaly_sql(
+        "mdep", "column_anomalies", _long_metrics(_num_metrics("avg_price_rub")), "m.value", "departure_date",
+        "1 day", None, "7 days", src="dep_mart")),
+]
+
+ORACLE["dq_models"] = DQ_CTE + """,
+search_mart AS (SELECT CAST(search_date AS TIMESTAMP) AS search_date, departure_date, origin, destination
+                FROM fact GROUP BY ALL),
+dep_mart AS (SELECT CAST(departure_date AS TIMESTAMP) AS departure_date, origin, destination,
+                    avg(price_rub) AS avg_price_rub FROM fact GROUP BY departure_date, origin, destination),
+""" + ", ".join(sql for *_, sql in MODEL_ANOMALIES) + "\nUNION ALL\n".join(
+    f"SELECT test, '{model}' AS model, CAST({repr(column) if column else 'NULL'} AS VARCHAR) AS \"column\", "
+    f"'warn' AS severity, 'dqc' AS tags, count(*) FILTER (WHERE is_anomalous) AS failures, "
+    f"CASE WHEN count(*) FILTER (WHERE is_anomalous) = 0 THEN 'pass' ELSE 'warn' END AS status, "
+    f"count(*) || ' buckets' AS detail FROM {name} GROUP BY test"
+    for name, model, column, _ in MODEL_ANOMALIES)
+
+_MISSES = [("response", r, f"SELECT count(*) FROM docs WHERE {cond}") for r, cond in (
+    ("text", "event_type = 'error'"), ("no_data", "event_type = 'signup'"), ("not_array", "false"),
+    ("empty", "is_success AND n_offers = 0"))]
+_MISSES += [("cast", f, "SELECT 0") for f in (
+    "price", "duration", "transfers", "duration_to", "duration_back", "return_transfers", "departure_at")]
+ORACLE["dq_misses"] = f"WITH {EVENT_DOCS} " + "\nUNION ALL\n".join(
+    _check(f"{column}_{reason}", "stg_ticket_offers", column, "warn", sql) for column, reason, sql in _MISSES)
+
 ORACLE["stream_ingest"] = ORACLE["scd2_history"]

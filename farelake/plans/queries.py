@@ -17,8 +17,9 @@ from farelake.operators import anomaly as an
 from farelake.operators import marts, stats
 from farelake.operators import quality as dq
 from farelake.operators.fact import fact_offers
-from farelake.operators.flatten import ods_flatten
+from farelake.operators.flatten import CAST_FIELDS, MISS_REASONS, bad_casts, ods_flatten, unnest_misses
 from farelake.operators import requests as rq
+from farelake.plans import checks
 from farelake.plans import incremental as inc
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
@@ -350,13 +351,11 @@ def event_slices(docs: DataFrame) -> list[DataFrame]:
     return out
 
 
-def run_event_increments(spark, sf_dir, latest_mode: str = "append",
-                         with_marts: bool = False) -> str:
+def run_event_increments(spark, sf_dir, with_marts: bool = False) -> str:
     root = scratch_path(spark, "runs")
     docs = event_documents(spark, sf_dir)
     for r, batch in enumerate(event_slices(docs), start=1):
-        inc.run_increment(spark, root, batch, r, run_ts(r), latest_mode=latest_mode,
-                          with_marts=with_marts, loaded_at="created_at")
+        inc.run_increment(spark, root, batch, r, run_ts(r), with_marts=with_marts, loaded_at="created_at")
     return root
 
 
@@ -372,7 +371,7 @@ def q_scd2_apply(spark, sf_dir):
 @query("delete_insert")
 def q_delete_insert(spark, sf_dir):
     root = run_event_increments(spark, sf_dir)
-    return spark.read.parquet(f"{root}/ods").select(*ODS_COLUMNS)
+    return inc.read_ods(spark, root).select(*ODS_COLUMNS)
 
 
 @query("incremental_append")
@@ -383,14 +382,26 @@ def q_incremental_append(spark, sf_dir):
 
 @query("latest_append")
 def q_latest_append(spark, sf_dir):
-    root = run_event_increments(spark, sf_dir, latest_mode="append")
-    return spark.read.parquet(f"{root}/latest").select(*FACT_COLUMNS, "rn", "run_id")
+    root = run_event_increments(spark, sf_dir)
+    return inc.read_latest(spark, root, "append").select(*FACT_COLUMNS, "rn", "run_id")
 
 
 @query("latest_upsert")
 def q_latest_upsert(spark, sf_dir):
-    root = run_event_increments(spark, sf_dir, latest_mode="upsert")
-    return spark.read.parquet(f"{root}/latest").select(*FACT_COLUMNS, "rn")
+    root = run_event_increments(spark, sf_dir)
+    return inc.read_latest(spark, root, "upsert").select(*FACT_COLUMNS, "rn")
+
+
+@query("marts_increment")
+def q_marts_increment(spark, sf_dir):
+    """Mean price per search day, departure day and route, from the partial sums of three
+    runs, the first two compacted."""
+    root = scratch_path(spark, "marts")
+    for r, batch in enumerate(event_slices(event_documents(spark, sf_dir)), start=1):
+        inc.run_increment(spark, root, batch, r, run_ts(r), loaded_at="created_at", with_checks=False)
+        if r == 2:
+            inc.compact(spark, root, vacuum=True)
+    return _round_doubles(spark.read.parquet(f"{root}/agg_search_dep_route"))
 
 
 @query("late_updates")
@@ -411,49 +422,80 @@ def q_late_updates(spark, sf_dir):
     for r in range(1, N_RUNS + 1):
         inc.run_increment(spark, root, landed.filter(F.col("run") == r).drop("run"), r, run_ts(r),
                           with_marts=False)
+    return _loaded_models(spark, root)
+
+
+def _loaded_models(spark, root: str) -> DataFrame:
+    """Raw log, ODS and fact side by side."""
     none = F.lit(None)
     open_ = F.col("valid_to_dttm") == F.lit(SENTINEL).cast("timestamp")
     raw = inc.read_raw_log(spark, root, extra=["event_id"]).select(
         F.lit("raw").alias("model"), "doc_id", none.cast("string").alias("link"),
         none.cast("int").alias("price_rub"), "status_code", F.col("valid_from_dttm").alias("loaded_at"),
         F.when(~open_, F.col("valid_to_dttm")).alias("closed_at"))
-    for model in ("ods", "fact"):
-        raw = raw.unionByName(spark.read.parquet(f"{root}/{model}").select(
+    for model, rows in (("ods", inc.read_ods(spark, root)), ("fact", spark.read.parquet(f"{root}/fact"))):
+        raw = raw.unionByName(rows.select(
             F.lit(model).alias("model"), "doc_id", "link", "price_rub", "status_code",
             F.col("processed_src_dttm").alias("loaded_at"), none.cast("timestamp").alias("closed_at")))
     return raw
 
 
+def _run_el(spark, sf_dir, faithful: bool) -> str:
+    """Three passes of the load loop over a source that shows each pass the documents
+    answered by then."""
+    root = scratch_path(spark, "el")
+    docs = event_documents(spark, sf_dir)
+    b0 = F.lit(docs.agg(F.min("batch_started_at")).first()[0]).cast("timestamp")
+    for r in range(1, N_RUNS + 1):
+        seen = docs if r == N_RUNS else docs.filter(
+            F.col("updated_at") < b0 + F.expr(f"interval {SLICE_DAYS * r} days"))
+        inc.run_el(spark, root, seen, r, run_ts(r), faithful=faithful, with_marts=False)
+    return root
+
+
+@query("el_lookback")
+def q_el_lookback(spark, sf_dir):
+    """Raw log, ODS and fact after three passes with a look-back of a day: documents read
+    again unchanged make no new version."""
+    return _loaded_models(spark, _run_el(spark, sf_dir, faithful=False))
+
+
+@query("faithful_cascade")
+def q_faithful_cascade(spark, sf_dir):
+    """The same with every re-read document versioned again: the fact holds its offers
+    once per pass that read it."""
+    return _loaded_models(spark, _run_el(spark, sf_dir, faithful=True))
+
+
+@query("el_matched")
+def q_el_matched(spark, sf_dir):
+    """Documents that each pass matched (D15), from the run table."""
+    runs = inc.read_runs(spark, _run_el(spark, sf_dir, faithful=False))
+    return runs.select("run_id", F.col("load_time").alias("loaded_at"), "n_docs")
+
+
 # --- data quality ---------------------------------------------------------------
 
-def _offer_models(spark, sf_dir):
-    """stg, ods and fact built on one staging plan, so checks over several
-    models share the document build instead of repeating it."""
-    stg = offer_stage(spark, sf_dir)
-    ods = ods_flatten(stg, processed_at=RUN_TS)
-    return stg, ods, fact_offers(ods)
-
-
-def _dq_basic(spark, sf_dir) -> list[DataFrame]:
-    stg, ods, fact = _offer_models(spark, sf_dir)
-    latest = marts.first_offer(fact)
-    return [
-        dq.not_null(stg, "stg_ticket_offers", ["response", "request"]),
-        dq.not_null(ods, "ods_ticket_offers", ["search_date", "origin", "destination"]),
-        dq.not_null(fact, "dm_fact_ticket_offers", ["price_rub"]),
-        dq.not_null(latest, "dm_prices_latest", ["price_rub"]),
-        dq.not_null(marts.agg_route(fact), "dm_prices_agg_route", ["avg_price_rub"], "warn"),
-        dq.not_null(marts.airports(fact), "dm_airports", ["airport_code"]),
-        dq.unique(stg, "stg_ticket_offers", "doc_id"),
-        dq.relationships(latest, fact, "dm_prices_latest", "doc_id"),
-        dq.accepted_range(fact, "dm_fact_ticket_offers", "price_rub", min_value=0),
-        dq.freshness(stg, "raw_api_log", "updated_at", RUN_TS),
-    ]
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _offer_models(spark, sf_dir) -> dict[str, DataFrame]:
+    """All models, the document build, the parse and the marts' sums done once (as in the
+    full refresh)."""
+    stg = _written(offer_stage(spark, sf_dir), "stg")
+    ods = _written(ods_flatten(stg, processed_at=RUN_TS), "ods")
+    fact = fact_offers(ods)
+    return {"stg": stg, "ods": ods, "fact": fact, "latest": marts.first_offer(fact),
+            **marts.from_sums(_written(marts.route_sums(fact), "sums")), "airports": marts.airports(fact)}
 
 
 @query("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    return dq.dq_report(*_dq_basic(spark, sf_dir)[:6])
+    models = _offer_models(spark, sf_dir)
+    return dq.dq_report(*checks.column_checks(models)).filter("test = 'not_null'")
 
 
 @query("dq_unique")
@@ -538,7 +580,23 @@ def q_dq_report(spark, sf_dir):
     src = metric_source(spark, sf_dir)
     newest = src.agg(F.max("ts").alias("ts"), F.max("updated_ts").alias("updated_ts")).first().asDict()
     summaries = [an.anomaly_summary(check(), "events") for check in _anomaly_checks(src, newest).values()]
-    return dq.dq_report(*_dq_basic(spark, sf_dir), *summaries)
+    models = _offer_models(spark, sf_dir)
+    return dq.dq_report(*checks.column_checks(models), *checks.table_checks(models, RUN_TS), *summaries)
+
+
+@query("dq_models")
+def q_dq_models(spark, sf_dir):
+    """The anomaly checks declared on fact, latest, search and departure marts."""
+    models = _offer_models(spark, sf_dir)
+    return dq.dq_report(*checks.anomaly_rows({**models, "latest": _written(models["latest"], "latest")}))
+
+
+@query("dq_misses")
+def q_dq_misses(spark, sf_dir):
+    """Event documents without offer rows by reason, and offer fields that do not cast."""
+    docs = event_documents(spark, sf_dir)
+    return dq.dq_report(dq.reason_counts(unnest_misses(docs), checks.STG, "response", MISS_REASONS),
+                        dq.reason_counts(bad_casts(docs), checks.STG, "cast", list(CAST_FIELDS)))
 
 
 # --- streaming -------------------------------------------------------------------
@@ -547,6 +605,19 @@ def q_dq_report(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     """Landing files of three collector runs streamed as micro-batches; the
     resulting SCD2 history is independent of how files fall into batches."""
+    return _history_out(inc.read_raw_log(spark, _stream_events(spark, sf_dir), extra=["event_id"]))
+
+
+@query("stream_models")
+def q_stream_models(spark, sf_dir):
+    """ODS and fact written by the stream, one micro-batch per collector run."""
+    root = _stream_events(spark, sf_dir)
+    keep = ["doc_id", "link", "price_rub", "processed_src_dttm", "processed_at"]
+    return inc.read_ods(spark, root).select(F.lit("ods").alias("model"), *keep).unionByName(
+        spark.read.parquet(f"{root}/fact").select(F.lit("fact").alias("model"), *keep))
+
+
+def _stream_events(spark, sf_dir) -> str:
     root = scratch_path(spark, "stream")
     landing = f"{root}/landing"
     docs = event_documents(spark, sf_dir)
@@ -555,4 +626,4 @@ def q_stream_ingest(spark, sf_dir):
     q = stream_ingest(spark, landing, root, docs.schema, max_files_per_trigger=2,
                       processed_at=run_ts, with_marts=False, loaded_at="created_at")
     q.awaitTermination()
-    return _history_out(inc.read_raw_log(spark, root, extra=["event_id"]))
+    return root

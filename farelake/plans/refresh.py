@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import ods_flatten, stage_current
 from farelake.operators import marts
+from farelake.plans.checks import model_checks
 from farelake.schemas import DEFAULT_ENDPOINT
 from farelake.sources.fixtures import offer_log
 
@@ -62,6 +63,12 @@ def register_table(spark: SparkSession, name: str, path: str, db_root: str) -> N
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
 
 
+def create_view(spark: SparkSession, name: str, query: str, temporary: bool = False) -> None:
+    """``schema.model`` as a view over registered tables (A7); temporary views have no schema."""
+    kind = "TEMPORARY VIEW" if temporary else "VIEW"
+    spark.sql(f"CREATE OR REPLACE {kind} {name} AS {query}")
+
+
 def run_full_refresh(spark: SparkSession, log: DataFrame, out_dir: str, processed_at=None,
                      endpoint: str | None = DEFAULT_ENDPOINT, as_of=None,
                      register: bool = True) -> dict[str, str]:
@@ -72,8 +79,6 @@ def run_full_refresh(spark: SparkSession, log: DataFrame, out_dir: str, processe
     the written models and land in ``dq_results`` (J12). Each table is
     registered as ``schema.model`` in the session catalog. Returns name -> path.
     """
-    from farelake.operators import quality as dq
-
     paths: dict[str, str] = {}
 
     def write(model: str, df: DataFrame) -> DataFrame:
@@ -85,23 +90,11 @@ def run_full_refresh(spark: SparkSession, log: DataFrame, out_dir: str, processe
     stg = write("stg_ticket_offers", stage_current(log, endpoint))
     ods = write("ods_ticket_offers", ods_flatten(stg, processed_at=processed_at))
     fact = write("dm_fact_ticket_offers", fact_offers(ods))
-    latest = write("dm_prices_latest", marts.first_offer(fact))
-    route = write("dm_prices_agg_route", marts.agg_route(fact))
-    write("dm_prices_agg_dep_route", marts.agg_dep_route(fact))
-    write("dm_prices_agg_search_dep_route", marts.agg_search_dep_route(fact))
-    airports = write("dm_airports", marts.airports(fact))
-    as_of = as_of if as_of is not None else F.current_timestamp()
-    write("dq_results", dq.dq_report(
-        dq.not_null(stg, "stg_ticket_offers", ["response", "request"]),
-        dq.unique(stg, "stg_ticket_offers", "doc_id"),
-        dq.not_null(ods, "ods_ticket_offers", ["search_date", "origin", "destination"]),
-        dq.not_null(fact, "dm_fact_ticket_offers", ["price_rub"]),
-        dq.accepted_range(fact, "dm_fact_ticket_offers", "price_rub", min_value=0),
-        dq.not_null(latest, "dm_prices_latest", ["price_rub"]),
-        dq.relationships(latest, fact, "dm_prices_latest", "doc_id"),
-        dq.not_null(route, "dm_prices_agg_route", ["avg_price_rub"], "warn"),
-        dq.not_null(airports, "dm_airports", ["airport_code"]),
-        dq.freshness(log, "raw_api_log", "updated_at", as_of)))
+    models = {"stg": stg, "ods": ods, "fact": fact, "latest": write("dm_prices_latest", marts.first_offer(fact))}
+    for name, df in marts.from_sums(marts.route_sums(fact)).items():
+        models[name] = write(f"dm_prices_{name}", df)
+    models["airports"] = write("dm_airports", marts.airports(fact))
+    write("dq_results", model_checks(models, as_of if as_of is not None else F.current_timestamp()))
     if register:
         for model, path in paths.items():
             register_table(spark, table_name(model), path, out_dir)

@@ -88,6 +88,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, through the Hadoop file system."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jpath)
+    return sorted(str(f.getPath()) for f in found or [])
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of finished job state through its Hadoop file system."""
     jvm = spark.sparkContext._jvm
@@ -96,4 +103,4 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 __all__ = ["build_session", "prepare", "checkpoint_root", "scratch_path",
-           "path_exists", "remove_path"]
+           "path_exists", "list_paths", "remove_path"]

@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 from pyspark.sql import functions as F
 
@@ -60,16 +61,17 @@ def test_faithful_now_loads_all_at_once(spark):
 def test_delete_insert_duplicates_and_null_keys(spark, tmp_dir):
     target = f"{tmp_dir}/t"
     b1 = spark.createDataFrame([("a", "x", 1), ("a", "y", 1), (None, "z", 1)], "doc_id string, link string, v int")
-    inc.delete_insert(spark, target, b1, ["doc_id", "link"], f"{tmp_dir}/s1", buckets=4)
+    inc.delete_insert(b1, target, 1)
     b2 = spark.createDataFrame([("a", "x", 2), ("a", "x", 2), (None, "z", 2)], "doc_id string, link string, v int")
-    inc.delete_insert(spark, target, b2, ["doc_id", "link"], f"{tmp_dir}/s2", buckets=4)
-    got = [(r.doc_id, r.link, r.v) for r in spark.read.parquet(target).collect()]
+    inc.delete_insert(b2, target, 2)
+    merged = lambda: inc.read_merged(spark, target, ["doc_id", "link"])
+    got = [(r.doc_id, r.link, r.v) for r in merged().collect()]
     expect = sorted([("a", "x", 2), ("a", "x", 2), ("a", "y", 1), (None, "z", 1), (None, "z", 2)],
                     key=lambda t: (str(t[0]), t[1], t[2]))
     assert sorted(got, key=lambda t: (str(t[0]), t[1], t[2])) == expect
-    # republishing a staged run is idempotent
-    inc.delete_insert(spark, target, b2, ["doc_id", "link"], f"{tmp_dir}/s2", buckets=4)
-    assert spark.read.parquet(target).count() == 5
+    # a run written again replaces only itself
+    inc.delete_insert(b2, target, 2)
+    assert merged().count() == 5
 
 
 def test_run_increment_rerun_is_idempotent(spark):
@@ -89,7 +91,6 @@ def test_run_increment_rerun_is_idempotent(spark):
 
 
 def test_fact_catches_up_after_a_skipped_run(spark):
-    from farelake.operators.flatten import stage_current
     body = ('{"success":true,"data":[{"link":"/e?id=%d&search_date=01012025","price":%d,'
             '"departure_at":"2025-01-02T00:00:00+00:00","origin":"O","destination":"D"}]}')
     rows = [("a", ts(1, 1), 1, body % (1, 5)), ("b", ts(1, 2), 2, body % (2, 7)),
@@ -103,8 +104,7 @@ def test_fact_catches_up_after_a_skipped_run(spark):
         b = d.filter(f"event_id = {r}")
         if r == 2:  # fact and latest do not run for run 2
             inc.apply_log_batch(spark, skipped, b, r, load_time=f"2026-01-01 0{r}:00:00")
-            stg = stage_current(spark.read.parquet(f"{skipped}/raw/current").drop("bucket"))
-            inc.ods_increment(spark, skipped, stg, r, f"2026-01-01 0{r}:00:00")
+            inc.ods_increment(spark, skipped, r, f"2026-01-01 0{r}:00:00")
         else:
             inc.run_increment(spark, skipped, b, r, f"2026-01-01 0{r}:00:00", with_marts=False)
     # same offers once each; a caught-up row carries the run time of its newest
@@ -113,7 +113,7 @@ def test_fact_catches_up_after_a_skipped_run(spark):
     a = sorted(tuple(x) for x in spark.read.parquet(f"{normal}/fact").select(*cols).collect())
     b = sorted(tuple(x) for x in spark.read.parquet(f"{skipped}/fact").select(*cols).collect())
     assert a == b and len(a) == 3
-    ods_b = spark.read.parquet(f"{skipped}/ods").filter("doc_id = 'b'").first().processed_at
+    ods_b = inc.read_ods(spark, skipped).filter("doc_id = 'b'").first().processed_at
     fact_b = spark.read.parquet(f"{skipped}/fact").filter("doc_id = 'b'").first().processed_at
     assert ods_b == fact_b
 
@@ -129,8 +129,8 @@ def raw_docs(spark, rows):
 
 
 def prices(spark, root, model):
-    return sorted((r.doc_id, r.link, r.price_rub) for r in
-                  spark.read.parquet(f"{root}/{model}").select("doc_id", "link", "price_rub").collect())
+    rows = inc.read_ods(spark, root) if model == "ods" else spark.read.parquet(f"{root}/{model}")
+    return sorted((r.doc_id, r.link, r.price_rub) for r in rows.select("doc_id", "link", "price_rub").collect())
 
 
 def test_late_updated_and_linkless_documents_reach_every_model(spark):
@@ -181,3 +181,70 @@ def test_unchanged_means_nulls_in_the_same_columns(spark):
     moved = rows.withColumn("updated_at", F.when(F.col("event_id") == 1, F.col("updated_at"))) \
         .withColumn("batch_started_at", F.when(F.col("event_id") == 2, F.col("batch_started_at")))
     assert drop_unchanged(moved).count() == 2 and drop_unchanged(rows).count() == 1
+
+
+def data_files(root, *tables):
+    return {p: p.stat().st_mtime_ns for t in tables for p in pathlib.Path(root.removeprefix("file:"), t).rglob("*.parquet")}
+
+
+def test_small_batch_rewrites_no_older_file_and_compaction_keeps_every_row(spark):
+    root = scratch_path(spark, "t-merge")
+    many = [(f"d{i}", ts(1, i % 20), ts(1, i % 20), i, OFFER % (f'"/{i}"', i)) for i in range(40)]
+    run = lambda r, rows: inc.run_increment(spark, root, raw_docs(spark, rows), r, f"2026-01-01 0{r}:00:00",
+                                            with_checks=False)
+    run(1, many)
+    tables = ("raw", "ods", "fact", "latest", "route_sums", "airport_pairs")
+    before = data_files(root, *tables)
+    run(2, [("d3", ts(1, 5), ts(1, 6), 99, OFFER % ('"/3"', 500)), ("new", ts(1), ts(1), 100, OFFER % ('"/n"', 7))])
+    after = data_files(root, *tables)
+    assert before and before.items() <= after.items() and len(after) > len(before)
+    assert spark.read.parquet(f"{root}/raw/run_id=2").count() == 2       # only the batch's versions
+    expect = [prices(spark, root, "ods"), sorted(inc.read_latest(spark, root, "upsert").collect()),
+              sorted(inc.read_raw_log(spark, root).collect())]
+    assert ("d3", "/3", 500) in expect[0] and len(expect[0]) == 41
+    assert inc.compact(spark, root, vacuum=True) == 2 and inc.compact(spark, root) == 2
+    assert [prices(spark, root, "ods"), sorted(inc.read_latest(spark, root, "upsert").collect()),
+            sorted(inc.read_raw_log(spark, root).collect())] == expect
+    run(3, [("d4", ts(1, 5), ts(1, 6), 101, OFFER % ('"/4"', 600)), many[5]])                 # on top of the base
+    assert ("d4", "/4", 600) in prices(spark, root, "ods") and len(prices(spark, root, "ods")) == 41
+    assert inc.read_raw_log(spark, root).count() == 43                   # many[5] is unchanged
+    mean = spark.read.parquet(f"{root}/agg_route").first().avg_price_rub
+    assert abs(mean - (sum(range(40)) + 500 + 7 + 600) / 43) < 1e-9
+
+
+def test_load_loop_reads_a_day_back_and_faithful_mode_appends_again(spark):
+    at = lambda day, hour, key, eid, n: (key, ts(day, hour), ts(day, hour), eid, OFFER % (f'"/{key}"', n))
+    first, late = [at(3, 1, "a", 1, 5), at(3, 2, "b", 2, 6)], [at(2, 12, "c", 3, 7), at(1, 12, "old", 4, 8)]
+    for faithful, fact in ((False, [("a", 5), ("b", 6), ("c", 7)]),
+                           (True, [("a", 5), ("a", 5), ("b", 6), ("b", 6), ("c", 7)])):
+        root = scratch_path(spark, "t-el")
+        inc.run_el(spark, root, raw_docs(spark, first), 1, "2026-01-01 01:00:00", faithful=faithful, with_marts=False)
+        inc.run_el(spark, root, raw_docs(spark, first + late), 2, "2026-01-01 02:00:00", faithful=faithful, with_marts=False)
+        assert sorted((r.doc_id, r.n_docs) for r in inc.read_runs(spark, root).selectExpr("run_id as doc_id", "n_docs").collect()) \
+            == [(1, 2), (2, 3)]
+        assert [(k, p) for k, _, p in prices(spark, root, "fact")] == fact
+        assert [(k, p) for k, _, p in prices(spark, root, "ods")] == [("a", 5), ("b", 6), ("c", 7)]
+
+
+def test_unfinished_run_is_finished_first(spark):
+    import pytest
+    root = scratch_path(spark, "t-unfinished")
+    one = raw_docs(spark, [("a", ts(1), ts(1), 1, OFFER % ('"/x"', 5))])
+    two = raw_docs(spark, [("b", ts(1), ts(1), 2, OFFER % ('"/y"', 6))])
+    with pytest.raises(Exception, match="no_such_column"):
+        inc.run_increment(spark, root, one, 1, "2026-01-01 01:00:00", loaded_at=None, tie="no_such_column")
+    with pytest.raises(ValueError, match="not finished"):
+        inc.run_increment(spark, root, two, 2, "2026-01-01 02:00:00")
+    inc.run_increment(spark, root, one, 1, "2026-01-01 01:30:00", with_marts=False)  # keeps its first load time
+    inc.run_increment(spark, root, two, 2, "2026-01-01 02:00:00", with_marts=False)
+    assert prices(spark, root, "fact") == [("a", "/x", 5), ("b", "/y", 6)]
+    assert inc.read_raw_log(spark, root).agg(F.min("valid_from_dttm")).first()[0] == dt.datetime(2026, 1, 1, 1)
+
+
+def test_checks_follow_the_increment(spark):
+    root = scratch_path(spark, "t-checks")
+    inc.run_increment(spark, root, raw_docs(spark, [("a", ts(1), ts(1), 1, OFFER % ('"/x"', -5))]), 1, "2026-01-01 01:00:00")
+    found = {(r.test, r.model, r["column"]): r.failures for r in spark.read.parquet(f"{root}/dq_results").collect()}
+    assert found["accepted_range", "dm_fact_ticket_offers", "price_rub"] == 1
+    assert found["not_null", "ods_ticket_offers", "search_date"] == 1
+    assert ("unique", "stg_ticket_offers", "doc_id") in found
