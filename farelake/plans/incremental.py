@@ -38,16 +38,19 @@ ODS_KEYS = ["doc_id", "link"]
 
 # --- tables partitioned by run ---------------------------------------------------
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The partitioned table at ``path``; None when it has no partition yet."""
-    return spark.read.parquet(path) if list_paths(spark, f"{path}/*=*") else None
+def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The partitioned table at ``path``; None when it has no partition yet. A known
+    schema spares the job that reads it from a file."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path) if list_paths(spark, f"{path}/*=*") else None
 
 
 def write_run(df: DataFrame, target: str, run_id: int) -> DataFrame:
     """Replace the partition of a run, and nothing else; returns what it holds."""
     path = f"{target}/run_id={run_id}"
-    df.drop("run_id").write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df = df.drop("run_id")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def compacted_through(spark: SparkSession, target: str) -> int | None:
@@ -140,10 +143,13 @@ def set_watermark(spark: SparkSession, root: str, step: str, run_id: int, writte
         .parquet(f"{root}/_marks/step={step}/run_id={run_id}")
 
 
+MARK_SCHEMA = "watermark timestamp, step string, run_id int"
+
+
 def watermark(spark: SparkSession, root: str, step: str, run_id: int) -> F.Column | None:
     """Largest watermark of a step over the other runs as a literal, so it reaches the
     scan and prunes files and row groups (B8, D12); None before the first row."""
-    marks = read_if_exists(spark, f"{root}/_marks")
+    marks = read_if_exists(spark, f"{root}/_marks", MARK_SCHEMA)
     if marks is None:
         return None
     row = marks.filter((F.col("step") == step) & (F.col("run_id") != run_id)) \
@@ -153,7 +159,7 @@ def watermark(spark: SparkSession, root: str, step: str, run_id: int) -> F.Colum
 
 def last_run(spark: SparkSession, root: str, step: str, run_id: int) -> int:
     """The last run before this one that a step has taken; 0 if there is none."""
-    marks = read_if_exists(spark, f"{root}/_marks")
+    marks = read_if_exists(spark, f"{root}/_marks", MARK_SCHEMA)
     if marks is None:
         return 0
     return marks.filter((F.col("step") == step) & (F.col("run_id") < run_id)) \
@@ -310,7 +316,7 @@ RUN_SCHEMA = ("source string, load_time timestamp, n_docs long, mark long, statu
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame | None:
     """One row per run: run_id, source, load_time, n_docs (documents matched), mark, status."""
-    return read_if_exists(spark, f"{root}/_runs")
+    return read_if_exists(spark, f"{root}/_runs", f"{RUN_SCHEMA}, run_id int")
 
 
 def batch_mark(docs: DataFrame) -> tuple[int, int]:
@@ -385,7 +391,7 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
     # The batch is computed once; its mark and its versions come from the written rows.
     stage = f"{root}/_staging/run={run_id}"
     docs.write.mode("overwrite").parquet(stage)
-    batch = spark.read.parquet(stage)
+    batch = spark.read.schema(docs.schema).parquet(stage)
     mark = batch_mark(batch)
     try:
         status, load_time = begin_run(spark, root, run_id, mark, load_time, source)

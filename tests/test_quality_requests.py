@@ -154,3 +154,36 @@ def test_batch_summary_matches_fixture_notes(spark):
     r = s.agg(F.count(F.lit(1)).alias("b"), F.sum("number_tickets").alias("t"),
               F.sum("number_missed").alias("m")).first()
     assert (r.b, r.t, r.m) == (30, 11990, 4031)
+
+
+def test_column_checks_in_one_aggregate(spark):
+    df = spark.createDataFrame([(1, None), (-2, "x"), (None, "y")], "price int, code string")
+    got = {(r.test, r["column"]): (r.severity, r.failures, r.status)
+           for r in dq.column_checks(df, "m", {"price": "error", "code": "warn"}, {"price": 0}).collect()}
+    assert got == {("not_null", "price"): ("error", 1, "fail"), ("not_null", "code"): ("warn", 1, "warn"),
+                   ("accepted_range", "price"): ("error", 1, "fail")}
+    assert {r.failures for r in dq.column_checks(df.limit(0), "m", {"price": "error"}, {"price": 0}).collect()} == {0}
+
+
+def test_unnest_misses_and_bad_casts_as_checks(spark):
+    from farelake.operators.flatten import CAST_FIELDS, MISS_REASONS, bad_casts, unnest_misses
+    offer = '{"price":%s,"departure_at":%s}'
+    body = '{"data":[' + offer % ('"12"', '"2025-01-01T00:00:00Z"') + "," + offer % ('"cheap"', '"soon"') + "]}"
+    stg = spark.createDataFrame(
+        [("a", '{"one_way":"true"}', body), ("b", '{"one_way":"false"}', body), ("c", None, '"boom"'),
+         ("d", None, "{}"), ("e", None, '{"data":{}}'), ("f", None, '{"data":[]}')],
+        "doc_id string, request string, response string")
+    count = lambda rows: {r.test: r.failures for r in rows.collect()}
+    assert count(dq.reason_counts(unnest_misses(stg), "m", "response", MISS_REASONS)) == {
+        "response_text": 1, "response_no_data": 1, "response_not_array": 1, "response_empty": 1}
+    casts = count(dq.reason_counts(bad_casts(stg), "m", "cast", list(CAST_FIELDS)))
+    assert {k for k, n in casts.items() if n} == {"cast_price", "cast_departure_at"} and sum(casts.values()) == 2
+
+
+def test_view_over_a_registered_table(spark, tmp_dir):
+    from farelake.plans.refresh import create_view, register_table
+    spark.range(3).write.parquet(f"{tmp_dir}/t")
+    register_table(spark, "dm.view_source", f"{tmp_dir}/t", tmp_dir)
+    create_view(spark, "dm.view_of_it", "SELECT id FROM dm.view_source WHERE id > 0")
+    create_view(spark, "view_of_it", "SELECT id FROM dm.view_source", temporary=True)
+    assert spark.table("dm.view_of_it").count() == 2 and spark.table("view_of_it").count() == 3
