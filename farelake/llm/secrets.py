@@ -60,6 +60,7 @@ _UNICODE = re.compile(
     rb"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
 _LINE_END = re.compile(rb"[\r\n]")
+_CONTROL = bytes([*range(9), *range(14, 32), 127])
 
 #: Bytes of a run that can hold a base64 layer, for the first look at a whole slice.
 _RUN = np.zeros(256, bool)
@@ -117,10 +118,10 @@ def _code_point(m: re.Match) -> bytes:
 
 def _lines_with(data: bytes, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
     """Lines with a match of pattern, as byte ranges."""
-    done = 0
+    done = 0  # end of the last line given, 0 at first: later lines begin behind it
     for m in pattern.finditer(data):
         if m.start() >= done:
-            a = max(data.rfind(b"\n", 0, m.start()), data.rfind(b"\r", 0, m.start())) + 1
+            a = max(data.rfind(b"\n", done, m.start()), data.rfind(b"\r", done, m.start())) + 1
             end = _LINE_END.search(data, m.start())
             done = end.start() if end else len(data)
             yield a, done
@@ -132,7 +133,7 @@ def _readable(data: bytes) -> bool:
         data.decode()
     except UnicodeDecodeError:
         return False
-    return sum(x < 9 or 13 < x < 32 or x == 127 for x in data) * 20 <= len(data)
+    return (len(data) - len(data.translate(None, _CONTROL))) * 20 <= len(data)
 
 
 def _compressed(data: bytes) -> str:
@@ -181,6 +182,11 @@ def _unpacked(data: bytes) -> Iterator[bytes]:
         return
 
 
+def _covering(piece: bytes, lo: int, hi: int, depth: int) -> Layer:
+    """A layer whose bytes all came from one range, which is held once."""
+    return Layer(piece, np.broadcast_to(lo, len(piece)), np.broadcast_to(hi, len(piece)), depth)
+
+
 def _base64(layer: Layer, s: int, e: int) -> Iterator[Layer]:
     """Layers that a base64 run holds."""
     run = np.frombuffer(layer.data, np.uint8)[s:e]
@@ -199,8 +205,7 @@ def _base64(layer: Layer, s: int, e: int) -> Iterator[Layer]:
         yield Layer(got, lo, hi, layer.depth + 1)
         return
     for piece in _unpacked(got):
-        n = len(piece)
-        yield Layer(piece, np.full(n, lo[0]), np.full(n, hi[-1]), layer.depth + 2)
+        yield _covering(piece, lo[0], hi[-1], layer.depth + 2)
 
 
 def _inner(layer: Layer) -> Iterator[Layer]:
@@ -215,24 +220,30 @@ def _inner(layer: Layer) -> Iterator[Layer]:
     for m in _BASE64.finditer(data):
         yield from _base64(layer, *m.span())
     if layer.depth and _compressed(data):
-        n = len(data)
         for piece in _unpacked(data):
-            yield Layer(piece, np.full(len(piece), layer.lo[0]), np.full(len(piece), layer.hi[n - 1]), layer.depth + 1)
+            yield _covering(piece, layer.lo[0], layer.hi[-1], layer.depth + 1)
 
 
 def decoded_matches(data: bytes) -> Iterator[tuple[str, int, int, int]]:
-    """(kind, start, end, depth) found in the layers under a text, as byte ranges of it."""
+    """(kind, start, end, depth) found in the layers under a text, as byte ranges of it.
+
+    The worklist holds what is left of each open layer, the innermost last: one layer
+    of each depth is in memory, however many pieces an unpacked one has.
+    """
     at = np.arange(len(data), dtype=np.int64)
-    work, seen = [Layer(data, at, at + 1, 0)], set()
+    work, seen = [_inner(Layer(data, at, at + 1, 0))], set()
     while work:
-        for layer in _inner(work.pop()):
-            key = hash(layer.key()), len(layer.data)
-            if not layer.data or key in seen:
-                continue
-            seen.add(key)
-            for kind, s, e in matches(layer.data):
-                yield kind, int(layer.lo[s:e].min()), int(layer.hi[s:e].max()), layer.depth
-            work.append(layer)
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        key = hash(layer.key()), len(layer.data)
+        if not layer.data or key in seen:
+            continue
+        seen.add(key)
+        for kind, s, e in matches(layer.data):
+            yield kind, int(layer.lo[s:e].min()), int(layer.hi[s:e].max()), layer.depth
+        work.append(_inner(layer))
 
 
 def find_secrets(data: bytes, encoded: bool = True) -> list[tuple[str, int, int, int]]:
@@ -241,7 +252,7 @@ def find_secrets(data: bytes, encoded: bool = True) -> list[tuple[str, int, int,
     found = {(k, s, e): 0 for k, s, e in matches(data)}
     if encoded:
         for k, s, e, depth in decoded_matches(data):
-            found.setdefault((k, s, e), depth)
+            found[k, s, e] = min(found.get((k, s, e), depth), depth)
     if not found:
         return []
     point = np.zeros(len(data) + 1, np.int64)
