@@ -189,6 +189,21 @@ def test_secrets_large_unpacked_layer(monkeypatch):
     assert [k for k, _, d in spans_of(text) if d] == ["assign"]
 
 
+def test_secrets_layers_are_unpacked_one_at_a_time(monkeypatch):
+    """A piece is scanned before the next one is unpacked, so pieces do not pile up."""
+    monkeypatch.setattr(secrets, "PIECE", 4096)
+    monkeypatch.setattr(secrets, "OVERLAP", 256)
+    order, stream, scan = [], secrets._stream, secrets.matches
+    monkeypatch.setattr(secrets, "_stream", lambda data: (order.append("piece") or x for x in stream(data)))
+    monkeypatch.setattr(secrets, "matches", lambda data: order.append("scan") or scan(data))
+    raw = b"".join(b"line %d of filler\n" % i for i in range(5000)) + b"password=hunter2hunter2"
+    text = base64.b64encode(gzip.compress(raw)).decode()
+    assert [x[0] for x in secrets.find_secrets(text.encode())] == ["assign"]
+    first = order.index("piece")
+    pairs = order[first:]
+    assert pairs.count("piece") > 10 and not any(a == b == "piece" for a, b in zip(pairs, pairs[1:], strict=False))
+
+
 def test_secrets_base_spans_and_redaction(spark):
     docs, rows = frame(spark, EDGE + [SECRET, "AKIAABCDEFGHIJKL é AKIASHORT", "f" * 31 + " " + "0a" * 16, "tokEn:short api_key=abcd1234",
                                       urllib.parse.quote(SECRET)] + [t for _, t in documents(spark)])
