@@ -336,7 +336,10 @@ def next_run_id(spark: SparkSession, root: str, source: str | None = None) -> in
 
 
 def _write_run_row(spark: SparkSession, root: str, run_id: int, values: tuple) -> None:
-    write_run(spark.createDataFrame([values], RUN_SCHEMA).coalesce(1), f"{root}/_runs", run_id)
+    # A row of literals: no Python worker is started for it.
+    fields = [f.split() for f in RUN_SCHEMA.split(", ")]
+    row = [F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, fields, strict=True)]
+    write_run(spark.range(0, 1, 1, 1).select(*row), f"{root}/_runs", run_id)
 
 
 def begin_run(spark: SparkSession, root: str, run_id: int, mark: tuple[int, int], load_time,
