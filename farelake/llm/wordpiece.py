@@ -12,6 +12,9 @@ before, so a word takes linear time.
 
 Vocabulary: pieces that begin a word carry a marker, pieces that go on carry none
 (``load_pieces`` reads them from a sentencepiece model; its path is a parameter).
+The word is matched as marker + word. Where the vocabulary holds the marker alone,
+``alone`` makes it a piece of its own: a word that begins with no other piece then
+costs one piece for the marker and is cut up behind it.
 
 Words are runs outside 0x20 and 0x09..0x0D, compared by 64-bit hash; a distinct
 word of a slice of texts is run through the automaton once.
@@ -48,19 +51,20 @@ def load_pieces(path: str) -> list[str]:
 class Automaton:
     """Trie with failure links and popped-piece counts.
 
-    State 0 is the start of a word, state 1 the place after a piece. ``link[s]`` is
-    -1 where a word that stops matching at s has no cut; ``popped[s]`` is the number
-    of pieces that the link cuts off.
+    State 1 is the root, the place after a piece; state 0, its child by the marker,
+    is the start of a word. ``link[s]`` is -1 where a word that stops matching at s
+    has no cut; ``popped[s]`` is the number of pieces that the link cuts off.
+    alone: the marker alone counts as a piece where the vocabulary holds it.
     """
 
-    def __init__(self, pieces: Iterable[str], marker: str = MARKER):
-        self.next: list[dict[str, int]] = [{}, {}]
+    def __init__(self, pieces: Iterable[str], marker: str = MARKER, alone: bool = False):
+        self.next: list[dict[str, int]] = [{}, {marker: 0}]
         accepts = {}
         for piece in pieces:
-            state, rest = (0, piece[len(marker):]) if piece.startswith(marker) else (1, piece)
-            if not rest:
+            if not piece or piece == marker and not alone:
                 continue
-            for c in rest:
+            state = 1
+            for c in piece:
                 if c not in self.next[state]:
                     self.next[state][c] = len(self.next)
                     self.next.append({})
@@ -68,7 +72,7 @@ class Automaton:
             accepts[state] = True
         n = len(self.next)
         self.link, self.popped = [-1] * n, [0] * n
-        work = deque([0, 1])
+        work = deque([1])
         while work:
             parent = work.popleft()
             for c, state in self.next[parent].items():
@@ -128,8 +132,9 @@ class Counter:
         return pieces, unknown
 
 
-def count_pieces(docs: DataFrame, pieces: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, n_pieces, n_unknown) of every row."""
+def count_pieces(docs: DataFrame, pieces: list[str], key: str = "doc_id", text: str = "text",
+                 alone: bool = False) -> DataFrame:
+    """(key, n_words, n_pieces, n_unknown) of every row; alone as in Automaton."""
     rows = docs.select(F.col(key), F.col(text).alias("__text"))
     kind = rows.schema[0].dataType.simpleString()
     shipped = docs.sparkSession.sparkContext.broadcast(pieces)  # a vocabulary: its size does not follow the data
@@ -137,7 +142,7 @@ def count_pieces(docs: DataFrame, pieces: list[str], key: str = "doc_id", text:
     def count(batches):
         counter = None
         for batch in batches:
-            counter = counter or Counter(Automaton(shipped.value))
+            counter = counter or Counter(Automaton(shipped.value, alone=alone))
             for a, b, scan in scans(batch.column(1)):
                 found, unknown = counter(scan)
                 yield pa.RecordBatch.from_arrays(
@@ -151,4 +156,4 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-piece counts of every document, over the public 32k pieces."""
     import public_tokenizers
     return count_pieces(table(spark, sf_dir, "documents", ("doc_id", "text")),
-                        load_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+                        load_pieces(public_tokenizers.path("piece_bpe_32k.model")), alone=True)

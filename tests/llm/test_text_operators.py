@@ -256,6 +256,41 @@ def test_wordpiece_counts(spark):
     assert wordpiece.count_pieces(empty(spark), pieces).count() == 0
 
 
+def greedy_string(string, pieces):
+    """Pieces of a string, none longer than 64; 0 if it cannot be cut up."""
+    at = n = 0
+    longest = 64
+    while at < len(string):
+        end = next((e for e in range(min(len(string), at + longest), at, -1) if string[at:e] in pieces), 0)
+        if not end:
+            return 0
+        n, at = n + 1, end
+    return n
+
+
+def test_wordpiece_marker_alone_is_a_piece(spark):
+    rng = random.Random(8)
+    for _ in range(20):
+        pieces = {rng.choice(["", wordpiece.MARKER]) + "".join(rng.choice("abcd") for _ in range(rng.randint(1, 4))) for _ in range(25)}
+        pieces.add(wordpiece.MARKER)
+        machine = wordpiece.Automaton(pieces, alone=True)
+        for _ in range(500):
+            word = "".join(rng.choice("abcde" + wordpiece.MARKER) for _ in range(rng.randint(1, 10)))
+            assert machine.count(word) == greedy_string(wordpiece.MARKER + word, pieces), (word, pieces)
+    known = wordpiece.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    machine = wordpiece.Automaton(known, alone=True)
+    everything = set(known)
+    for word in ("2024", "3rd", "100%", "日本", "the"):
+        assert machine.count(word) == greedy_string(wordpiece.MARKER + word, everything) > 0
+    assert machine.count("2024") == 5
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    each = {w: greedy_string(wordpiece.MARKER + w, everything) for _, t in documents(spark) for w in words(t)}
+    want = [[each[w] for w in words(t)] for _, t in documents(spark)]
+    got = wordpiece.op7_token_counts(spark, SF).collect()
+    assert docs.count() == len(got)
+    assert sorted((len(x), sum(max(y, 1) for y in x), x.count(0)) for x in want) == sorted((r.n_words, r.n_pieces, r.n_unknown) for r in got)
+
+
 # --- language models -----------------------------------------------------------------
 
 def test_langmodel_against_counting(spark):
