@@ -298,10 +298,11 @@ def _links(members: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, node) of every row.
+    """(doc_id, n_shingles, component_id, node, component) of every row.
 
     Shingles of n words; linked from a similarity of percent / 100. node: the hash
-    of the shingle set, null without shingles.
+    of the shingle set; component: the least node linked to it, the same for the
+    rows of one group only, whatever their ids. Both are null without shingles.
     """
     signed = written(_signatures(docs, n, percent), "jaccard-signatures")
     nodes = written(signed.where("node is not null").groupBy("node").agg(
@@ -320,10 +321,10 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     of_node = nodes.select("node", "least_id").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     ids = of_node.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_node = of_node.join(ids, "component").select("node", "component_id")
+    of_node = of_node.join(ids, "component").select("node", "component_id", "component")
     return signed.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(
-            F.col("component_id")).alias("component_id"), "node")
+            F.col("component_id")).alias("component_id"), "node", "component")
 
 
 def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -333,7 +334,7 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     while node in docs.columns:
         node += "_"
     groups = similar_groups(docs, n, percent).where("node is not null")
-    kept = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("node")).alias("alone")).agg(
+    kept = groups.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("k")).select(
         F.col("k")["doc_id"].alias(node + "_id"), F.col("k")["node"].alias(node + "_of"))
     marked = with_node(docs, n, node)
