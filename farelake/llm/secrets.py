@@ -10,7 +10,8 @@ cycle or a second way to the same layer ends there.
 Each layer byte keeps the range of the text it came from: exact for escapes, the
 covering characters for base64, the whole run for compressed bytes. A secret
 found in a layer is reported as the span of the original text it came from.
-Compressed data are unpacked piece by piece (``PIECE`` bytes, overlapping), so a
+Compressed data are looked for anywhere in a layer and
+unpacked with all their members, piece by piece (``PIECE`` bytes, overlapping), so a
 layer of any size is read whole in bounded memory.
 
 Kinds (base patterns, leftmost non-overlapping): ``assign``, ``access``, ``hex``.
@@ -25,12 +26,11 @@ gives no rows; other columns are ignored (``scan_secrets``) or kept as they are
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,7 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 MIN_BASE64 = 16
 PIECE, OVERLAP = 16 << 20, 1 << 16
+STEP = 1 << 16  # compressed bytes given to a decompressor at once
 REDACTED = "[SECRET]"
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,depth:int>>"
@@ -59,6 +60,9 @@ _UNICODE = re.compile(
     rb"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
     rb"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
+#: Where a compressed stream may begin (zlib: _compressed tests its second byte).
+_MAGIC = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|[\x08\x18\x28\x38\x48\x58\x68\x78]")
+_DAMAGE = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
 _LINE_END = re.compile(rb"[\r\n]")
 _CONTROL = bytes([*range(9), *range(14, 32), 127])
 
@@ -110,6 +114,8 @@ def _unescape(layer: Layer, a: int, b: int, pattern: re.Pattern, value: Callable
 
 
 def _code_point(m: re.Match) -> bytes:
+    if m[4]:
+        return bytes([int(m[4], 16)])
     code = int(m[6]) if m[6] else int(next(x for x in m.groups()[:5] if x), 16)
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return m[0]
@@ -151,23 +157,109 @@ def _compressed(data: bytes) -> str:
     return ""
 
 
-def _stream(data: bytes) -> Iterator[bytes]:
-    """What a compressed stream holds, PIECE bytes at a time."""
-    kind = _compressed(data)
+def _member(data: bytes, at: int, kind: str) -> Generator[bytes, None, int]:
+    """What one member of a compressed stream holds; returns where it ends."""
     if kind in ("gzip", "zlib"):
-        tool, rest = zlib.decompressobj(31 if kind == "gzip" else 15), data
-        while rest and not tool.eof:
+        tool, rest = zlib.decompressobj(31 if kind == "gzip" else 15), b""
+        while not tool.eof:
+            if not rest:
+                rest = data[at:at + STEP]
+                at += len(rest)
+                if not rest:
+                    yield tool.flush()
+                    break
             yield tool.decompress(rest, PIECE)
             rest = tool.unconsumed_tail
-    elif kind in ("bzip2", "xz"):
+    else:
         tool = bz2.BZ2Decompressor() if kind == "bzip2" else lzma.LZMADecompressor()
-        yield tool.decompress(data, PIECE)
-        while not (tool.eof or tool.needs_input):
-            yield tool.decompress(b"", PIECE)
-    elif kind == "zstd":
-        with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data) as reader:
+        while not tool.eof:
+            rest = data[at:at + STEP] if tool.needs_input else b""
+            at += len(rest)
+            if tool.needs_input and not rest:
+                break
+            yield tool.decompress(rest, PIECE)
+    return at - len(tool.unused_data)
+
+
+def _behind(data: bytes, at: int, kind: str) -> int:
+    """Where the next member may begin: padding of xz streams is skipped."""
+    while kind == "xz" and data[at:at + 4] == bytes(4):
+        at += 4
+    return at
+
+
+def _stream(data: bytes) -> Iterator[bytes]:
+    """What a compressed stream holds, all its members, PIECE bytes at a time."""
+    kind, at = _compressed(data), 0
+    if kind == "zstd":
+        with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data, read_across_frames=True) as reader:
             while got := reader.read(PIECE):
                 yield got
+        return
+    while kind and _compressed(data[at:at + 8]) == kind:
+        for got in (member := _Ending(_member(data, at, kind))):
+            if got:
+                yield got
+        at = _behind(data, member.end, kind)
+
+
+class _Ending:
+    """An iteration that keeps what its generator returns."""
+
+    def __init__(self, made: Generator[bytes, None, int]):
+        self.made = made
+
+    def __iter__(self) -> Iterator[bytes]:
+        self.end = yield from self.made
+
+
+def _zstd_end(data: bytes, at: int) -> int:
+    """Where zstd frames end, skippable ones among them, told by their block headers."""
+    while True:
+        if data[at + 1:at + 4] == b"\x2a\x4d\x18" and data[at] >> 4 == 5:
+            at += 8 + int.from_bytes(data[at + 4:at + 8], "little")
+        elif data[at:at + 4] == b"\x28\xb5\x2f\xfd":
+            try:
+                sums = zstandard.get_frame_parameters(data[at:at + 32]).has_checksum
+                at += zstandard.frame_header_size(data[at:at + 32])
+            except zstandard.ZstdError:
+                return at
+            last = False
+            while not last and at + 3 <= len(data):
+                head = int.from_bytes(data[at:at + 3], "little")
+                last = bool(head & 1)
+                at += 3 + (1 if head >> 1 & 3 == 1 else head >> 3)
+            at += 4 * sums
+        else:
+            return min(at, len(data))
+
+
+def _stream_end(data: bytes, at: int) -> int:
+    """Where the compressed stream at a place ends: the place itself if nothing can be
+    read there, the end of data if its first member is damaged or cut off."""
+    kind, begin, some = _compressed(data[at:at + 8]), at, False
+    if kind == "zstd":
+        return _zstd_end(data, at)
+    try:
+        while kind and _compressed(data[at:at + 8]) == kind:
+            for got in (member := _Ending(_member(data, at, kind))):
+                some = some or bool(got)
+            at = _behind(data, member.end, kind)
+    except _DAMAGE:
+        at = at if at > begin else len(data)
+    return at if some else begin
+
+
+def _streams(data: bytes) -> Iterator[tuple[int, int]]:
+    """Ranges of data that hold compressed streams, wherever they begin."""
+    done = 0
+    for m in _MAGIC.finditer(data):
+        at = m.start()
+        if at >= done and _compressed(data[at:at + 8]):
+            end = _stream_end(data, at)
+            if end > at:
+                yield at, end
+                done = end
 
 
 def _unpacked(data: bytes) -> Iterator[bytes]:
@@ -178,7 +270,7 @@ def _unpacked(data: bytes) -> Iterator[bytes]:
             if got:
                 yield tail + got
                 tail = got[-OVERLAP:]
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+    except _DAMAGE:
         return
 
 
@@ -192,20 +284,22 @@ def _base64(layer: Layer, s: int, e: int) -> Iterator[Layer]:
     run = np.frombuffer(layer.data, np.uint8)[s:e]
     keep = np.flatnonzero((run != 10) & (run != 13) & (run != 61))
     text = run[keep].tobytes().replace(b"-", b"+").replace(b"_", b"/")
-    if len(text) % 4 == 1:
-        return
-    try:
-        got = base64.b64decode(text + b"=" * (-len(text) % 4))
-    except (binascii.Error, ValueError):
-        return
-    at = np.arange(len(got))
-    lo = layer.lo[s + keep[at * 8 // 6]]
-    hi = layer.hi[s + keep[np.minimum((at * 8 + 7) // 6, len(keep) - 1)]]
-    if _readable(got):
-        yield Layer(got, lo, hi, layer.depth + 1)
-        return
-    for piece in _unpacked(got):
-        yield _covering(piece, lo[0], hi[-1], layer.depth + 2)
+    for skip in range(min(1, len(text))):
+        part = text[skip:len(text) - ((len(text) - skip) % 4 == 1)]
+        got = base64.b64decode(part + b"=" * (-len(part) % 4))
+
+        def origin(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+            at = np.arange(a, b)
+            return (layer.lo[s + keep[skip + at * 8 // 6]],  # noqa: B023
+                    layer.hi[s + keep[np.minimum(skip + (at * 8 + 7) // 6, len(keep) - 1)]])  # noqa: B023
+
+        if not skip and _readable(got):
+            yield Layer(got, *origin(0, len(got)), layer.depth + 1)
+            continue
+        for a, b in _streams(got):
+            lo, hi = origin(a, a + 1)[0][0], origin(b - 1, b)[1][0]
+            for piece in _unpacked(got[a:b]):
+                yield _covering(piece, lo, hi, layer.depth + 2)
 
 
 def _inner(layer: Layer) -> Iterator[Layer]:
@@ -219,9 +313,10 @@ def _inner(layer: Layer) -> Iterator[Layer]:
             yield _unescape(layer, a, b, _UNICODE, _code_point)
     for m in _BASE64.finditer(data):
         yield from _base64(layer, *m.span())
-    if layer.depth and _compressed(data):
-        for piece in _unpacked(data):
-            yield _covering(piece, layer.lo[0], layer.hi[-1], layer.depth + 1)
+    if layer.depth and (_compressed(data) or not _readable(data)):
+        for a, b in _streams(data):
+            for piece in _unpacked(data[a:b]):
+                yield _covering(piece, layer.lo[a], layer.hi[b - 1], layer.depth + 1)
 
 
 def decoded_matches(data: bytes) -> Iterator[tuple[str, int, int, int]]:

@@ -204,6 +204,22 @@ def test_secrets_layers_are_unpacked_one_at_a_time(monkeypatch):
     assert pairs.count("piece") > 10 and not any(a == b == "piece" for a, b in zip(pairs, pairs[1:], strict=False))
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress,
+                                  lambda x: b"\x50\x2a\x4d\x18\x04\0\0\0size" + zstandard.ZstdCompressor(write_checksum=True).compress(x)])
+def test_secrets_in_every_member_and_anywhere(pack):
+    def found(text):
+        return [(k, s) for k, s, d in spans_of(text) if d]
+
+    members = pack(b"filler line\n" * 50) + pack(b"more\n" + SECRET[:14].encode()) + pack(SECRET[14:].encode() + b" end\n")
+    assert [k for k, _ in found(base64.b64encode(members).decode())] == ["assign"]
+    assert [k for k, _ in found(base64.b64encode(b"\0\1\2head\xff" + members).decode())] == ["assign"]
+    quoted = "".join(f"%{x:02x}" for x in members)
+    head = 12 if members[:1] == b"\x50" else 0  # a skippable frame before the first one is not part of the span
+    assert found(f"data={quoted} and so on") == [("assign", quoted[3 * head:])]
+    quoted = "".join(f"\\x{x:02x}" for x in members)
+    assert found(f"data={quoted} and so on") == [("assign", quoted[4 * head:])]
+
+
 def test_secrets_base_spans_and_redaction(spark):
     docs, rows = frame(spark, EDGE + [SECRET, "AKIAABCDEFGHIJKL é AKIASHORT", "f" * 31 + " " + "0a" * 16, "tokEn:short api_key=abcd1234",
                                       urllib.parse.quote(SECRET)] + [t for _, t in documents(spark)])
