@@ -10,7 +10,8 @@ cycle or a second way to the same layer ends there.
 Each layer byte keeps the range of the text it came from: exact for escapes, the
 covering characters for base64, the whole run for compressed bytes. A secret
 found in a layer is reported as the span of the original text it came from.
-Compressed data are looked for anywhere in a layer and
+A base64 run is read at each of its four alignments; where the whole is no text, its
+readable stretches are layers. Compressed data are looked for anywhere in a layer and
 unpacked with all their members, piece by piece (``PIECE`` bytes, overlapping), so a
 layer of any size is read whole in bounded memory.
 
@@ -59,7 +60,12 @@ _URL = re.compile(rb"%([0-9A-Fa-f]{2})")
 _UNICODE = re.compile(
     rb"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
     rb"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
+#: Lines of 16 characters or more; the last line of a run of lines has any length.
+_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]+)?={0,2}")
+#: Readable text in decoded bytes, from the length of the shortest secret (token=, 8 characters).
+_STRETCH = re.compile(
+    rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){14,}")
 #: Where a compressed stream may begin (zlib: _compressed tests its second byte).
 _MAGIC = re.compile(rb"\x1f\x8b|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|[\x08\x18\x28\x38\x48\x58\x68\x78]")
 _DAMAGE = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
@@ -280,11 +286,12 @@ def _covering(piece: bytes, lo: int, hi: int, depth: int) -> Layer:
 
 
 def _base64(layer: Layer, s: int, e: int) -> Iterator[Layer]:
-    """Layers that a base64 run holds."""
+    """Layers that a base64 run holds, read at each of the four alignments: what stands
+    before an encoded part in the run may have any length."""
     run = np.frombuffer(layer.data, np.uint8)[s:e]
     keep = np.flatnonzero((run != 10) & (run != 13) & (run != 61))
     text = run[keep].tobytes().replace(b"-", b"+").replace(b"_", b"/")
-    for skip in range(min(1, len(text))):
+    for skip in range(min(4, len(text))):
         part = text[skip:len(text) - ((len(text) - skip) % 4 == 1)]
         got = base64.b64decode(part + b"=" * (-len(part) % 4))
 
@@ -296,6 +303,8 @@ def _base64(layer: Layer, s: int, e: int) -> Iterator[Layer]:
         if not skip and _readable(got):
             yield Layer(got, *origin(0, len(got)), layer.depth + 1)
             continue
+        for m in _STRETCH.finditer(got):
+            yield Layer(m[0], *origin(*m.span()), layer.depth + 1)
         for a, b in _streams(got):
             lo, hi = origin(a, a + 1)[0][0], origin(b - 1, b)[1][0]
             for piece in _unpacked(got[a:b]):

@@ -204,6 +204,24 @@ def test_secrets_layers_are_unpacked_one_at_a_time(monkeypatch):
     assert pairs.count("piece") > 10 and not any(a == b == "piece" for a, b in zip(pairs, pairs[1:], strict=False))
 
 
+@pytest.mark.parametrize("before", ["-" * 20 + "\n", "-" * 21 + "\n", "A1b2C3d4E5f6G7h8I\n", "example/v1/", "a/b_c/example/v1/x/"])
+def test_secrets_base64_at_any_alignment(before):
+    for secret in ("token=A1b2C3d4E5f6", SECRET, "é " + SECRET + " und"):
+        text = f"see {before}{base64.b64encode(secret.encode()).decode().rstrip('=')}"
+        found = [s for k, s, d in spans_of(text) if d and k == "assign"]
+        assert found and before not in found[0], text
+    lines = "\n".join(base64.b64encode(x.encode()).decode().rstrip("=") for x in ("some plain words here", "token=A1b2C3d4E5f6", "more words"))
+    assert [k for k, _, d in spans_of(lines) if d] == ["assign"]
+
+
+def test_secrets_wrapped_base64_ends_with_a_short_line():
+    for n in range(8):
+        raw = "some plain words and more, so that there is a " + "x" * n + " second line!! token=A1b2C3d4E5f6"
+        text = base64.encodebytes(raw.encode()).decode()
+        found = [(k, s) for k, s, d in spans_of(text) if d]
+        assert [k for k, _ in found] == ["assign"] and text.rstrip("=\n").endswith(found[0][1].rstrip("=\n"))
+
+
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress,
                                   lambda x: b"\x50\x2a\x4d\x18\x04\0\0\0size" + zstandard.ZstdCompressor(write_checksum=True).compress(x)])
 def test_secrets_in_every_member_and_anywhere(pack):
