@@ -14,8 +14,11 @@ of the bare tag names.
 
 Boilerplate elements: ``SKIP`` (never text), ``ASIDE`` (menus, headers, footers,
 sidebars, forms) and elements whose class, id or role holds a word of ``MARKS``
-(adverts, notices, comments, shares and the like). A ``header`` inside the
-article is part of it.
+(adverts, notices, comments, shares and the like), but not ``article`` and ``main``
+themselves: their classes name topics. A ``header`` inside the article is part of it.
+
+A page may hold several main elements: the words of each score positive, and the
+scan tells which of them belong to the run.
 
 Text: character references are decoded; white space inside a block becomes one
 space; blocks are trimmed and joined by one line feed; nothing else is dropped.
@@ -129,7 +132,7 @@ def items(page: str) -> Iterator[Item]:
                     if stack[k][0] in stop:
                         break
             if name not in VOID and not attrs.endswith("/"):
-                marked = name not in ("html", "body") and _marked(attrs, bool(main))
+                marked = name not in ("html", "body") and name not in MAIN and _marked(attrs, bool(main))
                 if name in MAIN and not main and not out and not marked:
                     mains += 1
                     main = mains
@@ -141,13 +144,10 @@ def items(page: str) -> Iterator[Item]:
         yield Item("/" + name if m["end"] else name, " " if name == "br" else "", block, out, main)
 
 
-def page_items(page: str) -> tuple[list[Item], int]:
-    """Items of a page, and which main element holds most words (0: none)."""
-    got, size = list(items(page)), Counter()
-    for x in got:
-        if x.main and not x.out:
-            size[x.main] += x.words
-    return got, min(size, key=lambda k: (-size[k], k)) if size else 0
+def page_items(page: str) -> tuple[list[Item], bool]:
+    """Items of a page, and whether it has main elements with words."""
+    got = list(items(page))
+    return got, any(x.main and not x.out and x.words for x in got)
 
 
 def learn(pages: Iterator[str]) -> Counter:
@@ -158,13 +158,13 @@ def learn(pages: Iterator[str]) -> Counter:
         if not main:
             continue
         for x in got:
-            inside = x.main == main and not x.out
+            inside = bool(x.main) and not x.out
             if not x.name:
                 seen["word", inside] += x.words
             else:
                 seen[x.name, inside] += 1
-                seen[x.name + "+" if x.main == main else "", inside] += 1
-                seen["+" if x.main == main else "", inside] += 1
+                seen[x.name + "+" if x.main else "", inside] += 1
+                seen["+" if x.main else "", inside] += 1
     return seen
 
 
@@ -194,9 +194,9 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     got, main = page_items(page)
     scores = []
     for x in got:
-        inside = x.main == main
+        inside = not main or bool(x.main) or x.out
         if not x.name:
-            # Boilerplate inside the main element is left out, but does not cut it in two.
+            # Boilerplate inside or between main elements is left out, but does not cut the run in two.
             scores.append(x.words * weight["word"] * (-1 if not inside else 1 if not x.out else -1 if not main else 0))
         else:
             key = x.name + "+" if main and inside else x.name
@@ -205,7 +205,7 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     blocks: list[str] = []
     last = -1
     for x in got[a:b]:
-        if x.out or x.main != main:
+        if x.out or main and not x.main:
             continue
         if x.block != last:
             blocks.append("")

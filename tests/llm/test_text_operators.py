@@ -381,6 +381,15 @@ def test_html_pages(page, text):
     assert html.main_text(page or "", html.weights({})) == text
 
 
+def test_html_several_and_marked_articles():
+    a, b = "<article><p>One two three.</p></article>", "<article><p>Four five six seven eight.</p></article>"
+    assert html.main_text(f"<nav>menu</nav>{a}{b}<footer>f</footer>", html.weights({})) == "One two three.\nFour five six seven eight."
+    assert html.main_text(f"{a}<div class=ad>buy</div>{b}", html.weights({})) == "One two three.\nFour five six seven eight."
+    for page in ("<div>x</div><article class='post category-social tag-search'><p>a b c d</p></article>",
+                 "<main class=social><article class='post tag-search'><p>a b c d</p></article><aside>x</aside></main>"):
+        assert html.main_text(page, html.weights({})) == "a b c d"
+
+
 def test_html_scan_is_best():
     rng = random.Random(7)
     for _ in range(200):
