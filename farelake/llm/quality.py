@@ -7,10 +7,13 @@ neighbouring lines are tied by transition weights. A text is kept if at least
 
 The weights are fitted on labelled documents by L2-penalised likelihood. The lines
 of a document carry its quality label, but a line of a bad document that also
-stands in a good one of the sample is content. The sample is bounded (``TRAIN_DOCS`` documents, the first by hash of their
-id, and their first ``TRAIN_LINES`` lines); everything else covers all rows and
+stands in a good one of the sample is content. The sample is bounded by documents:
+the first ``TRAIN_DOCS`` by hash of their id, and the first ``TRAIN_LEAST`` of each
+label, so that a rare label is in it. All lines of a sampled document take part, a
+long one in sequences of ``TRAIN_LINES`` lines; everything else covers all rows and
 whole texts. Without labels of both classes there is no field and every line
-counts as content.
+counts as content; a warning tells if the labels hold both but the sample's
+documents do not.
 
 Base figures (``base_rules``): words are runs outside 0x20 and 0x09..0x0D.
 
@@ -29,6 +32,8 @@ labels of an unknown, null or contradictory document are not used.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +43,7 @@ from farelake.llm.tables import table
 from farelake.llm.textscan import SPACE, Scan, scans, span_hashes, window_hashes
 
 TRAIN_DOCS, TRAIN_LINES = 2000, 48
+TRAIN_LEAST = 200
 MIN_CONTENT = 0.5
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
@@ -256,11 +262,15 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     """The field fitted on a bounded sample of labelled documents."""
-    sample = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("__low"), F.max("quality").alias("__high")).where("__low = __high").select(
-        "doc_id", (F.col("__low") > 0).cast("int").alias("__label")).orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
-    # At most TRAIN_DOCS rows of two numbers: a proven bound for the broadcast.
+        "doc_id", (F.col("__low") > 0).cast("int").alias("__label"))
+    first = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    sample = first(known, TRAIN_DOCS)
+    for label in (0, 1):
+        sample = sample.unionByName(first(known.where(F.col("__label") == label), TRAIN_LEAST))
+    sample = sample.distinct()
+    # At most TRAIN_DOCS + 2 * TRAIN_LEAST rows of two numbers: a proven bound for the broadcast.
     rows = docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(sample), "doc_id")
 
     def lines(batches):
@@ -269,7 +279,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] |
             for _, _, scan in scans(batch.column(1)):
                 found = Lines(scan)
                 for i, j in zip(found.ptr[:-1], found.ptr[1:], strict=True):
-                    part = slice(i, min(j, i + TRAIN_LINES))
+                    part = slice(i, j)
                     got.append(np.column_stack([found.ids[part].astype(np.uint64), found.keys[part]]).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(got, pa.binary())], ["doc_id", "label", "lines"])
@@ -280,7 +290,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] |
         F.min("lines").alias("lines")).orderBy("doc_id").collect()
     read = [(np.frombuffer(r["lines"], np.uint64).reshape(-1, len(FEATURES) + 1), r["label"]) for r in got]
     good = np.concatenate([np.zeros(0, np.uint64), *[x[:, -1] for x, label in read if label]])
-    return fit([(x[:, :-1].astype(np.int64), np.isin(x[:, -1], good)) for x, _ in read])
+    if len({label for _, label in read}) < 2 and known.select("__label").distinct().count() == 2:
+        warnings.warn("labels of both classes, but sampled documents of one at most: every line counts as content", stacklevel=2)
+    return fit([(x[a:a + TRAIN_LINES, :-1].astype(np.int64), np.isin(x[a:a + TRAIN_LINES, -1], good))
+                for x, _ in read for a in range(0, len(x), TRAIN_LINES)])
 
 
 def content_words(found: Lines, field: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:

@@ -89,6 +89,23 @@ def test_quality_held_out_accuracy(spark):
     assert not bad or np.mean(bad) <= 0.3
 
 
+def test_quality_trains_on_all_lines_and_rare_labels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_DOCS", 5)
+    monkeypatch.setattr(quality, "TRAIN_LEAST", 3)
+    lines = [f"line {i} of a long text, with words" for i in range(130)]
+    rows = [(i, "\n".join(lines[i:])) for i in range(40)] + [(40, "BUY NOW!!! $$$\n" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(41)], "doc_id long, quality int")
+    taken, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda sequences: taken.extend(sequences) or fit(sequences))
+    assert quality.train(docs, labels) is not None  # the one bad document is in the sample
+    sizes = [len(x) for x, _ in taken]
+    assert max(sizes) <= quality.TRAIN_LINES and sum(sizes) >= 70 + 5 * 91
+    assert {int(y) for _, labels in taken for y in labels} == {0, 1}
+    with pytest.warns(UserWarning, match="both classes"):
+        assert quality.train(docs.where("doc_id < 40"), labels) is None
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(1)
     for _ in range(30):
