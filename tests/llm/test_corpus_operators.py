@@ -83,10 +83,10 @@ def test_near_copies_with_clashing_ids(spark):
     one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
     rows = [(1, one), (2, one + " end"), (1, two), (7, two + " end"), (1, three), (None, three + " end"), (1, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = sorted(tuple(r) for r in jaccard.drop_near_copies(docs, 5, 80).collect())
+    kept = sorted(tuple(r) for r in jaccard.drop_near_copies(docs, 5, 80, clashing=True).collect())
     assert kept == sorted([(1, one), (1, two), (1, three), (1, "")])
     none = docs.selectExpr("cast(null as long) as doc_id", "text").where("text <> ''")
-    assert jaccard.drop_near_copies(none, 5, 80).count() == 3
+    assert jaccard.drop_near_copies(none, 5, 80, clashing=True).count() == 3
 
 
 def test_tree_links_connect_like_all_pairs():
