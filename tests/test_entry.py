@@ -1,3 +1,8 @@
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pandas as pd
 import pytest
@@ -20,6 +25,23 @@ def test_every_warehouse_query_has_sql():
     assert set(E.QUERIES) - set(E.oracle_sql()) == set()
 
 
+@pytest.mark.parametrize("gone", [["farelake/llm", "tests/llm"], ["farelake/llm", "tests/llm", "corpus_pipeline.py"],
+                                  ["corpus_pipeline.py"]])
+def test_entry_without_the_training_data_parts(tmp_path, gone):
+    root = Path(E.__file__).parent
+    skip = shutil.ignore_patterns(".git", "__pycache__", "spark-warehouse")
+    shutil.copytree(root / "farelake", tmp_path / "farelake", ignore=lambda folder, names: [
+        *skip(folder, names), *[n for n in names if str((Path(folder) / n).relative_to(root)) in gone]])
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists() and name not in gone:
+            shutil.copy(root / name, tmp_path / name)
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__ as E; print(len(E.QUERIES), set(E.queries()) >= "
+                          "set(E.QUERIES), 'pipeline' in E.queries())"], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=120, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ":".join(p for p in sys.path if p and Path(p) != root)})
+    assert run.returncode == 0, run.stderr
+    assert run.stdout.split() == [str(len(E.QUERIES)), "True", "False"]
+
+
 def _canon(df):
     df = df[sorted(df.columns)].astype(str)
     return df.sort_values(list(df.columns)).reset_index(drop=True)
