@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, chat, html, jaccard, langmodel, packing, quality, secrets, topk, wordpiece
+from farelake.llm import bpe, chat, html, jaccard, langmodel, packing, quality, secrets, topk, word_bpe, wordpiece
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_html_extraction": html.op9_html_extraction,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op12_word_bpe": word_bpe.op12_word_bpe,
 }
 
 ORACLE = {
