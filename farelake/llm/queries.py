@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, chat, html, jaccard, langmodel, packing, quality, secrets, topk, word_bpe, wordpiece
+from farelake.llm import bpe, chat, html, jaccard, langmodel, packing, quality, secrets, topk, turntrie, word_bpe, wordpiece
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -16,9 +16,11 @@ QUERIES = {
     "op9_html_extraction": html.op9_html_extraction,
     "op10_chat_formatting": chat.op10_chat_formatting,
     "op12_word_bpe": word_bpe.op12_word_bpe,
+    "op13_prefix_trie": turntrie.op13_prefix_trie,
 }
 
 ORACLE = {
     "op4_exact_top_k": topk.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
+    "op13_prefix_trie": turntrie.ORACLE,
 }
