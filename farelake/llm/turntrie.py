@@ -346,7 +346,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = """
 with own as (
   select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
-    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as at
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
   from conversations where conv_id is not null
 ), convs as (
   select conv_id, conv_id - conv_id % 100 as base, xor(list_reduce(
@@ -355,13 +355,13 @@ with own as (
     4294967295::bigint) % 6 as h
   from (select distinct conv_id from own)
 ), parts as (
-  select c.conv_id, 0 as part, o.at, o.role, o.text from convs c join own o on o.conv_id = c.base and o.at <= c.h
+  select c.conv_id, 0 as part, o.pos, o.role, o.text from convs c join own o on o.conv_id = c.base and o.pos <= c.h
   union all
-  select c.conv_id, 1, o.at, o.role, o.text from convs c join own o on o.conv_id = c.conv_id and o.at > c.h
+  select c.conv_id, 1, o.pos, o.role, o.text from convs c join own o on o.conv_id = c.conv_id and o.pos > c.h
 ), turns as (
   select conv_id, length(text) as len, row_number() over w as depth,
     md5(cast(list(sha256(length(role) || ':' || role || text)) over w as varchar)) as node
-  from parts window w as (partition by conv_id order by part, at)
+  from parts window w as (partition by conv_id order by part, pos)
 ), prefixes as (
   select conv_id, 0 as len, 0 as depth, '' as node from convs
   union all
