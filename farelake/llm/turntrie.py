@@ -350,8 +350,8 @@ with own as (
   from conversations where conv_id is not null
 ), convs as (
   select conv_id, conv_id - conv_id % 100 as base, xor(list_reduce(
-    list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), x -> ascii(x)::bigint)),
-    (a, b) -> list_reduce(list_prepend(xor(a, b), range(8)), (x, i) -> xor(x >> 1, (x & 1) * 3988292384))),
+    list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))),
     4294967295::bigint) % 6 as h
   from (select distinct conv_id from own)
 ), parts as (
