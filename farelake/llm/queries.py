@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from farelake.llm import bpe, chat, html, jaccard, langmodel, packing, quality, secrets, topk, turntrie, word_bpe, wordpiece
+from farelake.llm import (
+    bpe,
+    chat,
+    divergence,
+    html,
+    jaccard,
+    langmodel,
+    packing,
+    quality,
+    secrets,
+    topk,
+    turntrie,
+    word_bpe,
+    wordpiece,
+)
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +29,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_html_extraction": html.op9_html_extraction,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_source_divergence": divergence.op11_source_divergence,
     "op12_word_bpe": word_bpe.op12_word_bpe,
     "op13_prefix_trie": turntrie.op13_prefix_trie,
 }
@@ -22,5 +37,6 @@ QUERIES = {
 ORACLE = {
     "op4_exact_top_k": topk.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
     "op13_prefix_trie": turntrie.ORACLE,
 }
