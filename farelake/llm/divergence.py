@@ -5,8 +5,8 @@ How far do the sources of a language differ in their terms, and by which terms?
 1. *Kept terms*: documents with each (lang, term) are counted; terms in ``MIN_DOCS`` of a
    language's documents stay. They are sorted over ranges, and each gets its ordinal in the
    order of UTF-8 within its language.
-2. *Vocabulary*: a language's terms are dealt into shards by their hash, about
-   ``SHARD_TERMS`` each. A minimal acyclic transducer is built from the sorted terms of a
+2. *Vocabulary*: a language's terms are dealt into shards by their hash, at least
+   ``MIN_SHARDS`` and at most about ``SHARD_TERMS`` terms each. A minimal acyclic transducer is built from the sorted terms of a
    shard (``transducer.py``); its ordinals stand for the language's by one array.
 3. *Recount*: texts are read again in blocks. The distinct terms of a block, with their
    counts by source, go to the shards they hash to and stream through the transducer there,
@@ -46,6 +46,7 @@ MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 SHARD_TERMS = 1 << 16
+MIN_SHARDS = 64  # so that what a block sends to one shard stays small
 BLOCK_BYTES = 8 << 20
 TILE = 128  # sources
 ORDINALS = 1 << 12  # ordinals of a block in the comparison of pairs
@@ -350,7 +351,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     terms = written(kept_terms(rows, min_docs), "divergence-ordinals")
     sizes = terms.groupBy("lang").agg(F.count("*").alias("terms"))
     largest = sizes.agg(F.max("terms")).first()[0] or 0
-    shards = max(1, -(-largest // SHARD_TERMS))
+    shards = max(MIN_SHARDS, -(-largest // SHARD_TERMS))
     # Streams of one shard are dealt so that all shards of a language fill the cluster once.
     salts = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     counts = written(recount(rows, vocabulary(terms, shards), shards, salts)

@@ -58,7 +58,7 @@ def texts(seed, count):
 
 
 @pytest.mark.parametrize("shard_terms, tile, ordinals, block, held", [
-    (1 << 16, 128, 1 << 12, 8 << 20, 1 << 20), (40, 2, 16, 2000, 50)])
+    (1 << 16, 128, 1 << 12, 8 << 20, 1 << 20), (3, 2, 16, 2000, 50)])
 def test_equals_a_plain_count(spark, monkeypatch, shard_terms, tile, ordinals, block, held):
     for name, value in (("SHARD_TERMS", shard_terms), ("TILE", tile), ("ORDINALS", ordinals), ("BLOCK_BYTES", block), ("HELD", held)):
         monkeypatch.setattr(divergence, name, value)
