@@ -99,6 +99,23 @@ def _last_bucket(cut: F.Column, period: str) -> F.Column:
     return bucket_start(cut - F.expr(f"interval {period}"), period)
 
 
+def complete(rows: DataFrame, period: str, cut: F.Column) -> DataFrame:
+    """Rows of the buckets that end by ``cut``."""
+    return rows.filter(F.col("bucket_start") + F.expr(f"interval {period}") <= cut)
+
+
+def report(metrics: DataFrame, series: list[str], test: str, cut: F.Column, period: str, detection_period: str | None,
+           training_buckets: int = 14, sensitivity: float = 3.0, missing=None) -> DataFrame:
+    """Scored buckets from metrics (bucket_start, series..., value): each series runs without
+    gaps from its first bucket to the last complete one; a bucket without a row reads
+    ``missing``."""
+    first = metrics.groupBy(*series).agg(F.min("bucket_start").alias("_first"))
+    full = spine(first, series, _last_bucket(cut, period), period).join(metrics, ["bucket_start", *series], "left")
+    if missing is not None:
+        full = full.withColumn("value", F.coalesce("value", F.lit(missing)).cast("double"))
+    return _finish(score(full, series, training_buckets, sensitivity), test, series, cut, detection_period)
+
+
 def count_anomalies(df: DataFrame, ts: str, period: str = "12 hours", dims: list[str] | None = None,
                     training_buckets: int = 14, sensitivity: float = 3.0,
                     detection_period: str | None = "14 days", detection_delay: str | None = "12 hours",
@@ -106,14 +123,8 @@ def count_anomalies(df: DataFrame, ts: str, period: str = "12 hours", dims: list
     """Row count per bucket (J6) or per bucket and dimension combination."""
     dims = list(dims or [])
     cut = _cut(df, ts, as_of, detection_delay)
-    rows = _bucketed(df, ts, period, cut)
-    counts = rows.groupBy("bucket_start", *dims).agg(F.count(F.lit(1)).alias("value"))
-    first = counts.groupBy(*dims).agg(F.min("bucket_start").alias("_first")) if dims else \
-        counts.agg(F.min("bucket_start").alias("_first"))
-    full = (spine(first, dims, _last_bucket(cut, period), period)
-            .join(counts, ["bucket_start", *dims], "left")
-            .withColumn("value", F.coalesce("value", F.lit(0)).cast("double")))
-    return _finish(score(full, dims, training_buckets, sensitivity), test, dims, cut, detection_period)
+    counts = _bucketed(df, ts, period, cut).groupBy("bucket_start", *dims).agg(F.count(F.lit(1)).alias("value"))
+    return report(counts, dims, test, cut, period, detection_period, training_buckets, sensitivity, missing=0)
 
 
 def volume_anomalies(df: DataFrame, ts: str, **kw) -> DataFrame:
@@ -124,42 +135,68 @@ def dimension_anomalies(df: DataFrame, ts: str, dims: list[str], **kw) -> DataFr
     return count_anomalies(df, ts, dims=dims, test="dimension_anomalies", **kw)
 
 
-def freshness_anomalies(df: DataFrame, ts: str, period: str = "12 hours", split: str = "minute",
-                        training_buckets: int = 14, sensitivity: float = 3.0,
-                        detection_period: str | None = "7 days",
+# Widths of the cells in which gaps are folded, in microseconds: 0.1 s holds at most 100,000
+# distinct times, and each wider cell at most 100 of the ones below.
+CELL_MICROS = [100_000, 10_000_000, 600_000_000]
+
+
+def time_cells(rows: DataFrame, ts: str) -> DataFrame:
+    """(bucket_start, cell, times): distinct times in microseconds by cell of 0.1 s. Cells of
+    several inputs merge by putting their times together."""
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    return rows.select("bucket_start", t.alias("t")).filter("t is not null") \
+        .withColumn("cell", F.floor(F.col("t") / CELL_MICROS[0])) \
+        .groupBy("bucket_start", "cell").agg(F.collect_set("t").alias("times"))
+
+
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Cells of several inputs as one: each cell's distinct times."""
+    return cells.groupBy("bucket_start", "cell").agg(F.array_distinct(F.flatten(F.collect_list("times"))).alias("times"))
+
+
+def _join_gaps(a: F.Column, b: F.Column) -> F.Column:
+    """Summary of two neighbouring ranges, a before b: associative."""
+    return F.struct(a["first"].alias("first"), b["last"].alias("last"),
+                    F.greatest(a["gap"], b["gap"], b["first"] - a["last"]).alias("gap"))
+
+
+def gap_summaries(cells: DataFrame) -> DataFrame:
+    """(bucket_start, first, last, gap) of each bucket's times: its first and last time and the
+    largest gap between neighbours, in seconds.
+
+    The times of a cell are sorted alone; the summaries of neighbouring cells are joined in
+    wider and wider cells up to the bucket. No group holds more than a cell's times or the
+    cells of one wider cell, however the rows fall, and raw rows go through no window.
+    """
+    times = F.transform(F.sort_array("times"), lambda t: t / 1e6)
+    inner = F.array_max(F.zip_with(F.slice(times, 2, F.size(times)), times, lambda b, a: b - a))
+    rows = cells.select("bucket_start", "cell", F.struct(
+        F.element_at(times, 1).alias("first"), F.element_at(times, -1).alias("last"),
+        F.coalesce(inner, F.lit(0.0)).alias("gap")).alias("s"))
+    for narrow, wide in zip(CELL_MICROS, [*CELL_MICROS[1:], None], strict=True):
+        cell = F.lit(0).cast("long") if wide is None else F.floor(F.col("cell") / (wide // narrow))
+        parts = F.sort_array(F.collect_list("s"))
+        rows = rows.withColumn("cell", cell).groupBy("bucket_start", "cell").agg(parts.alias("p")).select(
+            "bucket_start", "cell", F.aggregate(F.slice("p", 2, F.size("p")), F.get("p", F.lit(0)), _join_gaps).alias("s"))
+    return rows.select("bucket_start", "s.first", "s.last", "s.gap")
+
+
+def gap_values(summaries: DataFrame) -> DataFrame:
+    """(bucket_start, value): the largest gap in seconds that ends in a bucket, the one to the
+    bucket before (one row a bucket) included."""
+    over = F.col("first") - F.lag("last").over(Window.orderBy("bucket_start"))
+    return summaries.select("bucket_start", F.greatest("gap", F.coalesce(over, F.lit(0.0))).alias("value"))
+
+
+def freshness_anomalies(df: DataFrame, ts: str, period: str = "12 hours", training_buckets: int = 14,
+                        sensitivity: float = 3.0, detection_period: str | None = "7 days",
                         detection_delay: str | None = "12 hours", as_of=None) -> DataFrame:
     """Longest gap (seconds) between consecutive update times, per bucket of the
-    later update (J7).
-
-    Three levels, so no window sorts more than one bucket's splits: gaps inside
-    a ``split`` (e.g. one minute) from ``lag`` partitioned by split; gaps
-    between splits of one bucket from the per-split first/last table
-    partitioned by bucket; gaps between buckets from the per-bucket first/last
-    table (one row per non-empty bucket). Buckets without updates have no
-    value and are not scored.
-    """
+    later update (J7). Buckets without updates have no value and are not scored."""
     cut = _cut(df, ts, as_of, detection_delay)
     rows = _bucketed(df.select(ts), ts, period, cut)
-    sec = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
-    rows = rows.withColumn("_s", sec).withColumn("_split", F.date_trunc(split, F.col(ts)))
-    inner = (rows.withColumn("_gap", F.col("_s") - F.lag("_s").over(
-                 Window.partitionBy("_split").orderBy("_s")))
-                 .groupBy("bucket_start", "_split")
-                 .agg(F.max("_gap").alias("_gin"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi")))
-    splits = inner.withColumn("_gx", F.col("_lo") - F.lag("_hi").over(
-        Window.partitionBy("bucket_start").orderBy("_split")))
-    per_bucket = splits.groupBy("bucket_start").agg(
-        F.max(F.greatest(F.coalesce("_gin", F.lit(0.0)), F.coalesce("_gx", F.lit(0.0)))).alias("_gi"),
-        F.min("_lo").alias("_blo"), F.max("_hi").alias("_bhi"))
-    per_bucket = (per_bucket
-                  .withColumn("_gb", F.col("_blo") - F.lag("_bhi").over(Window.orderBy("bucket_start")))
-                  .select("bucket_start",
-                          F.greatest(F.col("_gi"), F.coalesce("_gb", F.lit(0.0))).alias("value")))
-    first = per_bucket.agg(F.min("bucket_start").alias("_first"))
-    full = (spine(first, [], _last_bucket(cut, period), period)
-            .join(per_bucket, "bucket_start", "left"))
-    return _finish(score(full, [], training_buckets, sensitivity), "freshness_anomalies", [], cut,
-                   detection_period)
+    values = gap_values(gap_summaries(time_cells(rows, ts)))
+    return report(values, [], "freshness_anomalies", cut, period, detection_period, training_buckets, sensitivity)
 
 
 def event_freshness_anomalies(df: DataFrame, event_ts: str, update_ts: str,
@@ -172,11 +209,7 @@ def event_freshness_anomalies(df: DataFrame, event_ts: str, update_ts: str,
     lag = (F.unix_micros(F.col(update_ts).cast("timestamp"))
            - F.unix_micros(F.col(event_ts).cast("timestamp"))) / 1e6
     per_bucket = rows.groupBy("bucket_start").agg(F.max(lag).alias("value"))
-    first = per_bucket.agg(F.min("bucket_start").alias("_first"))
-    full = (spine(first, [], _last_bucket(cut, period), period)
-            .join(per_bucket, "bucket_start", "left"))
-    return _finish(score(full, [], training_buckets, sensitivity), "event_freshness_anomalies", [],
-                   cut, detection_period)
+    return report(per_bucket, [], "event_freshness_anomalies", cut, period, detection_period, training_buckets, sensitivity)
 
 
 NUMERIC_METRICS = ["min", "max", "average", "standard_deviation", "null_count", "null_percent",
@@ -223,11 +256,7 @@ def column_anomalies(df: DataFrame, ts: str, columns: list[str] | None = None,
     wide = rows.groupBy("bucket_start").agg(*aggs)
     names = [c for c in wide.columns if c != "bucket_start"]
     long = wide.unpivot("bucket_start", names, "metric", "value")
-    first = long.groupBy("metric").agg(F.min("bucket_start").alias("_first"))
-    full = (spine(first, ["metric"], _last_bucket(cut, period), period)
-            .join(long, ["bucket_start", "metric"], "left"))
-    return _finish(score(full, ["metric"], training_buckets, sensitivity), test, ["metric"], cut,
-                   detection_period)
+    return report(long, ["metric"], test, cut, period, detection_period, training_buckets, sensitivity)
 
 
 def all_columns_anomalies(df: DataFrame, ts: str, period: str = "1 day", **kw) -> DataFrame:

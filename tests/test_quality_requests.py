@@ -187,3 +187,34 @@ def test_view_over_a_registered_table(spark, tmp_dir):
     create_view(spark, "dm.view_of_it", "SELECT id FROM dm.view_source WHERE id > 0")
     create_view(spark, "view_of_it", "SELECT id FROM dm.view_source", temporary=True)
     assert spark.table("dm.view_of_it").count() == 2 and spark.table("view_of_it").count() == 3
+
+
+def test_gaps_fold_over_cells_however_the_rows_fall(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    base = 1_735_689_600_000_000
+    hot = [base + 3_600_000_000 + rng.randrange(60_000_000) for _ in range(4000)]    # half the rows in one minute
+    times = hot + [base + rng.randrange(5 * 86_400_000_000) for _ in range(1500)] + hot[:300]
+    times += [base + 43_200_000_000 * n - 1 for n in (1, 2, 3)] + [base + 43_200_000_000]  # at the bucket's edges
+    df = spark.createDataFrame([(t,) for t in times] + [(None,)], "t long").select(F.timestamp_micros("t").alias("ts"))
+    rows = df.withColumn("bucket_start", an.bucket_start("ts", "12 hours")).repartition(5)
+    got = {r.bucket_start.timestamp(): r.value for r in an.gap_values(an.gap_summaries(an.time_cells(rows, "ts"))).collect()}
+    want, before = {}, None
+    for t in sorted(set(times)):
+        bucket = t // 43_200_000_000 * 43_200
+        want[bucket] = max(want.get(bucket, 0), (t - before) / 1e6 if before is not None else 0)
+        before = t
+    assert {k: round(v, 6) for k, v in got.items()} == {float(k): round(v, 6) for k, v in want.items()}
+    # The same from parts that overlap in time, put together cell by cell.
+    halves = an.time_cells(rows.filter("unix_micros(ts) % 2 = 0"), "ts").unionByName(
+        an.time_cells(rows.filter("unix_micros(ts) % 3 <> 0 or unix_micros(ts) % 2 = 1"), "ts"))
+    assert {r.bucket_start.timestamp(): r.value for r in an.gap_values(an.gap_summaries(an.merge_cells(halves))).collect()} == got
+    plan = an.gap_summaries(an.time_cells(rows, "ts"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_gap_summaries_of_nothing(spark):
+    none = spark.createDataFrame([], "ts timestamp, bucket_start timestamp")
+    assert an.gap_values(an.gap_summaries(an.time_cells(none, "ts"))).collect() == []
