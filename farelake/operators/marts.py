@@ -44,6 +44,12 @@ def route_sums(fact: DataFrame) -> DataFrame:
         F.sum("price_rub").alias("price_sum"), F.count("price_rub").alias("price_n"))
 
 
+def add_sums(sums: DataFrame) -> DataFrame:
+    """Sums of several parts as one row a group."""
+    return sums.groupBy("search_date", "departure_date", *ROUTE).agg(
+        F.sum("price_sum").alias("price_sum"), F.sum("price_n").alias("price_n"))
+
+
 def from_sums(sums: DataFrame) -> dict[str, DataFrame]:
     """The three mean-price marts (D1-D3) from ``route_sums`` rows."""
     def mean(*keys: str) -> DataFrame:

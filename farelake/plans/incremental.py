@@ -9,7 +9,10 @@ root (a folder in the shared checkpoint dir):
 * ``fact/run_id=N``     fact rows each run appended
 * ``latest/run_id=N``   first offers of each run's new fact rows
 * ``route_sums/run_id=N``, ``airport_pairs/run_id=N``  partial aggregates of the marts
+* ``version_state/run_id=N/bucket=B``  content hash of the newest version of each key a run
+  loaded, by hash bucket (``keyed_state``)
 * ``T_base/through=N``  what the runs up to N come to, written by ``compact``
+* ``T/through=N``       table models (marts): whole tables, the newest complete one counts
 * ``dq_results/run_id=N``  check results after each run
 * ``_marks/step=S/run_id=N``  watermark of each step and run (one row)
 * ``_runs/run_id=N``    run table: source, load time, mark of the documents, status
@@ -28,6 +31,7 @@ from farelake.operators import marts
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import ods_flatten, stage_current
 from farelake.operators.scd2 import content_hash, drop_unchanged, newest_versions, scd2_history
+from farelake.plans import keyed_state
 from farelake.schemas import DEFAULT_ENDPOINT, LOG_SCHEMA, SENTINEL
 from farelake.session import list_paths, path_exists, remove_path
 
@@ -122,19 +126,49 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     if runs.filter("status <> 'done'").limit(1).count():
         raise ValueError("a run is not finished: run it again before compacting")
     last = runs.agg(F.max("run_id")).first()[0]
-    for table, keys in (("raw", None), ("ods", ODS_KEYS), ("fact", None), ("latest", None)):
+    same = lambda rows: rows
+    tables = {"raw": same, "ods": lambda rows: newest_inserts(rows, ODS_KEYS), "fact": same, "latest": same,
+              "route_sums": marts.add_sums, "airport_pairs": lambda rows: rows.drop("run_id").distinct()}
+    for table, merge in tables.items():
         target = f"{root}/{table}"
         if compacted_through(spark, target) == last or not path_exists(spark, target):
             continue
-        rows = read_merged(spark, target, keys) if keys else read_runs_of(spark, target)
-        rows.drop("run_id").write.mode("overwrite").parquet(f"{target}_base/through={last}")
+        merge(read_runs_of(spark, target)).drop("run_id").write.mode("overwrite").parquet(f"{target}_base/through={last}")
         if vacuum:
             for path in list_paths(spark, f"{target}/run_id=*"):
                 if int(path.rsplit("=", 1)[1]) <= last:
                     remove_path(spark, path)
+    name = keyed_state.VERSIONS
+    if compacted_through(spark, f"{root}/{name}") != last and path_exists(spark, f"{root}/{name}"):
+        rows = keyed_state.read_state(spark, root, name)
+        order = [c for c in rows.columns if c not in ("doc_id", "content", "run_id", "bucket")]
+        order.sort(key=lambda c: c != "valid_from_dttm")
+        keyed_state.compact_state(spark, root, name, last, keyed_state.newest_versions_of(rows, "doc_id", order), vacuum=vacuum)
     return last
 
 
+# --- whole tables --------------------------------------------------------------------
+
+KEPT_TABLES = 2  # complete copies of a table model; a reader of the one before is not cut off
+
+
+def write_table(df: DataFrame, root: str, name: str, run_id: int) -> DataFrame:
+    """Write a table model (A6) whole. Readers see the old table until the new one is
+    complete; a run that stops in between leaves the old one."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/{name}/through={run_id}")
+    done = sorted(int(p.split("/through=")[1].split("/")[0]) for p in list_paths(spark, f"{root}/{name}/through=*/_SUCCESS"))
+    for old in done[:-KEPT_TABLES]:
+        remove_path(spark, f"{root}/{name}/through={old}")
+    return read_table_model(spark, root, name)
+
+
+def read_table_model(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest complete table of a table model."""
+    done = [int(p.split("/through=")[1].split("/")[0]) for p in list_paths(spark, f"{root}/{name}/through=*/_SUCCESS")]
+    return spark.read.parquet(f"{root}/{name}/through={max(done)}")
+
+
 # --- watermarks --------------------------------------------------------------------
 
 def set_watermark(spark: SparkSession, root: str, step: str, run_id: int, written: DataFrame, column: str) -> None:
@@ -212,26 +246,24 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
     or is read again still makes a newer version. Without it the column
     ``loaded_at`` tells each row's load time (replays of a known history, whose
     batches must come in that order). With ``detect_changes`` a version equal to
-    the one before it is left out; the log is then read for the newest content hash
-    of the batch's keys only, four narrow columns.
+    the one before it is left out; the newest content hash of the batch's keys comes from
+    the keyed state (``keyed_state``), of which only the batch's buckets are read.
     """
     extra = [tie] if tie else []
     start = F.col(loaded_at) if load_time is None else F.lit(load_time).cast("timestamp")
     batch = docs.withColumn("valid_from_dttm", start).select(*VERSION_COLUMNS, *extra)
     batch = newest_versions(batch, [key, "valid_from_dttm"] + (extra if load_time is None else []), tie)
     batch = batch.withColumn("content", content_hash())
+    order = ["valid_from_dttm", *extra]
     if detect_changes:
         chain = batch.withColumn("_known", F.lit(False))
         log = read_runs_of(spark, f"{root}/raw")
-        if log is not None:
-            order = ["valid_from_dttm", *extra]
-            newest = (log.filter(F.col("run_id") != run_id).select(key, *order, "content", "run_id")
-                         .join(batch.select(key).distinct(), key, "left_semi")
-                         .groupBy(key).agg(F.max(F.struct(*order, "run_id", "content")).alias("v"))
-                         .select(key, *[F.col("v")[c].alias(c) for c in (*order, "content")], F.lit(True).alias("_known")))
-            chain = chain.unionByName(newest, allowMissingColumns=True)
+        newest = keyed_state.known_versions(spark, root, batch, run_id, key, order, log)
+        if newest is not None:
+            chain = chain.unionByName(newest.drop("run_id").withColumn("_known", F.lit(True)), allowMissingColumns=True)
         batch = drop_unchanged(chain, key, "valid_from_dttm", tie, ["content"]).filter("not _known").drop("_known")
     written = write_run(batch, f"{root}/raw", run_id)
+    keyed_state.write_versions(spark, root, run_id, written, key, order)
     set_watermark(spark, root, "raw", run_id, written, "updated_at")
     return written
 
@@ -290,10 +322,9 @@ def refresh_marts(spark: SparkSession, root: str, run_id: int) -> None:
     fact = spark.read.parquet(f"{root}/fact/run_id={run_id}")
     write_run(marts.route_sums(fact), f"{root}/route_sums", run_id)
     write_run(marts.airports(fact), f"{root}/airport_pairs", run_id)
-    sums = spark.read.parquet(f"{root}/route_sums")
-    for name, df in [*marts.from_sums(sums).items(),
-                     ("airports", spark.read.parquet(f"{root}/airport_pairs").select("airport_code", "city_code").distinct())]:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    pairs = read_runs_of(spark, f"{root}/airport_pairs").select("airport_code", "city_code").distinct()
+    for name, df in [*marts.from_sums(read_runs_of(spark, f"{root}/route_sums")).items(), ("airports", pairs)]:
+        write_table(df, root, name, run_id)
 
 
 def check_models(spark: SparkSession, root: str, run_id: int, as_of, tie: str | None = "event_id",
@@ -304,7 +335,7 @@ def check_models(spark: SparkSession, root: str, run_id: int, as_of, tie: str |
     models = {"stg": stg, "ods": read_ods(spark, root).drop("run_id"),
               "fact": read_runs_of(spark, f"{root}/fact").drop("run_id"),
               "latest": read_latest(spark, root).drop("run_id"),
-              **{m: spark.read.parquet(f"{root}/{m}")
+              **{m: read_table_model(spark, root, m)
                  for m in ("agg_route", "agg_dep_route", "agg_search_dep_route", "airports")}}
     return write_run(model_checks(models, as_of), f"{root}/dq_results", run_id)
 

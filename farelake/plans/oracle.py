@@ -607,6 +607,30 @@ versions AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
 {LOADED_MODELS}"""
 
+ORACLE["scd2_keyed_state"] = f"""
+WITH {EVENT_DOCS},
+cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
+                min(batch_started_at) + INTERVAL 20 DAY AS c2 FROM docs),
+due AS (SELECT docs.*, CASE WHEN created_at < c1 THEN 1 WHEN created_at < c2 THEN 2 ELSE 3 END AS slice
+        FROM docs, cuts),
+landed AS (
+  SELECT doc_id, event_id, created_at, updated_at, status_code, slice AS run FROM due
+  UNION ALL
+  SELECT doc_id, event_id, created_at, updated_at, CASE WHEN event_id % 2 = 0 THEN 203 ELSE status_code END, slice + 1
+  FROM due WHERE event_id % 3 = 0 AND slice < 3),
+loaded AS (
+  SELECT *, TIMESTAMP '2026-01-01 00:00:00' + to_hours(CAST(run AS INTEGER)) AS loaded_at FROM landed
+  QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
+versions AS (
+  SELECT * FROM loaded
+  QUALIFY lag(event_id) OVER w IS DISTINCT FROM event_id OR lag(status_code) OVER w IS DISTINCT FROM status_code
+  WINDOW w AS (PARTITION BY doc_id ORDER BY run))
+SELECT 'log' AS part, doc_id, event_id, loaded_at FROM versions
+UNION ALL
+SELECT 'state', doc_id, event_id, loaded_at FROM versions
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY run DESC) = 1
+"""
+
 EL_CTE = f"""
 WITH {EVENT_DOCS},
 cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,

@@ -21,6 +21,7 @@ from farelake.operators.flatten import CAST_FIELDS, MISS_REASONS, bad_casts, ods
 from farelake.operators import requests as rq
 from farelake.plans import checks
 from farelake.plans import incremental as inc
+from farelake.plans import keyed_state
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
 from farelake.sources.fixtures import offer_log, offer_rows
@@ -401,7 +402,7 @@ def q_marts_increment(spark, sf_dir):
         inc.run_increment(spark, root, batch, r, run_ts(r), loaded_at="created_at", with_checks=False)
         if r == 2:
             inc.compact(spark, root, vacuum=True)
-    return _round_doubles(spark.read.parquet(f"{root}/agg_search_dep_route"))
+    return _round_doubles(inc.read_table_model(spark, root, "agg_search_dep_route"))
 
 
 @query("late_updates")
@@ -453,6 +454,30 @@ def _run_el(spark, sf_dir, faithful: bool) -> str:
     return root
 
 
+@query("scd2_keyed_state")
+def q_scd2_keyed_state(spark, sf_dir):
+    """Raw log and its keyed state after three runs that read some documents again, some
+    unchanged and some with another status; the state is compacted after the second run."""
+    root = scratch_path(spark, "keyed")
+    docs = event_documents(spark, sf_dir)
+    b0 = F.lit(docs.agg(F.min("batch_started_at")).first()[0]).cast("timestamp")
+    cut = lambda n: b0 + F.expr(f"interval {SLICE_DAYS * n} days")
+    due = F.when(F.col("created_at") < cut(1), 1).when(F.col("created_at") < cut(2), 2).otherwise(3)
+    again = docs.filter(F.col("event_id") % 3 == 0).withColumn("run", due + 1).filter("run <= 3")
+    landed = docs.withColumn("run", due).unionByName(again.withColumn(
+        "status_code", F.when(F.col("event_id") % 2 == 0, 203).otherwise(F.col("status_code"))))
+    for r in range(1, N_RUNS + 1):
+        inc.run_increment(spark, root, landed.filter(F.col("run") == r).drop("run"), r, run_ts(r), with_marts=False)
+        if r == 2:
+            inc.compact(spark, root, vacuum=True)
+    log = inc.read_raw_log(spark, root, extra=["event_id"]).select(
+        F.lit("log").alias("part"), "doc_id", "event_id", F.col("valid_from_dttm").alias("loaded_at"))
+    state = keyed_state.newest_versions_of(
+        keyed_state.read_state(spark, root, keyed_state.VERSIONS), "doc_id", ["valid_from_dttm", "event_id"])
+    return log.unionByName(state.select(
+        F.lit("state").alias("part"), "doc_id", "event_id", F.col("valid_from_dttm").alias("loaded_at")))
+
+
 @query("el_lookback")
 def q_el_lookback(spark, sf_dir):
     """Raw log, ODS and fact after three passes with a look-back of a day: documents read

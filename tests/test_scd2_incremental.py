@@ -85,7 +85,7 @@ def test_run_increment_rerun_is_idempotent(spark):
     inc.run_increment(spark, root, d.filter("event_id = 2"), 2, "2026-01-01 02:00:00")
     again = sorted(tuple(r) for r in spark.read.parquet(f"{root}/fact").select("doc_id", "price_rub", "run_id").collect())
     assert snap == again == [("a", 5, 1), ("b", 7, 2)]
-    assert spark.read.parquet(f"{root}/agg_route").first().avg_price_rub == 6.0
+    assert inc.read_table_model(spark, root, "agg_route").first().avg_price_rub == 6.0
     hist = inc.read_raw_log(spark, root, extra=["event_id"])
     assert hist.count() == 2
 
@@ -208,7 +208,7 @@ def test_small_batch_rewrites_no_older_file_and_compaction_keeps_every_row(spark
     run(3, [("d4", ts(1, 5), ts(1, 6), 101, OFFER % ('"/4"', 600)), many[5]])                 # on top of the base
     assert ("d4", "/4", 600) in prices(spark, root, "ods") and len(prices(spark, root, "ods")) == 41
     assert inc.read_raw_log(spark, root).count() == 43                   # many[5] is unchanged
-    mean = spark.read.parquet(f"{root}/agg_route").first().avg_price_rub
+    mean = inc.read_table_model(spark, root, "agg_route").first().avg_price_rub
     assert abs(mean - (sum(range(40)) + 500 + 7 + 600) / 43) < 1e-9
 
 
@@ -248,3 +248,49 @@ def test_checks_follow_the_increment(spark):
     assert found["accepted_range", "dm_fact_ticket_offers", "price_rub"] == 1
     assert found["not_null", "ods_ticket_offers", "search_date"] == 1
     assert ("unique", "stg_ticket_offers", "doc_id") in found
+
+
+def test_change_detection_reads_the_buckets_of_its_batch(spark):
+    from farelake.plans import keyed_state as ks
+    root = scratch_path(spark, "t-keyed")
+    many = [(f"d{i}", ts(1, i % 20), ts(1, i % 20), i, OFFER % (f'"/{i}"', i)) for i in range(200)]
+    run = lambda r, rows: inc.run_increment(spark, root, raw_docs(spark, rows), r, f"2026-01-01 0{r}:00:00",
+                                            with_marts=False)
+    run(1, many)
+    run(2, [("d3", ts(1, 3), ts(1, 3), 3, OFFER % ('"/3"', 4)), many[4]])
+    files = lambda df: {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+    batch = raw_docs(spark, [many[4], many[5]])
+    buckets = ks.batch_buckets(batch, root)
+    whole, read = ks.read_state(spark, root, ks.VERSIONS), ks.read_state(spark, root, ks.VERSIONS, buckets)
+    assert len(buckets) <= 2 and len(files(read)) <= 4 and len(files(whole)) >= 30
+    assert {f for f in files(whole) if any(f"/bucket={b}/" in f for b in buckets)} == files(read)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    listed = "bucket" + "#"
+    assert f"PartitionFilters: [{'isnotnull(' + listed if len(buckets) == 1 else listed}" in plan
+    known = {r.doc_id: (r.event_id, r.valid_from_dttm.hour) for r in ks.known_versions(
+        spark, root, raw_docs(spark, [many[3], many[4]]), 3, "doc_id", ["valid_from_dttm", "event_id"]).collect()}
+    assert known == {"d3": (3, 2), "d4": (4, 1)}
+    assert inc.read_raw_log(spark, root).count() == 201                  # d4 was unchanged
+    # A root whose state is gone, as one begun without it, makes it up from the log.
+    from farelake.session import remove_path
+    remove_path(spark, f"{root}/{ks.VERSIONS}")
+    run(3, [many[3], many[6], ("d3", ts(1, 3), ts(1, 3), 3, OFFER % ('"/3"', 4))])
+    assert inc.read_raw_log(spark, root).count() in (201, 202)
+    assert ks.read_state(spark, root, ks.VERSIONS).filter("run_id = 0").count() == 200
+
+
+def test_compaction_takes_the_sums_in_and_a_stopped_write_keeps_the_old_table(spark):
+    root = scratch_path(spark, "t-tables")
+    run = lambda r, rows: inc.run_increment(spark, root, raw_docs(spark, rows), r, f"2026-01-01 0{r}:00:00",
+                                            with_checks=False)
+    run(1, [("a", ts(1), ts(1), 1, OFFER % ('"/x"', 5))])
+    run(2, [("b", ts(1), ts(1), 2, OFFER % ('"/y"', 7))])
+    inc.compact(spark, root, vacuum=True)
+    assert inc.compacted_through(spark, f"{root}/route_sums") == 2 and not data_files(root, "route_sums")
+    run(3, [("c", ts(1), ts(1), 3, OFFER % ('"/z"', 9))])
+    assert inc.read_table_model(spark, root, "agg_route").first().avg_price_rub == 7.0
+    # A table without its mark of completion is not read.
+    spark.range(1).write.parquet(f"{root}/agg_route/through=9")
+    (pathlib.Path(root.removeprefix("file:")) / "agg_route/through=9/_SUCCESS").unlink()
+    assert inc.read_table_model(spark, root, "agg_route").first().avg_price_rub == 7.0
+    assert len(data_files(root, "agg_route")) >= 3 and inc.read_table_model(spark, root, "airports").count() >= 1
