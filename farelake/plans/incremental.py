@@ -11,6 +11,8 @@ root (a folder in the shared checkpoint dir):
 * ``route_sums/run_id=N``, ``airport_pairs/run_id=N``  partial aggregates of the marts
 * ``version_state/run_id=N/bucket=B``  content hash of the newest version of each key a run
   loaded, by hash bucket (``keyed_state``)
+* ``ods_deletes/run_id=N``, ``offer_state``, ``mart_deltas``, ``airport_deltas``, ``live_*``
+  deletions and the marts that follow them (``live_marts``)
 * ``T_base/through=N``  what the runs up to N come to, written by ``compact``
 * ``T/through=N``       table models (marts): whole tables, the newest complete one counts
 * ``dq_results/run_id=N``  check results after each run
@@ -94,8 +96,18 @@ def read_merged(spark: SparkSession, target: str, keys: list[str]) -> DataFrame
     return None if rows is None else newest_inserts(rows, keys)
 
 
+def undeleted(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """ODS rows without those of documents deleted after their insert."""
+    deletes = read_if_exists(spark, f"{root}/ods_deletes", "doc_id string, run_id int")
+    if deletes is None:
+        return rows
+    last = deletes.groupBy("doc_id").agg(F.max("run_id").alias("_deleted"))
+    return rows.join(last, "doc_id", "left").filter(
+        F.col("_deleted").isNull() | (F.col("run_id") > F.col("_deleted"))).drop("_deleted")
+
+
 def read_ods(spark: SparkSession, root: str) -> DataFrame:
-    return read_merged(spark, f"{root}/ods", ODS_KEYS)
+    return newest_inserts(undeleted(spark, root, read_runs_of(spark, f"{root}/ods")), ODS_KEYS)
 
 
 def read_latest(spark: SparkSession, root: str, mode: str = "append") -> DataFrame:
@@ -113,6 +125,16 @@ def read_latest(spark: SparkSession, root: str, mode: str = "append") -> DataFra
     return marts.first_offer(rows.drop("rn", "run_id"))
 
 
+def write_base(rows: DataFrame, root: str, table: str, last: int, vacuum: bool) -> None:
+    """What the runs up to ``last`` come to, as the new base of a table."""
+    spark = rows.sparkSession
+    rows.drop("run_id").write.mode("overwrite").parquet(f"{root}/{table}_base/through={last}")
+    if vacuum:
+        for path in list_paths(spark, f"{root}/{table}/run_id=*"):
+            if int(path.rsplit("=", 1)[1]) <= last:
+                remove_path(spark, path)
+
+
 def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     """Merge what the finished runs left into one base per table; returns the last run.
 
@@ -120,30 +142,29 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     With ``vacuum`` the partitions of these runs are removed (no other job may be
     reading them).
     """
+    from farelake.plans import live_marts
     runs = read_runs(spark, root)
     if runs is None:
         return None
     if runs.filter("status <> 'done'").limit(1).count():
         raise ValueError("a run is not finished: run it again before compacting")
     last = runs.agg(F.max("run_id")).first()[0]
+    live_marts.catch_up(spark, root, last)  # before the inserts of single runs are gone
     same = lambda rows: rows
-    tables = {"raw": same, "ods": lambda rows: newest_inserts(rows, ODS_KEYS), "fact": same, "latest": same,
+    tables = {"raw": same, "ods": lambda rows: newest_inserts(undeleted(spark, root, rows), ODS_KEYS), "fact": same, "latest": same,
               "route_sums": marts.add_sums, "airport_pairs": lambda rows: rows.drop("run_id").distinct()}
     for table, merge in tables.items():
         target = f"{root}/{table}"
         if compacted_through(spark, target) == last or not path_exists(spark, target):
             continue
-        merge(read_runs_of(spark, target)).drop("run_id").write.mode("overwrite").parquet(f"{target}_base/through={last}")
-        if vacuum:
-            for path in list_paths(spark, f"{target}/run_id=*"):
-                if int(path.rsplit("=", 1)[1]) <= last:
-                    remove_path(spark, path)
+        write_base(merge(read_runs_of(spark, target)), root, table, last, vacuum)
     name = keyed_state.VERSIONS
     if compacted_through(spark, f"{root}/{name}") != last and path_exists(spark, f"{root}/{name}"):
         rows = keyed_state.read_state(spark, root, name)
         order = [c for c in rows.columns if c not in ("doc_id", "content", "run_id", "bucket")]
         order.sort(key=lambda c: c != "valid_from_dttm")
         keyed_state.compact_state(spark, root, name, last, keyed_state.newest_versions_of(rows, "doc_id", order), vacuum=vacuum)
+    live_marts.compact(spark, root, last, vacuum)
     return last
 
 
@@ -366,7 +387,7 @@ def next_run_id(spark: SparkSession, root: str, source: str | None = None) -> in
     return int(row[0] if row[0] is not None else row[1] + 1)
 
 
-def _write_run_row(spark: SparkSession, root: str, run_id: int, values: tuple) -> None:
+def write_run_row(spark: SparkSession, root: str, run_id: int, values: tuple) -> None:
     # A row of literals: no Python worker is started for it.
     fields = [f.split() for f in RUN_SCHEMA.split(", ")]
     row = [F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, fields, strict=True)]
@@ -396,11 +417,11 @@ def begin_run(spark: SparkSession, root: str, run_id: int, mark: tuple[int, int]
             raise ValueError(f"run {run_id} comes behind run {last[0]}")
         if load_time is not None and last[1] is not None and load_time <= last[1]:
             raise ValueError(f"run {run_id} loads at {load_time}, at or before {last[1]}")
-    _write_run_row(spark, root, run_id, (source, load_time, *mark, "started"))
+    write_run_row(spark, root, run_id, (source, load_time, *mark, "started"))
     return "started", load_time
 
 
-def _instant(spark: SparkSession, value):
+def instant(spark: SparkSession, value):
     """A load time as a Python value (one literal row)."""
     return spark.range(1).select((F.current_timestamp() if value is None else F.lit(value)).cast("timestamp")).first()[0]
 
@@ -421,7 +442,7 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
     does. Checks follow the marts unless ``with_checks`` says otherwise.
     """
     if loaded_at is None:
-        load_time = _instant(spark, load_time if load_time is not None else processed_at)
+        load_time = instant(spark, load_time if load_time is not None else processed_at)
     # The batch is computed once; its mark and its versions come from the written rows.
     stage = f"{root}/_staging/run={run_id}"
     docs.write.mode("overwrite").parquet(stage)
@@ -442,7 +463,7 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
                 refresh_marts(spark, root, run_id)
             if with_marts if with_checks is None else with_checks:
                 check_models(spark, root, run_id, run_ts if run_ts is not None else F.current_timestamp(), tie, endpoint)
-        _write_run_row(spark, root, run_id, (source, load_time, *mark, "done"))
+        write_run_row(spark, root, run_id, (source, load_time, *mark, "done"))
     finally:
         remove_path(spark, stage)
 

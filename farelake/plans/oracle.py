@@ -607,6 +607,39 @@ versions AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
 {LOADED_MODELS}"""
 
+ORACLE["marts_retract"] = f"""
+WITH {EVENT_DOCS},
+cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
+                min(batch_started_at) + INTERVAL 20 DAY AS c2 FROM docs),
+due AS (SELECT docs.*, CASE WHEN created_at < c1 THEN 1 WHEN created_at < c2 THEN 2 ELSE 3 END AS slice,
+               CAST(round(value * 100) AS INTEGER) AS price FROM docs, cuts),
+landed AS (
+  SELECT * EXCLUDE (slice), least(3, slice + CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END) AS run FROM due
+  UNION ALL
+  SELECT * EXCLUDE (slice) REPLACE (
+    updated_at + INTERVAL 1 HOUR AS updated_at,
+    CASE WHEN price >= 0 THEN CAST('1' || price AS INTEGER) ELSE price END AS price), least(3, slice + 1)
+  FROM due WHERE event_id % 7 = 0),
+versions AS (
+  SELECT * FROM landed
+  QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
+ods AS (
+  SELECT * FROM (SELECT *, unnest(range(n_offers)) AS copy_no FROM versions
+                 QUALIFY run = max(run) OVER (PARTITION BY doc_id, event_id))
+  WHERE doc_id NOT IN (SELECT doc_id FROM docs WHERE event_id % 29 = 0)),
+offers AS (
+  SELECT CAST(created_at AS DATE) AS search_date, CAST(created_at + to_days(k) AS DATE) AS departure_date,
+         req_origin AS origin, req_destination AS destination, price FROM ods)
+SELECT 'airports' AS mart, '' AS search_date, '' AS departure_date,
+       origin || '1' AS a, origin AS b, CAST(NULL AS DOUBLE) AS avg_price_rub FROM offers GROUP BY origin
+UNION ALL SELECT 'airports', '', '', destination || 'A', destination, NULL FROM offers GROUP BY destination
+UNION ALL SELECT 'agg_route', '', '', origin, destination, round(avg(price), 6) FROM offers GROUP BY origin, destination
+UNION ALL SELECT 'agg_dep_route', '', CAST(departure_date AS VARCHAR), origin, destination, round(avg(price), 6)
+  FROM offers GROUP BY departure_date, origin, destination
+UNION ALL SELECT 'agg_search_dep_route', CAST(search_date AS VARCHAR), CAST(departure_date AS VARCHAR), origin, destination,
+  round(avg(price), 6) FROM offers GROUP BY search_date, departure_date, origin, destination
+"""
+
 ORACLE["scd2_keyed_state"] = f"""
 WITH {EVENT_DOCS},
 cuts AS (SELECT min(batch_started_at) + INTERVAL 10 DAY AS c1,
@@ -622,9 +655,8 @@ loaded AS (
   SELECT *, TIMESTAMP '2026-01-01 00:00:00' + to_hours(CAST(run AS INTEGER)) AS loaded_at FROM landed
   QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY updated_at DESC, created_at DESC, event_id DESC) = 1),
 versions AS (
-  SELECT * FROM loaded
-  QUALIFY lag(event_id) OVER w IS DISTINCT FROM event_id OR lag(status_code) OVER w IS DISTINCT FROM status_code
-  WINDOW w AS (PARTITION BY doc_id ORDER BY run))
+  SELECT * FROM loaded WINDOW w AS (PARTITION BY doc_id ORDER BY run)
+  QUALIFY lag(event_id) OVER w IS DISTINCT FROM event_id OR lag(status_code) OVER w IS DISTINCT FROM status_code)
 SELECT 'log' AS part, doc_id, event_id, loaded_at FROM versions
 UNION ALL
 SELECT 'state', doc_id, event_id, loaded_at FROM versions

@@ -7,6 +7,7 @@ Floating results are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from farelake.operators.flatten import CAST_FIELDS, MISS_REASONS, bad_casts, ods
 from farelake.operators import requests as rq
 from farelake.plans import checks
 from farelake.plans import incremental as inc
-from farelake.plans import keyed_state
+from farelake.plans import keyed_state, live_marts
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
 from farelake.sources.fixtures import offer_log, offer_rows
@@ -478,6 +479,39 @@ def q_scd2_keyed_state(spark, sf_dir):
         F.lit("state").alias("part"), "doc_id", "event_id", F.col("valid_from_dttm").alias("loaded_at")))
 
 
+@query("marts_retract")
+def q_marts_retract(spark, sf_dir):
+    """The marts that follow the ODS after three runs with late documents and documents read
+    again at another price, and the deletion of some; compacted after the second run."""
+    root = scratch_path(spark, "retract")
+    docs = event_documents(spark, sf_dir)
+    b0 = F.lit(docs.agg(F.min("batch_started_at")).first()[0]).cast("timestamp")
+    cut = lambda n: b0 + F.expr(f"interval {SLICE_DAYS * n} days")
+    due = F.when(F.col("created_at") < cut(1), 1).when(F.col("created_at") < cut(2), 2).otherwise(3)
+    late = F.when(F.col("event_id") % 11 == 0, 1).otherwise(0)
+    landed = docs.withColumn("run", F.least(F.lit(N_RUNS), due + late)).unionByName(
+        docs.filter(F.col("event_id") % 7 == 0)
+            .withColumn("run", F.least(F.lit(N_RUNS), due + 1))
+            .withColumn("updated_at", F.col("updated_at") + F.expr("interval 1 hour"))
+            .withColumn("response", F.regexp_replace("response", r'"price":(\d+)', '"price":1$1')))
+    for r in range(1, N_RUNS + 1):
+        live_marts.run_live(spark, root, landed.filter(F.col("run") == r).drop("run"), r, run_ts(r))
+        if r == 2:
+            inc.compact(spark, root, vacuum=True)
+    live_marts.delete_documents(spark, root, docs.filter(F.col("event_id") % 29 == 0).select("doc_id"), N_RUNS + 1,
+                                run_ts(N_RUNS + 1))
+    day = F.lit("")
+    rows = [live_marts.read_live(spark, root, "airports").select(
+        F.lit("airports").alias("mart"), day.alias("search_date"), day.alias("departure_date"), F.col("airport_code").alias("a"),
+        F.col("city_code").alias("b"), F.lit(None).cast("double").alias("avg_price_rub"))]
+    for mart, keys in (("agg_route", []), ("agg_dep_route", ["departure_date"]),
+                       ("agg_search_dep_route", ["search_date", "departure_date"])):
+        rows.append(live_marts.read_live(spark, root, mart).select(
+            F.lit(mart).alias("mart"), *[(F.col(c).cast("string") if c in keys else day).alias(c) for c in ("search_date", "departure_date")],
+            F.col("origin").alias("a"), F.col("destination").alias("b"), r6("avg_price_rub").alias("avg_price_rub")))
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 @query("el_lookback")
 def q_el_lookback(spark, sf_dir):
     """Raw log, ODS and fact after three passes with a look-back of a day: documents read

@@ -294,3 +294,42 @@ def test_compaction_takes_the_sums_in_and_a_stopped_write_keeps_the_old_table(sp
     (pathlib.Path(root.removeprefix("file:")) / "agg_route/through=9/_SUCCESS").unlink()
     assert inc.read_table_model(spark, root, "agg_route").first().avg_price_rub == 7.0
     assert len(data_files(root, "agg_route")) >= 3 and inc.read_table_model(spark, root, "airports").count() >= 1
+
+
+def test_live_marts_follow_replaced_and_deleted_offers(spark):
+    from farelake.operators import marts
+    from farelake.plans import live_marts as live
+    two = ('{"success":true,"data":[{"link":"/t","price":%s,"departure_at":"2025-01-02T00:00:00+00:00","origin":"P","destination":"Q"},'
+           '{"link":"/t","price":%s,"departure_at":"2025-01-02T00:00:00+00:00","origin":"P","destination":"Q","origin_airport":"P1"}]}')
+    root = scratch_path(spark, "t-live")
+
+    def check(means):
+        ods = inc.read_ods(spark, root)
+        fact = live.offers_of(ods)
+        rebuilt = {(r.origin, r.destination): r.avg_price_rub for r in marts.agg_route(fact).collect()}
+        got = {(r.origin, r.destination): r.avg_price_rub for r in live.read_live(spark, root, "agg_route").collect()}
+        assert got == rebuilt == means
+        pairs = lambda df: sorted((str(r.airport_code), str(r.city_code)) for r in df.collect())
+        assert pairs(live.read_live(spark, root, "airports")) == pairs(marts.airports(fact))
+
+    run = lambda r, rows, **kw: live.run_live(spark, root, raw_docs(spark, rows), r, f"2026-01-01 {2 * r:02d}:00:00", **kw)
+    run(1, [("a", ts(1), ts(1), 1, OFFER % ('"/x"', 5)), ("b", ts(1), ts(1), 2, two % (10, "null")),
+            ("n", ts(1), ts(1), 3, OFFER % ("null", 8))])
+    check({("O", "D"): 6.5, ("P", "Q"): 10.0})
+    # Replaced at another price; a null link stays beside its newer offer; equal keys all go.
+    run(2, [("a", ts(1), ts(2), 1, OFFER % ('"/x"', 50)), ("n", ts(1), ts(2), 3, OFFER % ("null", 20)),
+            ("b", ts(1), ts(2), 2, OFFER % ('"/t"', 30))])
+    check({("O", "D"): 27.0})
+    # The next run also takes the one that the live marts did not see.
+    inc.run_increment(spark, root, raw_docs(spark, [("a", ts(1), ts(3), 1, OFFER % ('"/x"', 7))]), 3, "2026-01-01 06:00:00", with_marts=False)
+    inc.compact(spark, root, vacuum=True)
+    run(4, [("c", ts(1), ts(4), 4, two % (1, 2))])
+    # Run 3 read the open versions of run 2 again, and an offer without link matches nothing.
+    check({("O", "D"): (7 + 8 + 20 + 20 + 30) / 5, ("P", "Q"): 1.5})
+    gone = spark.createDataFrame([("n",), ("c",), ("never",), (None,)], "doc_id string")
+    live.delete_documents(spark, root, gone, 5, "2026-01-01 10:00:00")
+    live.delete_documents(spark, root, gone, 5, "2026-01-01 10:00:00")      # a no-op
+    check({("O", "D"): 18.5})
+    inc.compact(spark, root)
+    run(6, [("c", ts(1), ts(6), 4, OFFER % ('"/t"', 9))])                   # a deleted document comes again
+    check({("O", "D"): (7 + 30 + 9) / 3})
