@@ -2,8 +2,8 @@
 
 Every text is a layer. A layer is scanned for secrets, and its encoded parts are
 unwrapped into further layers until nothing new turns up: lines with URL escapes,
-lines with Unicode escapes (``\\uXXXX``, ``\\UXXXXXXXX``, ``\\xXX``, ``&#N;``),
-base64 runs (both alphabets, also over line ends) and compressed bytes (gzip,
+lines with Unicode escapes (``\\uXXXX``, ``\\UXXXXXXXX``, ``\\xXX``, ``&#N;``, some named
+references, escaped quotes), base64 runs (both alphabets, also over line ends and indented) and compressed bytes (gzip,
 zlib, bzip2, xz, zstd). A layer is remembered by its content and its place, so a
 cycle or a second way to the same layer ends there.
 
@@ -11,9 +11,11 @@ Each layer byte keeps the range of the text it came from: exact for escapes, the
 covering characters for base64, the whole run for compressed bytes. A secret
 found in a layer is reported as the span of the original text it came from.
 A base64 run is read at each of its four alignments; where the whole is no text, its
-readable stretches are layers. Compressed data are looked for anywhere in a layer and
-unpacked with all their members, piece by piece (``PIECE`` bytes, overlapping), so a
-layer of any size is read whole in bounded memory.
+readable stretches are layers. Compressed data are looked for anywhere in a layer that is no
+text and unpacked with all their members, piece by piece: ``PIECE`` bytes or more, and an
+encoded run that is open at a piece's end is held and read whole, up to ``HELD`` bytes. Only
+a longer run inside one unpacked layer is read in parts; zstd frames that ask for a window
+beyond 2**27 bytes, and deflate data without a header, are not unpacked.
 
 Kinds (base patterns, leftmost non-overlapping): ``assign``, ``access``, ``hex``.
 Spans are in code points, end exclusive, and cover the whole match.
@@ -32,6 +34,7 @@ import lzma
 import re
 import zlib
 from collections.abc import Callable, Generator, Iterator
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -50,18 +53,23 @@ HEX = re.compile(rb"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 MIN_BASE64 = 16
-PIECE, OVERLAP = 16 << 20, 1 << 16
+PIECE, OVERLAP = 8 << 20, 1 << 16
+HELD = 64 << 20  # of one encoded run inside an unpacked layer
 STEP = 1 << 16  # compressed bytes given to a decompressor at once
 REDACTED = "[SECRET]"
 
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,depth:int>>"
 
 _URL = re.compile(rb"%([0-9A-Fa-f]{2})")
+#: Named references of the signs that patterns look for.
+NAMED = {b"equals": b"=", b"colon": b":", b"quot": b'"', b"apos": b"'", b"amp": b"&", b"lowbar": b"_", b"sol": b"/",
+         b"plus": b"+", b"period": b".", b"hyphen": b"-", b"dash": b"-", b"num": b"#", b"percnt": b"%", b"bsol": b"\\"}
 _UNICODE = re.compile(
     rb"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
-    rb"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-#: Lines of 16 characters or more; the last line of a run of lines has any length.
-_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]+)?={0,2}")
+    rb"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|\\([\"'/\\])|&(" + b"|".join(NAMED) + rb");")
+#: Runs of lines that may be indented, 16 characters or more in all (``_base64`` counts them);
+#: the last line has any length.
+_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{4,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{4,})*(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)?={0,2}")
 #: Readable text in decoded bytes, from the length of the shortest secret (token=, 8 characters).
 _STRETCH = re.compile(
     rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
@@ -105,6 +113,9 @@ class Layer:
 
 def _unescape(layer: Layer, a: int, b: int, pattern: re.Pattern, value: Callable[[re.Match], bytes]) -> Layer:
     """layer.data[a:b] with every match of pattern replaced by its value."""
+    if _one_origin(layer):
+        got = unquote_to_bytes(layer.data[a:b]) if pattern is _URL else pattern.sub(value, layer.data[a:b])
+        return _covering(got, int(layer.lo[0]), int(layer.hi[0]), layer.depth + 1)
     out, lo, hi, at = [], [], [], a
     for m in pattern.finditer(layer.data, a, b):
         s, e = m.span()
@@ -122,6 +133,8 @@ def _unescape(layer: Layer, a: int, b: int, pattern: re.Pattern, value: Callable
 def _code_point(m: re.Match) -> bytes:
     if m[4]:
         return bytes([int(m[4], 16)])
+    if m[7] or m[8]:
+        return m[7] or NAMED[m[8]]
     code = int(m[6]) if m[6] else int(next(x for x in m.groups()[:5] if x), 16)
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return m[0]
@@ -165,6 +178,7 @@ def _compressed(data: bytes) -> str:
 
 def _member(data: bytes, at: int, kind: str) -> Generator[bytes, None, int]:
     """What one member of a compressed stream holds; returns where it ends."""
+    data = memoryview(data)
     if kind in ("gzip", "zlib"):
         tool, rest = zlib.decompressobj(31 if kind == "gzip" else 15), b""
         while not tool.eof:
@@ -268,16 +282,48 @@ def _streams(data: bytes) -> Iterator[tuple[int, int]]:
                 done = end
 
 
+#: Base64 lines, indented ones too, read from their end.
+_BACKWARDS = re.compile(rb"(?:[A-Za-z0-9+/_=-]+|[ \t]*\n\r?)*")
+
+
+def _open_run(piece: bytes) -> int:
+    """Where the encoded run that reaches the end of a piece begins: base64 lines, a line with
+    escapes, or bytes that are no text (a stream may go on in them)."""
+    begin = len(piece) - _BACKWARDS.match(piece[::-1]).end()
+    line = max(piece.rfind(b"\n"), piece.rfind(b"\r")) + 1
+    if any(sign in piece[line:] for sign in (b"%", b"\\", b"&")):
+        begin = min(begin, line)
+    tail = piece[-OVERLAP:]
+    if not _readable(tail[next((i for i in range(4) if tail[i:i + 1] and tail[i] & 0xC0 != 0x80), 0):]):
+        begin = 0  # a stream may begin anywhere in such a piece
+    return begin
+
+
 def _unpacked(data: bytes) -> Iterator[bytes]:
-    """Overlapping pieces of a compressed stream; ends quietly at damaged data."""
-    tail = b""
+    """Pieces of a compressed stream, PIECE bytes or more each; ends quietly at damaged data.
+
+    A piece begins OVERLAP bytes before the end of the last one, and at the begin of an encoded
+    run that was open there: such a run is held whole, up to HELD bytes.
+    """
+    held, size = [], 0
     try:
         for got in _stream(data):
-            if got:
-                yield tail + got
-                tail = got[-OVERLAP:]
+            held.append(got)
+            size += len(got)
+            if size >= PIECE:
+                piece = b"".join(held)
+                begin = _open_run(piece)
+                if len(piece) - begin < HELD and begin < PIECE // 2:
+                    held = [piece]  # most of it is open: go on until the run ends
+                    if size < HELD:
+                        continue
+                yield piece
+                held = [piece[min(len(piece) - OVERLAP, begin if len(piece) - begin < HELD else len(piece)):]]
+                size = len(held[0])
     except _DAMAGE:
-        return
+        pass
+    if held:
+        yield b"".join(held)
 
 
 def _covering(piece: bytes, lo: int, hi: int, depth: int) -> Layer:
@@ -285,30 +331,49 @@ def _covering(piece: bytes, lo: int, hi: int, depth: int) -> Layer:
     return Layer(piece, np.broadcast_to(lo, len(piece)), np.broadcast_to(hi, len(piece)), depth)
 
 
+def _one_origin(layer: Layer) -> bool:
+    """Whether all bytes of a layer came from one range (held once)."""
+    return layer.lo.strides == (0,)
+
+
 def _base64(layer: Layer, s: int, e: int) -> Iterator[Layer]:
     """Layers that a base64 run holds, read at each of the four alignments: what stands
     before an encoded part in the run may have any length."""
-    run = np.frombuffer(layer.data, np.uint8)[s:e]
-    keep = np.flatnonzero((run != 10) & (run != 13) & (run != 61))
-    text = run[keep].tobytes().replace(b"-", b"+").replace(b"_", b"/")
+    text = layer.data[s:e].translate(None, b"\r\n\t =")
+    if len(text) < MIN_BASE64:
+        return
+    if _one_origin(layer):
+        keep, first, last = None, int(layer.lo[0]), int(layer.hi[0])
+    else:
+        first = last = 0
+        keep = np.flatnonzero(_RUN[np.frombuffer(layer.data, np.uint8)[s:e]])
+    text = text.replace(b"-", b"+").replace(b"_", b"/")
     for skip in range(min(4, len(text))):
         part = text[skip:len(text) - ((len(text) - skip) % 4 == 1)]
         got = base64.b64decode(part + b"=" * (-len(part) % 4))
 
-        def origin(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
-            at = np.arange(a, b)
-            return (layer.lo[s + keep[skip + at * 8 // 6]],  # noqa: B023
-                    layer.hi[s + keep[np.minimum(skip + (at * 8 + 7) // 6, len(keep) - 1)]])  # noqa: B023
+        def layer_of(data: bytes, at: np.ndarray | range) -> Layer:
+            """data, whose bytes are those of ``got`` at the places ``at``."""
+            if keep is None:
+                return _covering(data, first, last, layer.depth + 1)
+            at = np.asarray(at)
+            return Layer(data, layer.lo[s + keep[skip + at * 8 // 6]],  # noqa: B023
+                         layer.hi[s + keep[np.minimum(skip + (at * 8 + 7) // 6, len(keep) - 1)]], layer.depth + 1)  # noqa: B023
 
         if not skip and _readable(got):
-            yield Layer(got, *origin(0, len(got)), layer.depth + 1)
+            yield layer_of(got, range(len(got)))
             continue
+        if got.count(0) * 3 > len(got):  # text in two bytes a letter
+            some = np.flatnonzero(np.frombuffer(got, np.uint8))
+            narrow = got.replace(b"\0", b"")
+            for m in _STRETCH.finditer(narrow):
+                yield layer_of(m[0], some[m.start():m.end()])
         for m in _STRETCH.finditer(got):
-            yield Layer(m[0], *origin(*m.span()), layer.depth + 1)
+            yield layer_of(m[0], range(*m.span()))
         for a, b in _streams(got):
-            lo, hi = origin(a, a + 1)[0][0], origin(b - 1, b)[1][0]
+            ends = layer_of(got[a:a + 1] + got[b - 1:b], [a, b - 1])
             for piece in _unpacked(got[a:b]):
-                yield _covering(piece, lo, hi, layer.depth + 2)
+                yield _covering(piece, ends.lo[0], ends.hi[-1], layer.depth + 2)
 
 
 def _inner(layer: Layer) -> Iterator[Layer]:
@@ -317,13 +382,16 @@ def _inner(layer: Layer) -> Iterator[Layer]:
     if b"%" in data:
         for a, b in _lines_with(data, _URL):
             yield _unescape(layer, a, b, _URL, lambda m: bytes([int(m[1], 16)]))
-    if b"\\" in data or b"&#" in data:
+    if b"\\" in data or b"&" in data:
         for a, b in _lines_with(data, _UNICODE):
             yield _unescape(layer, a, b, _UNICODE, _code_point)
     for m in _BASE64.finditer(data):
         yield from _base64(layer, *m.span())
-    if layer.depth and (_compressed(data) or not _readable(data)):
-        for a, b in _streams(data):
+    if layer.depth and not (plain := _readable(data)) or layer.depth and _compressed(data[:8]):
+        # Text is a stream as a whole or not at all; other bytes may hold one anywhere.
+        for a, b in ([(0, _stream_end(data, 0))] if plain else _streams(data)):
+            if b <= a:
+                continue
             for piece in _unpacked(data[a:b]):
                 yield _covering(piece, layer.lo[a], layer.hi[b - 1], layer.depth + 1)
 
@@ -371,7 +439,14 @@ def _has_encoded(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     run = _RUN[data]
     edge = np.flatnonzero(np.diff(run.astype(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
-    at = np.concatenate([np.flatnonzero(sign), starts[ends - starts >= MIN_BASE64]])
+    # Wrapped runs: two of four characters or more with a line end and blanks between them.
+    blank = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data == 0x20) | (data == 0x09) | (data == 0x0A) | (data == 0x0D), out=blank[1:])
+    wide = ends - starts >= 4
+    wrapped = np.flatnonzero(wide[:-1] & wide[1:] & (starts[1:] - ends[:-1] == blank[starts[1:]] - blank[ends[:-1]]))
+    after = data[ends[wrapped]]
+    wrapped = wrapped[(after == 0x0A) | (after == 0x0D)]
+    at = np.concatenate([np.flatnonzero(sign), starts[ends - starts >= MIN_BASE64], starts[wrapped]])
     out = np.zeros(len(offsets) - 1, bool)
     out[np.searchsorted(offsets, at, "right") - 1] = True
     return out
