@@ -75,8 +75,10 @@ def format_chat(rows: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> Da
     """(conv_id, formatted, mask) from rows (conv_id, turn, role, text)."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     turns = rows.select("conv_id", F.struct(
-        F.col("turn").alias("turn"), role.alias("role"), escape(text).alias("body")).alias("t"))
-    grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+        F.col("turn").alias("turn"), role.alias("role"), text.alias("text")).alias("t"))
+    # The order is that of the texts as they are; they are escaped behind the sort.
+    grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns")).select(
+        "conv_id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), escape(t["text"]).alias("body"))).alias("turns"))
     pieces = F.flatten(F.transform(_blocks(F.col("turns")), lambda b: _pieces(b, loss_roles)))
     return grouped.select("conv_id", pieces.alias("pieces")).select(
         "conv_id",

@@ -106,6 +106,18 @@ def test_quality_trains_on_all_lines_and_rare_labels(spark, monkeypatch):
         assert quality.train(docs.where("doc_id < 40"), labels) is None
 
 
+def test_quality_labels_of_other_documents_are_not_sampled(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_DOCS", 6)
+    monkeypatch.setattr(quality, "TRAIN_LEAST", 4)
+    rows = [(i, f"some plain words of document {i}\nand more" if i % 2 else "BUY NOW!!! $$$\n" * 9) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    labels = own.unionByName(spark.range(1000, 9000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality"))
+    want, got = quality.train(docs, own), quality.train(docs, labels)
+    assert want is not None and got is not None
+    assert all(np.array_equal(a, b) for a, b in zip(want, got, strict=True))
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(1)
     for _ in range(30):
@@ -446,6 +458,13 @@ def test_chat_round_trip_and_mask(spark):
     assert chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chat_ties_are_ordered_by_the_texts_as_they_are(spark):
+    rows = [(1, 0, "user", t) for t in ("<|x", "<a", "<", "<|", "<\\|")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    read = chat.read_chat(chat.format_chat(frame)).first()
+    assert [t["text"] for t in read["turns"]] == sorted(r[3] for r in rows)
+
+
 def test_chat_query_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{SF}/conversations.parquet'")
