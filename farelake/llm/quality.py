@@ -265,6 +265,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] |
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         F.min("quality").alias("__low"), F.max("quality").alias("__high")).where("__low = __high").select(
         "doc_id", (F.col("__low") > 0).cast("int").alias("__label"))
+    both = known.select("__label").distinct().count() == 2
+    # Labels of documents that are not here say nothing; the sample is of the others.
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     first = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     sample = first(known, TRAIN_DOCS)
     for label in (0, 1):
@@ -290,7 +293,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] |
         F.min("lines").alias("lines")).orderBy("doc_id").collect()
     read = [(np.frombuffer(r["lines"], np.uint64).reshape(-1, len(FEATURES) + 1), r["label"]) for r in got]
     good = np.concatenate([np.zeros(0, np.uint64), *[x[:, -1] for x, label in read if label]])
-    if len({label for _, label in read}) < 2 and known.select("__label").distinct().count() == 2:
+    if len({label for _, label in read}) < 2 and both:
         warnings.warn("labels of both classes, but sampled documents of one at most: every line counts as content", stacklevel=2)
     return fit([(x[a:a + TRAIN_LINES, :-1].astype(np.int64), np.isin(x[a:a + TRAIN_LINES, -1], good))
                 for x, _ in read for a in range(0, len(x), TRAIN_LINES)])
