@@ -18,7 +18,8 @@ Components are floor(scale * x). Only vectors of equal length are scored against
 each other. Scores are exact as long as they fit 64 bits.
 
 Defined cases: rows with null id, null vector, or null, NaN or infinite
-components take no part; a vector of no components scores 0; rows with the query's
+components take no part, nor do components that come to 2**53 or more in size, whose
+products no 64-bit score holds; a score beyond 2**62 in size counts as that; a vector of no components scores 0; rows with the query's
 id are its own and no candidates; repeated query rows are answered once; a table
 with fewer candidates than k gives all; an empty table gives no rows; other
 columns are ignored.
@@ -38,12 +39,14 @@ BLOCK_ROWS, QUERY_ROWS = 8192, 1024
 BINS = 256
 LISTED = 4  # times k: so many scores a query may list
 CHUNK = 128  # queries scored at once in a task
+LARGEST = 1 << 53  # components of this size or more take no part
+MOST = (1 << 62) - 1  # scores beyond count as this
 
 
 def integer_vectors(rows: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     """(id, v array<long>) of the rows that take part."""
     fine = F.col(key).isNotNull() & F.col(vector).isNotNull() & F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < float(LARGEST)))
     return rows.where(fine).select(
         F.col(key).cast("long").alias("id"),
         F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long")).alias("v"))
@@ -79,7 +82,9 @@ def _scores(cand: np.ndarray, query: np.ndarray) -> np.ndarray:
     top = int(np.abs(cand).max(initial=0)) * int(np.abs(query).max(initial=0)) * max(1, cand.shape[1])
     if top < 1 << 53:
         return (query.astype(float) @ cand.astype(float).T).astype(np.int64)
-    return query @ cand.T
+    if top <= MOST:
+        return query @ cand.T
+    return np.clip(query.astype(object) @ cand.astype(object).T, -MOST, MOST).astype(np.int64)
 
 
 def _pairs(batch: pa.RecordBatch):
@@ -129,12 +134,15 @@ def top_k(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector
                 ids = np.frombuffer(batch.column(2)[i].as_py(), "<i8")
                 data = np.frombuffer(batch.column(3)[i].as_py(), "<i8").reshape(len(ids), -1)
                 m = len(ids)
+                size = np.abs(data).sum(1, dtype=float)
+                size = np.where(size < LARGEST, np.abs(data).sum(1), MOST)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(m, batch.column(0)[i].as_py())), pa.array(np.full(m, batch.column(1)[i].as_py(), np.int32)),
-                     pa.array(np.arange(m, dtype=np.int32)), pa.array(ids), pa.array(np.abs(data).sum(1).astype(np.int64))],
+                     pa.array(np.arange(m, dtype=np.int32)), pa.array(ids), pa.array(size.astype(np.int64))],
                     ["qblock", "dim", "pos", "query_id", "size"])
 
-    bound = F.col("size") * F.lit(int(top or 0))
+    bound = F.least(F.col("size").cast("decimal(19,0)") * F.lit(int(top or 0)).cast("decimal(17,0)"),
+                    F.lit(MOST).cast("decimal(38,0)")).cast("long")
     state = packed.mapInArrow(queries_of, "qblock long, dim int, pos int, query_id long, size long").select(
         "qblock", "dim", "pos", "query_id", (-bound).alias("low"), (2 * bound + 1).alias("span"),
         F.lit(n).cast("long").alias("listed"))
