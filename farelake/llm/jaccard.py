@@ -327,16 +327,15 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             F.col("component_id")).alias("component_id"), "node", "component")
 
 
-def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, clashing: bool = False) -> DataFrame:
+def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80, clashing: bool = True) -> DataFrame:
     """docs with one row of each group of near copies, the one of the least id (not
-    null before null); rows without shingles all stay. clashing: an id may stand on
-    different texts, so groups are told by their component, not by its least id."""
+    null before null); rows without shingles all stay. An id may stand on different texts,
+    so groups are told by their component, not by its least id (whatever ``clashing`` says)."""
     node = "__node"
     while node in docs.columns:
         node += "_"
     groups = similar_groups(docs, n, percent).where("node is not null")
-    by = ["component"] if clashing else ["component_id", F.when(F.col("component_id").isNull(), F.col("node")).alias("alone")]
-    kept = groups.groupBy(*by).agg(
+    kept = groups.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("k")).select(
         F.col("k")["doc_id"].alias(node + "_id"), F.col("k")["node"].alias(node + "_of"))
     marked = with_node(docs, n, node)

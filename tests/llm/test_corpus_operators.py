@@ -66,9 +66,9 @@ def test_jaccard_groups(spark, monkeypatch, n, percent, tokens):
     assert Counter(got) == Counter(brute_groups(rows, n, percent))
     kept = jaccard.drop_near_copies(docs, n, percent)
     assert kept.columns == docs.columns
-    want = brute_groups(rows, n, percent)
-    groups = {c for s, c in want if s and c is not None}
-    assert kept.count() == len(groups) + len({shingles(t, n) for i, t in rows if i is None}) + sum(not s for s, _ in want)
+    # One row of each component, told by rows: unlike texts under one id are two of them.
+    of_row = brute_groups([(i, t) for i, (_, t) in enumerate(rows)], n, percent)
+    assert kept.count() == len({c for s, c in of_row if s}) + sum(not s for s, _ in of_row)
 
 
 def test_jaccard_query_and_empty_table(spark):
@@ -85,6 +85,7 @@ def test_near_copies_with_clashing_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(tuple(r) for r in jaccard.drop_near_copies(docs, 5, 80, clashing=True).collect())
     assert kept == sorted([(1, one), (1, two), (1, three), (1, "")])
+    assert sorted(tuple(r) for r in jaccard.drop_near_copies(docs).collect()) == kept
     none = docs.selectExpr("cast(null as long) as doc_id", "text").where("text <> ''")
     assert jaccard.drop_near_copies(none, 5, 80, clashing=True).count() == 3
 
@@ -139,6 +140,19 @@ def test_top_k_with_ties_and_faults(spark, monkeypatch):
     assert topk.top_k(frame.limit(0), topk.F.col("vec_id") % 10 == 0, 10).count() == 0
 
 
+def test_top_k_with_large_components(spark):
+    rows = [(0, [1.0, 1e10]), (1, [2.0, 1.0]), (2, [1e30, 0.0]), (3, [-1e30, 0.0]), (4, [3.0, 0.0]), (5, [-1e12, 1e12]), (6, [8e12, 8e12]), (7, [7e12, 7e12])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(frame, topk.F.col("vec_id").isin(0, 1, 6), 3).select("query_id", "rank", "vec_id", "score").collect()]
+    whole = {i: [int(1024 * x) for x in v] for i, v in rows if max(map(abs, v)) < 1e13 and max(abs(1024 * x) for x in v) < 2 ** 53}
+    want = []
+    for q in (0, 1, 6):
+        score = lambda i: max(-topk.MOST, min(topk.MOST, sum(a * b for a, b in zip(whole[q], whole[i], strict=True))))  # noqa: B023, E731
+        best = sorted((i for i in whole if i != q), key=lambda i: (-score(i), i))[:3]
+        want += [(q, k, i, score(i)) for k, i in enumerate(best, 1)] if q in whole else []
+    assert sorted(got) == sorted(want) and {2, 3}.isdisjoint(whole) and 0 in whole
+
+
 def test_top_k_few_candidates(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [2.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in topk.top_k(frame, topk.F.col("vec_id") == 0, 10).orderBy("rank").collect()]
