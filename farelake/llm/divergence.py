@@ -46,7 +46,7 @@ MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 SHARD_TERMS = 1 << 16
-MIN_SHARDS = 64  # so that what a block sends to one shard stays small
+MIN_SHARDS = 16  # so that what a block sends to one shard stays small
 BLOCK_BYTES = 8 << 20
 TILE = 128  # sources
 ORDINALS = 1 << 12  # ordinals of a block in the comparison of pairs
