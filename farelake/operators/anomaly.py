@@ -46,6 +46,11 @@ def bucket_start(ts, period: str) -> F.Column:
 def _cut(df: DataFrame, ts: str, as_of, delay: str | None) -> F.Column:
     if as_of is None:  # newest timestamp: one aggregate row, used as a literal
         as_of = df.agg(F.max(ts)).first()[0]
+    return cut_of(as_of, delay)
+
+
+def cut_of(as_of, delay: str | None) -> F.Column:
+    """Time up to which buckets are complete: ``as_of`` less the detection delay."""
     as_of_c = as_of if isinstance(as_of, F.Column) else F.lit(as_of).cast("timestamp")
     return as_of_c - F.expr(f"interval {delay}") if delay else as_of_c
 

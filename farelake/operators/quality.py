@@ -42,6 +42,11 @@ def column_checks(df: DataFrame, model: str, not_null: dict[str, str] | None = N
     """
     counts = [("not_null", c, sev, F.count_if(F.col(c).isNull())) for c, sev in (not_null or {}).items()]
     counts += [("accepted_range", c, "error", F.count_if(F.col(c) < low)) for c, low in (at_least or {}).items()]
+    return counted_checks(df, model, counts)
+
+
+def counted_checks(df: DataFrame, model: str, counts: list[tuple[str, str, str, F.Column]]) -> DataFrame:
+    """Check rows from counts of failures, one aggregate of ``df``: (test, column, severity, count)."""
     one = df.agg(*[n.alias(f"_{i}") for i, (*_, n) in enumerate(counts)])
     rows = one.select(F.explode(F.array(*[
         F.struct(F.lit(test).alias("test"), F.lit(c).alias("column"), F.lit(sev).alias("severity"),

@@ -13,6 +13,8 @@ root (a folder in the shared checkpoint dir):
   loaded, by hash bucket (``keyed_state``)
 * ``ods_deletes/run_id=N``, ``offer_state``, ``mart_deltas``, ``airport_deltas``, ``live_*``
   deletions and the marts that follow them (``live_marts``)
+* ``fact_states``, ``fact_cells``, ``latest_states``, ``search_states``, ``dep_states``  what the
+  checks need, by run and time bucket (``check_states``)
 * ``T_base/through=N``  what the runs up to N come to, written by ``compact``
 * ``T/through=N``       table models (marts): whole tables, the newest complete one counts
 * ``dq_results/run_id=N``  check results after each run
@@ -142,7 +144,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     With ``vacuum`` the partitions of these runs are removed (no other job may be
     reading them).
     """
-    from farelake.plans import live_marts
+    from farelake.plans import check_states, live_marts
     runs = read_runs(spark, root)
     if runs is None:
         return None
@@ -150,6 +152,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
         raise ValueError("a run is not finished: run it again before compacting")
     last = runs.agg(F.max("run_id")).first()[0]
     live_marts.catch_up(spark, root, last)  # before the inserts of single runs are gone
+    check_states.catch_up(spark, root, last)
     same = lambda rows: rows
     tables = {"raw": same, "ods": lambda rows: newest_inserts(undeleted(spark, root, rows), ODS_KEYS), "fact": same, "latest": same,
               "route_sums": marts.add_sums, "airport_pairs": lambda rows: rows.drop("run_id").distinct()}
@@ -165,6 +168,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
         order.sort(key=lambda c: c != "valid_from_dttm")
         keyed_state.compact_state(spark, root, name, last, keyed_state.newest_versions_of(rows, "doc_id", order), vacuum=vacuum)
     live_marts.compact(spark, root, last, vacuum)
+    check_states.compact(spark, root, last, vacuum)
     return last
 
 
@@ -361,6 +365,14 @@ def check_models(spark: SparkSession, root: str, run_id: int, as_of, tie: str |
     return write_run(model_checks(models, as_of), f"{root}/dq_results", run_id)
 
 
+def check_run(spark: SparkSession, root: str, run_id: int) -> DataFrame:
+    """The checks after a run from the states that runs add (``check_states``); no model is
+    read whole. Kept as ``dq_results/run_id=N``."""
+    from farelake.plans import check_states
+    check_states.write_states(spark, root, run_id)
+    return write_run(check_states.state_checks(spark, root), f"{root}/dq_results", run_id)
+
+
 # --- run table -------------------------------------------------------------------
 
 RUN_SCHEMA = ("source string, load_time timestamp, n_docs long, mark long, status string")
@@ -428,7 +440,7 @@ def instant(spark: SparkSession, value):
 
 def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int, processed_at=None,
                   endpoint: str | None = DEFAULT_ENDPOINT, detect_changes: bool = True, with_marts: bool = True,
-                  with_checks: bool | None = None, tie: str | None = "event_id", load_time=None,
+                  with_checks: bool | str | None = None, tie: str | None = "event_id", load_time=None,
                   loaded_at: str | None = None, source: str | None = None) -> None:
     """One hourly slice end to end: log (I3) -> stg (B1) -> ods (C1, A9) ->
     fact (A8) -> latest (A10) -> marts (A6) -> checks (J12) (I5).
@@ -439,7 +451,8 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
     is recorded in the run table with a mark of its documents; running it again is
     a no-op when it was done and goes on otherwise. ``detect_changes=False`` versions
     unchanged documents again and so appends their offers again, as the reference
-    does. Checks follow the marts unless ``with_checks`` says otherwise.
+    does. Checks follow the marts unless ``with_checks`` says otherwise; ``"states"`` takes
+    those that follow from check states (``check_run``).
     """
     if loaded_at is None:
         load_time = instant(spark, load_time if load_time is not None else processed_at)
@@ -461,7 +474,9 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
             latest_increment(spark, root, run_id)
             if with_marts:
                 refresh_marts(spark, root, run_id)
-            if with_marts if with_checks is None else with_checks:
+            if with_checks == "states":
+                check_run(spark, root, run_id)
+            elif with_marts if with_checks is None else with_checks:
                 check_models(spark, root, run_id, run_ts if run_ts is not None else F.current_timestamp(), tie, endpoint)
         write_run_row(spark, root, run_id, (source, load_time, *mark, "done"))
     finally:

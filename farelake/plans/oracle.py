@@ -563,13 +563,16 @@ ORACLE["latest_upsert"] = EVENT_OFFERS + f"""
 SELECT {FACT_OUT}, rn FROM (SELECT *, {RANK} AS rn FROM fact) WHERE rn = 1
 """
 
-ORACLE["latest_append"] = EVENT_OFFERS + f""",
+LATEST_RUNS = f""",
 l1 AS (SELECT * FROM (SELECT *, {RANK} AS rn FROM fact WHERE run_id <= 1) WHERE rn = 1),
 l2 AS (SELECT * REPLACE (CAST(2 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS rn FROM fact
        WHERE run_id <= 2 AND processed_src_dttm > (SELECT max(processed_src_dttm) FROM l1)) WHERE rn = 1),
 l3 AS (SELECT * REPLACE (CAST(3 AS INTEGER) AS run_id) FROM (SELECT *, {RANK} AS rn FROM fact
        WHERE run_id <= 3 AND processed_src_dttm > (SELECT max(processed_src_dttm)
              FROM (SELECT processed_src_dttm FROM l1 UNION ALL SELECT processed_src_dttm FROM l2))) WHERE rn = 1)
+"""
+
+ORACLE["latest_append"] = EVENT_OFFERS + LATEST_RUNS + f"""
 SELECT {FACT_OUT}, rn, run_id FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)
 """
 
@@ -941,18 +944,27 @@ MODEL_ANOMALIES = [
         "1 day", None, "7 days", src="dep_mart")),
 ]
 
-ORACLE["dq_models"] = DQ_CTE + """,
+MODEL_MARTS = """,
 search_mart AS (SELECT CAST(search_date AS TIMESTAMP) AS search_date, departure_date, origin, destination
                 FROM fact GROUP BY ALL),
 dep_mart AS (SELECT CAST(departure_date AS TIMESTAMP) AS departure_date, origin, destination,
                     avg(price_rub) AS avg_price_rub FROM fact GROUP BY departure_date, origin, destination),
-""" + ", ".join(sql for *_, sql in MODEL_ANOMALIES) + "\nUNION ALL\n".join(
+""" + ", ".join(sql for *_, sql in MODEL_ANOMALIES)
+MODEL_ANOMALY_ROWS = "\nUNION ALL\n".join(
     f"SELECT test, '{model}' AS model, CAST({repr(column) if column else 'NULL'} AS VARCHAR) AS \"column\", "
     f"'warn' AS severity, 'dqc' AS tags, count(*) FILTER (WHERE is_anomalous) AS failures, "
     f"CASE WHEN count(*) FILTER (WHERE is_anomalous) = 0 THEN 'pass' ELSE 'warn' END AS status, "
     f"count(*) || ' buckets' AS detail FROM {name} GROUP BY test"
     for name, model, column, _ in MODEL_ANOMALIES)
 
+ORACLE["dq_models"] = DQ_CTE + MODEL_MARTS + MODEL_ANOMALY_ROWS
+
+# The same checks on the models as three runs leave them.
+ORACLE["dq_incremental"] = EVENT_OFFERS + LATEST_RUNS + """,
+latest AS (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)""" + MODEL_MARTS + "\nUNION ALL\n".join(
+    [row for row in NOT_NULL_ROWS if "'dm_fact_ticket_offers'" in row or "'dm_prices_latest'" in row]
+    + [RANGE_ROW, MODEL_ANOMALY_ROWS])
+
 _MISSES = [("response", r, f"SELECT count(*) FROM docs WHERE {cond}") for r, cond in (
     ("text", "event_type = 'error'"), ("no_data", "event_type = 'signup'"), ("not_array", "false"),
     ("empty", "is_success AND n_offers = 0"))]

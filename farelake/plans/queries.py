@@ -650,6 +650,18 @@ def q_dq_models(spark, sf_dir):
     return dq.dq_report(*checks.anomaly_rows({**models, "latest": _written(models["latest"], "latest")}))
 
 
+@query("dq_incremental")
+def q_dq_incremental(spark, sf_dir):
+    """The checks after three runs from the states that each run added, compacted after the
+    second run; no model is read whole."""
+    root = scratch_path(spark, "states")
+    for r, batch in enumerate(event_slices(event_documents(spark, sf_dir)), start=1):
+        inc.run_increment(spark, root, batch, r, run_ts(r), loaded_at="created_at", with_checks="states")
+        if r == 2:
+            inc.compact(spark, root, vacuum=True)
+    return spark.read.parquet(f"{root}/dq_results/run_id={N_RUNS}")
+
+
 @query("dq_misses")
 def q_dq_misses(spark, sf_dir):
     """Event documents without offer rows by reason, and offer fields that do not cast."""
