@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.operators.scd2 import interval_faults
+
 CHECK_COLUMNS = ["test", "model", "column", "severity", "tags", "failures", "status", "detail"]
 
 
@@ -86,6 +88,12 @@ def relationships(child: DataFrame, parent: DataFrame, model: str, column: str,
     return _row(agg, "relationships", model, column, severity, F.col("failures"))
 
 
+def intervals(log: DataFrame, model: str, key: str = "doc_id", severity: str = "error") -> DataFrame:
+    """Overlaps, gaps, keys without one open version and reversed versions of an SCD2 log."""
+    agg = interval_faults(log, key).agg(F.count(F.lit(1)).alias("failures"))
+    return _row(agg, "intervals", model, key, severity, F.col("failures"))
+
+
 def accepted_range(df: DataFrame, model: str, column: str, min_value=None, max_value=None,
                    inclusive: bool = True, severity: str = "error") -> DataFrame:
     """Rows outside ``[min_value, max_value]``; NULL passes."""

@@ -55,12 +55,43 @@ def newest_versions(df: DataFrame, keys: list[str], tie: str | None = "event_id"
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def overlapping_versions(log: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Pairs of versions of one key whose validity overlaps (a sound log has none)."""
-    w = Window.partitionBy(key).orderBy("valid_from_dttm", "valid_to_dttm")
-    return (log.select(key, "valid_from_dttm", "valid_to_dttm")
-               .withColumn("_before", F.lag("valid_to_dttm").over(w))
-               .filter(F.col("_before") > F.col("valid_from_dttm")))
+def interval_faults(log: DataFrame, key: str = "doc_id", valid_from: str = "valid_from_dttm",
+                    valid_to: str = "valid_to_dttm", split: str = "day") -> DataFrame:
+    """Faults of a version log: (key, kind, from_dttm, to_dttm, n_open). A sound log has none.
+
+    A sweep over the starts (+1) and ends (-1) of versions keeps the running count of open
+    ones: more than one is an ``overlap`` until the count changes, none between two versions
+    is a ``gap``, and other than one behind a key's last event is ``open`` (no end). A version
+    that ends before it starts is ``reversed`` and left out of the sweep.
+
+    The count runs inside each (key, time split), on top of what the key's earlier splits
+    come to (a small per-split table), so a hot key is never swept in one task.
+
+    Defined cases: a version without end, or with the sentinel, is open; one that ends where
+    it starts holds at no time; versions without key or start are left out.
+    """
+    sentinel = F.lit(SENTINEL).cast("timestamp")
+    versions = log.select(F.col(key).alias("_key"), F.col(valid_from).alias("_from"),
+                          F.when(F.col(valid_to) < sentinel, F.col(valid_to)).alias("_to")).filter("_key is not null and _from is not null")
+    is_reversed = F.coalesce(F.col("_to") < F.col("_from"), F.lit(False))
+    event = F.explode(F.array(F.struct(F.col("_from").alias("at"), F.lit(1).alias("d")),
+                              F.struct(F.col("_to").alias("at"), F.lit(-1).alias("d"))))
+    points = versions.filter(~is_reversed).select("_key", event.alias("e")).filter("e.at is not null") \
+        .groupBy("_key", "e.at").agg(F.sum("e.d").alias("d")).filter("d <> 0").withColumn("_split", F.date_trunc(split, "at"))
+    by_split = Window.partitionBy("_key").orderBy("_split")
+    splits = points.groupBy("_key", "_split").agg(F.sum("d").alias("_d"), F.min("at").alias("_first")) \
+        .select("_key", "_split", F.coalesce(F.sum("_d").over(by_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                F.lead("_first").over(by_split).alias("_next"))
+    inside = Window.partitionBy("_key", "_split").orderBy("at")
+    swept = points.withColumn("_run", F.sum("d").over(inside)).withColumn("_lead", F.lead("at").over(inside)) \
+        .join(splits, ["_key", "_split"]) \
+        .select("_key", "at", F.coalesce("_lead", "_next").alias("to"), (F.col("_before") + F.col("_run")).alias("n"))
+    kind = F.when(F.col("to").isNull(), F.when(F.col("n") != 1, "open")).when(F.col("n") > 1, "overlap").when(F.col("n") == 0, "gap")
+    found = swept.withColumn("kind", kind).filter("kind is not null").select(
+        F.col("_key").alias(key), "kind", F.col("at").alias("from_dttm"), F.col("to").alias("to_dttm"), F.col("n").alias("n_open"))
+    return found.unionByName(versions.filter(is_reversed).select(
+        F.col("_key").alias(key), F.lit("reversed").alias("kind"), F.col("_from").alias("from_dttm"),
+        F.col("_to").alias("to_dttm"), F.lit(0).cast("long").alias("n_open")))
 
 
 def drop_unchanged(chain: DataFrame, key: str = "doc_id", valid_from: str = "valid_from_dttm",

@@ -77,23 +77,28 @@ class ModelState:
     def __init__(self, ts: str, period: str, columns: dict[str, T.DataType], dims: tuple[str, ...] = (),
                  at_least: dict[str, float] | None = None, update_ts: str | None = None):
         self.ts, self.period, self.columns, self.dims = ts, period, columns, list(dims)
-        self.counters = {"rows": (F.count(F.lit(1)), ADD), "newest": (F.max(ts), MOST)}
-        if update_ts:
-            lag = F.unix_micros(F.col(update_ts).cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))
-            self.counters["lag"] = (F.max(lag), MOST)
-        for c, low in (at_least or {}).items():
-            self.counters[f"{c}__below"] = (F.count_if(F.col(c) < low), ADD)
-        for c, dtype in columns.items():
-            self.counters |= _counters(c, dtype)
+        self.at_least, self.update_ts = at_least or {}, update_ts
+
+    def counters(self) -> dict[str, tuple]:
+        """name -> (partial aggregate, merge) of everything the state counts."""
+        out = {"rows": (F.count(F.lit(1)), ADD), "newest": (F.max(self.ts), MOST)}
+        if self.update_ts:
+            lag = F.unix_micros(F.col(self.update_ts).cast("timestamp")) - F.unix_micros(F.col(self.ts).cast("timestamp"))
+            out["lag"] = (F.max(lag), MOST)
+        for c, low in self.at_least.items():
+            out[f"{c}__below"] = (F.count_if(F.col(c) < low), ADD)
+        for c, dtype in self.columns.items():
+            out |= _counters(c, dtype)
+        return out
 
     def of(self, rows: DataFrame) -> DataFrame:
         """State of a model's rows."""
         return rows.withColumn("bucket_start", an.bucket_start(self.ts, self.period)).groupBy("bucket_start", *self.dims).agg(
-            *[partial.alias(name) for name, (partial, _) in self.counters.items()])
+            *[partial.alias(name) for name, (partial, _) in self.counters().items()])
 
     def merge(self, states: DataFrame, *keys: str) -> DataFrame:
         """States as one for each combination of the keys (of all, if none is given)."""
-        return states.groupBy(*keys).agg(*[merge(name).alias(name) for name, (_, merge) in self.counters.items()])
+        return states.groupBy(*keys).agg(*[merge(name).alias(name) for name, (_, merge) in self.counters().items()])
 
     def column_metrics(self, states: DataFrame, columns: list[str] | None = None) -> DataFrame:
         """(bucket_start, metric, value) of the columns, from merged states."""

@@ -15,6 +15,7 @@ root (a folder in the shared checkpoint dir):
   deletions and the marts that follow them (``live_marts``)
 * ``fact_states``, ``fact_cells``, ``latest_states``, ``search_states``, ``dep_states``  what the
   checks need, by run and time bucket (``check_states``)
+* ``stat_states``  price statistics by run, departure month and lead day (``stat_states``)
 * ``T_base/through=N``  what the runs up to N come to, written by ``compact``
 * ``T/through=N``       table models (marts): whole tables, the newest complete one counts
 * ``dq_results/run_id=N``  check results after each run
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelake.operators import marts
+from farelake.operators import quality as dq
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import ods_flatten, stage_current
 from farelake.operators.scd2 import content_hash, drop_unchanged, newest_versions, scd2_history
@@ -144,7 +146,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     With ``vacuum`` the partitions of these runs are removed (no other job may be
     reading them).
     """
-    from farelake.plans import check_states, live_marts
+    from farelake.plans import check_states, live_marts, stat_states
     runs = read_runs(spark, root)
     if runs is None:
         return None
@@ -153,6 +155,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     last = runs.agg(F.max("run_id")).first()[0]
     live_marts.catch_up(spark, root, last)  # before the inserts of single runs are gone
     check_states.catch_up(spark, root, last)
+    stat_states.catch_up(spark, root, last)
     same = lambda rows: rows
     tables = {"raw": same, "ods": lambda rows: newest_inserts(undeleted(spark, root, rows), ODS_KEYS), "fact": same, "latest": same,
               "route_sums": marts.add_sums, "airport_pairs": lambda rows: rows.drop("run_id").distinct()}
@@ -169,6 +172,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
         keyed_state.compact_state(spark, root, name, last, keyed_state.newest_versions_of(rows, "doc_id", order), vacuum=vacuum)
     live_marts.compact(spark, root, last, vacuum)
     check_states.compact(spark, root, last, vacuum)
+    stat_states.compact(spark, root, last, vacuum)
     return last
 
 
@@ -362,7 +366,8 @@ def check_models(spark: SparkSession, root: str, run_id: int, as_of, tie: str |
               "latest": read_latest(spark, root).drop("run_id"),
               **{m: read_table_model(spark, root, m)
                  for m in ("agg_route", "agg_dep_route", "agg_search_dep_route", "airports")}}
-    return write_run(model_checks(models, as_of), f"{root}/dq_results", run_id)
+    log = dq.intervals(read_raw_log(spark, root, tie=tie), "raw_api_log")
+    return write_run(dq.dq_report(model_checks(models, as_of), log), f"{root}/dq_results", run_id)
 
 
 def check_run(spark: SparkSession, root: str, run_id: int) -> DataFrame:

@@ -467,6 +467,29 @@ ORACLE["scd2_history"] = HISTORY_CTE + """
 SELECT doc_id, event_id, valid_from_dttm, valid_to_dttm, valid_to_dttm IS NULL AS is_current FROM hist
 """
 
+ORACLE["scd2_intervals"] = HISTORY_CTE + """,
+moved AS (
+  SELECT doc_id, valid_from_dttm AS f,
+         CASE WHEN valid_to_dttm IS NULL AND event_id % 19 = 0 THEN valid_from_dttm + INTERVAL 1 DAY
+              WHEN valid_to_dttm IS NULL THEN NULL
+              WHEN event_id % 13 = 0 THEN valid_to_dttm + INTERVAL 30 HOUR
+              WHEN event_id % 17 = 0 THEN valid_to_dttm - INTERVAL 1 HOUR
+              WHEN event_id % 23 = 0 THEN NULL ELSE valid_to_dttm END AS t
+  FROM hist),
+sound AS (SELECT * FROM moved WHERE t IS NULL OR t >= f),
+points AS (
+  SELECT doc_id, p, sum(d) AS d
+  FROM (SELECT doc_id, f AS p, 1 AS d FROM sound UNION ALL SELECT doc_id, t, -1 FROM sound WHERE t IS NOT NULL)
+  GROUP BY doc_id, p HAVING sum(d) <> 0),
+swept AS (
+  SELECT doc_id, p, CAST(sum(d) OVER w AS BIGINT) AS n_open, lead(p) OVER w AS nxt FROM points
+  WINDOW w AS (PARTITION BY doc_id ORDER BY p))
+SELECT doc_id, CASE WHEN nxt IS NULL THEN 'open' WHEN n_open > 1 THEN 'overlap' ELSE 'gap' END AS kind,
+       p AS from_dttm, nxt AS to_dttm, n_open
+FROM swept WHERE CASE WHEN nxt IS NULL THEN n_open <> 1 ELSE n_open <> 1 END
+UNION ALL SELECT doc_id, 'reversed', f, t, 0 FROM moved WHERE t < f
+"""
+
 ORACLE["scan_log_since"] = f"""
 WITH {EVENT_DOCS},
 cut AS (SELECT min(batch_started_at) + INTERVAL 15 DAY AS t FROM docs),
@@ -702,6 +725,25 @@ SELECT search_date, strftime(search_date, '%a') AS search_weekday, departure_dat
 FROM fact GROUP BY search_date, departure_date, origin, destination
 """
 
+# Monthly, month-of-year and lead-time statistics in one pass over the fact of three runs.
+_PRICES = "avg(price_rub), min(price_rub), max(price_rub), stddev_samp(price_rub)"
+ORACLE["stats_increment"] = EVENT_OFFERS + f""",
+lead AS (SELECT price_rub, CASE {" ".join(
+    f"WHEN d > {lo} AND d <= {hi} THEN '{label}'" for label, lo, hi in (
+        ("0-7", 0, 7), ("8-14", 7, 14), ("15-30", 14, 30), ("31-60", 30, 60), ("61-90", 60, 90),
+        ("91-180", 90, 180), ("181-365", 180, 365)))} END AS days_range
+  FROM (SELECT price_rub, departure_date - search_date AS d FROM fact)),
+rows AS (
+  SELECT 'month' AS part, CAST(departure_month AS VARCHAR) AS item, count(*) AS n, avg(price_rub) AS a, min(price_rub) AS lo,
+         max(price_rub) AS hi, stddev_samp(price_rub) AS s FROM fact GROUP BY departure_month
+  UNION ALL
+  SELECT 'month of year', CAST(month(departure_month) AS VARCHAR), count(*), {_PRICES} FROM fact GROUP BY month(departure_month)
+  UNION ALL
+  SELECT 'lead', days_range, count(price_rub), avg(price_rub), NULL, NULL, stddev_samp(price_rub)
+  FROM lead WHERE days_range IS NOT NULL GROUP BY days_range)
+SELECT part, item, n, round(a, 6) AS avg_price, lo AS min_price, hi AS max_price, round(s, 6) AS price_stddev FROM rows
+"""
+
 ORACLE["stream_models"] = EVENT_OFFERS + """
 SELECT 'ods' AS model, doc_id, link, price_rub, processed_src_dttm, processed_at FROM ods
 UNION ALL SELECT 'fact', doc_id, link, price_rub, processed_src_dttm, processed_at FROM fact

@@ -20,9 +20,10 @@ from farelake.operators import quality as dq
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import CAST_FIELDS, MISS_REASONS, bad_casts, ods_flatten, unnest_misses
 from farelake.operators import requests as rq
+from farelake.operators.scd2 import interval_faults
 from farelake.plans import checks
 from farelake.plans import incremental as inc
-from farelake.plans import keyed_state, live_marts
+from farelake.plans import check_states, keyed_state, live_marts, stat_states
 from farelake.schemas import FACT_COLUMNS, ODS_COLUMNS, SENTINEL
 from farelake.sources.fixtures import event_documents, event_log, request_rows
 from farelake.sources.fixtures import offer_log, offer_rows
@@ -312,6 +313,20 @@ def q_scd2_history(spark, sf_dir):
     return _history_out(event_log(spark, sf_dir))
 
 
+@query("scd2_intervals")
+def q_scd2_intervals(spark, sf_dir):
+    """Overlaps, gaps and keys without one open version in the event log, some of whose ends
+    are moved."""
+    end, start, n = F.col("valid_to_dttm"), F.col("valid_from_dttm"), F.col("event_id")
+    sentinel = F.lit(SENTINEL).cast("timestamp")
+    moved = (F.when((end == sentinel) & (n % 19 == 0), start + F.expr("interval 1 day"))
+              .when(end == sentinel, end)
+              .when(n % 13 == 0, end + F.expr("interval 30 hours"))
+              .when(n % 17 == 0, end - F.expr("interval 1 hour"))
+              .when(n % 23 == 0, sentinel).otherwise(end))
+    return interval_faults(event_log(spark, sf_dir).withColumn("valid_to_dttm", moved))
+
+
 def _first_half(docs: DataFrame) -> F.Column:
     """Cut time: the first batch day plus 15 days (one scalar, used as a literal)."""
     b0 = docs.agg(F.min("batch_started_at")).first()[0]
@@ -406,6 +421,30 @@ def q_marts_increment(spark, sf_dir):
     return _round_doubles(inc.read_table_model(spark, root, "agg_search_dep_route"))
 
 
+@query("stats_increment")
+def q_stats_increment(spark, sf_dir):
+    """Monthly and lead-time price statistics from the states of three runs, the first two
+    compacted."""
+    root = scratch_path(spark, "stats")
+    for r, batch in enumerate(event_slices(event_documents(spark, sf_dir)), start=1):
+        inc.run_increment(spark, root, batch, r, run_ts(r), loaded_at="created_at", with_marts=False)
+        stat_states.write_state(spark, root, r)
+        if r == 2:
+            inc.compact(spark, root, vacuum=True)
+    states = stat_states.read_states(spark, root)
+    none = F.lit(None).cast("int")
+    month = stat_states.stats_month(states).select(
+        F.lit("month").alias("part"), F.col("departure_month").cast("string").alias("item"), F.col("ticket_count").alias("n"),
+        r6("avg_price").alias("avg_price"), "min_price", "max_price", r6("price_stddev").alias("price_stddev"))
+    year = stat_states.stats_month_of_year(states).select(
+        F.lit("month of year").alias("part"), F.col("month_num").cast("string").alias("item"), F.col("ticket_count").alias("n"),
+        r6("avg_price").alias("avg_price"), "min_price", "max_price", r6("price_stddev").alias("price_stddev"))
+    lead = stat_states.stats_lead_bucket(states).select(
+        F.lit("lead").alias("part"), F.col("days_range").alias("item"), F.col("n_offers").alias("n"),
+        r6("mean_price").alias("avg_price"), none.alias("min_price"), none.alias("max_price"), r6("std_price").alias("price_stddev"))
+    return month.unionByName(year).unionByName(lead)
+
+
 @query("late_updates")
 def q_late_updates(spark, sf_dir):
     """Raw log, ODS and fact after three runs loaded by run time, where some documents
@@ -656,10 +695,11 @@ def q_dq_incremental(spark, sf_dir):
     second run; no model is read whole."""
     root = scratch_path(spark, "states")
     for r, batch in enumerate(event_slices(event_documents(spark, sf_dir)), start=1):
-        inc.run_increment(spark, root, batch, r, run_ts(r), loaded_at="created_at", with_checks="states")
+        inc.run_increment(spark, root, batch, r, run_ts(r), loaded_at="created_at", with_checks=False)
+        check_states.write_states(spark, root, r)
         if r == 2:
             inc.compact(spark, root, vacuum=True)
-    return spark.read.parquet(f"{root}/dq_results/run_id={N_RUNS}")
+    return check_states.state_checks(spark, root)
 
 
 @query("dq_misses")

@@ -134,7 +134,7 @@ def prices(spark, root, model):
 
 
 def test_late_updated_and_linkless_documents_reach_every_model(spark):
-    from farelake.operators.scd2 import overlapping_versions
+    from farelake.operators.scd2 import interval_faults
     root = scratch_path(spark, "t-late")
     run = lambda r, rows: inc.run_increment(spark, root, raw_docs(spark, rows), r, f"2026-01-01 0{r}:00:00",
                                             with_marts=False)
@@ -147,7 +147,7 @@ def test_late_updated_and_linkless_documents_reach_every_model(spark):
     log = inc.read_raw_log(spark, root, extra=["event_id"])
     assert sorted((r.doc_id, r.valid_from_dttm.hour) for r in log.collect()) == [("a", 1), ("a", 2), ("b", 2), ("n", 1)]
     run(3, [("a", ts(1, 4), ts(1, 4), 9, OFFER % ('"/z"', 1))])            # an older call, loaded last
-    assert overlapping_versions(inc.read_raw_log(spark, root)).count() == 0
+    assert interval_faults(inc.read_raw_log(spark, root)).count() == 0
 
 
 def test_run_table_refuses_other_documents_and_takes_empty_batches(spark):
