@@ -311,6 +311,23 @@ SELECT departure_weekday_short, n, min_value, round(q1, 6) AS q1, round(median,
 FROM qs JOIN tails USING (departure_weekday_short)
 """
 
+ORACLE["stats_quantiles_exact"] = FACT_CTE + """,
+probs AS (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS quantile),
+prices AS (
+  SELECT 'weekday' AS part, departure_weekday_short AS item, CAST(price_rub AS DOUBLE) AS x FROM fact
+  WHERE departure_weekday_short IS NOT NULL
+  UNION ALL
+  SELECT 'return flag', l_returnflag, CAST(l_extendedprice AS DOUBLE) * (1.0::DOUBLE + l_orderkey / 1e9::DOUBLE) FROM lineitem),
+sorted AS (
+  SELECT part, item, x, row_number() OVER (PARTITION BY part, item ORDER BY x) - 1 AS r,
+         count(*) OVER (PARTITION BY part, item) AS n
+  FROM prices WHERE x IS NOT NULL),
+wanted AS (SELECT DISTINCT part, item, n, quantile, quantile * (n - 1) AS p FROM sorted, probs)
+SELECT w.part, w.item, w.quantile, w.n, round(a.x + (b.x - a.x) * (w.p - floor(w.p)), 6) AS value
+FROM wanted w JOIN sorted a ON a.part = w.part AND a.item = w.item AND a.r = floor(w.p)
+JOIN sorted b ON b.part = w.part AND b.item = w.item AND b.r = ceil(w.p)
+"""
+
 ORACLE["offers_sample"] = FACT_CTE + """
 SELECT doc_id, link, departure_weekday_short, price_rub FROM fact
 WHERE departure_weekday_short IS NOT NULL

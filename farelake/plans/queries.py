@@ -20,6 +20,7 @@ from farelake.operators import quality as dq
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import CAST_FIELDS, MISS_REASONS, bad_casts, ods_flatten, unnest_misses
 from farelake.operators import requests as rq
+from farelake.operators.quantiles import exact_quantiles
 from farelake.operators.scd2 import interval_faults
 from farelake.plans import checks
 from farelake.plans import incremental as inc
@@ -205,6 +206,23 @@ def q_box_stats(spark, sf_dir):
     return _round_doubles(stats.box_stats(offer_fact(spark, sf_dir)))
 
 
+@query("stats_quantiles_exact")
+def q_stats_quantiles_exact(spark, sf_dir):
+    """Quartiles and outer percentiles of offer prices by weekday, and of a measure of line
+    items, nearly all of whose values differ, by return flag; by selection."""
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    fact = offer_fact(spark, sf_dir).filter("departure_weekday_short is not null").select("departure_weekday_short", "price_rub")
+    items = read_table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", (F.col("l_extendedprice").cast("double") * (F.lit(1.0) + F.col("l_orderkey") / F.lit(1e9))).alias("x"))
+    out = None
+    for part, df, group, value in (("weekday", _written(fact, "prices"), "departure_weekday_short", "price_rub"),
+                                   ("return flag", items, "l_returnflag", "x")):
+        found = exact_quantiles(df, group, value, probs).select(
+            F.lit(part).alias("part"), F.col(group).alias("item"), "quantile", "n", r6("value").alias("value"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("offers_sample")
 def q_offers_sample(spark, sf_dir):
     return stats.offers_sample(offer_fact(spark, sf_dir))
