@@ -280,3 +280,17 @@ def offers_sample(fact: DataFrame, n: int | None = None,
     if n is None:
         return df
     return df.orderBy(*order).limit(n)
+
+
+def offers_bottom_k(fact: DataFrame, k: int = 100, stratum: str = "departure_weekday_short") -> DataFrame:
+    """Stratified sample: the ``k`` offers of each stratum whose hash of (doc_id, link) is least.
+
+    The same offers under any partitioning. Samples merge: the sample of samples of several
+    parts is the sample of all their rows. Ranks over ``k`` fall in a partial group limit
+    before the shuffle, so a hot stratum ships at most ``k`` rows a task. Offers without a
+    stratum are one; equal offers are ranked each, by price.
+    """
+    key = F.md5(F.concat_ws("|", F.coalesce("doc_id", F.lit("")), F.coalesce("link", F.lit(""))).cast("binary"))
+    w = Window.partitionBy(stratum).orderBy("_hash", F.col("price_rub").asc_nulls_last())
+    return (fact.withColumn("_hash", key).withColumn("sample_rank", F.row_number().over(w))
+                .filter(F.col("sample_rank") <= k).drop("_hash"))

@@ -328,6 +328,14 @@ FROM wanted w JOIN sorted a ON a.part = w.part AND a.item = w.item AND a.r = flo
 JOIN sorted b ON b.part = w.part AND b.item = w.item AND b.r = ceil(w.p)
 """
 
+ORACLE["offers_bottom_k"] = FACT_CTE + """
+SELECT departure_weekday_short,
+       CAST(row_number() OVER (PARTITION BY departure_weekday_short
+            ORDER BY md5(coalesce(doc_id, '') || '|' || coalesce(link, '')), price_rub NULLS LAST) AS INTEGER) AS sample_rank,
+       doc_id, link, price_rub
+FROM fact QUALIFY sample_rank <= 100
+"""
+
 ORACLE["offers_sample"] = FACT_CTE + """
 SELECT doc_id, link, departure_weekday_short, price_rub FROM fact
 WHERE departure_weekday_short IS NOT NULL

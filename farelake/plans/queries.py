@@ -230,6 +230,13 @@ def q_offers_sample(spark, sf_dir):
 
 # --- requests, code lists, collection log ------------------------------------
 
+@query("offers_bottom_k")
+def q_offers_bottom_k(spark, sf_dir):
+    """One hundred offers of each weekday by least hash."""
+    return stats.offers_bottom_k(offer_fact(spark, sf_dir)).select(
+        "departure_weekday_short", "sample_rank", "doc_id", "link", "price_rub")
+
+
 def _codes_lines(spark, sf_dir):
     """One text line per order: the city (region) of its customer."""
     o = read_table(spark, sf_dir, "orders").select("o_custkey")

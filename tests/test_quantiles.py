@@ -1,11 +1,11 @@
-"""Exact quantiles by selection against numpy."""
+"""Exact quantiles by selection against numpy; samples by least hash."""
 
 import random
 
 import numpy as np
 import pytest
 
-from farelake.operators import quantiles
+from farelake.operators import quantiles, stats
 
 
 @pytest.mark.parametrize("bins", [4, 1024])
@@ -30,3 +30,14 @@ def test_quantiles_by_selection(spark, monkeypatch, bins):
     assert quantiles.exact_quantiles(spark.createDataFrame([], "g string, v double"), "g", "v", [0.5]).count() == 0
     with pytest.raises(ValueError):
         quantiles.exact_quantiles(spark.createDataFrame([], "g string, v double"), "g", "v", [1.5])
+
+
+def test_bottom_k_merges_and_ignores_partitions(spark):
+    rows = [(f"d{i % 40}", f"/l{i % 90}", i, ["Mon", "Tue", None][i % 3] if i % 7 else "Mon") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id string, link string, price_rub int, departure_weekday_short string")
+    key = lambda s: sorted(tuple(str(x) for x in r) for r in s.collect())
+    whole = stats.offers_bottom_k(df, 10)
+    assert whole.count() == 30
+    assert key(whole) == key(stats.offers_bottom_k(df.repartition(7), 10))
+    parts = [stats.offers_bottom_k(df.filter(f"price_rub % 4 = {i}"), 10).drop("sample_rank") for i in range(4)]
+    assert key(stats.offers_bottom_k(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]), 10)) == key(whole)
