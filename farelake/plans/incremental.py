@@ -16,7 +16,8 @@ root (a folder in the shared checkpoint dir):
 * ``fact_states``, ``fact_cells``, ``latest_states``, ``search_states``, ``dep_states``  what the
   checks need, by run and time bucket (``check_states``)
 * ``stat_states``  price statistics by run, departure month and lead day (``stat_states``)
-* ``T_base/through=N``  what the runs up to N come to, written by ``compact``
+* ``T_base/through=N``  what the runs up to N come to, written by ``compact``; log, ODS, fact
+  and first offers by day of load (``load_day=D``), each file a sorted range of (load time, document)
 * ``T/through=N``       table models (marts): whole tables, the newest complete one counts
 * ``dq_results/run_id=N``  check results after each run
 * ``_marks/step=S/run_id=N``  watermark of each step and run (one row)
@@ -69,12 +70,23 @@ def compacted_through(spark: SparkSession, target: str) -> int | None:
     return max(runs, default=None)
 
 
-def read_runs_of(spark: SparkSession, target: str) -> DataFrame | None:
-    """Rows of a table with their ``run_id``: its newest base (as one run) and the runs after it."""
+LOAD_DAY = "load_day"
+
+
+def read_runs_of(spark: SparkSession, target: str, since: F.Column | None = None) -> DataFrame | None:
+    """Rows of a table with their ``run_id``: its newest base (as one run) and the runs after it.
+
+    ``since`` (a literal load time) leaves out the base's folders of earlier days; the
+    caller's own filter on the time column then prunes files and row groups.
+    """
     rows, through = read_if_exists(spark, target), compacted_through(spark, target)
     if through is None:
         return rows
     base = spark.read.parquet(f"{target}_base/through={through}").withColumn("run_id", F.lit(through))
+    if LOAD_DAY in base.columns:
+        if since is not None:
+            base = base.filter(F.col(LOAD_DAY).cast("date") >= F.to_date(since))
+        base = base.drop(LOAD_DAY)
     return base if rows is None else base.unionByName(rows.filter(F.col("run_id") > through))
 
 
@@ -129,16 +141,34 @@ def read_latest(spark: SparkSession, root: str, mode: str = "append") -> DataFra
     return marts.first_offer(rows.drop("rn", "run_id"))
 
 
-def write_base(rows: DataFrame, root: str, table: str, last: int, vacuum: bool) -> None:
-    """What the runs up to ``last`` come to, as the new base of a table."""
-    spark = rows.sparkSession
-    rows.drop("run_id").write.mode("overwrite").parquet(f"{root}/{table}_base/through={last}")
+def write_base(rows: DataFrame, root: str, table: str, last: int, vacuum: bool,
+               loaded: str | None = None) -> None:
+    """What the runs up to ``last`` come to, as the new base of a table.
+
+    With ``loaded`` (its load time column) the base is clustered: a folder a day, in it
+    files that each hold a range of (load time, document), sorted. A load that stamps
+    many rows with one instant is cut by document. Rows without a load time have a
+    folder of their own, which no read since a time opens.
+    """
+    spark, rows = rows.sparkSession, rows.drop("run_id")
+    path = f"{root}/{table}_base/through={last}"
+    if loaded:
+        order = [LOAD_DAY, loaded, "doc_id"]
+        rows.withColumn(LOAD_DAY, F.to_date(loaded)).repartitionByRange(*order).sortWithinPartitions(*order) \
+            .write.mode("overwrite").partitionBy(LOAD_DAY).parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(path)
     if vacuum:
         for path in list_paths(spark, f"{root}/{table}/run_id=*"):
             if int(path.rsplit("=", 1)[1]) <= last:
                 remove_path(spark, path)
 
 
+#: Load time of the tables that watermarks read.
+CLUSTERED = {"raw": "valid_from_dttm", "ods": "processed_src_dttm", "fact": "processed_src_dttm",
+             "latest": "processed_src_dttm"}
+
+
 def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
     """Merge what the finished runs left into one base per table; returns the last run.
 
@@ -163,7 +193,7 @@ def compact(spark: SparkSession, root: str, vacuum: bool = False) -> int | None:
         target = f"{root}/{table}"
         if compacted_through(spark, target) == last or not path_exists(spark, target):
             continue
-        write_base(merge(read_runs_of(spark, target)), root, table, last, vacuum)
+        write_base(merge(read_runs_of(spark, target)), root, table, last, vacuum, CLUSTERED.get(table))
     name = keyed_state.VERSIONS
     if compacted_through(spark, f"{root}/{name}") != last and path_exists(spark, f"{root}/{name}"):
         rows = keyed_state.read_state(spark, root, name)
@@ -249,6 +279,12 @@ def read_raw_log(spark: SparkSession, root: str, extra: list[str] | None = None,
     return log.select(*LOG_COLUMNS, *(extra or []))
 
 
+def versions_since(spark: SparkSession, root: str, since: F.Column) -> DataFrame | None:
+    """Versions loaded at ``since`` or later, with their ``run_id``."""
+    rows = read_runs_of(spark, f"{root}/raw", since)
+    return None if rows is None else rows.filter(F.col("valid_from_dttm") >= since)
+
+
 def current_versions(spark: SparkSession, root: str, since: F.Column | None = None, key: str = "doc_id",
                      tie: str | None = "event_id") -> DataFrame:
     """Open version of every document (of those loaded at ``since`` or later).
@@ -256,9 +292,7 @@ def current_versions(spark: SparkSession, root: str, since: F.Column | None = No
     A document's open version is its newest, so rows before ``since`` are not needed
     to find the ones after it. Rank 1 is kept by a partial group limit before the shuffle.
     """
-    rows = read_runs_of(spark, f"{root}/raw")
-    if since is not None:
-        rows = rows.filter(F.col("valid_from_dttm") >= since)
+    rows = versions_since(spark, root, since) if since is not None else read_runs_of(spark, f"{root}/raw")
     w = Window.partitionBy(key).orderBy(F.desc("valid_from_dttm"), *[F.desc_nulls_last(t) for t in _tie(rows, tie)],
                                         F.desc("run_id"))
     return (rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1")
@@ -337,7 +371,7 @@ def latest_increment(spark: SparkSession, root: str, run_id: int) -> DataFrame:
     """``dm_prices_latest``: rank the fact rows newer than the table's watermark and
     append the ``rn = 1`` rows (A10); ``read_latest`` gives either mode."""
     newest = watermark(spark, root, "latest", run_id)
-    fact = read_runs_of(spark, f"{root}/fact").filter(F.col("run_id") <= run_id).drop("run_id")
+    fact = read_runs_of(spark, f"{root}/fact", newest).filter(F.col("run_id") <= run_id).drop("run_id")
     if newest is not None:
         fact = fact.filter(F.col("processed_src_dttm") > newest)
     written = write_run(marts.first_offer(fact), f"{root}/latest", run_id)
@@ -446,7 +480,7 @@ def instant(spark: SparkSession, value):
 def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int, processed_at=None,
                   endpoint: str | None = DEFAULT_ENDPOINT, detect_changes: bool = True, with_marts: bool = True,
                   with_checks: bool | str | None = None, tie: str | None = "event_id", load_time=None,
-                  loaded_at: str | None = None, source: str | None = None) -> None:
+                  loaded_at: str | None = None, source: str | None = None, skip_empty: bool = False) -> None:
     """One hourly slice end to end: log (I3) -> stg (B1) -> ods (C1, A9) ->
     fact (A8) -> latest (A10) -> marts (A6) -> checks (J12) (I5).
 
@@ -457,7 +491,8 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
     a no-op when it was done and goes on otherwise. ``detect_changes=False`` versions
     unchanged documents again and so appends their offers again, as the reference
     does. Checks follow the marts unless ``with_checks`` says otherwise; ``"states"`` takes
-    those that follow from check states (``check_run``).
+    those that follow from check states (``check_run``). With ``skip_empty`` an empty
+    batch is no run.
     """
     if loaded_at is None:
         load_time = instant(spark, load_time if load_time is not None else processed_at)
@@ -467,6 +502,8 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
     batch = spark.read.schema(docs.schema).parquet(stage)
     mark = batch_mark(batch)
     try:
+        if skip_empty and not mark[0]:
+            return
         status, load_time = begin_run(spark, root, run_id, mark, load_time, source)
         if status == "done":
             return

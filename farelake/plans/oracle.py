@@ -1041,3 +1041,10 @@ ORACLE["dq_misses"] = f"WITH {EVENT_DOCS} " + "\nUNION ALL\n".join(
     _check(f"{column}_{reason}", "stg_ticket_offers", column, "warn", sql) for column, reason, sql in _MISSES)
 
 ORACLE["stream_ingest"] = ORACLE["scd2_history"]
+ORACLE["stream_lookback"] = ORACLE["el_lookback"]
+
+ORACLE["compacted_since"] = f"""
+WITH {EVENT_DOCS}
+SELECT doc_id, event_id, created_at AS loaded_at FROM docs
+WHERE created_at >= (SELECT max(created_at) FROM docs) - INTERVAL 1 DAY
+"""

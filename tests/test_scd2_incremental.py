@@ -1,6 +1,7 @@
 import datetime as dt
 import pathlib
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from farelake.operators.scd2 import scd2_apply, scd2_history
@@ -333,3 +334,53 @@ def test_live_marts_follow_replaced_and_deleted_offers(spark):
     inc.compact(spark, root)
     run(6, [("c", ts(1), ts(6), 4, OFFER % ('"/t"', 9))])                   # a deleted document comes again
     check({("O", "D"): (7 + 30 + 9) / 3})
+
+
+def test_compacted_log_opens_the_files_of_the_days_since(spark):
+    root = scratch_path(spark, "t-cluster")
+    for run, days in ((1, range(15, 18)), (2, range(18, 21))):
+        rows = [(f"d{i}", ts(d, i), ts(d, i), 100 * d + i, OFFER % (f'"/{i}"', i)) for d in days for i in range(20)]
+        inc.run_increment(spark, root, raw_docs(spark, rows), run, f"2026-01-01 0{run}:00:00", with_marts=False,
+                          loaded_at="created_at")
+    hour = F.lit(ts(20, 18)).cast("timestamp")
+    models = lambda: [inc.read_raw_log(spark, root).count(), prices(spark, root, "ods"),
+                      sorted(inc.versions_since(spark, root, hour).drop("run_id").collect())]
+    before = models()
+    inc.compact(spark, root, vacuum=True)
+    assert models() == before and len(before[2]) == 2
+    base = pathlib.Path(root.removeprefix("file:"), "raw_base", "through=2")
+    files = {p: [f.name for f in p.glob("*.parquet")] for p in base.glob("load_day=*")}
+    read = inc.versions_since(spark, root, hour)
+    assert len(read.collect()) == 2
+    scan = read._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    opened = scan.metrics().apply("numFiles").value()
+    assert len(files) == 6 and opened == len(files[base / "load_day=2025-01-20"]) < sum(map(len, files.values()))
+    for day, names in files.items():                       # files are ranges: sorted, and apart from each other
+        ends = []
+        for name in names:
+            got = [tuple(r.values()) for r in pq.read_table(day / name, columns=["valid_from_dttm", "doc_id"]).to_pylist()]
+            assert got == sorted(got)
+            ends.append((got[0], got[-1]))
+        assert all(a[1] < b[0] for a, b in zip(sorted(ends), sorted(ends)[1:], strict=False))
+    # A run on top of the base reads it by its watermark.
+    inc.run_increment(spark, root, raw_docs(spark, [("new", ts(21), ts(21), 9000, OFFER % ('"/n"', 77))]), 3,
+                      "2026-01-01 03:00:00", with_marts=False, loaded_at="created_at")
+    assert len(prices(spark, root, "ods")) == len(before[1]) + 1
+
+
+def test_stream_lookback_keeps_its_state_over_a_restart_and_lets_go_of_the_past(spark, tmp_dir):
+    from farelake.streaming.ingest import stream_ingest
+    root, landing = scratch_path(spark, "t-lookback"), f"{tmp_dir}/land-again"
+    at = lambda day, hour, key, eid, n: (key, ts(day, hour), ts(day, hour), eid, OFFER % (f'"/{key}"', n))
+    passes = [[at(3, 1, "a", 1, 5), at(3, 2, "b", 2, 6)],
+              [at(3, 1, "a", 1, 5), at(3, 2, "b", 2, 6), at(2, 12, "c", 3, 7), at(1, 12, "old", 4, 8), at(3, 3, "a", 5, 9)],
+              [at(3, 3, "a", 5, 9), at(3, 2, "b", 2, 6)],
+              [at(9, 1, "d", 6, 1)], [at(9, 1, "d", 6, 1), at(9, 2, "e", 7, 2), at(3, 2, "b", 2, 60)]]
+    for rows in passes:                                    # every pass is a start of its own on the same checkpoint
+        raw_docs(spark, rows).coalesce(1).write.mode("append").parquet(landing)
+        q = stream_ingest(spark, landing, root, raw_docs(spark, rows).schema, lookback="1 day", detect_changes=False,
+                          processed_at=lambda r: f"2026-01-01 0{r}:00:00", with_marts=False)
+        q.awaitTermination()
+    assert prices(spark, root, "fact") == [("a", "/a", 5), ("a", "/a", 9), ("b", "/b", 6), ("c", "/c", 7), ("d", "/d", 1), ("e", "/e", 2)]
+    assert inc.read_runs(spark, root).count() == 4          # the third pass brought nothing new
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
