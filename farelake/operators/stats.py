@@ -111,9 +111,14 @@ def smooth_series(series: DataFrame, value: str, order: str, sigma: float = 2.0,
     position is reflected into ``[0, n)`` (``d c b a | a b c d | d c b a``) and
     joined back on (group, position); weighted sums give the curve. Equi-join
     and aggregation only, partitioned by ``group``; a global series (no group)
-    must already be aggregated (e.g. <= 366 lead days).
+    must already be aggregated (e.g. <= 366 lead days). The series is written once:
+    its taps, values and positions would each compute it from its source.
     """
     group = list(group or [])
+    series = series.select(*group, order, value)
+    path = scratch_path(series.sparkSession, "series")
+    series.write.parquet(path)
+    series = series.sparkSession.read.schema(series.schema).parquet(path)
     radius, norm = gaussian_weights(sigma)
     w_ord = Window.partitionBy(*group).orderBy(order) if group else Window.orderBy(order)
     w_all = Window.partitionBy(*group) if group else Window.partitionBy()

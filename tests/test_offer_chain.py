@@ -29,3 +29,9 @@ def test_landed_json_is_compressed_and_reads_back(spark, tmp_dir):
     assert files and all(f.endswith(".json.gz") for f in files)
     same = ["doc_id", "request", "response", "created_at"]
     assert read_landing(spark, path).select(*same).exceptAll(docs.select(*same)).isEmpty()
+
+
+def test_smoothing_computes_its_series_once(spark):
+    lead = spark.range(50).select(F.col("id").alias("days_before_departure"), F.col("id").alias("price_rub"))
+    plan = executed(stats.smooth_lead_curve(lead))
+    assert "Range (" not in plan
