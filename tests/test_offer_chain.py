@@ -35,3 +35,7 @@ def test_smoothing_computes_its_series_once(spark):
     lead = spark.range(50).select(F.col("id").alias("days_before_departure"), F.col("id").alias("price_rub"))
     plan = executed(stats.smooth_lead_curve(lead))
     assert "Range (" not in plan
+
+
+def test_price_extremes_reads_a_written_fact(spark):
+    assert "lineitem.parquet" not in executed(QUERIES["price_extremes"](spark, SF))
