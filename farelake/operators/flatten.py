@@ -18,6 +18,11 @@ def stage_current(log: DataFrame, endpoint: str | None = DEFAULT_ENDPOINT) -> Da
     return log.filter(cond)
 
 
+def _offers() -> F.Column:
+    """Offers of a parsed response; none instead of NULL."""
+    return F.coalesce(F.col("resp.data"), F.array())
+
+
 def ods_flatten(stg: DataFrame, processed_at=None, strict: bool = True,
                 one_way_only: bool = True) -> DataFrame:
     """One typed row per offer element of one-way requests (30 columns).
@@ -25,7 +30,8 @@ def ods_flatten(stg: DataFrame, processed_at=None, strict: bool = True,
     * request / response JSON is parsed once with all-text schemas;
     * the one-way filter runs before the unnest (it depends on the parent only);
     * ``explode`` is inner: a string response, a missing / null / non-array
-      ``data`` or an empty array yields no row;
+      ``data`` or an empty array yields no row. It reads an expression (``_offers``), not
+      a column: of a column Spark infers a filter, which parses each response twice more;
     * ``strict`` casts raise on bad numbers (ANSI), lenient mode gives NULL;
     * ``processed_at`` is the run timestamp (a literal keeps runs repeatable).
     """
@@ -49,7 +55,7 @@ def ods_flatten(stg: DataFrame, processed_at=None, strict: bool = True,
         F.col("req.currency").alias("req_currency"),
         F.col("req.one_way").alias("req_one_way"),
         F.col("resp.currency").alias("resp_currency"),
-        F.explode(F.col("resp.data")).alias("e"),
+        F.explode(_offers()).alias("e"),
     )
     out = flat.select(
         "doc_id", "endpoint", "batch_started_at", "status_code", "error", "created_at",
@@ -101,7 +107,7 @@ def bad_casts(stg: DataFrame) -> DataFrame:
     """Offer fields whose text does not cast (lenient mode makes them NULL): one row
     (doc_id, reason = field) each. One-way requests only, as in ``ods_flatten``."""
     src = stg.select("doc_id", parse_request("request").alias("req"), parse_response("response").alias("resp"))
-    offers = src.filter(F.col("req.one_way") == "true").select("doc_id", F.explode("resp.data").alias("e"))
+    offers = src.filter(F.col("req.one_way") == "true").select("doc_id", F.explode(_offers()).alias("e"))
     bad = [F.when(F.col(f"e.{f}").isNotNull() & F.col(f"e.{f}").try_cast(t).isNull(), F.lit(f))
            for f, t in CAST_FIELDS.items()]
     return offers.select("doc_id", F.explode(F.array(*bad)).alias("reason")).filter(F.col("reason").isNotNull())

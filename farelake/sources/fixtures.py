@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake.schemas import DEFAULT_ENDPOINT, OFFERS_PER_CALL, SENTINEL
+from farelake.session import scratch_path
 from farelake.sources.log import build_documents
 from farelake.sources.tables import read_table, spread
 
@@ -44,8 +45,9 @@ def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("r_name").alias("origin"))
     geo_d = geo.select(F.col("n_nationkey").alias("d_nk"), F.col("n_name").alias("destination_airport"),
                        F.col("r_name").alias("destination"))
+    # Customers meet the orders first: a shuffle join moves an order, not each of its line items.
+    orders = orders.join(cust, F.col("o_custkey") == cust.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(cust, F.col("o_custkey") == cust.c_custkey)
            .join(supp, F.col("l_suppkey") == supp.s_suppkey)
            .join(part, F.col("l_partkey") == part.p_partkey)
            .join(geo_o, F.col("c_nationkey") == F.col("o_nk"))
@@ -77,15 +79,19 @@ def offer_log(spark: SparkSession, sf_dir: str, limit: int = OFFERS_PER_CALL,
     A call returns one route and departure month; calls with more offers than
     ``limit`` are split into pages, so every document holds about ``limit``
     offers no matter how hot the route is. Page count comes from a partial
-    aggregate (one row per call: routes x months x trip type); Spark decides by
-    its measured size how to join it, and splits a hot route in a shuffle join.
-    The document grouping shuffles by (call, page), which splits a hot route
-    over its pages.
+    aggregate (one row per call: routes x months x trip type), which is written
+    first: Spark decides by the size of that table how to join it, so the offers
+    are not shuffled by call for a table that a broadcast holds, and it splits a
+    hot route in a shuffle join. The document grouping shuffles by (call, page),
+    which splits a hot route over its pages.
     """
     offers = offer_rows(spark, sf_dir).withColumn(
         "dep_month", F.date_format("departure_at", "yyyy-MM"))
     call = ["origin", "destination", "dep_month", "one_way"]
     sizes = offers.groupBy(*call).agg(F.count(F.lit(1)).alias("call_n"))
+    path = scratch_path(spark, "call-sizes")
+    sizes.write.parquet(path)
+    sizes = spark.read.schema(sizes.schema).parquet(path)
     n_pages = F.ceil(F.col("call_n") / F.lit(limit))
     paged = (offers.join(sizes, call)
              .withColumn("page", (F.pmod(F.col("l_orderkey") * 8 + F.col("l_linenumber"), n_pages) + 1)
@@ -106,11 +112,14 @@ def offer_log(spark: SparkSession, sf_dir: str, limit: int = OFFERS_PER_CALL,
     docs = paged.repartition(*call, "page").groupBy(*call, "page").agg(
         F.collect_list(elem).alias("data"),
         F.min("search_date").alias("first_search"),
-        F.max("search_date").alias("last_search"))
+        F.max("search_date").alias("last_search"),
+        # The same as the key. A filter on the request's text that read the keys alone would
+        # be moved below the grouping and write and parse a request for each line item.
+        F.first("one_way").alias("trip"))
     request = F.to_json(F.struct(
         F.col("origin"), F.col("destination"), F.lit("RUB").alias("currency"),
         F.col("dep_month").alias("departure_at"),
-        F.when(F.col("one_way"), "true").otherwise("false").alias("one_way"),
+        F.when(F.col("trip"), "true").otherwise("false").alias("one_way"),
         F.lit("false").alias("direct"), F.lit(limit).alias("limit"), F.col("page"),
         F.lit("price").alias("sorting"), F.lit("false").alias("unique")))
     response = F.to_json(F.struct(F.lit(True).alias("success"), F.col("data"),

@@ -22,6 +22,18 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_responses_are_parsed_once(spark):
+    plan = optimized(fact_offers(ods_flatten(offer_log(spark, SF))))
+    filters = [line for line in plan.split("\n") if line.lstrip(" :+-").startswith("Filter")]
+    assert not [line for line in filters if "from_json" in line and "success" in line]
+
+
+def test_requests_are_not_parsed_for_each_line_item(spark):
+    plan = optimized(fact_offers(ods_flatten(offer_log(spark, SF))))
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "from_json" not in below
+
+
 def test_landed_json_is_compressed_and_reads_back(spark, tmp_dir):
     docs, path = offer_log(spark, SF), f"{tmp_dir}/landed"
     land_documents_json(docs, path)
