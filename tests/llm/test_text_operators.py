@@ -394,6 +394,30 @@ def test_langmodel_against_counting(spark):
     assert langmodel.score(none, langmodel.train(none, labels)).count() == 0
 
 
+def test_langmodel_keeps_what_is_rare_in_a_large_corpus(spark):
+    # Two in 3.3 million words: under a share of 1e-6, seen twice all the same.
+    n, d = 3_300_000, langmodel.DISCOUNT
+    docs = spark.createDataFrame([(0, "the " * n), (1, "zebra yak"), (2, "Zebra yak"), (3, "gnu")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    model = langmodel.train(docs, labels)
+    total, size = n + 5, 3
+    uni = 3 / (total + size + 1)  # of zebra, of yak
+    begin = (2 - d) / 4 + (1 - (2 - d) / 4) * uni
+    after = (2 - d) / 2 + (1 - (2 - d) / 2) * uni
+    background = -(np.log(begin) + np.log(after)) / 2
+    unit = 2 / (2 + size + 1)  # in the target corpus: one text, each bigram once
+    target = -np.log((1 - d) + d * unit)
+    got = {r.doc_id: r for r in langmodel.score(docs, model).collect()}
+    assert got.keys() == {0, 1, 2, 3} and got[0].n_words == n
+    for i in (1, 2):
+        assert got[i].background_loss == pytest.approx(background, abs=2e-6)
+        assert got[i].target_loss == pytest.approx(target, abs=2e-6)
+    others = spark.createDataFrame([(7, "ZEBRA yak"), (8, None), (9, "gnu emu")], "doc_id long, text string")
+    told = {r.doc_id: r for r in langmodel.score(others, model).collect()}
+    assert told[7].difference == got[1].difference and told[7].background_loss == got[1].background_loss
+    assert told[8].difference is None and told[9].n_words == 2 and told.keys() == {7, 8, 9}
+
+
 # --- pages --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("page, text", [
