@@ -37,7 +37,7 @@ from farelake.operators import marts
 from farelake.operators import quality as dq
 from farelake.operators.fact import fact_offers
 from farelake.operators.flatten import ods_flatten, stage_current
-from farelake.operators.scd2 import content_hash, drop_unchanged, newest_versions, scd2_history
+from farelake.operators.scd2 import content_hash, scd2_history
 from farelake.plans import keyed_state
 from farelake.schemas import DEFAULT_ENDPOINT, LOG_SCHEMA, SENTINEL
 from farelake.session import list_paths, path_exists, remove_path
@@ -299,6 +299,50 @@ def current_versions(spark: SparkSession, root: str, since: F.Column | None = No
                 .withColumn("valid_to_dttm", F.lit(SENTINEL).cast("timestamp")).select(*LOG_COLUMNS))
 
 
+ROW = "_row"  # number of a row in the staged batch
+
+
+def stage_batch(docs: DataFrame, path: str) -> DataFrame:
+    """The batch as a written table, each document with its number and content hash: what
+    decides on a document is read without its texts."""
+    rows = docs.withColumn("content", content_hash()).withColumn(ROW, F.monotonically_increasing_id())
+    rows.write.mode("overwrite").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def left_out_rows(batch: DataFrame, known: DataFrame | None, same: list[str], key: str, tie: str | None,
+                  detect_changes: bool = True) -> DataFrame:
+    """Numbers of the staged rows that make no version: all but the newest of those that
+    are one version and, with ``detect_changes``, those equal to the version before them.
+
+    Rows are numbers, times and hashes here, shuffled once by (key, day): a hot key is never
+    sorted in one task. The last version of a key's earlier day comes from a small table.
+    """
+    extra = [tie] if tie else []
+    rows = batch.select(key, "valid_from_dttm", *extra, "updated_at", "created_at", "content", ROW, F.lit(False).alias("_known"))
+    if known is not None:
+        rows = rows.unionByName(known.select(key, "valid_from_dttm", *extra, "content", F.lit(True).alias("_known")),
+                                allowMissingColumns=True)
+    rows = rows.withColumn("_split", F.date_trunc("day", "valid_from_dttm")).repartition(key, "_split")
+    order = [F.desc_nulls_last(c) for c in ("updated_at", "created_at", *extra)]
+    one = Window.partitionBy(key, "_split", "_known", *[c for c in same if c != key]).orderBy(*order, F.desc("content"))
+    rows = rows.withColumn("_double", F.row_number().over(one) > 1)
+    if not detect_changes:
+        return rows.filter("_double").select(ROW)
+    version = [F.col(c).asc() for c in ("valid_from_dttm", *extra)]
+    before = F.lag("content").over(Window.partitionBy(key, "_split").orderBy("_double", *version))
+    last = F.struct("valid_from_dttm", *extra)
+    days = (rows.filter("not _double").groupBy(key, "_split").agg(F.max_by("content", last).alias("_last"))
+                .select(F.col(key).alias("_key"), F.col("_split").alias("_day"),
+                        F.lag("_last").over(Window.partitionBy(key).orderBy("_split")).alias("_before_day")))
+    found = rows.withColumn("_before", before).join(
+        days, (F.col(key) == F.col("_key")) & (F.col("_split") == F.col("_day")), "left")
+    unchanged = F.col("content") == F.coalesce("_before", "_before_day")
+    # Documents without a key or a load time are in no chain of versions.
+    out = F.col("_double") | F.col(key).isNull() | F.col("_split").isNull() | F.coalesce(unchanged, F.lit(False))
+    return found.filter(~F.col("_known") & out).select(ROW)
+
+
 def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
                     key: str = "doc_id", tie: str | None = "event_id", detect_changes: bool = True,
                     loaded_at: str = "created_at", load_time=None) -> DataFrame:
@@ -312,20 +356,28 @@ def apply_log_batch(spark: SparkSession, root: str, docs: DataFrame, run_id: int
     the one before it is left out; the newest content hash of the batch's keys comes from
     the keyed state (``keyed_state``), of which only the batch's buckets are read.
     """
+    if ROW not in docs.columns:
+        stage = f"{root}/_staging/log={run_id}"
+        try:
+            return apply_log_batch(spark, root, stage_batch(docs, stage), run_id, key, tie, detect_changes, loaded_at, load_time)
+        finally:
+            remove_path(spark, stage)
     extra = [tie] if tie else []
     start = F.col(loaded_at) if load_time is None else F.lit(load_time).cast("timestamp")
-    batch = docs.withColumn("valid_from_dttm", start).select(*VERSION_COLUMNS, *extra)
-    batch = newest_versions(batch, [key, "valid_from_dttm"] + (extra if load_time is None else []), tie)
-    batch = batch.withColumn("content", content_hash())
+    batch = docs.withColumn("valid_from_dttm", start)
     order = ["valid_from_dttm", *extra]
+    newest = None
     if detect_changes:
-        chain = batch.withColumn("_known", F.lit(False))
         log = read_runs_of(spark, f"{root}/raw")
         newest = keyed_state.known_versions(spark, root, batch, run_id, key, order, log)
-        if newest is not None:
-            chain = chain.unionByName(newest.drop("run_id").withColumn("_known", F.lit(True)), allowMissingColumns=True)
-        batch = drop_unchanged(chain, key, "valid_from_dttm", tie, ["content"]).filter("not _known").drop("_known")
-    written = write_run(batch, f"{root}/raw", run_id)
+    same = [key, "valid_from_dttm"] + (extra if load_time is None else [])
+    left_out = left_out_rows(batch, newest, same, key, tie, detect_changes)
+    # Written first: Spark joins it by its size, so the documents are not shuffled for a few rows.
+    path = f"{root}/_staging/left_out={run_id}"
+    left_out.write.mode("overwrite").parquet(path)
+    batch = batch.join(spark.read.schema(left_out.schema).parquet(path), ROW, "left_anti")
+    written = write_run(batch.select(*VERSION_COLUMNS, *extra, "content"), f"{root}/raw", run_id)
+    remove_path(spark, path)
     keyed_state.write_versions(spark, root, run_id, written, key, order)
     set_watermark(spark, root, "raw", run_id, written, "updated_at")
     return written
@@ -498,9 +550,8 @@ def run_increment(spark: SparkSession, root: str, docs: DataFrame, run_id: int,
         load_time = instant(spark, load_time if load_time is not None else processed_at)
     # The batch is computed once; its mark and its versions come from the written rows.
     stage = f"{root}/_staging/run={run_id}"
-    docs.write.mode("overwrite").parquet(stage)
-    batch = spark.read.schema(docs.schema).parquet(stage)
-    mark = batch_mark(batch)
+    batch = stage_batch(docs, stage)
+    mark = batch_mark(batch.select(docs.columns))
     try:
         if skip_empty and not mark[0]:
             return

@@ -384,3 +384,29 @@ def test_stream_lookback_keeps_its_state_over_a_restart_and_lets_go_of_the_past(
     assert prices(spark, root, "fact") == [("a", "/a", 5), ("a", "/a", 9), ("b", "/b", 6), ("c", "/c", 7), ("d", "/d", 1), ("e", "/e", 2)]
     assert inc.read_runs(spark, root).count() == 4          # the third pass brought nothing new
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+
+
+def test_rows_left_out_of_the_log_are_told_without_their_texts(spark):
+    """Doubles and unchanged documents, by numbers, times and hashes alone, are those that
+    ranking and comparing whole documents finds."""
+    from farelake.operators.scd2 import drop_unchanged, newest_versions
+    day = "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id * 7 % 4 as int))"
+    docs = spark.range(240).selectExpr(
+        "if(id % 31 = 0, null, concat('d', id % 5)) as doc_id", "'e' as endpoint", "'q' as request",
+        "concat('text', id div 60 % 2) as response", "200 as status_code", "false as error", f"{day} as created_at",
+        f"if(id % 17 = 0, null, {day}) as updated_at", "timestamp'2024-01-01' as batch_started_at",
+        f"if(id % 29 = 0, null, {day}) as valid_from_dttm", "id % 90 as event_id", "id as _row")
+    docs = docs.withColumn("content", inc.content_hash())
+    known = docs.filter("doc_id is not null and valid_from_dttm is not null").limit(3).select(
+        "doc_id", "valid_from_dttm", "event_id", "content", F.lit(0).alias("run_id"))
+    same = ["doc_id", "valid_from_dttm", "event_id"]
+    for old in (None, known):
+        chain = newest_versions(docs, same).withColumn("_known", F.lit(False))
+        if old is not None:
+            chain = chain.unionByName(old.drop("run_id").withColumn("_known", F.lit(True)), allowMissingColumns=True)
+        kept = drop_unchanged(chain, cols=["content"]).filter("not _known").select(*same, "content")
+        out = inc.left_out_rows(docs, old, same, "doc_id", "event_id")
+        got = docs.join(out, "_row", "left_anti").select(*same, "content")
+        assert sorted(map(str, got.collect())) == sorted(map(str, kept.collect())) and 0 < got.count() < 240
+    assert "response" not in inc.left_out_rows(docs.drop("content").withColumn("content", F.lit(1).cast("long")), None, same, "doc_id", "event_id") \
+        ._jdf.queryExecution().optimizedPlan().toString()
