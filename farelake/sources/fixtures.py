@@ -30,10 +30,15 @@ def _iso(ts) -> F.Column:
 
 def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One priced offer per line item (city = region, airport = nation)."""
+    # Small numbers go into the shuffle join, not the amounts and texts they come from.
     li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate"))
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.floor(F.col("l_extendedprice") / 5).cast("int").alias("price"),
+        (F.col("l_quantity").cast("int") * 10).alias("duration"),
+        F.col("l_shipdate").cast("timestamp").alias("departure_at"),
+        (F.col("l_returnflag") != "R").alias("one_way")))
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("search_date"))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -46,7 +51,7 @@ def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo_d = geo.select(F.col("n_nationkey").alias("d_nk"), F.col("n_name").alias("destination_airport"),
                        F.col("r_name").alias("destination"))
     # Customers meet the orders first: a shuffle join moves an order, not each of its line items.
-    orders = orders.join(cust, F.col("o_custkey") == cust.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey")
+    orders = orders.join(cust, F.col("o_custkey") == cust.c_custkey).select("o_orderkey", "search_date", "c_nationkey")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(supp, F.col("l_suppkey") == supp.s_suppkey)
            .join(part, F.col("l_partkey") == part.p_partkey)
@@ -56,12 +61,9 @@ def offer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "origin", "origin_airport", "destination", "destination_airport",
         F.col("p_brand").alias("airline"),
         F.col("l_partkey").cast("string").alias("flight_number"),
-        F.floor(F.col("l_extendedprice") / 5).cast("int").alias("price"),
+        "price",
         (F.col("l_linenumber") - 1).alias("transfers"),
-        (F.col("l_quantity").cast("int") * 10).alias("duration"),
-        F.col("l_shipdate").cast("timestamp").alias("departure_at"),
-        F.col("o_orderdate").cast("date").alias("search_date"),
-        (F.col("l_returnflag") != "R").alias("one_way"),
+        "duration", "departure_at", "search_date", "one_way",
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
     )
 
@@ -96,15 +98,17 @@ def offer_log(spark: SparkSession, sf_dir: str, limit: int = OFFERS_PER_CALL,
     paged = (offers.join(sizes, call)
              .withColumn("page", (F.pmod(F.col("l_orderkey") * 8 + F.col("l_linenumber"), n_pages) + 1)
                          .cast("int")))
+    # From the keys that the link needs anyway: not shuffled beside them.
+    flight, transfers = F.col("l_partkey").cast("string"), F.col("l_linenumber") - 1
     elem = F.struct(
         offer_link(paged).alias("link"),
         F.col("price"),
         "origin", "origin_airport", "destination", "destination_airport", "airline",
-        "flight_number", "duration",
-        F.col("transfers"),
+        flight.alias("flight_number"), "duration",
+        transfers.alias("transfers"),
         F.col("duration").alias("duration_to"),
         F.when(~F.col("one_way"), F.col("duration")).alias("duration_back"),
-        F.when(~F.col("one_way"), F.col("transfers")).alias("return_transfers"),
+        F.when(~F.col("one_way"), transfers).alias("return_transfers"),
         _iso(F.col("departure_at")).alias("departure_at"),
     )
     # Shuffle by document first: collect_list gains nothing from a map-side

@@ -51,3 +51,15 @@ def test_smoothing_computes_its_series_once(spark):
 
 def test_price_extremes_reads_a_written_fact(spark):
     assert "lineitem.parquet" not in executed(QUERIES["price_extremes"](spark, SF))
+
+
+def test_offers_are_shuffled_once_as_small_columns(spark):
+    """The document grouping ships no column that its keys give; kept models are packed well."""
+    import pyarrow.parquet as pq
+    from farelake.plans.queries import _written
+    from farelake.sources.fixtures import offer_log
+    plan = offer_log(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("RepartitionByExpression", 1)[1]
+    assert "AS flight_number" not in below and "AS transfers" not in below
+    path = _written(spark.range(10).selectExpr("id", "'x' as t"), "packed").inputFiles()[0].replace("file:", "")
+    assert pq.ParquetFile(path).metadata.row_group(0).column(0).compression == "ZSTD"
